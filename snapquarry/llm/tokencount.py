@@ -29,7 +29,7 @@ from snapquarry.llm.common import map_text, table
 
 # Fixed value: the pre-token pattern of byte-level BPE, with white space as Unicode has it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-CACHE, LIMIT = 300_000, 512
+CACHE, LIMIT = 800_000, 512
 
 
 def byte_letters() -> list[str]:
@@ -112,7 +112,7 @@ def counter(r: Ranks):
             tokens.append(pattern.findall(t) if len(parts) == 1 else [x for p in parts for x in pattern.findall(p)])
         if len(known) > CACHE:
             known.clear()
-        new = list(set().union(*tokens) - known.keys())
+        new = [x for x in set().union(*tokens) if x not in known]
         for i in range(0, len(new), 100_000):
             part = new[i : i + 100_000]
             known.update(zip(part, merge_counts([x.encode() for x in part], r).tolist(), strict=True))
