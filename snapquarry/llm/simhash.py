@@ -26,6 +26,7 @@ left out unless kept.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
@@ -39,18 +40,28 @@ from snapquarry.llm.common import map_text, materialise, table
 from snapquarry.llm.components import components
 
 BITS, RADIUS, SEED = 64, 3, 42
-SPLIT = 4096  # rows of one value compared at once
+BLOCK = 4 << 20  # comparisons made at once
 
 
 def hash_bits(hashes: np.ndarray) -> np.ndarray:
     return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
 
 
-def fingerprints(words: int):
-    """Arrow function: text -> fingerprint as a signed integer."""
+def mixed(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th further 64 bits of a hash (k = 0: itself)."""
+    if not k:
+        return h
+    x = h + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprints(words: int, width: int = 1):
+    """Arrow function: text -> ``width`` times 64 bits of fingerprint, as signed integers."""
 
     def f(texts: pa.Array) -> list:
-        out = np.zeros(len(texts), np.uint64)
+        out = np.zeros((width, len(texts)), np.uint64)
         digest = xxhash.xxh64_intdigest
         for i, t in enumerate(texts):
             w = t.as_py().encode().lower().split()
@@ -61,17 +72,20 @@ def fingerprints(words: int):
             start = end - size
             k = min(words, len(w))
             h = np.array([digest(joined[a:b], SEED) for a, b in zip(start[: len(w) - k + 1].tolist(), end[k - 1 :].tolist(), strict=True)], np.uint64)
-            counts = np.zeros(BITS, np.int64)
-            for j in range(0, len(h), 1 << 15):
-                counts += hash_bits(h[j : j + (1 << 15)]).sum(0, dtype=np.int64)
-            out[i] = np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0]
-        return [out.view(np.int64)]
+            for c in range(width):
+                counts, x = np.zeros(BITS, np.int64), mixed(h, c)
+                for j in range(0, len(h), 1 << 15):
+                    counts += hash_bits(x[j : j + (1 << 15)]).sum(0, dtype=np.int64)
+                out[c, i] = np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0]
+        return list(out.view(np.int64))
 
     return f
 
 
-def with_fingerprint(df: DataFrame, keep: Sequence[str], text_col: str = "text", words: int = 3) -> DataFrame:
-    return map_text(df, lambda: fingerprints(words), keep, "fp bigint", text_col)
+def with_fingerprint(df: DataFrame, keep: Sequence[str], text_col: str = "text", words: int = 3, width: int = 1) -> DataFrame:
+    """``keep`` and the fingerprint: column ``fp``, or ``fp0`` .. for more than 64 bits."""
+    names = ["fp"] if width == 1 else [f"fp{c}" for c in range(width)]
+    return map_text(df, lambda: fingerprints(words, width), keep, ", ".join(f"{c} bigint" for c in names), text_col)
 
 
 def bit_counts(nodes: DataFrame) -> tuple[np.ndarray, int]:
@@ -179,90 +193,146 @@ def plan(nodes: DataFrame, radius: int = RADIUS) -> tuple[list[list[int]], list[
     return best[1], best[2]
 
 
+def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64) if a.shape[-1] > 1 else np.bitwise_count(a ^ b)[..., 0]
+
+
 def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among distinct fingerprints; works in blocks and holds no matrix larger than one.
+    """A spanning forest of the links among distinct fingerprints (rows of 64-bit words), in blocks of bounded size.
 
     Search from each unvisited node: what lies within ``radius`` of the front joins it and
     leaves the rest, so that each node costs one pass over those not yet reached.
     """
-    a, b, rest = [], [], fp
+    a, b, rest = [fp[:0]], [fp[:0]], fp
     while len(rest) > 1:
         front, rest = rest[:1], rest[1:]
         while len(front) and len(rest):
             near = np.full(len(rest), -1, np.int64)
-            block = max(1, (SPLIT * SPLIT // 4) // len(rest))
+            block = max(1, BLOCK // len(rest))
             for i in range(0, len(front), block):
                 free = np.flatnonzero(near < 0)
-                hit = np.bitwise_count(front[i : i + block, None] ^ rest[free]) <= radius
+                hit = distance(front[i : i + block, None], rest[free]) <= radius
                 got = hit.any(0)
                 near[free[got]] = i + hit[:, got].argmax(0)
             got = near >= 0
             a.append(front[near[got]])
             b.append(rest[got])
             front, rest = rest[got], rest[~got]
-    none = np.zeros(0, np.uint64)
-    return np.concatenate([none, *a]), np.concatenate([none, *b])
+    return np.concatenate(a), np.concatenate(b)
 
 
 def linked(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among rows sorted by key: pairs of neighbours for small runs all together, a forest for each larger run."""
-    start = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1]
+    """Links among rows sorted by key: pairs for small runs all together, a forest for each larger run."""
+    start = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1]
     n = np.diff(np.r_[start, len(key)])
-    a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-    run = np.repeat(n, n)
-    last = np.repeat(start + n, n)
+    a, b = [fp[:0]], [fp[:0]]
+    run, last = np.repeat(n, n), np.repeat(start + n, n)
     for d in range(1, 4):
         at = np.flatnonzero((run <= 4) & (np.arange(len(key)) + d < last))
-        near = np.bitwise_count(fp[at] ^ fp[at + d]) <= radius
-        a.append(fp[at[near]])
-        b.append(fp[at[near] + d])
+        near = at[distance(fp[at], fp[at + d]) <= radius]
+        a.append(fp[near])
+        b.append(fp[near + d])
     for s, m in zip(start[n > 4].tolist(), n[n > 4].tolist(), strict=True):
-        x, y = forest(np.unique(fp[s : s + m]), radius)
+        x, y = forest(np.unique(fp[s : s + m], axis=0), radius)
         a.append(x)
         b.append(y)
     return np.concatenate(a), np.concatenate(b)
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): links between nodes (``fp``, distinct) that hold each component together."""
-    groups, thresholds = plan(nodes, radius)
-    rows = keyed(nodes, groups, thresholds).repartition("g", "v").sortWithinPartitions("g", "v")
+def compared(rows: DataFrame, radius: int, width: int) -> DataFrame:
+    """Links among rows (g, v, words of the fingerprint) that share (g, v): a0, .., b0, .. .
+
+    Rows are dealt by key and sorted, and a task walks through its runs; a run that goes
+    over the end of a batch is held, so what is in memory is a batch and one run.
+    """
+    cols = [f"{side}{c}" for side in "ab" for c in range(width)]
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            a, b = linked(key, fp, radius)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        def told(parts: list) -> pa.RecordBatch:
+            a, b = linked(np.concatenate([k for k, _ in parts]), np.concatenate([x for _, x in parts]), radius)
+            both = np.concatenate([a, b], 1).view(np.int64)
+            both = np.unique(both[(a != b).any(1)], axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, c])) for c in range(2 * width)], names=cols)
 
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list = []
         for batch in batches:
-            g, v, fp = (np.asarray(batch.column(k)) for k in range(3))
-            key = np.rec.fromarrays([g, v])
-            if held and not (held[-1][0][-1] == key[0]):
-                yield told(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+            key = np.stack([np.asarray(batch.column(k), np.int64) for k in range(2)], 1)
+            fp = np.stack([np.asarray(batch.column(2 + c), np.int64) for c in range(width)], 1).view(np.uint64)
+            if held and (held[-1][0][-1] != key[0]).any():
+                yield told(held)
                 held = []
-            cut = len(key)
-            while cut and key[cut - 1] == key[-1]:
-                cut -= 1
+            other = np.flatnonzero((key != key[-1]).any(1))
+            cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                whole = [*held, (key[:cut], fp.view(np.uint64)[:cut])]
-                yield told(np.concatenate([x for x, _ in whole]), np.concatenate([x for _, x in whole]))
+                yield told([*held, (key[:cut], fp[:cut])])
                 held = []
-            held.append((key[cut:], fp.view(np.uint64)[cut:].copy()))
+            held.append((key[cut:], fp[cut:]))
         if held:
-            yield told(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+            yield told(held)
 
-    return rows.mapInArrow(f, "a bigint, b bigint").distinct()
+    return rows.repartition("g", "v").sortWithinPartitions("g", "v").mapInArrow(f, ", ".join(f"{c} bigint" for c in cols))
+
+
+def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b): links between nodes (``fp``, distinct) that hold each component together."""
+    groups, thresholds = plan(nodes, radius)
+    return compared(keyed(nodes, groups, thresholds), radius, 1).select(F.col("a0").alias("a"), F.col("b0").alias("b")).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = RADIUS) -> DataFrame:
-    """(id, fp, component_id): the smallest id of each row's component; a null id is after all others."""
+    """(id, fp, component_id): the smallest id of each row's component; a null id counts only where there is no other."""
     marked = materialise(with_fingerprint(df, [id_col], text_col, words))
     nodes = materialise(marked.groupBy("fp").agg(F.min(id_col).alias("least")))
-    roots = components(links(nodes, radius))
-    named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return marked.join(classes(nodes, links(nodes, radius), "fp"), "fp").select(id_col, "fp", "component_id")
+
+
+def classes(nodes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, component_id): the least ``least`` of all nodes reachable over ``edges``."""
+    named = nodes.join(components(edges).withColumnRenamed("node", key), key, "left").withColumn("root", F.coalesce("root", key))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return marked.join(classes, "fp").select(id_col, "fp", "component_id")
+    return named.select(key, "root").join(least, "root").select(key, "component_id")
+
+
+def sampled_groups(n: int, bits: int, tables: int, seed: int = 5) -> np.ndarray:
+    """Bit places of each table: as many as tell n nodes apart, drawn anew for each table."""
+    size = min(28, max(8, math.ceil(math.log2(max(2, n)))))
+    rng = np.random.default_rng(seed)
+    return np.stack([np.sort(rng.permutation(bits)[:size]) for _ in range(tables)])
+
+
+def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, width: int = 4, tables: int = 100) -> DataFrame:
+    """(id, component_id) for texts whose shingle sets have a Jaccard similarity of about ``similarity`` or more.
+
+    For a similarity far below 1 the radius is too large for probing every value near by.
+    So the fingerprint gets ``width`` times 64 bits, the radius is the number of bits at
+    which texts of that similarity differ on average plus one deviation, and in place of
+    disjoint groups there are ``tables`` groups drawn at random, all with threshold 0. Each
+    holds as many bits as the number of nodes needs, so runs stay short at any size. A pair
+    at the similarity is missed by all tables in about one of twenty cases, above it in
+    far fewer; all that meet are compared by all bits, and components do the rest.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    share, bits = math.acos(cosine) / math.pi, 64 * width
+    radius = round(bits * share + math.sqrt(bits * share * (1 - share)))
+    cols = [f"fp{c}" for c in range(width)]
+    marked = materialise(with_fingerprint(df, [id_col], text_col, words, width).withColumn("node", F.xxhash64(*cols)))
+    nodes = materialise(marked.groupBy("node", *cols).agg(F.min(id_col).alias("least")))
+    groups = sampled_groups(nodes.count(), bits, tables)
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 4096):
+                part = b.slice(i, 4096)
+                fp = np.stack([np.asarray(x, np.int64) for x in part.columns], 1)
+                on = np.unpackbits(fp.astype("<i8").view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little").astype(np.int64)
+                for g, places in enumerate(groups):
+                    v = on[:, places] @ (1 << np.arange(len(places)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), g, np.int32)), pa.array(v), *part.columns], names=["g", "v", *cols])
+
+    rows = nodes.select(*cols).mapInArrow(f, "g int, v bigint, " + ", ".join(f"{c} bigint" for c in cols))
+    found = compared(rows, radius, width)
+    edges = found.select(F.xxhash64(*[f"a{c}" for c in range(width)]).alias("a"), F.xxhash64(*[f"b{c}" for c in range(width)]).alias("b")).distinct()
+    return marked.join(classes(nodes, edges, "node"), "node").select(id_col, "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
