@@ -206,13 +206,17 @@ def decode(v: Vocabulary, ids: np.ndarray) -> bytes:
 
 
 def encode_texts(df: DataFrame, path: str, keep: Sequence[str], text_col: str = "text") -> DataFrame:
-    """``keep``, ``n_tokens``, ``ids`` (decimal, spaces between) and ``decoded`` of every row's whole text."""
-    return _apply(df, path, keep, text_col, "n_tokens bigint, ids string, decoded string", lambda ids, back: (ids, back.decode()))
+    """``keep``, ``n_tokens``, ``ids`` and ``decoded`` of every row's whole text."""
+    return _apply(df, path, keep, text_col, "n_tokens bigint, ids array<int>, decoded string", lambda ids, names, back: (ids, back.decode()))
 
 
 def digests(df: DataFrame, path: str, keep: Sequence[str], text_col: str = "text") -> DataFrame:
     """As ``encode_texts``, with SHA-256 digests in place of ids and decoded text."""
-    return _apply(df, path, keep, text_col, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", lambda ids, back: (hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back).hexdigest()))
+
+    def last(ids: list, names: list, back: bytes) -> tuple[str, str]:
+        return hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest(), hashlib.sha256(back).hexdigest()
+
+    return _apply(df, path, keep, text_col, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", last)
 
 
 def _apply(df: DataFrame, path: str, keep: Sequence[str], text_col: str, fields: str, last) -> DataFrame:
@@ -226,7 +230,7 @@ def _apply(df: DataFrame, path: str, keep: Sequence[str], text_col: str, fields:
             n, left, right = [], [], []
             for t in texts.to_pylist():
                 ids = encoder.encode(t)
-                a, b = last(" ".join([names[i] for i in ids]), decode(v, np.array(ids, np.int64)))
+                a, b = last(ids, names, decode(v, np.array(ids, np.int64)))
                 n.append(len(ids))
                 left.append(a)
                 right.append(b)

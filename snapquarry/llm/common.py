@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ARROW_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+ARROW_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,12 +48,11 @@ def sample(df: DataFrame, key: str, strata: Sequence[str], per_stratum: int) ->
     One small count, then a filter: nothing is shuffled but the counts, the same
     rows come back at every run, and the expected size is bounded by the parameter.
     """
-    n = df.groupBy(*strata).count().withColumnRenamed("count", "__n")
-    on = [df[c].eqNullSafe(n[c]) for c in strata]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    joined = df.join(n, cond).select(*[df[c] for c in df.columns], "__n")
+    n = df.groupBy(*[F.col(c).alias(f"__{c}") for c in strata]).agg(F.count("*").alias("__n"))
+    cond = F.lit(True)
+    for c in strata:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    joined = df.join(n, cond).select(*df.columns, "__n")
     place = F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return joined.filter(place < F.lit(float(per_stratum)) / F.col("__n")).drop("__n")
 

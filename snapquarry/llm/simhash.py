@@ -311,12 +311,28 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     at the similarity is missed by all tables in about one of twenty cases, above it in
     far fewer; all that meet are compared by all bits, and components do the rest.
     """
+    marked, found = _classes(df, id_col, text_col, words, similarity, width, tables)
+    return marked.join(found, "node").select(id_col, F.col("component_id.id").alias("component_id"))
+
+
+def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, width: int = 4, tables: int = 100) -> DataFrame:
+    """The rows of df without near copies: of each class of ``similar`` the row with the smallest id stays (a null id only if there is no other, ties by text hash)."""
+    marked, found = _classes(df, id_col, text_col, words, similarity, width, tables)
+    stay = found.select(F.col("component_id.id").alias("__id"), F.col("component_id.h").alias("__h")).distinct()
+    out = df.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(text_col, F.lit(""))) == F.col("__h")), "left_semi")
+    if marked.groupBy(id_col, "h").count().filter("count > 1").limit(1).count():
+        out = out.withColumn("__t", F.coalesce(text_col, F.lit(""))).dropDuplicates([id_col, "__t"]).drop("__t")
+    return out
+
+
+def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float, width: int, tables: int) -> tuple[DataFrame, DataFrame]:
     cosine = 2 * similarity / (1 + similarity)
     share, bits = math.acos(cosine) / math.pi, 64 * width
     radius = round(bits * share + math.sqrt(bits * share * (1 - share)))
     cols = [f"fp{c}" for c in range(width)]
-    marked = materialise(with_fingerprint(df, [id_col], text_col, words, width).withColumn("node", F.xxhash64(*cols)))
-    nodes = materialise(marked.groupBy("node", *cols).agg(F.min(id_col).alias("least")))
+    rows = df.select(id_col, text_col, F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
+    marked = materialise(with_fingerprint(rows, [id_col, "h"], text_col, words, width).withColumn("node", F.xxhash64(*cols)))
+    nodes = materialise(marked.groupBy("node", *cols).agg(F.min(F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "h")).alias("least")))
     groups = sampled_groups(nodes.count(), bits, tables)
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +348,7 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
     rows = nodes.select(*cols).mapInArrow(f, "g int, v bigint, " + ", ".join(f"{c} bigint" for c in cols))
     found = compared(rows, radius, width)
     edges = found.select(F.xxhash64(*[f"a{c}" for c in range(width)]).alias("a"), F.xxhash64(*[f"b{c}" for c in range(width)]).alias("b")).distinct()
-    return marked.join(classes(nodes, edges, "node"), "node").select(id_col, "component_id")
+    return marked, classes(nodes, edges, "node")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
