@@ -18,7 +18,7 @@ def ngram_hashes(data: np.ndarray, n: int, bits: int) -> np.ndarray:
     if len(data) < n:
         return np.zeros(0, np.int64)
     m = len(data) - n + 1
-    h = np.full(m, np.uint32(n) * MIX, np.uint32)
+    h = np.full(m, np.uint32(n * int(MIX) & 0xFFFFFFFF), np.uint32)
     for k in range(n):
         h *= STEP
         h += data[k : k + m]
