@@ -186,17 +186,18 @@ def neighbours(df: DataFrame) -> DataFrame:
     Texts are shuffled once, by key; heads (a quarter) and digests once, to their predecessor.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = df.select("doc_id", text.alias("text")).select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("d0"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("h"), F.char_length("text").alias("n"), "text")
-    order = materialise(successors(materialise(own.select("doc_id", "d0", "h", "n"))))
+    own = df.select("doc_id", text.alias("text")).select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("d0"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("h"), "text")
+    order = materialise(successors(materialise(own.select("doc_id", "d0", "h", F.char_length("text").alias("n")))))
     if order.filter("copies > 1").limit(1).count():
         own = own.dropDuplicates(["d0", "h"])
-    heads = own.join(order, ["d0", "h"]).select(F.col("p_d0").alias("d0"), F.col("p_h").alias("h"), F.expr("substring(text, 1, p_n div 4)").alias("head"), digests(F.col("text")).alias("next"))
-    return own.join(heads, ["d0", "h"]).join(order.select("d0", "h", "copies"), ["d0", "h"])
+    # Both uses of ``own`` need the same columns, so that Spark shuffles the texts once and reads that shuffle twice.
+    heads = own.join(order, ["d0", "h"]).select(F.col("p_d0").alias("d0"), F.col("p_h").alias("h"), F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, p_n div 4)").alias("head"), digests(F.col("text")).alias("next"))
+    return own.join(heads, ["d0", "h"]).join(order.select("d0", "h", "copies"), ["d0", "h"]).withColumn("n", F.char_length("text"))
 
 
 def fingerprints(df: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    rows = neighbours(df).select("doc_id", "copies", F.col("n").cast("bigint").alias("n_chars"), "text", "next", F.expr("concat(substring(text, 1, n - n div 4), head)").alias("edited"))
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_id."""
+    rows = neighbours(df).select("doc_id", "next_id", "copies", F.col("n").cast("bigint").alias("n_chars"), "text", "next", F.expr("concat(substring(text, 1, n - n div 4), head)").alias("edited"))
 
     def compared(v: Column) -> Column:
         """v: struct of the three digest lists."""
@@ -212,8 +213,8 @@ def fingerprints(df: DataFrame) -> DataFrame:
         return let(F.struct(*[small_sketch(v[k]).alias(k) for k in "abc"]), sketched)
 
     lists = F.struct(digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("b"), F.col("next").alias("c"))
-    out = rows.select("doc_id", "copies", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), let(lists, compared).alias("r"))
-    out = out.select("doc_id", "n_chars", "edited_sha256", "r.*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    out = rows.select("doc_id", "next_id", "copies", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), let(lists, compared).alias("r"))
+    out = out.select("doc_id", "n_chars", "edited_sha256", "r.*", "next_id", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return out.drop("copy")
 
 
