@@ -198,24 +198,24 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among distinct fingerprints (rows of 64-bit words), in blocks of bounded size.
+    """Stars that span the components of the links among sorted, distinct fingerprints (rows of 64-bit words).
 
-    Search from each unvisited node: what lies within ``radius`` of the front joins it and
-    leaves the rest, so that each node costs one pass over those not yet reached.
+    Search from each unvisited node, in blocks of bounded size: what lies within ``radius``
+    of the front joins it and leaves the rest, so that each node costs one pass over those
+    not yet reached. All that a search reaches hangs on its first, least node, so that runs
+    with common nodes tend to give the same rows.
     """
     a, b, rest = [fp[:0]], [fp[:0]], fp
     while len(rest) > 1:
-        front, rest = rest[:1], rest[1:]
+        seed = front = rest[:1]
+        rest = rest[1:]
         while len(front) and len(rest):
-            near = np.full(len(rest), -1, np.int64)
+            got = np.zeros(len(rest), bool)
             block = max(1, BLOCK // len(rest))
             for i in range(0, len(front), block):
-                free = np.flatnonzero(near < 0)
-                hit = distance(front[i : i + block, None], rest[free]) <= radius
-                got = hit.any(0)
-                near[free[got]] = i + hit[:, got].argmax(0)
-            got = near >= 0
-            a.append(front[near[got]])
+                free = np.flatnonzero(~got)
+                got[free] = (distance(front[i : i + block, None], rest[free]) <= radius).any(0)
+            a.append(np.repeat(seed, got.sum(), 0))
             b.append(rest[got])
             front, rest = rest[got], rest[~got]
     return np.concatenate(a), np.concatenate(b)
