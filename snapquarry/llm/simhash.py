@@ -197,8 +197,8 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64) if a.shape[-1] > 1 else np.bitwise_count(a ^ b)[..., 0]
 
 
-def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stars that span the components of the links among sorted, distinct fingerprints (rows of 64-bit words).
+def forest(fp: np.ndarray, radius: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stars that span the components of the links among sorted, distinct fingerprints (rows of ``width`` 64-bit words, then what goes with them).
 
     Search from each unvisited node, in blocks of bounded size: what lies within ``radius``
     of the front joins it and leaves the rest, so that each node costs one pass over those
@@ -214,14 +214,14 @@ def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             block = max(1, BLOCK // len(rest))
             for i in range(0, len(front), block):
                 free = np.flatnonzero(~got)
-                got[free] = (distance(front[i : i + block, None], rest[free]) <= radius).any(0)
+                got[free] = (distance(front[i : i + block, None, :width], rest[free, :width]) <= radius).any(0)
             a.append(np.repeat(seed, got.sum(), 0))
             b.append(rest[got])
             front, rest = rest[got], rest[~got]
     return np.concatenate(a), np.concatenate(b)
 
 
-def linked(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def linked(key: np.ndarray, fp: np.ndarray, radius: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Links among rows sorted by key: pairs for small runs all together, a forest for each larger run."""
     start = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1]
     n = np.diff(np.r_[start, len(key)])
@@ -229,35 +229,41 @@ def linked(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np
     run, last = np.repeat(n, n), np.repeat(start + n, n)
     for d in range(1, 4):
         at = np.flatnonzero((run <= 4) & (np.arange(len(key)) + d < last))
-        near = at[distance(fp[at], fp[at + d]) <= radius]
+        near = at[distance(fp[at, :width], fp[at + d, :width]) <= radius]
         a.append(fp[near])
         b.append(fp[near + d])
     for s, m in zip(start[n > 4].tolist(), n[n > 4].tolist(), strict=True):
-        x, y = forest(np.unique(fp[s : s + m], axis=0), radius)
+        x, y = forest(np.unique(fp[s : s + m], axis=0), radius, width)
         a.append(x)
         b.append(y)
     return np.concatenate(a), np.concatenate(b)
 
 
-def compared(rows: DataFrame, radius: int, width: int) -> DataFrame:
+def compared(rows: DataFrame, radius: int, width: int, labelled: bool = False) -> DataFrame:
     """Links among rows (g, v, words of the fingerprint) that share (g, v): a0, .., b0, .. .
 
+    With ``labelled`` the rows end with a component found before, and the links are the
+    pairs (a0, b0) of different components, so what is known already isn't said again.
+
     Rows are dealt by key and sorted, and a task walks through its runs; a run that goes
     over the end of a batch is held, so what is in memory is a batch and one run.
     """
-    cols = [f"{side}{c}" for side in "ab" for c in range(width)]
+    out = 1 if labelled else width
+    cols = [f"{side}{c}" for side in "ab" for c in range(out)]
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(parts: list) -> pa.RecordBatch:
-            a, b = linked(np.concatenate([k for k, _ in parts]), np.concatenate([x for _, x in parts]), radius)
+            a, b = linked(np.concatenate([k for k, _ in parts]), np.concatenate([x for _, x in parts]), radius, width)
+            if labelled:
+                a, b = a[:, width:], b[:, width:]
             both = np.concatenate([a, b], 1).view(np.int64)
             both = np.unique(both[(a != b).any(1)], axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, c])) for c in range(2 * width)], names=cols)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, c])) for c in range(2 * out)], names=cols)
 
         held: list = []
         for batch in batches:
             key = np.stack([np.asarray(batch.column(k), np.int64) for k in range(2)], 1)
-            fp = np.stack([np.asarray(batch.column(2 + c), np.int64) for c in range(width)], 1).view(np.uint64)
+            fp = np.stack([np.asarray(batch.column(2 + c), np.int64) for c in range(width + labelled)], 1).view(np.uint64)
             if held and (held[-1][0][-1] != key[0]).any():
                 yield told(held)
                 held = []
@@ -286,9 +292,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return marked.join(classes(nodes, links(nodes, radius), "fp"), "fp").select(id_col, "fp", "component_id")
 
 
-def classes(nodes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
-    """(key, component_id): the least ``least`` of all nodes reachable over ``edges``."""
-    named = nodes.join(components(edges).withColumnRenamed("node", key), key, "left").withColumn("root", F.coalesce("root", key))
+def classes(nodes: DataFrame, edges: DataFrame, key: str, label: str | None = None) -> DataFrame:
+    """(key, component_id): the least ``least`` of all nodes reachable over ``edges``, which join labels (by default keys)."""
+    label = label or key
+    named = nodes.join(components(edges).withColumnRenamed("node", label), label, "left").withColumn("root", F.coalesce("root", label))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return named.select(key, "root").join(least, "root").select(key, "component_id")
 
@@ -335,20 +342,30 @@ def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity:
     nodes = materialise(marked.groupBy("node", *cols).agg(F.min(F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "h")).alias("least")))
     groups = sampled_groups(nodes.count(), bits, tables)
 
-    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(0, b.num_rows, 4096):
-                part = b.slice(i, 4096)
-                fp = np.stack([np.asarray(x, np.int64) for x in part.columns], 1)
-                on = np.unpackbits(fp.astype("<i8").view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little").astype(np.int64)
-                for g, places in enumerate(groups):
-                    v = on[:, places] @ (1 << np.arange(len(places)))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), g, np.int32)), pa.array(v), *part.columns], names=["g", "v", *cols])
-
-    rows = nodes.select(*cols).mapInArrow(f, "g int, v bigint, " + ", ".join(f"{c} bigint" for c in cols))
-    found = compared(rows, radius, width)
-    edges = found.select(F.xxhash64(*[f"a{c}" for c in range(width)]).alias("a"), F.xxhash64(*[f"b{c}" for c in range(width)]).alias("b")).distinct()
-    return marked, classes(nodes, edges, "node")
+    def keys(own: DataFrame, some: Sequence[int]) -> DataFrame:
+        names = ["g", "v", *own.columns]
+
+        def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(0, b.num_rows, 4096):
+                    part = b.slice(i, 4096)
+                    fp = np.stack([np.asarray(x, np.int64) for x in part.columns[:width]], 1)
+                    on = np.unpackbits(fp.astype("<i8").view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little").astype(np.int64)
+                    for g in some:
+                        v = on[:, groups[g]] @ (1 << np.arange(groups.shape[1]))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), g, np.int32)), pa.array(v), *part.columns], names=names)
+
+        return own.mapInArrow(f, "g int, v bigint, " + ", ".join(f"{c} bigint" for c in own.columns))
+
+    # A fifth of the tables finds most links; the others then only tell what joins two components found before.
+    first = range(0, tables, 5)
+    found = compared(keys(nodes.select(*cols), first), radius, width)
+    edges = found.select(*[F.xxhash64(*[f"{x}{c}" for c in range(width)]).alias(x) for x in "ab"]).distinct()
+    roots = components(edges).withColumnRenamed("root", "label")
+    nodes = materialise(nodes.join(roots, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    rest = [g for g in range(tables) if g not in first]
+    more = compared(keys(nodes.select(*cols, "label"), rest), radius, width, labelled=True).select(F.col("a0").alias("a"), F.col("b0").alias("b")).distinct()
+    return marked, classes(nodes, more, "node", "label")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
