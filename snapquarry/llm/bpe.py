@@ -37,7 +37,7 @@ from snapquarry.llm.tokencount import byte_letters
 
 # Fixed value: the words of the file's pre-tokenizer, white space as Unicode has it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
-CACHE, END = 800_000, 0x2000
+CACHE, END = 300_000, 0x2000
 NEVER = 1 << 40
 
 
