@@ -4,9 +4,10 @@ The categories are predicted one after another: the linear (logistic) model of c
 j sees the text's features and the probabilities of categories 0..j-1. In training these
 earlier probabilities are out-of-fold predictions, so that a later model learns from the
 errors an earlier one really makes; the earlier models are then refitted on all rows of
-the sample. Features are presences: letter words, their first 5 to 8 bytes, and byte
+the sample. Features are presences: letter words, their first 4 to 8 bytes, and byte
 trigrams, hashed, of which those that depend most on a label are kept (chi-squared).
-Presence, not frequency, so that one slur in a very long text still counts.
+Presence, not frequency, so that one slur in a very long text still counts; each feature
+is divided by its spread, so that a rare word is learned as fast as a common one.
 
 The labels table marks two categories, junk (quality 0) and toxic (toxic 1); the chain
 runs in that order. Any list of 0/1 label columns works.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from snapquarry.llm import grams
 from snapquarry.llm.common import buffers, held_out, map_text, sample, table
 
-BITS, FEATURES, FOLDS, PREFIXES = 18, 2048, 5, (5, 6, 7, 8)
+BITS, FEATURES, FOLDS, PREFIXES = 18, 2048, 5, (4, 5, 6, 7, 8)
 SAMPLE_PER_STRATUM = 2000  # bound of the training sample: rows of each combination of labels
 
 
@@ -72,9 +73,10 @@ def logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p)) / 4
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.03, steps: int = 200) -> np.ndarray:
-    """Weights and, last, the bias, by accelerated gradient descent on the penalised log loss."""
-    x = np.c_[x, np.ones(len(x), np.float32)].astype(np.float32)
+def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 300) -> np.ndarray:
+    """Weights and, last, the bias, by accelerated gradient descent on the penalised log loss of the columns over their spreads."""
+    spread = np.r_[np.maximum(x.std(0), 1e-3), 1].astype(np.float32) if len(x) else np.ones(x.shape[1] + 1, np.float32)
+    x = np.c_[x, np.ones(len(x), np.float32)].astype(np.float32) / spread
     if len(np.unique(y)) < 2:
         w = np.zeros(x.shape[1], np.float32)
         w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)) if len(y) else 0.0
@@ -93,7 +95,7 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.03, steps: int = 2
         new = ahead - rate * g
         ahead = new + (i / (i + 3)) * (new - w)
         w = new
-    return w
+    return w / spread
 
 
 @dataclass
