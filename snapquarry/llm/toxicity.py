@@ -7,7 +7,7 @@ errors an earlier one really makes; the earlier models are then refitted on all
 the sample. Features are presences: letter words, their first 4 to 8 bytes, and byte
 trigrams, hashed, of which those that depend most on a label are kept (chi-squared).
 Presence, not frequency, so that one slur in a very long text still counts; each feature
-is divided by its spread, so that a rare word is learned as fast as a common one.
+is divided by its root mean square, so that a rare word is learned as fast as a common one.
 
 The labels table marks two categories, junk (quality 0) and toxic (toxic 1); the chain
 runs in that order. Any list of 0/1 label columns works.
@@ -74,9 +74,10 @@ def logit(p: np.ndarray) -> np.ndarray:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 300) -> np.ndarray:
-    """Weights and, last, the bias, by accelerated gradient descent on the penalised log loss of the columns over their spreads."""
-    spread = np.r_[np.maximum(x.std(0), 1e-3), 1].astype(np.float32) if len(x) else np.ones(x.shape[1] + 1, np.float32)
-    x = np.c_[x, np.ones(len(x), np.float32)].astype(np.float32) / spread
+    """Weights and, last, the bias, by accelerated gradient descent on the penalised log loss of the columns over their root mean squares."""
+    size = np.sqrt((x**2).mean(0)) if len(x) else np.zeros(x.shape[1])
+    scale = np.r_[np.where(size > 0, size, 1), 1].astype(np.float32)
+    x = np.c_[x, np.ones(len(x), np.float32)].astype(np.float32) / scale
     if len(np.unique(y)) < 2:
         w = np.zeros(x.shape[1], np.float32)
         w[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)) if len(y) else 0.0
@@ -95,7 +96,7 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 30
         new = ahead - rate * g
         ahead = new + (i / (i + 3)) * (new - w)
         w = new
-    return w / spread
+    return w / scale
 
 
 @dataclass

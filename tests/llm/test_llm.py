@@ -231,6 +231,24 @@ def test_held_out_accuracy(spark):
     assert np.mean([a == b for a, b in lang]) > 0.97
 
 
+def test_toxicity_of_rare_words():
+    """A tenth of the rows hold one of a few words with a common stem: known forms reach 0.5, no clean text does, and forms seen nowhere score above all clean texts (but may stay under 0.5)."""
+    rng = random.Random(9)
+    plain = ["".join(rng.choice("aeiou") + rng.choice("bdlmnrst") for _ in range(rng.randint(1, 4))) for _ in range(400)]
+
+    def text(bad):
+        words = [rng.choice(plain) for _ in range(80)]
+        if bad:
+            words[rng.randrange(80)] = "vexqu" + rng.choice(["ir", "oir", "ance", "ette"] if bad == 1 else ["ard"])
+        return " ".join(words)
+
+    bad = np.array([k % 10 == 0 for k in range(600)], np.int64)
+    chain = toxicity.train(pa.array([text(b) for b in bad]), np.stack([np.zeros(600, np.int64), bad], 1), ["junk", "toxic"])
+    toxic = chain.probabilities(pa.array([text(1 + k % 2) for k in range(60)]))[1]
+    clean = chain.probabilities(pa.array([text(0) for _ in range(60)]))[1]
+    assert (toxic[::2] >= 0.5).all() and (clean < 0.5).all() and toxic.min() > clean.max()
+
+
 def test_classifiers_on_odd_input(spark, odd):
     empty = pa.array([], pa.string())
     m = quality.train(empty, np.zeros(0, np.int64))
