@@ -10,9 +10,11 @@ import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+LARGEST, STEP = (1 << 31) - 1025, 1 << 20  # most bytes of a file that is read as one value; bytes of a step beyond
 LINE_LIMIT = 32 << 20  # fixed value: longest line of a strict table, in bytes
 SKIPPED_DIRS = ("raw", "tidy", "logs")
 LOCK_FIELDS = "database string, asset string, dataset string, version string, version_token string, files array<struct<path string, sha256 string, bytes bigint>>, species array<struct<id string>>, pathways array<struct<id string>>, brites array<struct<id string>>, error string"
@@ -78,10 +80,32 @@ def file_states(spark: SparkSession, root: str) -> DataFrame:
     return spark.createDataFrame(rows, "path string, bytes bigint")
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """(path, bytes, sha256, md5) below root, *.part left out. Empty files, which the binary source drops, get the empty hashes."""
+def hashed_in_steps(files: DataFrame) -> DataFrame:
+    """(path, sha256, md5) of files too large for one value, a file a row, read step by step by the tasks."""
+
+    def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path in pdf["path"]:
+                store, name = fs.FileSystem.from_uri("file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path)
+                sha, md5 = hashlib.sha256(), hashlib.md5()
+                with store.open_input_stream(name) as stream:
+                    while part := stream.read(STEP):
+                        sha.update(part)
+                        md5.update(part)
+                yield pd.DataFrame({"path": [path], "sha256": [sha.hexdigest()], "md5": [md5.hexdigest()]})
+
+    return files.select("path").repartition("path").mapInPandas(f, "path string, sha256 string, md5 string")
+
+
+def file_inventory(spark: SparkSession, root: str, largest: int = LARGEST) -> DataFrame:
+    """(path, bytes, sha256, md5) below root, *.part left out.
+
+    Empty files, which the binary source drops, get the empty hashes; files over
+    ``largest`` bytes, whose contents that source then never reads, are hashed in steps.
+    """
     states = file_states(spark, root).filter(~F.col("path").endswith(".part"))
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+    whole = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).filter(F.col("length") <= largest).select("path", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+    read = whole.unionByName(hashed_in_steps(states.filter(F.col("bytes") > largest)))
     key = F.regexp_replace("path", "^file:/+", "/")
     joined = states.withColumn("k", key).join(read.withColumn("k", key).drop("path"), "k", "left")
     empty = F.col("bytes") == 0

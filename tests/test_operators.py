@@ -135,6 +135,8 @@ def test_inventory_and_verifiers(spark, tmp_path):
     (tmp_path / "x.part").write_bytes(b"x")
     inv = {r.path.rsplit("/", 1)[1]: r for r in S.file_inventory(spark, str(tmp_path)).collect()}
     assert inv["empty"].sha256 == S.EMPTY_SHA256 and inv["a.txt"].bytes == 5 and "x.part" not in inv
+    steps = {r.path.rsplit("/", 1)[1]: r for r in S.file_inventory(spark, str(tmp_path), largest=4).collect()}
+    assert {k: (r.sha256, r.md5) for k, r in steps.items()} == {k: (r.sha256, r.md5) for k, r in inv.items()} and inv["a.txt"].md5 == "5d41402abc4b2a76b9719d911017c592"
     z = tmp_path / "z"
     z.mkdir()
     whole = gzip.compress(b"data" * 100)
