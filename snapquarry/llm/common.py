@@ -37,6 +37,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (by default all) as one struct ``row``, beside the ``text``: a name in the row can't clash with what an operator adds. ``select("row.*")`` gives them back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)]).alias("row"), F.col(f"`{text_col}`").alias("text"))
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 3, is 1. A null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1

@@ -12,18 +12,20 @@ k is ``share`` of the item's bytes, less where the bound would fall under one sh
 q-gram. Items longer than ``WINDOW`` bytes are searched as overlapping windows. Items
 shorter than one q-gram are no evidence and never match.
 
-The benchmark is the small side: its index goes to the workers in blocks of at most
+The benchmark is the small side: its index goes to the workers in blocks of about
 ``BLOCK`` bytes of item text, one pass over the documents for each block, so what is
-broadcast is bounded at any benchmark size. Documents are never shuffled.
+broadcast is bounded at any benchmark size. Between passes the rows are written to the
+shared folder, so that a task never holds two blocks. Documents are never shuffled.
 
 Defined results: null and empty texts have no hit; equal items all hit; repeated rows
 repeat; an empty benchmark or table gives no hits. Places are bytes of the normalised
-text. Extra columns are left out unless kept.
+text. Extra columns are left out unless kept; kept ones may have any name but those of
+the four result columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,9 +35,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapquarry.llm import grams
-from snapquarry.llm.common import buffers, map_text, table
+from snapquarry.llm.common import buffers, map_text, materialise, packed, table
 
-Q, SHARE, WINDOW, BLOCK = 16, 0.05, 512, 32 << 20
+Q, SHARE, WINDOW, BLOCK = 16, 0.05, 512, 2 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15
 VALUES = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)
 FILTER_BITS = 22
@@ -160,28 +162,31 @@ def align(pattern: bytes, region: bytes, budget: int) -> tuple[int, int, int] |
     return (int(begin[end]), end, int(cost[end])) if cost[end] <= budget else None
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[int, bytes]]]:
-    """Items in blocks of bounded text, each fetched on its own."""
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> list[DataFrame]:
+    """(id, text) of the items, dealt by hash to as many frames as keep each at about ``most`` bytes of text."""
     items = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // most)
-    for k in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toArrow()
-        if rows.num_rows:
-            data, off = normalised(rows["text"].combine_chunks())
-            texts = [data[a:b].tobytes().strip() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            yield sorted(zip(rows["id"].to_pylist(), texts, strict=True), key=lambda x: (x[0] is None, x))
+    return [items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
-def contaminated(df: DataFrame, benchmark: DataFrame, keep: Sequence[str], text_col: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE) -> DataFrame:
-    """``keep`` and arrays item_ids, starts, ends, edits of every row's hits, empty for a clean row.
+def fetched(block: DataFrame) -> list[tuple[int, bytes]]:
+    """A block's items, normalised, ascending."""
+    rows = block.toArrow()
+    if not rows.num_rows:
+        return []
+    data, off = normalised(rows["text"].combine_chunks())
+    texts = [data[a:b].tobytes().strip() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+    return sorted(zip(rows["id"].to_pylist(), texts, strict=True), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
-    With several blocks the rows of each pass are concatenated by a running column.
-    """
-    out = None
+
+def contaminated(df: DataFrame, benchmark: DataFrame, keep: Sequence[str], text_col: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, most: int = BLOCK) -> DataFrame:
+    """``keep`` and arrays item_ids, starts, ends, edits of every row's hits, empty for a clean row."""
     names = ["item_ids", "starts", "ends", "edits"]
-    for items in blocks(benchmark, item_id, item_text, BLOCK):
-        shared = df.sparkSession.sparkContext.broadcast(Index.of(items, share))
+    out, have = packed(df, text_col, keep), []
+    parts = blocks(benchmark, item_id, item_text, most)
+    for k, block in enumerate(parts):
+        shared = df.sparkSession.sparkContext.broadcast(Index.of(fetched(block), share))
 
         def make(shared=shared):
             index = shared.value
@@ -196,11 +201,13 @@ def contaminated(df: DataFrame, benchmark: DataFrame, keep: Sequence[str], text_
 
             return f
 
-        new = map_text(df if out is None else out, make, keep if out is None else [*keep, *names], ", ".join(f"{c if out is None else '_' + c} array<bigint>" for c in names), text_col)
-        out = new if out is None else new.select(*keep, *[F.concat(c, "_" + c).alias(c) for c in names])
-    if out is None:
-        return df.select(*keep, *[F.array().cast("array<bigint>").alias(c) for c in names])
-    return out
+        last = k + 1 == len(parts)
+        new = map_text(out, make, ["row", *([] if last else ["text"]), *have], ", ".join(f"_{c} array<bigint>" for c in names))
+        out = new.select("row", *([] if last else ["text"]), *[F.concat(c, f"_{c}").alias(c) if have else F.col(f"_{c}").alias(c) for c in names])
+        have = names
+        if not last:
+            out = materialise(out)
+    return out.select("row.*", *(names if have else [F.array().cast("array<bigint>").alias(c) for c in names]))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapquarry.llm.common import map_text, materialise, table
+from snapquarry.llm.common import map_text, materialise, packed, table
 from snapquarry.llm.components import components
 
 BITS, RADIUS, SEED = 64, 3, 42
@@ -325,11 +325,12 @@ def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words
 def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, width: int = 4, tables: int = 100) -> DataFrame:
     """The rows of df without near copies: of each class of ``similar`` the row with the smallest id stays (a null id only if there is no other, ties by text hash)."""
     marked, found = _classes(df, id_col, text_col, words, similarity, width, tables)
-    stay = found.select(F.col("component_id.id").alias("__id"), F.col("component_id.h").alias("__h")).distinct()
-    out = df.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(text_col, F.lit(""))) == F.col("__h")), "left_semi")
+    stay = found.select("component_id.id", "component_id.h").distinct()
+    row = F.col("row")
+    out = packed(df, text_col).join(stay, row[id_col].eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("h")), "left_semi")
     if marked.groupBy(id_col, "h").count().filter("count > 1").limit(1).count():
-        out = out.withColumn("__t", F.coalesce(text_col, F.lit(""))).dropDuplicates([id_col, "__t"]).drop("__t")
-    return out
+        out = out.select("row", row[id_col].alias("id"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["id", "text"])
+    return out.select("row.*")
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float, width: int, tables: int) -> tuple[DataFrame, DataFrame]:

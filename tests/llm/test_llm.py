@@ -263,6 +263,50 @@ def test_classifiers_on_odd_input(spark, odd):
     assert quality.fit(odd, known) and toxicity.fit(odd, known, ["quality", "toxic"]) and langid.fit(odd.filter("lang is null")).langs == []
 
 
+def test_decontamination_in_blocks(spark, docs, sf_dir):
+    """An item index dealt into many blocks finds what one block finds."""
+    bench = table(spark, sf_dir, "benchmark")
+    df = spark.createDataFrame([*zip(docs.doc_id.tolist(), docs.text, strict=True), (None, None), (-1, bench.first().text)], "doc_id bigint, text string")
+
+    def hits(most):
+        return sorted((r.doc_id or 0, *h) for r in decontaminate.contaminated(df, bench, ["doc_id"], most=most).collect() for h in zip(r.item_ids, r.starts, r.ends, r.edits, strict=True))
+
+    assert len(decontaminate.blocks(bench, "item_id", "text", 3000)) > 2
+    assert hits(3000) == hits(1 << 20) != []
+
+
+CLASHING = "score fp row redacted item_ids n_tokens ids decoded id h node component_id starts label spans n_assign z least root __text __n".split()
+
+
+@pytest.mark.parametrize("shape", ["odd", "empty", "clashing"])
+def test_pipeline_stages_on_odd_input(spark, sf_dir, shape):
+    """Every stage takes nulls, repeated, empty and long rows, no rows at all, and extra columns named as its own."""
+    import corpus_pipeline
+
+    secret = "password: hunter22secret and words"
+    rows = [(k, t, "en", f"s{k}", len(t or "")) for k, t in enumerate([*ODD, secret])] + [(None, "no id", None, None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    if shape == "clashing":
+        df = df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASHING)])
+    df = df.limit(0) if shape == "empty" else df
+    stages = dict(corpus_pipeline.STAGES)
+    got = {name: stages[name](spark, df, sf_dir) for name in stages}
+    assert all(got[name].columns == df.columns for name in list(stages)[:-1])
+    n = {name: out.collect() for name, out in got.items()}
+    if shape == "empty":
+        assert not any(n.values())
+        return
+    assert len(n["decontamination"]) == len(n["secrets"]) == len(n["bpe"]) == len(rows)
+    # Empty texts are one class, the repeated row another; a row without an id stays once.
+    kept = [r.doc_id for r in n["near_duplicates"]]
+    assert len(kept) == len(set(kept)) and {0, 3, 4, 6, 7, None} <= set(kept) and 5 not in kept and 1 not in kept
+    clean = next(r for r in n["secrets"] if r.doc_id == len(ODD))
+    assert clean.text == "<secret> and words" and clean.n_chars == len(clean.text)
+    if shape == "clashing":
+        assert [clean[c] for c in CLASHING] == list(range(len(CLASHING)))
+    assert next(r for r in n["secrets"] if r.doc_id == 0).text in (None, "")
+
+
 def test_pipeline(spark, sf_dir, docs):
     import corpus_pipeline
 
