@@ -190,7 +190,9 @@ def neighbours(df: DataFrame) -> DataFrame:
     order = materialise(successors(materialise(own.select("doc_id", "d0", "h", F.char_length("text").alias("n")))))
     if order.filter("copies > 1").limit(1).count():
         own = own.dropDuplicates(["d0", "h"])
+    # The comparison is heavy on CPU, so rows are dealt evenly whatever the files' layout and the joins' kind.
     # Both uses of ``own`` need the same columns, so that Spark shuffles the texts once and reads that shuffle twice.
+    own = own.repartition("d0", "h")
     heads = own.join(order, ["d0", "h"]).select(F.col("p_d0").alias("d0"), F.col("p_h").alias("h"), F.col("doc_id").alias("next_id"), F.expr("substring(text, 1, p_n div 4)").alias("head"), digests(F.col("text")).alias("next"))
     return own.join(heads, ["d0", "h"]).join(order.select("d0", "h", "copies"), ["d0", "h"]).withColumn("n", F.char_length("text"))
 
