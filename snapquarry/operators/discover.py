@@ -87,6 +87,14 @@ def fixed_batches(ids: DataFrame, by: Sequence[str], value: str, size: int) -> D
     return numbered.groupBy(*by, F.lpad(F.col("k").cast("string"), 6, "0").alias("batch")).agg(joined.alias("ids"), F.count("*").alias("n"))
 
 
+def work_grid(codes: DataFrame, prefixes: DataFrame, assets: DataFrame, template: str, by: Sequence[str], size: int) -> tuple[DataFrame, DataFrame]:
+    """(tasks: every code with a requested prefix and every asset, with path and batch; prefixes without a code). Batches of ``size`` codes go by ``by`` and prefix."""
+    keyed, missing = prefix_partition(codes, prefixes)
+    place = F.row_number().over(Window.partitionBy(*by, "prefix").orderBy("code"))
+    batched = keyed.withColumn("batch", F.lpad(F.floor((place - 1) / size).cast("string"), 6, "0"))
+    return task_grid(batched, assets, template), missing
+
+
 def listing_ids(lines: DataFrame, kind: str) -> DataFrame:
     """(listing, pos, id) of a tab-separated listing, first occurrences only. kind: hierarchy, organism, species."""
     cells = F.split("value", "\t")

@@ -93,6 +93,13 @@ def scope(records: DataFrame, key: Sequence[str], path: str = "path") -> DataFra
     return sets.select(*key, kind.alias("scope_type"), F.array_join("scopes", ",").alias("scope_value"))
 
 
+def entity_manifest(records: DataFrame, key: Sequence[str], entity: str) -> DataFrame:
+    """(key, entity, paths, scope_type, scope_value): each entity's sorted files beside its snapshot's scope."""
+    files = F.array_sort(F.collect_list(F.struct("asset", "path")))
+    listed = records.groupBy(*key, entity).agg(F.transform(files, lambda x: x["path"]).alias("paths"))
+    return listed.join(scope(records, key), list(key), "left").orderBy(*key, entity)
+
+
 def combined_version(records: DataFrame, key: Sequence[str], version: str) -> DataFrame:
     return records.groupBy(*key).agg(F.array_join(F.array_sort(F.collect_set(version)), "_").alias("version_token"))
 

@@ -89,6 +89,13 @@ def keep_known_url(records: DataFrame, known: DataFrame, derived: Column) -> Dat
     return records.join(k, "path", "left").withColumn("url", F.coalesce(C.first_filled(F.col("known_url")), derived)).drop("known_url")
 
 
+def lock_snapshot(declared: DataFrame, present: DataFrame, known: DataFrame, derived: Column, ignore_extra: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records of the files that are as declared, in path order; issues: path, status). A known record's url is kept, else ``derived``."""
+    status = declared_vs_present(declared, present, ignore_extra)
+    good = present.join(status.filter("status = 'ok'").select("path"), "path", "left_semi")
+    return keep_known_url(good, known, derived).orderBy("path"), status.filter("status <> 'ok'").orderBy("path")
+
+
 def to_hash(expected: DataFrame, records: DataFrame, states: DataFrame) -> DataFrame:
     """Paths whose size equals the recorded one: only these need hashing (first stage of a strict plan)."""
     return _joined(expected, records, states).filter("r_bytes = f_bytes").select("path")

@@ -17,7 +17,9 @@ from snapquarry.functions import checks as C
 from snapquarry.operators import discover as D
 from snapquarry.operators import edges as E
 from snapquarry.operators import manifest as M
+from snapquarry.operators.catalog import select_assets
 from snapquarry.plans import reconcile as R
+from snapquarry.sources.files import classify_sidecars
 from snapquarry.sources.storage import shared_dir
 from snapquarry.streaming.upsert import latest_version, upsert_stream
 
@@ -453,6 +455,98 @@ def _(s, d):
     return x.select(F.col("source").alias("value")).unionByName(x.select(F.col("lang").alias("value"))).filter("trim(value) <> ''").distinct().orderBy("value")
 
 
+LOCK = """, both_sides AS (SELECT coalesce(r.path, p.path) AS path, p.bytes, p.sha256, p.path || CASE WHEN r.asset = 'src4' THEN '#derived' ELSE '' END AS url,
+ CASE WHEN p.path IS NULL THEN 'missing' WHEN r.path IS NULL THEN 'undeclared' WHEN r.bytes <> p.bytes THEN 'wrong size' ELSE 'ok' END AS status FROM records r FULL JOIN present p ON r.path = p.path)
+"""
+
+
+def locked(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    r, path = records(s, d), F.col("path")
+    known = r.select("path", F.when(F.col("asset") != "src4", path).alias("url"))
+    return R.lock_snapshot(r.select("path", F.col("bytes").alias("expected_bytes")), present(s, d).select("path", "bytes", "sha256"), known, F.concat(path, F.lit("#derived")))
+
+
+@query("e2_lock_snapshot", LOCK + "SELECT path, bytes, sha256, url FROM both_sides WHERE status = 'ok'")
+def _(s, d):
+    return locked(s, d)[0]
+
+
+@query("e2_lock_issues", LOCK + "SELECT path, status FROM both_sides WHERE status <> 'ok'")
+def _(s, d):
+    return locked(s, d)[1]
+
+
+@query("e8_validate_edges", """, ev AS (SELECT l_returnflag AS organism, CAST(l_suppkey AS VARCHAR) AS source, CAST(l_partkey AS VARCHAR) AS target, l_linenumber AS n, l_linestatus AS f FROM lineitem)
+SELECT source, target, 'target' AS rule FROM ev WHERE NOT EXISTS (SELECT 1 FROM ev x WHERE x.organism = ev.organism AND x.target = ev.target AND x.f = 'F')
+UNION ALL SELECT source, target, 'evidences' FROM ev WHERE n = 7 UNION ALL SELECT source, target, 'extra_attrs' FROM ev WHERE n = 6 UNION ALL SELECT source, target, 'level' FROM ev WHERE f = 'F'""")
+def _(s, d):
+    n, f = F.col("l_linenumber"), F.col("l_linestatus")
+    ev = t(s, d, "lineitem").select(
+        F.col("l_returnflag").alias("organism"), F.col("l_suppkey").cast("string").alias("source"), F.col("l_partkey").cast("string").alias("target"), f.alias("flag"),
+        F.when(n == 7, '{"n":').otherwise('{"n":1}').alias("evidences"), F.when(n == 6, '{"a":1} x').otherwise('{"a":1,"a":2}').alias("extra_attrs"), F.when(f == "F", "A;E").otherwise("A; D").alias("dorothea_level"),
+    )
+    return E.validate_edges(ev, E.plan_edge_batches(ev.filter("flag = 'F'")), "ABCD")
+
+
+@query("e11_validate_query_meta", """, m AS (SELECT o_orderkey AS query_id, CAST(o_custkey AS VARCHAR) AS a, CAST(o_orderkey AS VARCHAR) AS b, o_orderstatus AS st, o_orderpriority AS p FROM orders)
+SELECT query_id, 'organisms' AS rule FROM m WHERE a >= b UNION ALL SELECT query_id, 'levels' FROM m WHERE st = 'F' UNION ALL SELECT query_id, 'token' FROM m WHERE p = '1-URGENT'""")
+def _(s, d):
+    st, key = F.col("o_orderstatus"), F.col("o_orderkey")
+    levels = F.when(st == "O", F.array(F.lit("A"), F.lit("B"))).when(st == "F", F.array(F.lit("B"), F.lit("A"))).otherwise(F.array(F.lit("D")))
+    meta = t(s, d, "orders").select(key.alias("query_id"), F.array(F.col("o_custkey").cast("string"), key.cast("string")).alias("organisms"), levels.alias("levels"), F.date_format("o_orderdate", "yyyyMMdd").alias("taken_at"), "o_orderpriority")
+    written = F.concat(*[x for c in ("organisms", "levels") for x in (F.lit(('{' if c == "organisms" else ",") + f'"{c}":["'), F.array_join(c, '","'), F.lit('"]'))], F.lit("}"))
+    digest = F.sha2(F.when(F.col("o_orderpriority") == "1-URGENT", "{}").otherwise(written), 256)
+    return E.validate_query_meta(meta.withColumn("version_token", F.concat_ws("-", "taken_at", F.substring(digest, 1, 12))), ["organisms", "levels"])
+
+
+@query("e13_classify_sidecars", """SELECT CAST(event_id AS VARCHAR) AS file, CASE event_type WHEN 'click' THEN 'full-evidence-v1' WHEN 'view' THEN 'malformed' WHEN 'purchase' THEN 'legacy-basic' ELSE 'unsupported' END AS kind FROM events""")
+def _(s, d):
+    kind = F.col("event_type")
+    value = F.when(kind == "click", F.concat(F.lit('{"schema": "full-evidence-v1", "props": '), "props", F.lit("}"))).when(kind == "view", F.concat("props", F.lit(" and more"))).when(kind == "purchase", F.concat(F.lit("datasets\t"), F.col("user_id").cast("string"), F.lit(";b"))).otherwise(F.col("props"))
+    return classify_sidecars(t(s, d, "events").select(F.col("event_id").cast("string").alias("file"), value.alias("value")), C.json_ok)
+
+
+def chosen_assets(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    p = t(s, d, "part")
+    path = F.concat(F.lit("{version}/"), F.col("p_partkey").cast("string"))
+    declared = p.select(F.col("p_brand").alias("name"), path.alias("path"), F.concat(F.lit("https://example.org/"), path).alias("url"), (F.col("p_size") > 40).alias("is_large"), F.col("p_retailprice").cast("bigint").alias("expected_bytes"))
+    wanted = p.filter("p_size > 48").select(F.col("p_brand").alias("name")).union(p.filter("p_size = 1").select(F.concat("p_brand", F.lit("?")))).distinct()
+    return select_assets(declared, wanted, "v7", above=980)
+
+
+ASSETS = """, want AS (SELECT DISTINCT p_brand AS name FROM part WHERE p_size > 48), chosen AS (SELECT p_brand AS name, 'raw/v7/' || p_partkey AS path, 'https://example.org/v7/' || p_partkey AS url,
+ p_size > 40 OR trunc(p_retailprice) > 980 AS big FROM part WHERE p_brand IN (SELECT name FROM want))
+"""
+
+
+@query("e14_selected_assets", ASSETS + "SELECT name, path, url FROM chosen WHERE NOT big")
+def _(s, d):
+    return chosen_assets(s, d)[0].select("name", "path", "url")
+
+
+@query("e14_asset_issues", ASSETS + "SELECT name, 'large' AS rule FROM chosen WHERE big UNION ALL SELECT DISTINCT p_brand || '?', 'unknown' FROM part WHERE p_size = 1")
+def _(s, d):
+    return chosen_assets(s, d)[1]
+
+
+@query("e16_entity_manifest", "SELECT asset, dataset, string_agg(path, ',' ORDER BY path) AS paths, any_value(k) AS scope_type, any_value(v) AS scope_value FROM files JOIN (SELECT asset, CASE WHEN count(DISTINCT dataset) = 1 THEN 'reference' ELSE 'scopes' END AS k, array_to_string(list_sort(list_distinct(list(dataset))), ',') AS v FROM files GROUP BY ALL) USING (asset) GROUP BY asset, dataset")
+def _(s, d):
+    return M.entity_manifest(files(s, d), ["asset"], "dataset").withColumn("paths", F.array_join("paths", ","))
+
+
+@query("e17_work_grid", "SELECT c_nationkey, c_mktsegment[1] AS prefix, c_mktsegment || c_custkey AS code, r_name, lpad(CAST(CAST((row_number() OVER (PARTITION BY c_nationkey, c_mktsegment[1], r_name ORDER BY c_mktsegment || c_custkey) - 1) // 10 AS BIGINT) AS VARCHAR), 6, '0') AS batch, 'raw/' || c_mktsegment || c_custkey || '/' || r_name || '.tsv' AS path FROM customer CROSS JOIN region WHERE c_mktsegment[1] IN ('A', 'B', 'M')")
+def _(s, d):
+    codes = t(s, d, "customer").select("c_nationkey", F.concat("c_mktsegment", F.col("c_custkey").cast("string")).alias("code"))
+    return D.work_grid(codes, s.createDataFrame([("A",), ("B",), ("M",), ("Z",)], "prefix string"), t(s, d, "region").select("r_name"), "{code}/{r_name}.tsv", ["c_nationkey"], 10)[0]
+
+
+@query("p23_header_version", "SELECT CAST(o_custkey AS VARCHAR) AS file, arg_min(CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE o_orderpriority END, o_orderkey) AS version FROM orders WHERE o_orderstatus IN ('O', 'F') GROUP BY ALL")
+def _(s, d):
+    st = F.col("o_orderstatus")
+    value = F.when(st == "O", F.concat(F.lit("data-version: releases/"), F.date_format("o_orderdate", "yyyy-MM-dd"))).when(st == "F", F.concat(F.lit("data-version: "), "o_orderpriority")).otherwise("format-version: 1.2")
+    return D.header_version(t(s, d, "orders").select(F.col("o_custkey").cast("string").alias("file"), F.col("o_orderkey").alias("pos"), value.alias("value")))
+
+
 @query("u3_token_list", "SELECT doc_id, source AS token FROM documents UNION ALL SELECT doc_id, lang FROM documents")
 def _(s, d):
     return D.token_list(t(s, d, "documents").select("doc_id", F.concat("source", F.lit(", "), "lang", F.lit(",")).alias("v")), "doc_id", "v")
