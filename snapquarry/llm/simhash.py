@@ -41,6 +41,7 @@ from snapquarry.llm.components import components
 
 BITS, RADIUS, SEED = 64, 3, 42
 BLOCK = 4 << 20  # comparisons made at once
+HOT = 1000  # a key is hot if it holds over one in so many rows
 
 
 def hash_bits(hashes: np.ndarray) -> np.ndarray:
@@ -295,9 +296,24 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def classes(nodes: DataFrame, edges: DataFrame, key: str, label: str | None = None) -> DataFrame:
     """(key, component_id): the least ``least`` of all nodes reachable over ``edges``, which join labels (by default keys)."""
     label = label or key
-    named = nodes.join(components(edges).withColumnRenamed("node", label), label, "left").withColumn("root", F.coalesce("root", label))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return named.select(key, "root").join(least, "root").select(key, "component_id")
+    whole = label == key
+    own = nodes.select(label, "least") if whole else nodes.groupBy(label).agg(F.min("least").alias("least"), F.count("*").alias("members"))
+    named = materialise(own.join(components(edges).withColumnRenamed("node", label), label, "left").withColumn("root", F.coalesce("root", label)))
+    least = materialise(named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
+    found = with_value(named.drop("least"), least, "root", "n").drop("root")
+    return found if whole else with_value(nodes.select(key, label), materialise(found), label, "members").select(key, "component_id")
+
+
+def with_value(rows: DataFrame, found: DataFrame, key: str, members: str) -> DataFrame:
+    """``rows`` joined with ``found``, which has one row a key and the key's number of rows in ``members``.
+
+    Keys that hold over 1 / ``HOT`` of all rows, of which there are fewer than ``HOT``, are
+    broadcast and their rows stay where they are; the other rows are shuffled. So no task
+    gets more than a ``HOT``-th of the rows for one key, however large a group is.
+    """
+    hot = found.filter(F.col(members) > F.lit(rows.count() / HOT)).drop(members)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(found.drop(members), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
 
 
 def sampled_groups(n: int, bits: int, tables: int, seed: int = 5) -> np.ndarray:
