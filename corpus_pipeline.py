@@ -21,7 +21,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8) stays."""
+    """One document of each group of near copies (components of Jaccard similarity 0.8 or more over distinct five-word shingles) stays."""
     return simhash.without_copies(docs)
 
 

@@ -26,20 +26,19 @@ left out unless kept.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapquarry.llm import setjoin
 from snapquarry.llm.common import map_text, materialise, packed, table
 from snapquarry.llm.components import components
 
-BITS, RADIUS, SEED = 64, 3, 42
+BITS, RADIUS = 64, 3
 BLOCK = 4 << 20  # comparisons made at once
 HOT = 1000  # a key is hot if it holds over one in so many rows
 
@@ -63,16 +62,10 @@ def fingerprints(words: int, width: int = 1):
 
     def f(texts: pa.Array) -> list:
         out = np.zeros((width, len(texts)), np.uint64)
-        digest = xxhash.xxh64_intdigest
         for i, t in enumerate(texts):
-            w = t.as_py().encode().lower().split()
-            if not w:
+            h = setjoin.shingle_hashes(t.as_py(), words)
+            if not len(h):
                 continue
-            joined, size = b" ".join(w), np.array([len(x) for x in w], np.int64)
-            end = np.cumsum(size + 1) - 1
-            start = end - size
-            k = min(words, len(w))
-            h = np.array([digest(joined[a:b], SEED) for a, b in zip(start[: len(w) - k + 1].tolist(), end[k - 1 :].tolist(), strict=True)], np.uint64)
             for c in range(width):
                 counts, x = np.zeros(BITS, np.int64), mixed(h, c)
                 for j in range(0, len(h), 1 << 15):
@@ -240,31 +233,25 @@ def linked(key: np.ndarray, fp: np.ndarray, radius: int, width: int) -> tuple[np
     return np.concatenate(a), np.concatenate(b)
 
 
-def compared(rows: DataFrame, radius: int, width: int, labelled: bool = False) -> DataFrame:
+def compared(rows: DataFrame, radius: int, width: int) -> DataFrame:
     """Links among rows (g, v, words of the fingerprint) that share (g, v): a0, .., b0, .. .
 
-    With ``labelled`` the rows end with a component found before, and the links are the
-    pairs (a0, b0) of different components, so what is known already isn't said again.
-
     Rows are dealt by key and sorted, and a task walks through its runs; a run that goes
     over the end of a batch is held, so what is in memory is a batch and one run.
     """
-    out = 1 if labelled else width
-    cols = [f"{side}{c}" for side in "ab" for c in range(out)]
+    cols = [f"{side}{c}" for side in "ab" for c in range(width)]
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(parts: list) -> pa.RecordBatch:
             a, b = linked(np.concatenate([k for k, _ in parts]), np.concatenate([x for _, x in parts]), radius, width)
-            if labelled:
-                a, b = a[:, width:], b[:, width:]
             both = np.concatenate([a, b], 1).view(np.int64)
             both = np.unique(both[(a != b).any(1)], axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, c])) for c in range(2 * out)], names=cols)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, c])) for c in range(2 * width)], names=cols)
 
         held: list = []
         for batch in batches:
             key = np.stack([np.asarray(batch.column(k), np.int64) for k in range(2)], 1)
-            fp = np.stack([np.asarray(batch.column(2 + c), np.int64) for c in range(width + labelled)], 1).view(np.uint64)
+            fp = np.stack([np.asarray(batch.column(2 + c), np.int64) for c in range(width)], 1).view(np.uint64)
             if held and (held[-1][0][-1] != key[0]).any():
                 yield told(held)
                 held = []
@@ -316,31 +303,20 @@ def with_value(rows: DataFrame, found: DataFrame, key: str, members: str) -> Dat
     return rows.join(F.broadcast(hot), key).unionByName(rest)
 
 
-def sampled_groups(n: int, bits: int, tables: int, seed: int = 5) -> np.ndarray:
-    """Bit places of each table: as many as tell n nodes apart, drawn anew for each table."""
-    size = min(28, max(8, math.ceil(math.log2(max(2, n)))))
-    rng = np.random.default_rng(seed)
-    return np.stack([np.sort(rng.permutation(bits)[:size]) for _ in range(tables)])
-
-
-def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, width: int = 4, tables: int = 100) -> DataFrame:
-    """(id, component_id) for texts whose shingle sets have a Jaccard similarity of about ``similarity`` or more.
+def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component_id): components of all links between texts whose sets of shingles have a Jaccard similarity of ``similarity`` or more.
 
-    For a similarity far below 1 the radius is too large for probing every value near by.
-    So the fingerprint gets ``width`` times 64 bits, the radius is the number of bits at
-    which texts of that similarity differ on average plus one deviation, and in place of
-    disjoint groups there are ``tables`` groups drawn at random, all with threshold 0. Each
-    holds as many bits as the number of nodes needs, so runs stay short at any size. A pair
-    at the similarity is missed by all tables in about one of twenty cases, above it in
-    far fewer; all that meet are compared by all bits, and components do the rest.
+    For a similarity far below 1 the radius of fingerprints is too large for probing every
+    value near by, so the sets themselves are joined (``setjoin``). The search is exact: no
+    pair is missed at any size, and none below the similarity is a link.
     """
-    marked, found = _classes(df, id_col, text_col, words, similarity, width, tables)
+    marked, found = _classes(df, id_col, text_col, words, similarity)
     return marked.join(found, "node").select(id_col, F.col("component_id.id").alias("component_id"))
 
 
-def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, width: int = 4, tables: int = 100) -> DataFrame:
+def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of df without near copies: of each class of ``similar`` the row with the smallest id stays (a null id only if there is no other, ties by text hash)."""
-    marked, found = _classes(df, id_col, text_col, words, similarity, width, tables)
+    marked, found = _classes(df, id_col, text_col, words, similarity)
     stay = found.select("component_id.id", "component_id.h").distinct()
     row = F.col("row")
     out = packed(df, text_col).join(stay, row[id_col].eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("h")), "left_semi")
@@ -349,40 +325,24 @@ def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.select("row.*")
 
 
-def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float, width: int, tables: int) -> tuple[DataFrame, DataFrame]:
-    cosine = 2 * similarity / (1 + similarity)
-    share, bits = math.acos(cosine) / math.pi, 64 * width
-    radius = round(bits * share + math.sqrt(bits * share * (1 - share)))
-    cols = [f"fp{c}" for c in range(width)]
+def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
     rows = df.select(id_col, text_col, F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
-    marked = materialise(with_fingerprint(rows, [id_col, "h"], text_col, words, width).withColumn("node", F.xxhash64(*cols)))
-    nodes = materialise(marked.groupBy("node", *cols).agg(F.min(F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "h")).alias("least")))
-    groups = sampled_groups(nodes.count(), bits, tables)
-
-    def keys(own: DataFrame, some: Sequence[int]) -> DataFrame:
-        names = ["g", "v", *own.columns]
-
-        def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for i in range(0, b.num_rows, 4096):
-                    part = b.slice(i, 4096)
-                    fp = np.stack([np.asarray(x, np.int64) for x in part.columns[:width]], 1)
-                    on = np.unpackbits(fp.astype("<i8").view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little").astype(np.int64)
-                    for g in some:
-                        v = on[:, groups[g]] @ (1 << np.arange(groups.shape[1]))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), g, np.int32)), pa.array(v), *part.columns], names=names)
-
-        return own.mapInArrow(f, "g int, v bigint, " + ", ".join(f"{c} bigint" for c in own.columns))
-
-    # A fifth of the tables finds most links; the others then only tell what joins two components found before.
-    first = range(0, tables, 5)
-    found = compared(keys(nodes.select(*cols), first), radius, width)
-    edges = found.select(*[F.xxhash64(*[f"{x}{c}" for c in range(width)]).alias(x) for x in "ab"]).distinct()
+    sets = materialise(setjoin.with_set(rows.withColumnsRenamed({id_col: "id"}), ["id", "h"], text_col, words))
+    marked = sets.select(F.col("id").alias(id_col), "h", "node")
+    nodes = materialise(marked.groupBy("node").agg(F.min(F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "h")).alias("least")))
+    met = materialise(setjoin.walked(setjoin.keyed(sets, similarity), setjoin.met, similarity))
+    edges = setjoin.verified(materialise(met.filter("a <> b").select("a", "b").distinct()), sets, similarity)
+    # Where many nodes meet, what is left are pairs of different components.
     roots = components(edges).withColumnRenamed("root", "label")
     nodes = materialise(nodes.join(roots, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    rest = [g for g in range(tables) if g not in first]
-    more = compared(keys(nodes.select(*cols, "label"), rest), radius, width, labelled=True).select(F.col("a0").alias("a"), F.col("b0").alias("b")).distinct()
-    return marked, classes(nodes, more, "node", "label")
+    large = met.filter("a = b").select("v", F.col("a").alias("node"))
+    own = sets.select("node", "size", *setjoin.BITMAP).join(large.select("node").distinct(), "node", "left_semi").distinct().join(nodes.select("node", "label"), "node")
+    left = setjoin.walked(large.join(own, "node").select("v", "node", "size", *setjoin.BITMAP, "label"), setjoin.apart, similarity)
+    more = setjoin.verified(materialise(left.select("a", "b").distinct()), sets, similarity)
+    named = nodes.select("node", "label")
+    for c in "ab":
+        more = more.join(named.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c)
+    return marked, classes(nodes, more.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "node", "label")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -320,3 +320,47 @@ def test_pipeline(spark, sf_dir, docs):
     assert not any(secrets.spans(t) for t in texts if "AKIA" in t or re.search("[0-9a-f]{24}", t))
     out = corpus_pipeline.run(spark, sf_dir)
     assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in now.collect()}
+
+
+def planted_pairs(seed, lengths=(40, 120, 300), copies=6):
+    """Texts in pairs whose five-word-shingle similarity goes from about 0.6 to 0.95, and their sets."""
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(3000)]
+    texts = []
+    for n in lengths:
+        for want in (0.6, 0.7, 0.75, 0.78, 0.8, 0.82, 0.85, 0.9, 0.95):
+            for _ in range(copies):
+                base = [rng.choice(words) for _ in range(n)]
+                cut = round((n - 4) * (1 - want) / (1 + want))  # this many other words at the end change as many shingles
+                texts += [" ".join(base), " ".join(base[: n - cut] + [rng.choice(words) for _ in range(cut)])]
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    return texts, sets
+
+
+def brute_components(sets, least=0.8):
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both * 10 >= least * 10 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {k: find(k) for k in range(len(sets))}
+
+
+def test_similar_finds_every_pair(spark):
+    """All pairs planted at 0.8 or more are linked, also those just above."""
+    texts, sets = planted_pairs(6)
+    want = brute_components(sets)
+    got = by_id(simhash.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")))
+    assert len(set(want.values())) < len(texts)
+    assert {k: x for k, x in want.items() if got[k].component_id > x} == {}
