@@ -364,3 +364,17 @@ def test_similar_finds_every_pair(spark):
     got = by_id(simhash.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")))
     assert len(set(want.values())) < len(texts)
     assert {k: x for k, x in want.items() if got[k].component_id > x} == {}
+
+
+def test_similar_links_nothing_below(spark):
+    """Pairs under 0.8 stay apart, and so do different texts that repeat one shared line."""
+    texts, sets = planted_pairs(7)
+    want = brute_components(sets)
+    got = by_id(simhash.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")))
+    assert {k: got[k].component_id for k in want if got[k].component_id < want[k]} == {}
+    rng = random.Random(8)
+    own = lambda: " ".join(rng.choice("abcdefghij") + str(rng.randrange(1000)) for _ in range(60))
+    line = " this line is in every text and says the same thing again and again" * 200
+    rows = [(k, own() + line) for k in range(6)]
+    kept = simhash.without_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(kept) == 6
