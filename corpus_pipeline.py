@@ -53,7 +53,8 @@ STAGES = [
     ("secrets", secret_stage),
     ("bpe", bpe_stage),
 ]
-#: SQL can express none of the stages but trivially; tests/llm holds run() against brute force.
+#: SQL can express none of the stages but trivially; tests/llm holds the near-duplicate stage against brute force
+#: and run() against its stages called one by one.
 ORACLE_SQL = None
 
 

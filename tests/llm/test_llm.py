@@ -378,3 +378,30 @@ def test_similar_links_nothing_below(spark):
     rows = [(k, own() + line) for k in range(6)]
     kept = simhash.without_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert len(kept) == 6
+
+
+def test_near_duplicate_stage_brute_force(spark, sf_dir):
+    """What stays equals brute force, also where more texts meet at a shingle than are compared at once, as chains and beside a broken chain."""
+    import corpus_pipeline
+
+    texts, _ = planted_pairs(9, lengths=(60,), copies=3)
+    rng = random.Random(10)
+    for gap in (4, 12):
+        long = [f"u{rng.randrange(10**6)}" for _ in range(500)]
+        at = 0
+        for k in range(60):
+            texts.append(" ".join(long[at : at + 100]))
+            at += gap if k % 20 == 19 else 4
+    base = [f"v{k}" for k in range(200)]
+    for k in range(40):  # one base, each text with its own words in the middle: some near, some far from each other
+        texts.append(" ".join(base[:90] + [f"x{k}_{i}" for i in range(k % 12)] + base[90:]))
+    rng.shuffle(texts)
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    want = brute_components(sets)
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, df, sf_dir).collect())
+    assert kept == sorted(set(want.values()))
