@@ -38,8 +38,8 @@ KINDS = ("assign", "access", "hex", "pair")
 
 # Weights of the parts of a target's name.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "privatekey": 1.0, "auth": 0.7, "authorization": 0.8, "bearer": 0.8, "key": 0.6, "access": 0.4, "client": 0.2, "private": 0.5, "signing": 0.5, "salt": 0.5}
-PAIR = re.compile(r"""(?P<q>["']?)(?<![A-Za-z0-9_.-])(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,80})(?P=q)[\x20\t]*(?P<op>:=|=>|=(?!=)|:(?![:/]))[\x20\t]*(?=["'A-Za-z0-9+/_])""", re.ASCII)
-TERM = re.compile(r"""(?P<quote>["'])(?P<text>[^"'\n]{0,4096})(?P=quote)|(?P<bare>[A-Za-z0-9+/_.=-]+)""", re.ASCII)
+PAIR = re.compile(r"""(?P<q>["']?)(?<![A-Za-z0-9_.-])(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)(?P=q)[\x20\t]*(?P<op>:=|=>|=(?!=)|:(?![:/]))[\x20\t]*(?=["'A-Za-z0-9+/_])""", re.ASCII)
+TERM = re.compile(r"""(?P<quote>["'])(?P<text>[^"'\n]*+)(?P=quote)|(?P<bare>[A-Za-z0-9+/_.=-]+)""", re.ASCII)
 PLUS = re.compile(r"[\x20\t]*\+[\x20\t]*(?=[\"'A-Za-z_])")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 THRESHOLD, LEAST = 0.5, 6
@@ -53,40 +53,84 @@ def sensitivity(name: str) -> float:
     return min(1.0, found[0] + 0.5 * found[1]) if len(found) > 1 else (found[0] if found else 0.0)
 
 
-def randomness(literal: str) -> float:
+def randomness(literal: str | Counter[str]) -> float:
     """0 to 1: entropy per character, length and mix of character classes."""
-    n = len(literal)
+    count = Counter(literal)
+    n = count.total()
     if n < LEAST:
         return 0.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    classes = bool(re.search("[a-z]", literal)) + bool(re.search("[A-Z]", literal)) + bool(re.search("[0-9]", literal)) + bool(re.search("[^A-Za-z0-9]", literal))
-    return min(1.0, entropy / 3.2) * min(1.0, 0.4 + n / 20) * (0.45, 0.85, 1.0, 1.0)[max(0, classes - 1)]
+    entropy = -sum(c / n * math.log2(c / n) for c in count.values())
+    have = "".join(count)
+    classes = bool(re.search("[a-z]", have)) + bool(re.search("[A-Z]", have)) + bool(re.search("[0-9]", have)) + bool(re.search("[^A-Za-z0-9]", have))
+    return min(1.0, entropy / 3.2) * min(1.0, 0.4 + min(n, 20) / 20) * (0.45, 0.85, 1.0, 1.0)[max(0, classes - 1)]
+
+
+class Value:
+    """What a name stands for: literals (text, start, end) and earlier values, joined.
+
+    Values refer to each other and aren't copied out, so constants that are doubled over
+    and over stay small; of the joined text only its characters' counts are needed.
+    """
+
+    __slots__ = ("count", "found", "parts")
+
+    def __init__(self, parts: list) -> None:
+        self.parts, self.count, self.found = parts, None, False
+
+    def characters(self) -> Counter[str]:
+        todo = [self]
+        while todo:
+            now = todo[-1]
+            open_ = [] if now.count is not None else [p for p in now.parts if isinstance(p, Value) and p.count is None]
+            if open_:
+                todo += open_
+                continue
+            todo.pop()
+            if now.count is None:
+                now.count = Counter()
+                for p in now.parts:
+                    now.count.update(p.count if isinstance(p, Value) else p[0])
+        return self.count
+
+    def places(self) -> list[tuple[int, int]]:
+        """Of all literals that aren't empty and weren't given before."""
+        out, todo = [], [self]
+        while todo:
+            now = todo.pop()
+            if now.found:
+                continue
+            now.found = True
+            for p in now.parts:
+                if isinstance(p, Value):
+                    todo.append(p)
+                elif p[0]:
+                    out.append(p[1:])
+        return out
 
 
 def pairs(text: str) -> list[tuple[int, int]]:
     """Places of the literals that score high enough for their target's name."""
     found: set[tuple[int, int]] = set()
-    constants: dict[str, list[tuple[str, int, int]]] = {}
+    constants: dict[str, Value] = {}
     for m in PAIR.finditer(text):
-        at, value = m.end(), []
+        at, parts = m.end(), []
         while term := TERM.match(text, at):
             if term["quote"]:
-                value.append((term["text"], *term.span("text")))
+                parts.append((term["text"], *term.span("text")))
             elif term["bare"] in constants:
-                value += constants[term["bare"]]
-            elif not value or term["bare"][0].isdigit():
-                value.append((term["bare"], *term.span("bare")))
+                parts.append(constants[term["bare"]])
+            elif not parts or term["bare"][0].isdigit():
+                parts.append((term["bare"], *term.span("bare")))
             plus = PLUS.match(text, term.end())
             if not plus:
                 break
             at = plus.end()
-        if not value:
+        if not parts:
             continue
-        value = value[:64]
-        constants[m["name"]] = value
+        value = constants[m["name"]] = Value(parts)
         weight = sensitivity(m["name"])
-        if weight and weight * randomness("".join(x for x, _, _ in value)) >= THRESHOLD:
-            found.update((s, e) for x, s, e in value if x)
+        if weight and weight * randomness(value.characters()) >= THRESHOLD:
+            found.update(value.places())
     return sorted(found)
 
 

@@ -405,3 +405,23 @@ def test_near_duplicate_stage_brute_force(spark, sf_dir):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, df, sf_dir).collect())
     assert kept == sorted(set(want.values()))
+
+
+def test_secrets_of_any_length():
+    """Long literals, long names and long or doubled joins give their spans, in time that grows with the text."""
+    rng = random.Random(11)
+    key = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEF0123456789+/") for _ in range(9000))
+    text = f'signing_key = "{key}"\n'
+    assert (text.index(key), 3, text.index(key) + len(key)) in secrets.spans(text)
+    name = "a" * 90 + "_password"
+    text = f'{name} = "Zx9 qLm72Kd"\n'
+    assert (len(name) + 4, len(text) - 2) in secrets.pairs(text)
+    parts = [f"p{k}Qx{k * 7919 % 1000}" for k in range(100)]
+    text = "auth_token = " + " + ".join(f'"{x}"' for x in parts)
+    assert len(secrets.pairs(text)) == 100
+    lines = [f'base{k} = base{k - 1} + "{x}"' if k else f'base0 = "{x}"' for k, x in enumerate(parts)]
+    text = "\n".join([*lines, "auth_token = base99"])
+    assert len(secrets.pairs(text)) == 100 and not any(x in secrets.redacted(text, secrets.spans(text)) for x in parts)
+    text = 'd0 = "Zx9qLm72Kd"\n' + "".join(f"d{k + 1} = d{k} + d{k}\n" for k in range(3000)) + "password = d3000"
+    assert secrets.pairs(text) == [(6, 16)]
+    assert secrets.pairs("password = '" * 20_000 + "a=" * 10) is not None
