@@ -37,6 +37,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+HOT = 1000  # a key is hot if it holds over one in so many rows
+
+
+def with_value(rows: DataFrame, found: DataFrame, key: str, members: str, total: int | None = None) -> DataFrame:
+    """``rows`` joined with ``found``, which has one row a key and the key's number of rows in ``members``.
+
+    Keys that hold over 1 / ``HOT`` of all rows, of which there are fewer than ``HOT``, are
+    broadcast and their rows stay where they are; the other rows are shuffled. So no task
+    gets more than a ``HOT``-th of the rows for one key, however large a group is.
+    """
+    hot = found.filter(F.col(members) > F.lit((rows.count() if total is None else total) / HOT)).drop(members)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(found.drop(members), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def packed(df: DataFrame, text_col: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
     """The columns ``keep`` (by default all) as one struct ``row``, beside the ``text``: a name in the row can't clash with what an operator adds. ``select("row.*")`` gives them back."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)]).alias("row"), F.col(f"`{text_col}`").alias("text"))

@@ -11,12 +11,15 @@ of bounded size. What the sample misses costs time, never a pair.
 
 Candidates pass two bounds that hold for every pair at t: the sizes', and that of parity
 bitmaps (bit h mod 256 flips with every member h), whose distance is at most the number of
-members that only one set has. All that pass are verified by their whole sets.
+members that only one set has. All that pass are verified by their whole texts.
 
 Where more than ``SMALL`` nodes meet, they are paired with a few of them first; when the
 links so verified are joined to components, all remaining pairs of different components
 are candidates too. So a group of thousands of near copies isn't compared pair by pair,
 and still no link between components is lost.
+
+A text is hashed once for its signature, which holds the members of the prefix only, and
+once for each pair that is verified; whole sets are neither stored nor shuffled.
 """
 
 from __future__ import annotations
@@ -25,15 +28,16 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapquarry.llm.common import map_text
+from snapquarry.llm.common import map_text, materialise
 
 SEED, WORDS64 = 42, 4
 SMALL, HUBS = 16, 4
-SAMPLE, SEEN = 4_000_000, 3  # shingles counted for the order, and how often a frequent one is met in them at least
+SAMPLE, SEEN, LETTERS = 4_000_000, 3, 6  # shingles counted for the order, how often a frequent one is met in them at least, bytes a word
 BLOCK = 1 << 20  # comparisons made, and shingles ordered, at once
 MARKS = 1 << 25  # bits of the bitmap that tells which nodes have candidates
 EPS = 1e-9
@@ -52,29 +56,30 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     return np.array([digest(joined[a:b], SEED) for a, b in zip(start[: len(w) - k + 1].tolist(), end[k - 1 :].tolist(), strict=True)], np.uint64)
 
 
-def with_set(df: DataFrame, keep: Sequence[str], text_col: str, words: int) -> DataFrame:
-    """``keep``, the node (hash of the whole set), the set's size, parity bitmap and sorted members."""
+def hash_bits(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
 
-    def f(texts: pa.Array) -> list:
-        found = [np.unique(shingle_hashes(t.as_py(), words)) for t in texts]
-        node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in found], np.uint64).view(np.int64)
-        size = np.array([len(s) for s in found], np.int64)
-        odd = np.zeros((len(found), 64 * WORDS64), np.uint8)
-        for i, s in enumerate(found):
-            odd[i] = np.bincount((s % np.uint64(64 * WORDS64)).astype(np.int64), minlength=64 * WORDS64) & 1
-        bits = np.packbits(odd, axis=1, bitorder="little").view(np.int64)
-        flat = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
-        members = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(flat))
-        return [pa.array(node), pa.array(size), *[pa.array(np.ascontiguousarray(bits[:, c])) for c in range(WORDS64)], members]
 
-    return map_text(df, lambda: f, keep, "node bigint, size bigint, " + ", ".join(f"{c} bigint" for c in BITMAP) + ", members array<bigint>", text_col)
+def majority(hashes: np.ndarray) -> int:
+    """SimHash: a bit is 1 if over half of the hashes have it."""
+    counts = np.zeros(64, np.int64)
+    for j in range(0, len(hashes), 1 << 15):
+        counts += hash_bits(hashes[j : j + (1 << 15)]).sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+
 
+def frequent(df: DataFrame, text_col: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that a sample of the texts (chosen by hash, about ``SAMPLE`` shingles) holds ``SEEN`` times or more, and their counts there."""
+    texts = df.select(F.coalesce(text_col, F.lit("")).alias("text"))
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, SAMPLE * LETTERS / max(1, total)))))
+
+    def f(parts: pa.Array) -> list:
+        found = [np.unique(shingle_hashes(t.as_py(), words)) for t in parts]
+        flat = np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64)
+        return [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in found])].astype(np.int32)), pa.array(flat))]
 
-def frequent(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that a sample of the nodes holds ``SEEN`` times or more, and their counts there."""
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    some = rows.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < F.lit((1 << 30) * min(1.0, SAMPLE / max(1, total))))
-    got = some.select("node", "members").dropDuplicates(["node"]).select(F.explode("members").alias("v")).groupBy("v").count().filter(F.col("count") >= SEEN).toArrow()
+    got = map_text(some, lambda: f, [], "members array<bigint>").select(F.explode("members").alias("v")).groupBy("v").count().filter(F.col("count") >= SEEN).toArrow()
     v, n = np.asarray(got["v"], np.int64), np.asarray(got["count"], np.int64)
     order = np.argsort(v)
     return v[order], n[order]
@@ -84,13 +89,41 @@ def prefix(size: np.ndarray, similarity: float) -> np.ndarray:
     return size - np.ceil(similarity * size - EPS).astype(np.int64) + 1
 
 
-def keyed(rows: DataFrame, similarity: float) -> DataFrame:
+def signatures(df: DataFrame, keep: Sequence[str], text_col: str, words: int, similarity: float) -> DataFrame:
+    """``keep``, the node (hash of the whole set), the set's size, its SimHash ``fp``, parity bitmap and the members of its prefix."""
+    shared = df.sparkSession.sparkContext.broadcast(frequent(df, text_col, words))
+
+    def first(members: np.ndarray) -> np.ndarray:
+        """The set's prefix in the order by count, then value."""
+        often, count = shared.value
+        v, n = members.view(np.int64), np.zeros(len(members), np.int64)
+        if len(often):
+            at = np.minimum(np.searchsorted(often, v), len(often) - 1)
+            n = np.where(often[at] == v, count[at], 0)
+        return v[np.lexsort((v, n))[: int(prefix(np.array(len(v)), similarity))]] if len(v) else v
+
+    def f(texts: pa.Array) -> list:
+        found = [np.unique(shingle_hashes(t.as_py(), words)) for t in texts]
+        node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in found], np.uint64).view(np.int64)
+        size = np.array([len(s) for s in found], np.int64)
+        odd = np.zeros((len(found), 64 * WORDS64), np.uint8)
+        for i, s in enumerate(found):
+            odd[i] = np.bincount((s % np.uint64(64 * WORDS64)).astype(np.int64), minlength=64 * WORDS64) & 1
+        bits = np.packbits(odd, axis=1, bitorder="little").view(np.int64)
+        keys = [first(s) for s in found]
+        flat = np.concatenate([np.zeros(0, np.int64), *keys])
+        listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)), pa.array(flat))
+        fp = np.array([majority(s) for s in found], np.uint64).view(np.int64)
+        return [pa.array(node), pa.array(size), pa.array(fp), *[pa.array(np.ascontiguousarray(bits[:, c])) for c in range(WORDS64)], listed]
+
+    return map_text(df, lambda: f, keep, "node bigint, size bigint, fp bigint, " + ", ".join(f"{c} bigint" for c in BITMAP) + ", keys array<bigint>", text_col)
+
+
+def keyed(rows: DataFrame) -> DataFrame:
     """(v, node, size, bitmap): the shingles under which each node is looked up. A task gives each node once."""
-    shared = rows.sparkSession.sparkContext.broadcast(frequent(rows))
     names = ["v", "node", "size", *BITMAP]
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, count = shared.value
         seen: set[int] = set()
         for b in batches:
             new = []
@@ -99,24 +132,17 @@ def keyed(rows: DataFrame, similarity: float) -> DataFrame:
                     seen.add(x)
                     new.append(i)
             b = b.take(pa.array(new, pa.int64()))
-            end = np.cumsum(np.asarray(b.column(1), np.int64))
+            end = np.cumsum(np.asarray(pc.list_value_length(b.column(2 + WORDS64)), np.int64))
             i = 0
             while i < b.num_rows:
                 j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + BLOCK, "right")))
                 part = b.slice(i, j - i)
                 i = j
-                size, flat = np.asarray(part.column(1), np.int64), np.asarray(part.column(2 + WORDS64).flatten(), np.int64)
-                row, n = np.repeat(np.arange(len(size)), size), np.zeros(len(flat), np.int64)
-                if len(often):
-                    at = np.minimum(np.searchsorted(often, flat), len(often) - 1)
-                    n = np.where(often[at] == flat, count[at], 0)
-                order = np.lexsort((flat, n, row))
-                place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-                keep = place < prefix(size, similarity)[row]
-                row, flat = row[keep], flat[order][keep]
-                yield pa.RecordBatch.from_arrays([pa.array(flat), *[part.column(c).take(pa.array(row)) for c in range(2 + WORDS64)]], names=names)
+                keys = part.column(2 + WORDS64)
+                row = pc.list_parent_indices(keys)
+                yield pa.RecordBatch.from_arrays([keys.flatten(), *[part.column(c).take(row) for c in range(2 + WORDS64)]], names=names)
 
-    return rows.select("node", "size", *BITMAP, "members").mapInArrow(f, ", ".join(f"{c} bigint" for c in names))
+    return rows.select("node", "size", *BITMAP, "keys").mapInArrow(f, ", ".join(f"{c} bigint" for c in names))
 
 
 def near(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
@@ -204,25 +230,50 @@ def walked(rows: DataFrame, f: Callable, similarity: float) -> DataFrame:
     return rows.select(*cols).repartition("v").sortWithinPartitions("v", "node").mapInArrow(run, "v bigint, a bigint, b bigint")
 
 
-def marked_sets(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """(node, members) of ``nodes`` and of a few more, without a shuffle: a bitmap of bounded size goes to the tasks."""
-    bits = nodes.select(F.pmod("node", F.lit(MARKS)).alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(p % 64)))").alias("m")).toArrow()
+def marked_texts(needed: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+    """(h, text) of the texts whose hash ``needed`` (h) holds, and of a few more, once each. Only they are shuffled: a bitmap of bounded size goes to the tasks."""
+    bits = needed.select(F.pmod("h", F.lit(MARKS)).alias("p")).groupBy(F.expr("p div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(p % 64)))").alias("m")).toArrow()
     marks = np.zeros(MARKS // 64, np.uint64)
     marks[np.asarray(bits["w"], np.int64)] = np.asarray(bits["m"], np.int64).view(np.uint64)
-    shared = rows.sparkSession.sparkContext.broadcast(marks)
+    shared = df.sparkSession.sparkContext.broadcast(marks)
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            p = np.asarray(b.column(0), np.int64).view(np.uint64) % np.uint64(MARKS)
-            yield b.filter(pa.array((shared.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)))
+            h = np.asarray(b.column(0), np.int64)
+            p = h.view(np.uint64) % np.uint64(MARKS)
+            at = []
+            for i in np.flatnonzero(shared.value[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)).tolist():
+                if h[i] not in seen:
+                    seen.add(h[i])
+                    at.append(i)
+            yield b.take(pa.array(at, pa.int64()))
+
+    texts = df.select(text_hash(F.col(text_col)).alias("h"), F.coalesce(text_col, F.lit("")).alias("text"))
+    return texts.mapInArrow(f, "h bigint, text string").dropDuplicates(["h"])
 
-    return rows.select("node", "members").mapInArrow(f, "node bigint, members array<bigint>")
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
-def verified(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the similarity."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    sets = marked_sets(need, rows).dropDuplicates(["node"])
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("members").alias(f"m{c}"))
-    both = F.size(F.array_intersect("ma", "mb"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(both >= F.lit(similarity) * (F.size("ma") + F.size("mb") - both) - F.lit(EPS)).select("a", "b")
+
+def verified(pairs: DataFrame, reps: DataFrame, df: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets reach the similarity. reps: (node, h) of a text of each node."""
+    rep = lambda c: reps.select(F.col("node").alias(c), F.col("h").alias(f"h{c}"))
+    named = materialise(pairs.join(rep("a"), "a").join(rep("b"), "b"))
+    texts = marked_texts(named.select(F.explode(F.array("ha", "hb")).alias("h")), df, text_col)
+    side = lambda c: texts.select(F.col("h").alias(f"h{c}"), F.col("text").alias(f"t{c}"))
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, known = None, np.zeros(0, np.uint64)
+        for b in batches:
+            ok = np.zeros(b.num_rows, bool)
+            for i, h in enumerate(b.column(4).to_pylist()):
+                if h != last:
+                    last, known = h, np.unique(shingle_hashes(b.column(3)[i].as_py(), words))
+                own = np.unique(shingle_hashes(b.column(2)[i].as_py(), words))
+                both = len(np.intersect1d(own, known, assume_unique=True))
+                ok[i] = both >= similarity * (len(own) + len(known) - both) - EPS
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), b.column(1).filter(pa.array(ok))], names=["a", "b"])
+
+    return named.join(side("a"), "ha").join(side("b"), "hb").select("a", "b", "ta", "tb", "hb").mapInArrow(f, "a bigint, b bigint")

@@ -14,9 +14,12 @@ fingerprints are one node. To find all pairs of nodes at ``RADIUS`` bits or fewe
 3. Probe: every node gives its own value of each group with t_i >= 0 and all values at t_i
    bits or fewer. Nodes that meet at a value are compared by all 64 bits.
 
-The comparison of one value's nodes takes the nodes in blocks and gives a spanning forest
-of their links, never all pairs, so a group of thousands of near copies gives thousands of
-rows. No link is lost: components of the forests are those of all links.
+Values that more than ``RUN`` rows share are split: two fingerprints that share a value
+and are ``RADIUS`` apart also agree in one of ``RADIUS`` + 1 parts of the other bits, and
+that part joins the key. The comparison of one key's nodes takes the nodes in blocks and
+gives a spanning forest of their links, never all pairs, so a group of thousands of near
+copies gives thousands of rows. No link is lost: components of the forests are those of
+all links.
 
 Defined results: null and empty texts and texts without words have fingerprint zero and
 link like any other; texts with fewer than three words hash their whole word sequence;
@@ -27,6 +30,7 @@ left out unless kept.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -35,51 +39,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapquarry.llm import setjoin
-from snapquarry.llm.common import map_text, materialise, packed, table
+from snapquarry.llm.common import map_text, materialise, packed, table, with_value
 from snapquarry.llm.components import components
 
 BITS, RADIUS = 64, 3
 BLOCK = 4 << 20  # comparisons made at once
-HOT = 1000  # a key is hot if it holds over one in so many rows
+RUN = 4096  # rows of a key that are compared in one task; longer runs are split
 
 
-def hash_bits(hashes: np.ndarray) -> np.ndarray:
-    return np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-
-
-def mixed(h: np.ndarray, k: int) -> np.ndarray:
-    """The k-th further 64 bits of a hash (k = 0: itself)."""
-    if not k:
-        return h
-    x = h + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprints(words: int, width: int = 1):
-    """Arrow function: text -> ``width`` times 64 bits of fingerprint, as signed integers."""
+def fingerprints(words: int):
+    """Arrow function: text -> 64 bits of fingerprint, as a signed integer."""
 
     def f(texts: pa.Array) -> list:
-        out = np.zeros((width, len(texts)), np.uint64)
-        for i, t in enumerate(texts):
-            h = setjoin.shingle_hashes(t.as_py(), words)
-            if not len(h):
-                continue
-            for c in range(width):
-                counts, x = np.zeros(BITS, np.int64), mixed(h, c)
-                for j in range(0, len(h), 1 << 15):
-                    counts += hash_bits(x[j : j + (1 << 15)]).sum(0, dtype=np.int64)
-                out[c, i] = np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0]
-        return list(out.view(np.int64))
+        return [np.array([setjoin.majority(setjoin.shingle_hashes(t.as_py(), words)) for t in texts], np.uint64).view(np.int64)]
 
     return f
 
 
-def with_fingerprint(df: DataFrame, keep: Sequence[str], text_col: str = "text", words: int = 3, width: int = 1) -> DataFrame:
-    """``keep`` and the fingerprint: column ``fp``, or ``fp0`` .. for more than 64 bits."""
-    names = ["fp"] if width == 1 else [f"fp{c}" for c in range(width)]
-    return map_text(df, lambda: fingerprints(words, width), keep, ", ".join(f"{c} bigint" for c in names), text_col)
+def with_fingerprint(df: DataFrame, keep: Sequence[str], text_col: str = "text", words: int = 3) -> DataFrame:
+    """``keep`` and the fingerprint ``fp``."""
+    return map_text(df, lambda: fingerprints(words), keep, "fp bigint", text_col)
 
 
 def bit_counts(nodes: DataFrame) -> tuple[np.ndarray, int]:
@@ -88,7 +67,7 @@ def bit_counts(nodes: DataFrame) -> tuple[np.ndarray, int]:
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros((BITS, BITS), np.int64), 0
         for b in batches:
-            bits = hash_bits(np.asarray(b.column(0), np.int64).view(np.uint64)).astype(np.float32)
+            bits = setjoin.hash_bits(np.asarray(b.column(0), np.int64).view(np.uint64)).astype(np.float32)
             total += (bits.T @ bits).astype(np.int64)
             n += len(bits)
         if n:
@@ -187,12 +166,8 @@ def plan(nodes: DataFrame, radius: int = RADIUS) -> tuple[list[list[int]], list[
     return best[1], best[2]
 
 
-def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64) if a.shape[-1] > 1 else np.bitwise_count(a ^ b)[..., 0]
-
-
-def forest(fp: np.ndarray, radius: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stars that span the components of the links among sorted, distinct fingerprints (rows of ``width`` 64-bit words, then what goes with them).
+def forest(fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stars that span the components of the links among sorted, distinct fingerprints.
 
     Search from each unvisited node, in blocks of bounded size: what lies within ``radius``
     of the front joins it and leaves the rest, so that each node costs one pass over those
@@ -208,14 +183,14 @@ def forest(fp: np.ndarray, radius: int, width: int) -> tuple[np.ndarray, np.ndar
             block = max(1, BLOCK // len(rest))
             for i in range(0, len(front), block):
                 free = np.flatnonzero(~got)
-                got[free] = (distance(front[i : i + block, None, :width], rest[free, :width]) <= radius).any(0)
-            a.append(np.repeat(seed, got.sum(), 0))
+                got[free] = (np.bitwise_count(front[i : i + block, None] ^ rest[free]) <= radius).any(0)
+            a.append(np.repeat(seed, got.sum()))
             b.append(rest[got])
             front, rest = rest[got], rest[~got]
     return np.concatenate(a), np.concatenate(b)
 
 
-def linked(key: np.ndarray, fp: np.ndarray, radius: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+def linked(key: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links among rows sorted by key: pairs for small runs all together, a forest for each larger run."""
     start = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1]
     n = np.diff(np.r_[start, len(key)])
@@ -223,35 +198,36 @@ def linked(key: np.ndarray, fp: np.ndarray, radius: int, width: int) -> tuple[np
     run, last = np.repeat(n, n), np.repeat(start + n, n)
     for d in range(1, 4):
         at = np.flatnonzero((run <= 4) & (np.arange(len(key)) + d < last))
-        near = at[distance(fp[at, :width], fp[at + d, :width]) <= radius]
+        near = at[np.bitwise_count(fp[at] ^ fp[at + d]) <= radius]
         a.append(fp[near])
         b.append(fp[near + d])
     for s, m in zip(start[n > 4].tolist(), n[n > 4].tolist(), strict=True):
-        x, y = forest(np.unique(fp[s : s + m], axis=0), radius, width)
+        x, y = forest(np.unique(fp[s : s + m]), radius)
         a.append(x)
         b.append(y)
     return np.concatenate(a), np.concatenate(b)
 
 
-def compared(rows: DataFrame, radius: int, width: int) -> DataFrame:
-    """Links among rows (g, v, words of the fingerprint) that share (g, v): a0, .., b0, .. .
+def compared(rows: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) among rows (g, v, fp) that share (g, v).
 
     Rows are dealt by key and sorted, and a task walks through its runs; a run that goes
     over the end of a batch is held, so what is in memory is a batch and one run.
     """
-    cols = [f"{side}{c}" for side in "ab" for c in range(width)]
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(parts: list) -> pa.RecordBatch:
-            a, b = linked(np.concatenate([k for k, _ in parts]), np.concatenate([x for _, x in parts]), radius, width)
-            both = np.concatenate([a, b], 1).view(np.int64)
-            both = np.unique(both[(a != b).any(1)], axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, c])) for c in range(2 * width)], names=cols)
+            a, b = linked(np.concatenate([k for k, _ in parts]), np.concatenate([x for _, x in parts]), radius)
+            both = np.stack([a, b], 1).view(np.int64)
+            both = np.unique(both[a != b], axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, c])) for c in range(2)], names=["a", "b"])
 
         held: list = []
         for batch in batches:
+            if not batch.num_rows:
+                continue
             key = np.stack([np.asarray(batch.column(k), np.int64) for k in range(2)], 1)
-            fp = np.stack([np.asarray(batch.column(2 + c), np.int64) for c in range(width)], 1).view(np.uint64)
+            fp = np.asarray(batch.column(2), np.int64).view(np.uint64)
             if held and (held[-1][0][-1] != key[0]).any():
                 yield told(held)
                 held = []
@@ -264,54 +240,74 @@ def compared(rows: DataFrame, radius: int, width: int) -> DataFrame:
         if held:
             yield told(held)
 
-    return rows.repartition("g", "v").sortWithinPartitions("g", "v").mapInArrow(f, ", ".join(f"{c} bigint" for c in cols))
+    return rows.repartition("g", "v").sortWithinPartitions("g", "v").mapInArrow(f, "a bigint, b bigint")
+
+
+def refined(rows: DataFrame, used: dict[int, list[int]], radius: int) -> tuple[DataFrame, dict[int, list[int]]]:
+    """Rows (g, v, fp) under longer keys, and the bits behind each new g.
+
+    Two fingerprints that share a key and lie within ``radius`` also agree in one of
+    ``radius`` + 1 parts of the bits that the key doesn't show; the part's value joins the key.
+    """
+    plan_, new = {}, {}
+    for g, bits in sorted(used.items()):
+        rest = [b for b in range(BITS) if b not in bits]
+        parts = [rest[k :: radius + 1] for k in range(radius + 1)]
+        plan_[g] = [(len(new) + k, part) for k, part in enumerate(parts)]
+        new |= {len(new) + k: sorted([*bits, *part]) for k, part in enumerate(parts)}
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            g, v, fp = np.asarray(b.column(0), np.int64), np.asarray(b.column(1), np.int64).view(np.uint64), np.asarray(b.column(2), np.int64)
+            for code in np.unique(g).tolist():
+                at = g == code
+                for child, part in plan_[code]:
+                    longer = v[at] << np.uint64(len(part)) | value(fp[at].view(np.uint64), part)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(int(at.sum()), child, np.int32)), pa.array(longer.view(np.int64)), pa.array(fp[at])], names=["g", "v", "fp"])
 
+    return rows.mapInArrow(f, "g int, v bigint, fp bigint"), new
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): links between nodes (``fp``, distinct) that hold each component together."""
+
+def links(nodes: DataFrame, radius: int = RADIUS, longest: int = RUN) -> DataFrame:
+    """(a, b): links between nodes (``fp``, distinct) that hold each component together. Keys of over ``longest`` rows are split by further bits, as often as bits are left."""
     groups, thresholds = plan(nodes, radius)
-    return compared(keyed(nodes, groups, thresholds), radius, 1).select(F.col("a0").alias("a"), F.col("b0").alias("b")).distinct()
+    rows, used, out = keyed(nodes, groups, thresholds), dict(enumerate(groups)), []
+    while min(BITS - len(b) for b in used.values()) > radius:
+        large = materialise(rows.groupBy("g", "v").count().filter(F.col("count") > longest).select("g", "v"))
+        if not large.limit(1).count():
+            break
+        out.append(compared(rows.join(large, ["g", "v"], "left_anti"), radius))
+        rows, used = refined(rows.join(large, ["g", "v"], "left_semi").select("g", "v", "fp"), used, radius)
+    return reduce(DataFrame.union, [*out, compared(rows, radius)]).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = RADIUS) -> DataFrame:
     """(id, fp, component_id): the smallest id of each row's component; a null id counts only where there is no other."""
     marked = materialise(with_fingerprint(df, [id_col], text_col, words))
-    nodes = materialise(marked.groupBy("fp").agg(F.min(id_col).alias("least")))
-    return marked.join(classes(nodes, links(nodes, radius), "fp"), "fp").select(id_col, "fp", "component_id")
+    nodes = materialise(marked.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("copies")))
+    found = materialise(classes(nodes.drop("copies"), links(nodes, radius), "fp").join(nodes.select("fp", "copies"), "fp"))
+    return with_value(marked, found, "fp", "copies").select(id_col, "fp", "component_id")
 
 
-def classes(nodes: DataFrame, edges: DataFrame, key: str, label: str | None = None) -> DataFrame:
-    """(key, component_id): the least ``least`` of all nodes reachable over ``edges``, which join labels (by default keys)."""
-    label = label or key
-    whole = label == key
-    own = nodes.select(label, "least") if whole else nodes.groupBy(label).agg(F.min("least").alias("least"), F.count("*").alias("members"))
-    named = materialise(own.join(components(edges).withColumnRenamed("node", label), label, "left").withColumn("root", F.coalesce("root", label)))
+def classes(nodes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, component_id): the least ``least`` of all nodes reachable over ``edges`` (a, b)."""
+    named = materialise(nodes.join(components(edges).withColumnRenamed("node", key), key, "left").withColumn("root", F.coalesce("root", key)))
     least = materialise(named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")))
-    found = with_value(named.drop("least"), least, "root", "n").drop("root")
-    return found if whole else with_value(nodes.select(key, label), materialise(found), label, "members").select(key, "component_id")
-
-
-def with_value(rows: DataFrame, found: DataFrame, key: str, members: str) -> DataFrame:
-    """``rows`` joined with ``found``, which has one row a key and the key's number of rows in ``members``.
-
-    Keys that hold over 1 / ``HOT`` of all rows, of which there are fewer than ``HOT``, are
-    broadcast and their rows stay where they are; the other rows are shuffled. So no task
-    gets more than a ``HOT``-th of the rows for one key, however large a group is.
-    """
-    hot = found.filter(F.col(members) > F.lit(rows.count() / HOT)).drop(members)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(found.drop(members), key)
-    return rows.join(F.broadcast(hot), key).unionByName(rest)
+    return with_value(named.drop("least"), least, "root", "n").drop("root")
 
 
 def similar(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, component_id): components of all links between texts whose sets of shingles have a Jaccard similarity of ``similarity`` or more.
 
-    For a similarity far below 1 the radius of fingerprints is too large for probing every
-    value near by, so the sets themselves are joined (``setjoin``). The search is exact: no
-    pair is missed at any size, and none below the similarity is a link.
+    SimHash links (fingerprints of the sets within ``RADIUS`` bits) come first and are
+    verified by the whole sets; they join most near copies. At a similarity well below 1
+    fingerprints lie too far apart for any search of bits that grows less than with the
+    square of the nodes, so the exact join of the sets (``setjoin``) looks for what links
+    the components found so far. No pair is missed at any size, and none below the
+    similarity is a link.
     """
     marked, found = _classes(df, id_col, text_col, words, similarity)
-    return marked.join(found, "node").select(id_col, F.col("component_id.id").alias("component_id"))
+    return with_value(marked, found, "node", "copies").select(id_col, F.col("component_id.id").alias("component_id"))
 
 
 def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -319,30 +315,60 @@ def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked, found = _classes(df, id_col, text_col, words, similarity)
     stay = found.select("component_id.id", "component_id.h").distinct()
     row = F.col("row")
-    out = packed(df, text_col).join(stay, row[id_col].eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("h")), "left_semi")
+    out = packed(df, text_col).join(stay, row[id_col].eqNullSafe(F.col("id")) & (setjoin.text_hash(F.col("text")) == F.col("h")), "left_semi")
     if marked.groupBy(id_col, "h").count().filter("count > 1").limit(1).count():
         out = out.select("row", row[id_col].alias("id"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["id", "text"])
     return out.select("row.*")
 
 
 def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    rows = df.select(id_col, text_col, F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("h"))
-    sets = materialise(setjoin.with_set(rows.withColumnsRenamed({id_col: "id"}), ["id", "h"], text_col, words))
-    marked = sets.select(F.col("id").alias(id_col), "h", "node")
-    nodes = materialise(marked.groupBy("node").agg(F.min(F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("id"), "h")).alias("least")))
-    met = materialise(setjoin.walked(setjoin.keyed(sets, similarity), setjoin.met, similarity))
-    edges = setjoin.verified(materialise(met.filter("a <> b").select("a", "b").distinct()), sets, similarity)
+    """(id, h, node) of every row, and (node, component_id, copies)."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), setjoin.text_hash(F.col(text_col)).alias("h"))
+    signed = materialise(setjoin.signatures(rows, ["id", "h"], "text", words, similarity))
+    least = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "h")).alias("least")
+    nodes = materialise(signed.groupBy("node").agg(least, F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("size", "fp", *setjoin.BITMAP)]))
+    reps = nodes.select("node", F.col("least.h").alias("h"))
+
+    def real(pairs: DataFrame) -> DataFrame:
+        return setjoin.verified(pairs, reps, rows, "text", words, similarity)
+
+    hubs = materialise(nodes.groupBy("fp").agg(F.min("node").alias("hub")))
+    hub = lambda c, name: hubs.select(F.col("fp").alias(c), F.col("hub").alias(name))
+    same = nodes.join(hubs, "fp").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    near = links(hubs.select("fp")).toDF("x", "y").join(hub("x", "b"), "x").join(hub("y", "a"), "y").select("a", "b")
+    edges = real(same.union(near))
+
+    met = materialise(setjoin.walked(setjoin.keyed(signed), setjoin.met, similarity))
+    labels = labelled(nodes, edges)
+    pairs = across(met.filter("a <> b").select("a", "b").distinct(), labels)
+    edges = materialise(edges_of(labels).union(real(pairs)))
+    labels = labelled(nodes, edges)
     # Where many nodes meet, what is left are pairs of different components.
+    large = met.filter("a = b").select("v", F.col("a").alias("node")).join(labels, "node")
+    mixed = large.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("v")
+    own = nodes.select("node", "size", *setjoin.BITMAP)
+    left = setjoin.walked(large.join(mixed, "v", "left_semi").join(own, "node").select("v", "node", "size", *setjoin.BITMAP, "label"), setjoin.apart, similarity)
+    edges = edges_of(labels).union(real(left.select("a", "b").distinct()))
+    found = classes(nodes.select("node", "least"), edges, "node")
+    return signed.select(F.col("id").alias(id_col), "h", "node"), found.join(nodes.select("node", "copies"), "node")
+
+
+def labelled(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, label): the least node of each node's component."""
     roots = components(edges).withColumnRenamed("root", "label")
-    nodes = materialise(nodes.join(roots, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    large = met.filter("a = b").select("v", F.col("a").alias("node"))
-    own = sets.select("node", "size", *setjoin.BITMAP).join(large.select("node").distinct(), "node", "left_semi").distinct().join(nodes.select("node", "label"), "node")
-    left = setjoin.walked(large.join(own, "node").select("v", "node", "size", *setjoin.BITMAP, "label"), setjoin.apart, similarity)
-    more = setjoin.verified(materialise(left.select("a", "b").distinct()), sets, similarity)
-    named = nodes.select("node", "label")
+    return materialise(nodes.select("node").join(roots, "node", "left").withColumn("label", F.coalesce("label", "node")))
+
+
+def edges_of(labels: DataFrame) -> DataFrame:
+    """(a, b): each node and its label."""
+    return labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose labels differ."""
     for c in "ab":
-        more = more.join(named.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c)
-    return marked, classes(nodes, more.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "node", "label")
+        pairs = pairs.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c)
+    return pairs.filter("la <> lb").select("a", "b")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

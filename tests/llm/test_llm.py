@@ -88,11 +88,16 @@ def test_simhash_components(spark, odd, docs):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
-def test_links_of_near_fingerprints(spark):
+@pytest.mark.parametrize("longest", [simhash.RUN, 8, 2])
+def test_links_of_near_fingerprints(spark, longest):
+    """Also where keys are split once or several times: 200 fingerprints share half of their bits."""
     rng = random.Random(3)
     base = [rng.getrandbits(63) for _ in range(40)]
     fps = {b ^ sum(1 << k for k in rng.sample(range(63), rng.randint(0, 3))) for b in base for _ in range(12)}
-    edges = {(r.a, r.b) for r in simhash.links(spark.createDataFrame([(x,) for x in fps], "fp bigint")).collect()}
+    half = rng.getrandbits(32) << 31
+    near = [half | rng.getrandbits(31) for _ in range(50)]
+    fps |= {b ^ sum(1 << k for k in rng.sample(range(63), rng.randint(0, 3))) for b in near for _ in range(4)}
+    edges = {(r.a, r.b) for r in simhash.links(spark.createDataFrame([(x,) for x in fps], "fp bigint"), longest=longest).collect()}
     root = {x: x for x in fps}
 
     def find(x):
