@@ -32,11 +32,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the texts; n_chars follows."""
-    new = {"text": F.col("redacted"), "n_chars": F.char_length("redacted")}
-    rest = [c for c in docs.columns if c not in new]
-    found = secrets.scan(packed(docs, keep=rest), ["row"])
-    return found.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
+    """Secrets are replaced in the texts; n_chars follows. Null texts and their n_chars stay as they are; no row goes, repeated ones repeat."""
+    none = F.col("text").isNull()
+    new = {"text": F.when(~F.col("none"), F.col("redacted")), "n_chars": F.when(F.col("none"), F.col("row.n_chars")).otherwise(F.char_length("redacted"))}
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    found = secrets.scan(docs.select(row.alias("row"), none.alias("none"), "text"), ["row", "none"])
+    return found.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
