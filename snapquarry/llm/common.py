@@ -99,6 +99,11 @@ def slices(batch: pa.RecordBatch, texts: pa.Array, most: int) -> Iterator[tuple[
         base, i = int(sizes[j - 1]), j
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark cut Arrow batches at a few MB, so that very long texts take no more memory than short ones (a row is never cut)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def map_text(df: DataFrame, make: Callable[[], Callable], keep: Sequence[str], fields: str, text_col: str = "text", most: int = 4 << 20) -> DataFrame:
     """Apply a function of Arrow string arrays to ``text_col``, a few MB of whole texts at a time.
 
@@ -107,6 +112,7 @@ def map_text(df: DataFrame, make: Callable[[], Callable], keep: Sequence[str], f
     columns ``keep`` of ``df`` and the new ones; all other columns are left behind, so
     names can't clash. No shuffle.
     """
+    small_batches(df.sparkSession)
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("__text"))
     new = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in (x.strip().split(" ", 1) for x in fields.split(","))])
     schema = T.StructType([*src.schema.fields[:-1], *new.fields])

@@ -11,7 +11,8 @@ of bounded size. What the sample misses costs time, never a pair.
 
 Candidates pass two bounds that hold for every pair at t: the sizes', and that of parity
 bitmaps (bit h mod 256 flips with every member h), whose distance is at most the number of
-members that only one set has. All that pass are verified by their whole texts.
+members that only one set has. Pairs that pass meet once more by longer bitmaps, of at
+least a bit a member; what is left is verified by the whole texts.
 
 Where more than ``SMALL`` nodes meet, they are paired with a few of them first; when the
 links so verified are joined to components, all remaining pairs of different components
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snapquarry.llm.common import map_text, materialise
+from snapquarry.llm.common import map_text, materialise, small_batches
 
 SEED, WORDS64 = 42, 4
 SMALL, HUBS = 16, 4
@@ -110,13 +111,36 @@ def signatures(df: DataFrame, keep: Sequence[str], text_col: str, words: int, si
         for i, s in enumerate(found):
             odd[i] = np.bincount((s % np.uint64(64 * WORDS64)).astype(np.int64), minlength=64 * WORDS64) & 1
         bits = np.packbits(odd, axis=1, bitorder="little").view(np.int64)
-        keys = [first(s) for s in found]
+        keys, marks = [first(s) for s in found], [parity(s, 1 << max(8, int(len(s) - 1).bit_length())) for s in found]
         flat = np.concatenate([np.zeros(0, np.int64), *keys])
         listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)), pa.array(flat))
         fp = np.array([majority(s) for s in found], np.uint64).view(np.int64)
-        return [pa.array(node), pa.array(size), pa.array(fp), *[pa.array(np.ascontiguousarray(bits[:, c])) for c in range(WORDS64)], listed]
+        return [pa.array(node), pa.array(size), pa.array(fp), *[pa.array(np.ascontiguousarray(bits[:, c])) for c in range(WORDS64)], pa.array(marks, pa.binary()), listed]
 
-    return map_text(df, lambda: f, keep, "node bigint, size bigint, fp bigint, " + ", ".join(f"{c} bigint" for c in BITMAP) + ", keys array<bigint>", text_col)
+    return map_text(df, lambda: f, keep, "node bigint, size bigint, fp bigint, " + ", ".join(f"{c} bigint" for c in BITMAP) + ", parity binary, keys array<bigint>", text_col)
+
+
+def parity(members: np.ndarray, width: int) -> bytes:
+    """Bitmap in which every member flips one bit, its value mod ``width``. Its two halves' exclusive or is that of half the width."""
+    return np.packbits(np.bincount((members % np.uint64(width)).astype(np.int64), minlength=width) & 1, bitorder="little").tobytes()
+
+
+def plausible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sizes and long bitmaps allow the similarity. nodes: node, size, parity."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = np.zeros(b.num_rows, bool)
+            for i, (x, y, m, n) in enumerate(zip(*(b.column(c).to_pylist() for c in (2, 3, 4, 5)), strict=True)):
+                if min(m, n) >= similarity * max(m, n) - EPS:
+                    u, v = (np.frombuffer(p, np.uint64) for p in sorted((x, y), key=len))
+                    while len(v) > len(u):
+                        v = v[: len(v) // 2] ^ v[len(v) // 2 :]
+                    ok[i] = np.bitwise_count(u ^ v).sum(dtype=np.int64) <= (1 - similarity) / (1 + similarity) * (m + n) + EPS
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), b.column(1).filter(pa.array(ok))], names=["a", "b"])
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "pa", "pb", "na", "nb").mapInArrow(f, "a bigint, b bigint")
 
 
 def keyed(rows: DataFrame) -> DataFrame:
@@ -260,6 +284,7 @@ def text_hash(text: Column) -> Column:
 def verified(pairs: DataFrame, reps: DataFrame, df: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets reach the similarity. reps: (node, h) of a text of each node."""
     rep = lambda c: reps.select(F.col("node").alias(c), F.col("h").alias(f"h{c}"))
+    small_batches(df.sparkSession)
     named = materialise(pairs.join(rep("a"), "a").join(rep("b"), "b"))
     texts = marked_texts(named.select(F.explode(F.array("ha", "hb")).alias("h")), df, text_col)
     side = lambda c: texts.select(F.col("h").alias(f"h{c}"), F.col("text").alias(f"t{c}"))

@@ -326,11 +326,11 @@ def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity:
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), setjoin.text_hash(F.col(text_col)).alias("h"))
     signed = materialise(setjoin.signatures(rows, ["id", "h"], "text", words, similarity))
     least = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "h")).alias("least")
-    nodes = materialise(signed.groupBy("node").agg(least, F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("size", "fp", *setjoin.BITMAP)]))
+    nodes = materialise(signed.groupBy("node").agg(least, F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("size", "fp", "parity", *setjoin.BITMAP)]))
     reps = nodes.select("node", F.col("least.h").alias("h"))
 
     def real(pairs: DataFrame) -> DataFrame:
-        return setjoin.verified(pairs, reps, rows, "text", words, similarity)
+        return setjoin.verified(setjoin.plausible(pairs, nodes, similarity), reps, rows, "text", words, similarity)
 
     hubs = materialise(nodes.groupBy("fp").agg(F.min("node").alias("hub")))
     hub = lambda c, name: hubs.select(F.col("fp").alias(c), F.col("hub").alias(name))
