@@ -1,46 +1,55 @@
 """Benchmark decontamination: the q-gram lemma as a filter, banded alignment as the proof.
 
 Texts and benchmark items are lower-cased and every run of white space becomes one space.
-An occurrence of an item of m bytes with at most k edits shares at least
-m + 1 - q (k + 1) of its q-grams with the item, and the diagonals (place in the text less
-place in the item) of those q-grams lie at most k apart. So the shared q-grams of each
-document are counted in diagonal bands that overlap by half, bands that reach the bound
-are kept as regions, and each region is verified by an alignment of the item with a part
-of the region, confined to the band.
-
-k is ``share`` of the item's bytes, less where the bound would fall under one shared
-q-gram. Items longer than ``WINDOW`` bytes are searched as overlapping windows. Items
-shorter than one q-gram are no evidence and never match.
+An item of m bytes is found where a part of the text lies within k edits of the whole
+item, k being ``share`` of m, rounded down. Such a part shares at least m + 1 - q (k + 1) of
+its q-grams with the item, and the diagonals (place in the text less place in the item) of
+those q-grams lie at most k apart. So the shared q-grams of each document are counted in
+diagonal bands that overlap by half, and bands that reach the bound are kept as regions.
+Regions pass the same lemma again with grams of ``FINE`` bytes, which tells items with a
+common stem apart, and are verified by an alignment of the item with a part of the region,
+confined to the band.
+
+q is 16, or 8 for short items for which 16 would leave no shared gram. Items with k = 0 (under 20 bytes) are grams by themselves; they match
+exactly, and only at word borders.
 
 The benchmark is the small side: its index goes to the workers in blocks of about
-``BLOCK`` bytes of item text, one pass over the documents for each block, so what is
-broadcast is bounded at any benchmark size. Between passes the rows are written to the
-shared folder, so that a task never holds two blocks. Documents are never shuffled.
-
-Defined results: null and empty texts have no hit; equal items all hit; repeated rows
-repeat; an empty benchmark or table gives no hits. Places are bytes of the normalised
-text. Extra columns are left out unless kept; kept ones may have any name but those of
-the four result columns.
+``BLOCK`` bytes of item text, so what is broadcast is bounded at any benchmark size. With
+more than one block, a bitmap of all blocks' grams first tells the documents that hold
+none; only the rest is written to the shared folder, once, and searched a block at a time,
+and only hits come back. Documents are never shuffled. Counting takes bounded memory: hits
+are dealt by documents and items.
+
+Defined results: null and empty texts have no hit, nor have null and blank items; equal
+items all hit; repeated rows repeat; an empty benchmark or table gives no hits. Places are
+bytes of the normalised text. Extra columns are left out unless kept; kept ones may have
+any name but those of the four result columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapquarry.llm import grams
 from snapquarry.llm.common import buffers, map_text, materialise, packed, table
 
-Q, SHARE, WINDOW, BLOCK = 16, 0.05, 512, 2 << 20
-MULTIPLIER = 0x9E3779B97F4A7C15
+SHARE, BLOCK = 0.05, 2 << 20
+LONG_Q, SHORT_Q, FINE = 16, 8, 4
+MOST = 4 << 20  # gram pairs counted at once
+FILTER_BITS, SHARED_BITS = 22, 27
 VALUES = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)
-FILTER_BITS = 22
+MULTIPLIER = 0x9E3779B97F4A7C15
+RESULT = ["item_ids", "starts", "ends", "edits"]
+BORDER = ~(grams.LETTER | (np.arange(256) == 95))
 
 
 def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -54,112 +63,222 @@ def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[keep], np.r_[0, np.cumsum(keep)][off]
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hash of the Q = 16 bytes at each place, by doubling."""
-    h, step, width = VALUES[data], MULTIPLIER, 1
-    while width < Q:
-        if len(h) <= width:
-            return h[:0]
-        h = h[:-width] * np.uint64(step) + h[width:]
-        step = step * step & (1 << 64) - 1
+def gram_hashes(data: np.ndarray, q: int) -> np.ndarray:
+    """Hash of the q bytes at each place."""
+    n = len(data) - q + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    v = VALUES[data]
+    h, have = np.zeros(n, np.uint64), 0
+    power, width, part = MULTIPLIER, 1, v
+    while True:  # q as a sum of powers of two; part holds the hash of ``width`` bytes
+        if q & width:
+            h = h * np.uint64(power) + part[have : have + n]
+            have += width
+        if have == q:
+            return h ^ h >> np.uint64(29)
+        part = part[:-width] * np.uint64(power) + part[width:]
+        power = power * power & (1 << 64) - 1
         width *= 2
-    return h
+
+
+def budget_of(m: int, share: float) -> int:
+    return int(m * share + 1e-9)
+
+
+def gram_of(m: int, k: int) -> int:
+    """q for an item of m bytes and k edits: the longest of the three kinds whose bound is at least one gram."""
+    if not k:
+        return m
+    return next(q for q in (LONG_Q, SHORT_Q, *range(SHORT_Q, 0, -1)) if m + 1 - q * (k + 1) >= 1)
 
 
 @dataclass
-class Index:
+class Grams:
+    """The index of the items with one q."""
+
+    q: int
     patterns: list  # (item id, bytes)
     hashes: np.ndarray  # sorted distinct q-gram hashes
-    first: np.ndarray  # postings of hash i: first[i]:first[i + 1]
+    first: np.ndarray  # postings of hash i: first[i]:first[i + 1], by pattern
     pattern: np.ndarray
     place: np.ndarray
     budget: np.ndarray
     bound: np.ndarray
     seen: np.ndarray  # filter over the top bits
+    fine: list  # values and counts of each pattern's short grams
 
     @classmethod
-    def of(cls, items: Sequence[tuple[int, bytes]], share: float = SHARE) -> Index:
-        patterns = []
-        for i, b in items:
-            starts = [0] if len(b) <= WINDOW else [*range(0, len(b) - WINDOW, WINDOW // 2), len(b) - WINDOW]
-            patterns += [(i, b[s : s + WINDOW]) for s in starts if len(b) >= Q]
+    def of(cls, q: int, patterns: list, share: float) -> Grams:
         m = np.array([len(b) for _, b in patterns], np.int64)
-        budget = np.minimum((m * share).astype(np.int64), m // Q - 1)
-        hs = [gram_hashes(np.frombuffer(b, np.uint8)) for _, b in patterns]
-        h = np.concatenate([np.zeros(0, np.uint64), *hs])
-        pattern = np.repeat(np.arange(len(patterns)), [len(x) for x in hs]) if hs else np.zeros(0, np.int64)
-        place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in hs)])
+        budget = np.array([budget_of(len(b), share) for _, b in patterns], np.int64)
+        hs = [gram_hashes(np.frombuffer(b, np.uint8), q) for _, b in patterns]
+        h, pattern = np.concatenate(hs), np.repeat(np.arange(len(patterns)), [len(x) for x in hs])
+        place = np.concatenate([np.arange(len(x)) for x in hs])
         order = np.argsort(h, kind="stable")
         hashes, n = np.unique(h, return_counts=True)
         seen = np.zeros(1 << FILTER_BITS, bool)
         seen[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        return cls(patterns, hashes, np.r_[0, np.cumsum(n)], pattern[order], place[order], budget, m + 1 - Q * (budget + 1), seen)
+        return cls(q, patterns, hashes, np.r_[0, np.cumsum(n)], pattern[order], place[order], budget, m + 1 - q * (budget + 1), seen, [fine_grams(b) for _, b in patterns])
 
-    def hits(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(document, pattern, start, end, edits) of every verified region."""
-        h = gram_hashes(data)
+    def hits(self, data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(document, item id, start, end, edits) of every verified region."""
+        h = gram_hashes(data, self.q)
         at = np.flatnonzero(self.seen[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-        i = np.minimum(np.searchsorted(self.hashes, h[at]), max(0, len(self.hashes) - 1))
-        ok = self.hashes[i] == h[at] if len(self.hashes) else np.zeros(0, bool)
+        i = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
+        ok = self.hashes[i] == h[at]
         at, i = at[ok], i[ok]
         doc = np.searchsorted(off, at, "right") - 1
-        ok = at + Q <= off[doc + 1]
-        at, i, doc = at[ok], i[ok], doc[ok]
-        if not len(at):
-            return []
-        n = self.first[i + 1] - self.first[i]
-        post = np.repeat(self.first[i] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        pattern, diagonal, doc = self.pattern[post], np.repeat(at, n) - self.place[post], np.repeat(doc, n)
-        width = self.budget[pattern] + 1
-        band = diagonal // width
-        key = np.stack([np.r_[doc, doc], np.r_[pattern, pattern], np.r_[band, band - 1]])
-        order = np.lexsort(key[::-1])
-        key = key[:, order]
-        start = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)])
-        count = np.diff(np.r_[start, key.shape[1]])
-        out: dict[tuple[int, int, int, int], int] = {}
-        for k in start[count >= self.bound[key[1, start]]].tolist():
-            d, p, b = (int(x) for x in key[:, k])
-            m, budget = len(self.patterns[p][1]), int(self.budget[p])
-            lo = max(int(off[d]), b * (budget + 1) - budget)
-            hi = min(int(off[d + 1]), (b + 2) * (budget + 1) + m + budget)
-            found = align(self.patterns[p][1], data[lo:hi].tobytes(), budget)
+        ok = at + self.q <= off[doc + 1]
+        for d, p, lo, hi in self.regions(at[ok], i[ok], doc[ok], 0, len(self.patterns)):
+            lo, hi = max(int(off[d]), lo), min(int(off[d + 1]), hi)
+            item, pattern = self.patterns[p]
+            found = self.proved(p, pattern, data, lo, hi, int(off[d]), int(off[d + 1]))
             if found:
-                s, e, edits = found
-                out.setdefault((d, p, lo + s - int(off[d]), lo + e - int(off[d])), edits)
-        return sorted((d, p, s, e, x) for (d, p, s, e), x in out.items())
+                yield d, item, found[0] - int(off[d]), found[1] - int(off[d]), found[2]
+
+    def proved(self, p: int, pattern: bytes, data: np.ndarray, lo: int, hi: int, first: int, last: int) -> tuple[int, int, int] | None:
+        region, budget = data[lo:hi].tobytes(), int(self.budget[p])
+        if not budget:
+            s, e = lo, lo + len(pattern)
+            bordered = (s == first or BORDER[data[s - 1]] or BORDER[pattern[0]]) and (e == last or BORDER[data[e]] or BORDER[pattern[-1]])
+            return (s, e, 0) if bordered and region.startswith(pattern) else None
+        if pattern not in region and shared_grams(self.fine[p], fine_grams(region)) < len(pattern) + 1 - FINE * (budget + 1):
+            return None
+        found = align(pattern, region, budget)
+        return (lo + found[0], lo + found[1], found[2]) if found else None
+
+    def regions(self, at: np.ndarray, i: np.ndarray, doc: np.ndarray, low: int, high: int) -> Iterator[tuple[int, int, int, int]]:
+        """(document, pattern, start, end) of the bands of the patterns low..high that reach their bound."""
+        if low == 0 and high == len(self.patterns):
+            begin, end = self.first[i], self.first[i + 1]
+        else:
+            key = np.repeat(np.arange(len(self.hashes)), np.diff(self.first)) * len(self.patterns) + self.pattern
+            begin, end = np.searchsorted(key, i * len(self.patterns) + low), np.searchsorted(key, i * len(self.patterns) + high)
+        n = end - begin
+        if n.sum() > MOST:
+            cut = np.flatnonzero(doc[1:] != doc[:-1]) + 1
+            if len(cut):
+                cut = int(cut[len(cut) // 2])
+                for part in (slice(0, cut), slice(cut, len(at))):
+                    yield from self.regions(at[part], i[part], doc[part], low, high)
+                return
+            if high - low > 1:
+                for part in ((low, (low + high) // 2), ((low + high) // 2, high)):
+                    yield from self.regions(at, i, doc, *part)
+                return
+        some = n > 0
+        at, begin, n, doc = at[some], begin[some], n[some], doc[some]
+        parts = [np.zeros((4, 0), np.int64)]
+        cuts = np.r_[0, np.flatnonzero(np.diff(np.cumsum(n) // MOST)) + 1, len(n)]
+        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            c = n[x:y]
+            post = np.repeat(begin[x:y] - (np.cumsum(c) - c), c) + np.arange(c.sum())
+            pattern, diagonal = self.pattern[post], np.repeat(at[x:y], c) - self.place[post]
+            band = diagonal // (self.budget[pattern] + 1)
+            d = np.repeat(doc[x:y], c)
+            parts.append(summed(np.stack([np.r_[d, d], np.r_[pattern, pattern], np.r_[band, band - 1], np.ones(2 * len(d), np.int64)])))
+        key = summed(np.concatenate(parts, 1)) if len(parts) > 2 else parts[-1]
+        for d, p, b in key[:3, key[3] >= self.bound[key[1]]].T.tolist():
+            k = int(self.budget[p])
+            if k:
+                yield d, p, b * (k + 1) - k, (b + 2) * (k + 1) + len(self.patterns[p][1]) + k
+            else:
+                yield d, p, b, b + len(self.patterns[p][1])
+
+
+def summed(rows: np.ndarray) -> np.ndarray:
+    """Distinct columns of the first three rows, with the sums of the last."""
+    rows = rows[:, np.lexsort(rows[2::-1])]
+    if not rows.shape[1]:
+        return rows
+    start = np.flatnonzero(np.r_[True, (rows[:3, 1:] != rows[:3, :-1]).any(0)])
+    return np.concatenate([rows[:3, start], np.add.reduceat(rows[3:], start, axis=1)])
+
+
+def fine_grams(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(b, np.uint8).astype(np.uint32)
+    n = max(0, len(data) - FINE + 1)
+    code = np.zeros(n, np.uint32)
+    for k in range(FINE):
+        code = code << np.uint32(8) | data[k : k + n]
+    return np.unique(code, return_counts=True)
+
+
+def shared_grams(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    _, x, y = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    return int(np.minimum(a[1][x], b[1][y]).sum())
+
+
+@dataclass
+class Index:
+    parts: list
+
+    @classmethod
+    def of(cls, items: Sequence[tuple[int, bytes]], share: float = SHARE) -> Index:
+        kinds: dict[int, list] = {}
+        for i, b in items:
+            if b:
+                kinds.setdefault(gram_of(len(b), budget_of(len(b), share)), []).append((i, b))
+        return cls([Grams.of(q, patterns, share) for q, patterns in sorted(kinds.items())])
+
+    def hits(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(document, item id, start, end, edits) of every item found; of overlapping places of an item the first with the fewest edits."""
+        out: list[tuple] = []
+        for hit in sorted({h for part in self.parts for h in part.hits(data, off)}, key=lambda h: (h[0], h[1] is None, h[1] or 0, *h[2:])):
+            if out and out[-1][:2] == hit[:2] and hit[2] < out[-1][3]:
+                out[-1] = min(out[-1], hit, key=lambda h: h[4])
+            else:
+                out.append(hit)
+        return out
+
+
+def marked_grams(items: Sequence[tuple[int, bytes]], share: float, marks: dict[int, np.ndarray]) -> None:
+    """Set the bits of all items' grams in the bitmap of their q."""
+    for _, b in items:
+        if b:
+            q = gram_of(len(b), budget_of(len(b), share))
+            marks.setdefault(q, np.zeros(1 << SHARED_BITS - 3, np.uint8))
+            h = gram_hashes(np.frombuffer(b, np.uint8), q) >> np.uint64(64 - SHARED_BITS)
+            np.bitwise_or.at(marks[q], (h >> np.uint64(3)).astype(np.int64), np.uint8(1) << (h & np.uint64(7)).astype(np.uint8))
 
 
 def align(pattern: bytes, region: bytes, budget: int) -> tuple[int, int, int] | None:
     """Start, end and edits of the best alignment of the pattern with a part of the region, or None beyond the budget.
 
-    One row of the edit table for each byte of the pattern; the region is only a band
-    wider than the pattern, and cells off the band's diagonals stay out of reach.
+    One row of the edit table for each byte of the pattern. A row is as wide as the
+    diagonals that the region leaves (its length less the pattern's, and the budget on
+    either side), whatever the pattern's length.
     """
     at = region.find(pattern)
     if at >= 0:
         return at, at + len(pattern), 0
     if not budget or not region:
         return None
-    text = np.frombuffer(region, np.uint8)
-    n, far = len(text), len(pattern) + len(text)
-    place = np.arange(n + 1)
-    cost, begin = np.zeros(n + 1, np.int64), place.copy()
-    slack = n - len(pattern) + budget
-    for i, c in enumerate(pattern):
-        diagonal, up = cost[:-1] + (text != c), cost[1:] + 1
-        step = np.minimum(diagonal, up)
-        new = np.r_[cost[0] + 1, step]
-        start = np.r_[begin[0], np.where(diagonal <= up, begin[:-1], begin[1:])]
-        new[(place - i - 1 < -budget) | (place - i - 1 > slack)] = far
-        # Insertions: the least of all cells to the left plus their distance.
-        left = np.minimum.accumulate((new - place) * (n + 2) + place)
-        source = left % (n + 2)
-        cost, begin = new[source] + place - source, start[source]
+    text, m = np.frombuffer(region, np.uint8), len(pattern)
+    n = len(text)
+    width = max(0, n - m) + 2 * budget + 1  # row i holds the places i - budget .. of the text
+    far = m + n
+    padded = np.concatenate([np.full(budget + 1, 256, np.int16), text.astype(np.int16), np.full(width + m, 256, np.int16)])
+    step = np.arange(width)
+    place = step - budget
+    cost = np.where((place >= 0) & (place <= n), 0, far)
+    begin = place.copy()
+    for i, c in enumerate(pattern, 1):
+        # The same slot is the diagonal's neighbour, the next slot is the one above.
+        same = cost + (padded[i : i + width] != c)
+        above = np.r_[cost[1:] + 1, far]
+        new, start = np.minimum(same, above), np.where(same <= above, begin, np.r_[begin[1:], 0])
+        new[(place + i < 0) | (place + i > n)] = far
+        # Insertions: the least of all slots to the left plus their distance.
+        left = np.minimum.accumulate((new - step) * (width + 1) + step)
+        source = left % (width + 1)
+        cost, begin = np.minimum(new[source] + step - source, far), start[source]
+        cost[(place + i < 0) | (place + i > n)] = far
         if cost.min() > budget:
             return None
     end = int(cost.argmin())
-    return (int(begin[end]), end, int(cost[end])) if cost[end] <= budget else None
+    return (int(begin[end]), end - budget + m, int(cost[end])) if cost[end] <= budget else None
 
 
 def blocks(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> list[DataFrame]:
@@ -180,34 +299,67 @@ def fetched(block: DataFrame) -> list[tuple[int, bytes]]:
     return sorted(zip(rows["id"].to_pylist(), texts, strict=True), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
+def suspects(df: DataFrame, parts: list[DataFrame], share: float) -> DataFrame:
+    """``row``, ``text`` and whether the text holds any gram that an item has (or one that shares its bit)."""
+    marks: dict[int, np.ndarray] = {}
+    for block in parts:
+        marked_grams(fetched(block), share, marks)
+    shared = df.sparkSession.sparkContext.broadcast(marks)
+
+    def make():
+        def f(texts: pa.Array) -> list:
+            data, off = normalised(texts)
+            found = np.zeros(len(texts), bool)
+            for q, bits in shared.value.items():
+                h = gram_hashes(data, q) >> np.uint64(64 - SHARED_BITS)
+                at = np.flatnonzero(bits[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8) & np.uint8(1))
+                doc = np.searchsorted(off, at, "right") - 1
+                found[doc[at + q <= off[doc + 1]]] = True
+            return [found]
+
+        return f
+
+    return map_text(df, make, ["row", "text"], "suspect boolean")
+
+
+def searched(df: DataFrame, block: DataFrame, keep: Sequence[str], share: float) -> tuple[DataFrame, Broadcast]:
+    """``keep`` and the four arrays of hits against one block."""
+    shared = df.sparkSession.sparkContext.broadcast(Index.of(fetched(block), share))
+
+    def make():
+        index = shared.value
+
+        def f(texts: pa.Array) -> list:
+            data, off = normalised(texts)
+            cols: list = [[[] for _ in range(len(texts))] for _ in range(4)]
+            for d, *hit in index.hits(data, off):
+                for c, v in zip(cols, hit, strict=True):
+                    c[d].append(v)
+            return cols
+
+        return f
+
+    return map_text(df, make, keep, ", ".join(f"{c} array<bigint>" for c in RESULT)), shared
+
+
 def contaminated(df: DataFrame, benchmark: DataFrame, keep: Sequence[str], text_col: str = "text", item_id: str = "item_id", item_text: str = "text", share: float = SHARE, most: int = BLOCK) -> DataFrame:
     """``keep`` and arrays item_ids, starts, ends, edits of every row's hits, empty for a clean row."""
-    names = ["item_ids", "starts", "ends", "edits"]
-    out, have = packed(df, text_col, keep), []
-    parts = blocks(benchmark, item_id, item_text, most)
-    for k, block in enumerate(parts):
-        shared = df.sparkSession.sparkContext.broadcast(Index.of(fetched(block), share))
-
-        def make(shared=shared):
-            index = shared.value
-
-            def f(texts: pa.Array) -> list:
-                data, off = normalised(texts)
-                cols: list = [[[] for _ in range(len(texts))] for _ in range(4)]
-                for d, p, s, e, x in index.hits(data, off):
-                    for c, v in zip(cols, (index.patterns[p][0], s, e, x), strict=True):
-                        c[d].append(v)
-                return cols
-
-            return f
-
-        last = k + 1 == len(parts)
-        new = map_text(out, make, ["row", *([] if last else ["text"]), *have], ", ".join(f"_{c} array<bigint>" for c in names))
-        out = new.select("row", *([] if last else ["text"]), *[F.concat(c, f"_{c}").alias(c) if have else F.col(f"_{c}").alias(c) for c in names])
-        have = names
-        if not last:
-            out = materialise(out)
-    return out.select("row.*", *(names if have else [F.array().cast("array<bigint>").alias(c) for c in names]))
+    rows, parts = packed(df, text_col, keep), blocks(benchmark, item_id, item_text, most)
+    none = [F.array().cast("array<bigint>").alias(c) for c in RESULT]
+    if not parts:
+        return rows.select("row.*", *none)
+    if len(parts) == 1:
+        return searched(rows, parts[0], ["row"], share)[0].select("row.*", *RESULT)
+    told = suspects(rows, parts, share)
+    some = materialise(told.filter("suspect").select("row", "text", F.monotonically_increasing_id().alias("number")))
+    hits = []
+    for block in parts:
+        found, shared = searched(some, block, ["number"], share)
+        hits.append(materialise(found.filter(F.size("item_ids") > 0)))
+        shared.destroy()
+    joined = reduce(DataFrame.unionByName, hits).groupBy("number").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in RESULT])
+    dirty = some.join(joined, "number", "left").select("row.*", *[F.coalesce(c, n).alias(c) for c, n in zip(RESULT, none, strict=True)])
+    return told.filter("not suspect").select("row.*", *none).unionByName(dirty)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
