@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from snapquarry.llm.common import materialise, table
 
-WORDS, SMALL, LARGE, PER_SKETCH, IDS_PER_BUCKET = 12, 8, 256, 8, 4096
+WORDS, SMALL, LARGE, PER_SKETCH = 12, 8, 256, 8
 PARAGRAPH = rf"\S++(?:[^\S\n]++\S++){{0,{WORDS - 1}}}+"
 CHECK = (1 << 24) - 2  # the check's place in a packed digest; the last bit tells the side
 
@@ -163,21 +163,19 @@ def written(sketch: Column) -> Column:
 def successors(rows: DataFrame) -> DataFrame:
     """(d0, h, copies, p_d0, p_h, p_n): each document's predecessor in the circle by ascending id.
 
-    Only ids, hashes and lengths move. Ids are cut into even ranges of about
-    ``IDS_PER_BUCKET`` documents, each sorted by itself; one row a range links the ends.
+    Only ids, hashes and lengths move. Spark deals them to ranges of about equal size,
+    wherever the ids lie; each range is sorted by itself, and one row a range links the
+    ends, so that the only window over all has as many rows as there are partitions.
     """
-    span = rows.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("rows")).first()
-    lo, hi = (span["lo"] or 0), (span["hi"] or 0)
-    width = max(1, (hi - lo + 1) // max(1, span["rows"] // IDS_PER_BUCKET))
-    place = F.when(F.col("doc_id").isNull(), F.lit(-1) - F.shiftrightunsigned("h", 52)).otherwise(F.floor((F.col("doc_id") - F.lit(lo)) / F.lit(width))).cast("bigint")
-    one = rows.groupBy("doc_id", "d0", "h", "n").agg(F.count("*").alias("copies")).withColumn("bucket", place)
+    one = rows.groupBy("doc_id", "d0", "h", "n").agg(F.count("*").alias("copies"))
+    dealt = materialise(one.repartitionByRange(F.col("doc_id").isNotNull(), "d0", "h").withColumn("bucket", F.spark_partition_id()))
     me = F.struct("doc_id", "h", "d0", "n")
-    ends = one.groupBy("bucket").agg(F.max(me).alias("last"))
+    ends = dealt.groupBy("bucket").agg(F.max(me).alias("last"))
     circle = Window.orderBy("bucket")
     ends = ends.select("bucket", F.coalesce(F.lag("last").over(circle), F.last("last").over(circle.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
-    within = one.withColumn("p", F.lag(me).over(Window.partitionBy("bucket").orderBy("doc_id", "h")))
+    within = dealt.withColumn("p", F.lag(me).over(Window.partitionBy("bucket").orderBy("doc_id", "h")))
     p = F.coalesce("p", "before")
-    return within.join(ends, "bucket").select("d0", "h", "copies", p["d0"].alias("p_d0"), p["h"].alias("p_h"), p["n"].alias("p_n"))
+    return within.join(F.broadcast(ends), "bucket").select("d0", "h", "copies", p["d0"].alias("p_d0"), p["h"].alias("p_h"), p["n"].alias("p_n"))
 
 
 def neighbours(df: DataFrame) -> DataFrame:
