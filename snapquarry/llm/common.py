@@ -77,6 +77,24 @@ def sample(df: DataFrame, key: str, strata: Sequence[str], per_stratum: int) ->
     return joined.filter(place < F.lit(float(per_stratum)) / F.col("__n")).drop("__n")
 
 
+SAMPLE_BYTES, LONGEST = 96 << 20, 1 << 20  # bounds of a training sample's texts: all together (expected), and each
+
+
+def labelled_texts(documents: DataFrame, chosen: DataFrame, cols: Sequence[str]) -> pa.Table:
+    """doc_id, text and ``cols`` of the chosen ids (few rows: the bounded sample of ids), ascending, on the driver.
+
+    One row an id, however often the id is repeated. Texts over ``LONGEST`` bytes aren't
+    learned from; if the others have over ``SAMPLE_BYTES`` together, ids are thinned by a
+    hash to that size.
+    """
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").filter(F.octet_length("text") <= LONGEST)
+    rows = materialise(rows.groupBy("doc_id").agg(F.max(F.struct("text", *cols)).alias("r")))
+    total = rows.agg(F.sum(F.octet_length("r.text"))).first()[0] or 0
+    some = rows.filter(F.pmod(F.xxhash64(F.lit("bytes"), "doc_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, SAMPLE_BYTES / max(1, total)))))
+    out = some.select("doc_id", "r.*").toArrow()
+    return out.take(np.argsort(np.asarray(out["doc_id"]), kind="stable")) if out.num_rows else out
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string array and its n + 1 offsets."""
     if pa.types.is_large_string(texts.type):
@@ -104,8 +122,8 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
-def map_text(df: DataFrame, make: Callable[[], Callable], keep: Sequence[str], fields: str, text_col: str = "text", most: int = 4 << 20) -> DataFrame:
-    """Apply a function of Arrow string arrays to ``text_col``, a few MB of whole texts at a time.
+def map_text(df: DataFrame, make: Callable[[], Callable], keep: Sequence[str], fields: str, text_col: str = "text", most: int = 1 << 20) -> DataFrame:
+    """Apply a function of Arrow string arrays to ``text_col``, a MB of whole texts at a time.
 
     ``make()`` is called once a task and returns ``f(texts) -> list of columns`` for
     ``fields`` ("name type, ..."). Null texts arrive as empty ones. The result has the

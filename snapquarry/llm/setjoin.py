@@ -176,7 +176,7 @@ def near(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
     return (np.minimum(x, y) >= similarity * np.maximum(x, y) - EPS) & (apart <= (1 - similarity) / (1 + similarity) * (x + y) + EPS)
 
 
-def met(rows: np.ndarray, start: np.ndarray, stop: np.ndarray, similarity: float) -> list[np.ndarray]:
+def met(rows: np.ndarray, start: np.ndarray, stop: np.ndarray, similarity: float, _: np.ndarray | None = None) -> list[np.ndarray]:
     """(v, a, b) of the runs start:stop of rows (v, node, size, bitmap): all candidates of small runs; for a larger one those with a few of its nodes, and (v, node, node) for each of its nodes."""
     out, n = [rows[:0, :3]], stop - start
     small = n <= SMALL
@@ -197,37 +197,69 @@ def met(rows: np.ndarray, start: np.ndarray, stop: np.ndarray, similarity: float
     return out
 
 
-def apart(rows: np.ndarray, start: np.ndarray, stop: np.ndarray, similarity: float) -> list[np.ndarray]:
-    """(v, a, b) of all candidates whose labels differ, in runs of rows (v, node, size, bitmap, label)."""
+def folded(marks: np.ndarray) -> dict[int, np.ndarray]:
+    """By each width of bitmap there is: all bitmaps of it or more as rows of words, longer ones folded to it."""
+    width = np.array([len(m) for m in marks])
+    out = {}
+    for w in np.unique(width).tolist():
+        out[w] = np.zeros((len(marks), w // 8), np.uint64)
+        for longer in np.unique(width[width >= w]).tolist():
+            at = np.flatnonzero(width == longer)
+            part = np.frombuffer(b"".join(marks[at]), np.uint64).reshape(len(at), -1)
+            while part.shape[1] * 8 > w:
+                part = part[:, : part.shape[1] // 2] ^ part[:, part.shape[1] // 2 :]
+            out[w][at] = part
+    return out
+
+
+def alike(run: np.ndarray, marks: np.ndarray, tables: dict[int, np.ndarray], x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the pairs of places x, y of a run may reach the similarity by their long bitmaps."""
+    width = np.array([len(m) for m in marks])
+    low, ok = np.minimum(width[x], width[y]), np.zeros(len(x), bool)
+    most = (1 - similarity) / (1 + similarity) * (run[x, 2] + run[y, 2]) + EPS
+    for w, table in tables.items():
+        at = np.flatnonzero(low == w)
+        for i in range(0, len(at), max(1, BLOCK // w)):
+            some = at[i : i + max(1, BLOCK // w)]
+            ok[some] = np.bitwise_count(table[x[some]] ^ table[y[some]]).sum(1, dtype=np.int64) <= most[some]
+    return ok
+
+
+def apart(rows: np.ndarray, start: np.ndarray, stop: np.ndarray, similarity: float, marks: np.ndarray) -> list[np.ndarray]:
+    """(v, a, b) of all candidates whose labels differ, in runs of rows (v, node, size, bitmap, label) with long bitmaps ``marks``."""
     out = [rows[:0, :3]]
     for s, e in zip(start.tolist(), stop.tolist(), strict=True):
-        run = rows[s:e]
+        run, long = rows[s:e], marks[s:e]
         labels, n = np.unique(run[:, -1], return_counts=True)
         if len(labels) < 2:
             continue
         # Two nodes of the largest component need no comparison: the others are compared with all.
         other = run[:, -1] != labels[n.argmax()]
-        run = np.concatenate([run[other], run[~other]])
+        order = np.r_[np.flatnonzero(other), np.flatnonzero(~other)]
+        run, long, tables = run[order], long[order], folded(long[order])
         step = max(1, BLOCK // len(run))
         for i in range(0, int(other.sum()), step):
             front = run[i : min(i + step, int(other.sum()))]
             x, y = np.nonzero((front[:, None, -1] != run[None, :, -1]) & near(front[:, None, 2:-1], run[None, :, 2:-1], similarity))
             both = y > x + i
-            x, y = x[both], y[both]
-            out.append(np.stack([front[x, 0], front[x, 1], run[y, 1]], 1))
+            x, y = x[both] + i, y[both]
+            both = alike(run, long, tables, x, y, similarity)
+            out.append(np.stack([run[x[both], 0], run[x[both], 1], run[y[both], 1]], 1))
     return out
 
 
 def walked(rows: DataFrame, f: Callable, similarity: float) -> DataFrame:
-    """(v, a, b) by ``f`` of the runs of each v. Rows are dealt and sorted by v; a run that goes over the end of a batch is held."""
-    cols = rows.columns
+    """(v, a, b) by ``f`` of the runs of each v. Rows are dealt and sorted by v; a run that goes over the end of a batch is held. A column ``parity`` goes to ``f`` by itself."""
+    cols = [c for c in rows.columns if c != "parity"]
+    wide = ["parity"] if "parity" in rows.columns else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def told(parts: list) -> pa.RecordBatch:
-            now = np.concatenate(parts)
-            now = now[np.r_[True, (now[1:, :2] != now[:-1, :2]).any(1)]]  # a node may come from several tasks
+            now, marks = np.concatenate([x for x, _ in parts]), np.concatenate([m for _, m in parts])
+            once = np.r_[True, (now[1:, :2] != now[:-1, :2]).any(1)]  # a node may come from several tasks
+            now, marks = now[once], marks[once] if wide else marks
             start = np.r_[0, np.flatnonzero(now[1:, 0] != now[:-1, 0]) + 1]
-            got = np.concatenate(f(now, start, np.r_[start[1:], len(now)], similarity))
+            got = np.concatenate(f(now, start, np.r_[start[1:], len(now)], similarity, marks))
             pair = got[:, 1] != got[:, 2]
             pairs = np.sort(got[pair, 1:], axis=1)
             pairs = np.unique(pairs, axis=0)
@@ -238,20 +270,21 @@ def walked(rows: DataFrame, f: Callable, similarity: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = np.stack([np.asarray(x, np.int64) for x in batch.columns], 1)
-            if held and held[-1][-1, 0] != now[0, 0]:
+            now = np.stack([np.asarray(x, np.int64) for x in batch.columns[: len(cols)]], 1)
+            marks = np.array([*batch.column(len(cols)).to_pylist(), None], object)[:-1] if wide else np.zeros(0, object)
+            if held and held[-1][0][-1, 0] != now[0, 0]:
                 yield told(held)
                 held = []
             other = np.flatnonzero(now[:, 0] != now[-1, 0])
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield told([*held, now[:cut]])
+                yield told([*held, (now[:cut], marks[:cut])])
                 held = []
-            held.append(now[cut:])
+            held.append((now[cut:], marks[cut:]))
         if held:
             yield told(held)
 
-    return rows.select(*cols).repartition("v").sortWithinPartitions("v", "node").mapInArrow(run, "v bigint, a bigint, b bigint")
+    return rows.select(*cols, *wide).repartition("v").sortWithinPartitions("v", "node").mapInArrow(run, "v bigint, a bigint, b bigint")
 
 
 def marked_texts(needed: DataFrame, df: DataFrame, text_col: str) -> DataFrame:

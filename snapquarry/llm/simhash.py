@@ -346,8 +346,8 @@ def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity:
     # Where many nodes meet, what is left are pairs of different components.
     large = met.filter("a = b").select("v", F.col("a").alias("node")).join(labels, "node")
     mixed = large.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("v")
-    own = nodes.select("node", "size", *setjoin.BITMAP)
-    left = setjoin.walked(large.join(mixed, "v", "left_semi").join(own, "node").select("v", "node", "size", *setjoin.BITMAP, "label"), setjoin.apart, similarity)
+    own = nodes.select("node", "size", *setjoin.BITMAP, "parity")
+    left = setjoin.walked(large.join(mixed, "v", "left_semi").join(own, "node").select("v", "node", "size", *setjoin.BITMAP, "label", "parity"), setjoin.apart, similarity)
     edges = edges_of(labels).union(real(left.select("a", "b").distinct()))
     found = classes(nodes.select("node", "least"), edges, "node")
     return signed.select(F.col("id").alias(id_col), "h", "node"), found.join(nodes.select("node", "copies"), "node")
