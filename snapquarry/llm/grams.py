@@ -14,7 +14,7 @@ POWERS = np.cumprod(np.r_[np.uint32(1), np.full(4095, STEP, np.uint32)], dtype=n
 
 
 def ngram_hashes(data: np.ndarray, n: int, bits: int) -> np.ndarray:
-    """Bucket of the n bytes at each place (len - n + 1 of them)."""
+    """Bucket of the n bytes (or characters) at each place (len - n + 1 of them)."""
     if len(data) < n:
         return np.zeros(0, np.int64)
     m = len(data) - n + 1
@@ -49,15 +49,3 @@ def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     h = np.add.reduceat((data[at].astype(np.uint32) + np.uint32(1)) * POWERS[place & 4095], np.r_[0, np.cumsum(n)[:-1]], dtype=np.uint32)
     h ^= h >> np.uint32(16)
     return h * MIX
-
-
-def doc_sums(values: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
-    """Sum, for each document, of a value for each n-gram place that lies inside it."""
-    total = np.r_[0.0, np.cumsum(values, dtype=np.float64)]
-    lo = np.minimum(offsets[:-1], len(values))
-    hi = np.maximum(lo, np.minimum(offsets[1:] - n + 1, len(values)))
-    return total[hi] - total[lo]
-
-
-def doc_counts(offsets: np.ndarray, n: int) -> np.ndarray:
-    return np.maximum(0, np.diff(offsets) - n + 1)

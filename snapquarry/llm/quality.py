@@ -1,11 +1,12 @@
 """Quality classifier: supervised subword embeddings.
 
-A document is the average of learned vectors of its hashed words and byte n-grams;
-a softmax over a linear map of that average gives the class probabilities. Vectors and
-map are learned together by stochastic gradient descent (Adagrad steps) in numpy on a
-bounded sample of labelled rows. Since the map is linear, scoring needs only one number
-for each bucket and class, so a worker holds a table of 2^bits x classes floats and
-scores whole texts in a few array passes.
+A document is the average of learned vectors of its hashed words, word pairs and character
+n-grams; a softmax over a linear map of that average gives the class probabilities. The
+n-grams are of characters, not bytes, and lie within a word and the blanks beside it, which
+mark its beginning and end. Vectors and map are learned together by stochastic gradient
+descent (Adagrad steps) in numpy on a bounded sample of labelled rows. Since the map is
+linear, scoring needs only one number for each bucket and class, so a worker holds a table
+of 2^bits x classes floats and scores whole texts in a few array passes.
 
 Defined results: null and empty texts are scored by the bias alone; a text shorter than
 the n-grams by the features it has; repeated rows give repeated results; an empty table
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapquarry.llm import grams
-from snapquarry.llm.common import buffers, held_out, map_text, sample, table
+from snapquarry.llm.common import buffers, held_out, labelled_texts, map_text, sample, table
 
 BITS, DIM, NGRAMS = 17, 12, (3, 4)
 SAMPLE_PER_CLASS = 1500  # bound of the training sample: rows of each label
@@ -37,19 +38,12 @@ class Model:
     ngrams: tuple = NGRAMS
 
     def logits(self, texts: pa.Array) -> np.ndarray:
-        data, off = buffers(texts)
         k = self.weights.shape[1]
         total, count = np.zeros((len(texts), k)), np.zeros(len(texts))
-        for n in self.ngrams:
-            h = grams.ngram_hashes(data, n, self.bits)
+        for h, doc in features(texts, self.bits, self.ngrams):
             for c in range(1, k):
-                total[:, c] += grams.doc_sums(self.weights[:, c][h], off, n)
-            count += grams.doc_counts(off, n)
-        if len(data):
-            for h, doc in word_features(data, off, self.bits):
-                for c in range(1, k):
-                    total[:, c] += np.bincount(doc, self.weights[:, c][h], len(texts))
-                count += np.bincount(doc, minlength=len(texts))
+                total[:, c] += np.bincount(doc, self.weights[:, c][h], len(texts))
+            count += np.bincount(doc, minlength=len(texts))
         return total / np.maximum(count, 1)[:, None] + self.bias
 
     def probabilities(self, texts: pa.Array) -> np.ndarray:
@@ -66,19 +60,53 @@ def word_features(data: np.ndarray, off: np.ndarray, bits: int) -> list[tuple[np
     return [((h >> move).astype(np.int64), doc), (((h[1:] ^ h[:-1])[same] * grams.STEP >> move).astype(np.int64), doc[1:][same])]
 
 
+def characters(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, and the texts' offsets among them."""
+    codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    return codes, np.r_[0, np.cumsum((data & 0xC0) != 0x80)][off]
+
+
+def subwords(codes: np.ndarray, off: np.ndarray, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and documents of the n-grams of characters inside a text that have no blank but at their ends."""
+    h = grams.ngram_hashes(codes, n, bits)
+    inside = np.ones(len(h), bool)
+    blank = grams.SPACE[np.minimum(codes, 255)]
+    for k in range(1, n - 1):
+        inside &= ~blank[k : k + len(h)]
+    doc = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(h)]
+    inside &= np.arange(len(h)) + n <= off[1:][doc]
+    return h[inside], doc[inside]
+
+
 def features(texts: pa.Array, bits: int, ngrams: tuple) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Buckets and their shares of each document's features."""
+    """Buckets and documents of every feature place."""
+    data, off = buffers(texts)
+    if not len(data):
+        return []
+    codes, places = characters(data, off)
+    return [*(subwords(codes, places, n, bits) for n in ngrams), *word_features(data, off, bits)]
+
+
+def shares(texts: pa.Array, bits: int, ngrams: tuple) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each document's buckets and their shares of its features."""
     out = []
-    for t in texts:
-        data = np.frombuffer(t.as_py().encode(), np.uint8)
-        hs = [grams.ngram_hashes(data, n, bits) for n in ngrams]
-        if len(data):
-            hs += [h for h, _ in word_features(data, np.array([0, len(data)]), bits)]
-        ids, n = np.unique(np.concatenate(hs), return_counts=True)
+    for i in range(len(texts)):
+        ids, n = np.unique(np.concatenate([np.zeros(0, np.int64), *(h for h, _ in features(texts.slice(i, 1), bits, ngrams))]), return_counts=True)
         out.append((ids, (n / max(1, n.sum())).astype(np.float32)))
     return out
 
 
+def gradients(vectors: np.ndarray, share: np.ndarray, top: np.ndarray, bias: np.ndarray, label: int) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+    """A document's softmax loss and its derivatives by the average vector, the map and the bias; that by a bucket's vector is its share times the first."""
+    h = share @ vectors
+    z = h @ top + bias
+    p = np.exp(z - z.max())
+    p /= p.sum()
+    loss = -float(np.log(p[label]))
+    p[label] -= 1
+    return loss, top @ p, np.outer(h, p), p
+
+
 def train(texts: pa.Array, labels: np.ndarray, classes: int = 2, bits: int = BITS, dim: int = DIM, ngrams: tuple = NGRAMS, epochs: int = 12, rate: float = 0.3, seed: int = 7) -> Model:
     """Stochastic gradient descent on the softmax loss, one document a step."""
     prior = np.log((np.bincount(labels, minlength=classes) + 0.5) / (len(labels) + 0.5 * classes))
@@ -88,17 +116,12 @@ def train(texts: pa.Array, labels: np.ndarray, classes: int = 2, bits: int = BIT
     emb = rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)
     top, bias = np.zeros((dim, classes), np.float32), prior.astype(np.float32)
     seen, seen_top, seen_bias = np.full(1 << bits, 1e-6, np.float32), np.full_like(top, 1e-6), np.full_like(bias, 1e-3)
-    docs = features(texts, bits, ngrams)
+    docs = shares(texts, bits, ngrams)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for i in rng.permutation(len(docs)):
             ids, share = docs[i]
-            h = share @ emb[ids]
-            z = h @ top + bias
-            p = np.exp(z - z.max())
-            p /= p.sum()
-            p[labels[i]] -= 1
-            g_top, g_h = np.outer(h, p), top @ p
+            _, g_h, g_top, p = gradients(emb[ids], share, top, bias, labels[i])
             seen_top += g_top**2
             seen_bias += p**2
             top -= step * g_top / np.sqrt(seen_top)
@@ -111,11 +134,9 @@ def train(texts: pa.Array, labels: np.ndarray, classes: int = 2, bits: int = BIT
 
 
 def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> Model:
-    """Fit on about ``per_class`` rows of each label, never on held-out ids. Only ids and labels are sampled; texts join after."""
+    """Fit on about ``per_class`` rows of each label (``labelled_texts`` bounds their bytes), never on held-out ids."""
     ids = labels.filter(F.col(label_col).isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
-    chosen = sample(ids, "doc_id", ["label"], per_class)
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").toArrow()
-    rows = rows.take(np.argsort(np.asarray(rows["doc_id"]), kind="stable")) if rows.num_rows else rows
+    rows = labelled_texts(documents, sample(ids, "doc_id", ["label"], per_class), ["label"])
     return train(rows["text"].combine_chunks(), np.asarray(rows["label"], np.int64))
 
 
