@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapquarry.llm import grams
-from snapquarry.llm.common import buffers, held_out, map_text, sample, table
+from snapquarry.llm.common import buffers, held_out, labelled_texts, map_text, sample, table
 
 BITS, FEATURES, FOLDS, PREFIXES = 18, 2048, 5, (4, 5, 6, 7, 8)
 SAMPLE_PER_STRATUM = 2000  # bound of the training sample: rows of each combination of labels
@@ -167,9 +167,7 @@ def fit(documents: DataFrame, labels: DataFrame, categories: Sequence[str], per_
     """``labels``: doc_id and a 0/1 column for each category. Held-out ids are never learned from."""
     cols = [F.max(c).cast("int").alias(c) for c in categories]
     known = labels.filter(~held_out(F.col("doc_id"))).dropna(subset=["doc_id", *categories]).groupBy("doc_id").agg(*cols)
-    chosen = sample(known, "doc_id", list(categories), per_stratum)
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id").toArrow()
-    rows = rows.take(np.argsort(np.asarray(rows["doc_id"]), kind="stable")) if rows.num_rows else rows
+    rows = labelled_texts(documents, sample(known, "doc_id", list(categories), per_stratum), categories)
     return train(rows["text"].combine_chunks(), np.stack([np.asarray(rows[c], np.int64) for c in categories], 1), categories)
 
 
