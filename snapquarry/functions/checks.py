@@ -61,6 +61,11 @@ def hierarchy_id(c: Column) -> Column:
     return F.when(bare.rlike("^[A-Za-z]{2,}[0-9]{5}$"), bare)
 
 
+def pathway_id(c: Column) -> Column:
+    """The trimmed id if it is letters and five digits, else null."""
+    return F.when(F.trim(c).rlike("^[A-Za-z]{2,}[0-9]{5}$"), F.trim(c))
+
+
 def organism_code(c: Column) -> Column:
     """Trimmed, lower case, text after ; dropped; null unless letters and digits."""
     code = F.lower(F.trim(F.substring_index(c, ";", 1)))
@@ -99,8 +104,8 @@ def json_ok(values: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.StringType())
 def link_target(values: pd.Series) -> pd.Series:
-    """Entity-unescaped, without query and fragment, percent-decoded."""
-    return values.map(lambda v: None if v is None else unquote(html.unescape(v).split("#")[0].split("?")[0]))
+    """Entity-unescaped, trimmed, without query and fragment, percent-decoded."""
+    return values.map(lambda v: None if v is None else unquote(html.unescape(v).strip().split("#")[0].split("?")[0]))
 
 
 def query_value(c: Column) -> Column:
@@ -144,6 +149,37 @@ def release_token(database: Column, token: Column) -> Column:
     return out
 
 
+#: The line of release notes that names the release.
+NOTES_PATTERNS = {"uniprot": "(?m)^UniProt Release ([0-9]{4}_[0-9]{2})\\b", "interpro": "(?m)^Release ([0-9]+(?:\\.[0-9]+)?)\\b"}
+
+
+def notes_release(text: Column, database: str) -> Column:
+    """The release that the first matching line of multi-line notes names, or null."""
+    return F.nullif(F.regexp_extract(text, NOTES_PATTERNS[database], 1), F.lit(""))
+
+
+#: Suffixes of entity files, with their asset and the end of their url.
+ENTITY_FILES = {
+    "pathway": [(".txt", "pathway.entry", ""), (".kgml", "pathway.kgml", "/kgml"), (".conf", "pathway.conf", "/conf"), (".png", "pathway.image", "/image")],
+    "brite": [(".txt", "brite.entry", ""), (".json", "brite.json", "/json")],
+}
+
+
+def entity_file(name: Column, scope: Column, family: str, base_url: str) -> Column:
+    """struct(entity_id, asset, url) of a pathway or hierarchy file's name, or null."""
+    listed = F.lit(f"{base_url}/list/{family}")
+    if family == "pathway":
+        url = F.when(scope == "reference", listed).otherwise(F.concat(listed, F.lit("/"), scope))
+    else:
+        url = F.concat(listed, F.lit("/"), scope)
+    out = F.when(name == f"{family}.list.tsv", F.struct(F.lit("").alias("entity_id"), F.lit(f"{family}.list").alias("asset"), url.alias("url")))
+    for suffix, asset, end in ENTITY_FILES[family]:
+        own = F.regexp_replace(name, suffix.replace(".", "\\.") + "$", "")
+        at = F.concat(F.lit(f"{base_url}/get/" + ("br:" if family == "brite" else "")), own, F.lit(end))
+        out = out.when(name.endswith(suffix), F.struct(own.alias("entity_id"), F.lit(asset).alias("asset"), at.alias("url")))
+    return out
+
+
 def info_release(text: Column) -> Column:
     return F.nullif(F.trim(F.regexp_extract(text, "Release ([^,\\n]+)", 1)), F.lit(""))
 

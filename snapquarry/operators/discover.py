@@ -17,11 +17,34 @@ def page_links(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(HREF), F.lit(1))).alias("pos", "href"))
 
 
+def link_names(pages: DataFrame) -> DataFrame:
+    """(page_id, pos, name): the decoded base name of each link, trailing slashes and blanks off."""
+    target = F.rtrim(C.link_target("href"), F.lit("/"))
+    return page_links(pages).select("page_id", "pos", F.trim(F.regexp_replace(target, "^.*/", "")).alias("name"))
+
+
 def discover_links(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, name): decoded base names of all links; directories, .. and index.html dropped."""
-    named = page_links(pages).withColumn("target", C.link_target("href"))
-    named = named.withColumn("name", F.regexp_replace("target", "^.*/(?=.)", ""))
-    return named.filter(F.col("name").contains(".") & ~F.col("name").contains("/") & ~F.col("name").isin("..", ".", "index.html")).select("page_id", "pos", "name")
+    """(page_id, pos, name): names of a listing page's files, each once, at its first place; directories, .. and index.html dropped."""
+    kept = link_names(pages).filter(F.col("name").contains(".") & ~F.col("name").isin("..", ".", "index.html"))
+    return first_seen(kept, "name", "pos", ["page_id"]).select("page_id", "pos", "name")
+
+
+def annotation_links(pages: DataFrame, formats: Sequence[str], base_url: str) -> DataFrame:
+    """(page_id, name, dataset, format, path, url) of the annotation files that pages link to, each name once."""
+    named = link_names(pages).select("page_id", "name", C.annotation_name(F.col("name")).alias("a")).filter(F.col("a.format").isin(*formats))
+    return named.select("page_id", "name", "a.*").distinct().withColumns({"path": F.concat(F.lit("raw/"), "name"), "url": F.concat(F.lit(base_url.rstrip("/") + "/"), "name")})
+
+
+def pathway_set_links(pages: DataFrame) -> DataFrame:
+    """(page_id, species, name, released): of several files for a species the last one of the page."""
+    named = link_names(pages).select("page_id", "pos", "name", C.pathway_set_name(F.col("name")).alias("p")).filter("p is not null").select("page_id", "pos", "name", "p.*")
+    return named.groupBy("page_id", "species").agg(F.max_by(F.struct("name", "released"), "pos").alias("r")).select("page_id", "species", "r.*")
+
+
+def in_order(rows: DataFrame, value: str, rule: str = "asc", pos: str = "pos") -> DataFrame:
+    """Rows in the traversal order asc, desc or input (by ``pos``)."""
+    orders = {"asc": F.col(value).asc(), "desc": F.col(value).desc(), "input": F.col(pos).asc()}
+    return rows.orderBy(orders[rule])
 
 
 def first_seen(rows: DataFrame, value: str, pos: str, by: Sequence[str] = ()) -> DataFrame:
@@ -95,18 +118,31 @@ def work_grid(codes: DataFrame, prefixes: DataFrame, assets: DataFrame, template
     return task_grid(batched, assets, template), missing
 
 
+def listing_id(line: Column, kind: str) -> Column:
+    """The id of a listing's line, or null. kind: pathway, hierarchy, organism, species, entry."""
+    cells = F.split(line, "\t")
+    first, second = F.get(cells, F.lit(0)), F.get(cells, F.lit(1))
+    if kind == "pathway":
+        return C.pathway_id(first)
+    if kind == "hierarchy":
+        return C.hierarchy_id(first)
+    if kind == "organism":
+        return C.organism_code(second)
+    if kind == "species":
+        return F.when(C.taxid_ok(first), first)
+    if kind == "entry":
+        return F.nullif(F.regexp_extract(line, "^\\s*(\\S+)", 1), F.lit(""))
+    raise ValueError(f"unknown kind {kind}")
+
+
 def listing_ids(lines: DataFrame, kind: str) -> DataFrame:
-    """(listing, pos, id) of a tab-separated listing, first occurrences only. kind: hierarchy, organism, species."""
-    cells = F.split("value", "\t")
-    made = {"hierarchy": C.hierarchy_id(F.get(cells, F.lit(0))), "organism": C.organism_code(F.get(cells, F.lit(1))), "species": F.when(C.taxid_ok(F.get(cells, F.lit(0))), F.get(cells, F.lit(0)))}
-    rows = lines.filter(~C.blank(F.col("value"))).select("listing", "pos", made[kind].alias("id")).filter("id is not null")
-    return first_seen(rows, "id", "pos", ["listing"])
+    """(listing, pos, id) of a listing's lines (see ``listing_id``), first occurrences only; entries keep all."""
+    rows = lines.filter(~C.blank(F.col("value"))).select("listing", "pos", listing_id(F.col("value"), kind).alias("id")).filter("id is not null")
+    return rows if kind == "entry" else first_seen(rows, "id", "pos", ["listing"])
 
 
 def listing_issues(lines: DataFrame, kind: str) -> DataFrame:
-    cells = F.split("value", "\t")
-    made = {"hierarchy": C.hierarchy_id(F.get(cells, F.lit(0))), "organism": C.organism_code(F.get(cells, F.lit(1))), "species": F.when(C.taxid_ok(F.get(cells, F.lit(0))), F.get(cells, F.lit(0)))}
-    return lines.filter(~C.blank(F.col("value")) & made[kind].isNull()).select("listing", "pos", "value")
+    return lines.filter(~C.blank(F.col("value")) & listing_id(F.col("value"), kind).isNull()).select("listing", "pos", "value")
 
 
 def root_pick(ids: DataFrame, by: str) -> DataFrame:
@@ -117,7 +153,8 @@ def root_pick(ids: DataFrame, by: str) -> DataFrame:
     return roots.withColumn("own", F.max(own).over(w)).filter(own | ~F.col("own")).drop("own")
 
 
-def token_list(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """Comma lists split, trimmed, blanks dropped; tokens with @ rejected."""
-    out = rows.select(key, F.explode(F.split(value, ",")).alias("token")).select(key, F.trim("token").alias("token"))
-    return out.filter((F.col("token") != "") & ~F.col("token").startswith("@"))
+def token_list(rows: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """(tokens; issues: key, token, rule) of comma lists: split, trimmed, blanks dropped. A token that begins with @ is an issue."""
+    out = rows.select(key, F.explode(F.split(value, ",")).alias("token")).select(key, F.trim("token").alias("token")).filter("token <> ''")
+    at = F.col("token").startswith("@")
+    return out.filter(~at), out.filter(at).withColumn("rule", F.lit("file syntax"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import quote_plus, urlencode
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -86,36 +88,46 @@ def split_counts(edges: DataFrame, requested: DataFrame) -> DataFrame:
     return requested.join(n, "organism", "left").select("organism", F.coalesce("edges", F.lit(0)).alias("edges"))
 
 
-def plan_edge_batches(edges: DataFrame, base_url: str = "https://example.org/interactions", edges_bound: int = MOST_EDGES, targets_bound: int = MOST_TARGETS, url_bound: int = MOST_URL) -> DataFrame:
+def canonical_url(base: str, constants: dict[str, str], organism: Column, targets: Column) -> Column:
+    """A batch's request: parameters by name, values encoded, targets joined by commas. The constants' names come before the other two's."""
+    return F.concat(F.lit(f"{base}?{urlencode(sorted(constants.items()), safe='~')}{'&' if constants else ''}organisms="), C.query_value(organism), F.lit("&targets="), C.query_value(F.array_join(targets, ",")))
+
+
+def plan_edge_batches(edges: DataFrame, base_url: str = "https://example.org/interactions", constants: dict[str, str] | None = None, edges_bound: int = MOST_EDGES, targets_bound: int = MOST_TARGETS, url_bound: int = MOST_URL) -> DataFrame:
     """(organism, batch, targets, expected_edges, url, error): greedy batches of the sorted targets.
 
-    Sequential inside an organism by its nature, so edges are counted by target first;
-    what one task reads is an organism's list of targets, not its edges.
+    The bound on a url counts its encoded bytes. A target that is null or blank, or that is
+    over a bound by itself, is a row with an error and no batch number. Sequential inside an
+    organism by its nature, so edges are counted by target first; what one task reads is an
+    organism's list of targets, not its edges.
     """
-    prefix = base_url + "?organisms={}&targets="
+    head = f"{base_url}?{urlencode(sorted((constants or {}).items()), safe='~')}{'&' if constants else ''}organisms="
 
     def f(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, now, size = [], [], 0
+        out, bad, now, size = [], [], [], 0
         organism = pdf["organism"].iloc[0]
-        head = len(prefix.format(organism))
-        length = head
-        for target, n in sorted(zip(pdf["target"], pdf["edges"], strict=True)):
-            own = len(target.encode())
-            if n > edges_bound or head + own > url_bound:
-                out.append((organism, [target], int(n), "target over a bound"))
+        first = len(head) + len(quote_plus(str(organism), safe="~")) + len("&targets=")
+        length = first
+        none = pdf["target"].isna() | (pdf["target"].str.strip() == "")
+        bad += [(organism, None, [t], int(n), "empty target") for t, n in zip(pdf["target"][none], pdf["edges"][none], strict=True)]
+        for target, n in sorted(zip(pdf["target"][~none], pdf["edges"][~none], strict=True)):
+            own = len(quote_plus(target, safe="~"))
+            if n > edges_bound or first + own > url_bound:
+                bad.append((organism, None, [target], int(n), "target over a bound"))
                 continue
             if now and (size + n > edges_bound or len(now) == targets_bound or length + 3 + own > url_bound):
-                out.append((organism, now, size, None))
-                now, size, length = [], 0, head
+                out.append((organism, len(out), now, size, None))
+                now, size, length = [], 0, first
             length += own + 3 * bool(now)
             now.append(target)
             size += int(n)
         if now:
-            out.append((organism, now, size, None))
-        rows = [(o, k, t, n, prefix.format(o) + "%2C".join(t), e) for k, (o, t, n, e) in enumerate(out)]
-        return pd.DataFrame(rows, columns=["organism", "batch", "targets", "expected_edges", "url", "error"])
+            out.append((organism, len(out), now, size, None))
+        return pd.DataFrame(out + bad, columns=["organism", "batch", "targets", "expected_edges", "error"]).astype({"batch": "Int32"})
 
-    return edges_per_target(edges).groupBy("organism").applyInPandas(f, "organism string, batch int, targets array<string>, expected_edges bigint, url string, error string")
+    plan = edges_per_target(edges).groupBy("organism").applyInPandas(f, "organism string, batch int, targets array<string>, expected_edges bigint, error string")
+    url = canonical_url(base_url, constants or {}, F.col("organism"), F.col("targets"))
+    return plan.select("organism", "batch", "targets", "expected_edges", F.when(F.col("error").isNull(), url).alias("url"), "error")
 
 
 def validate_edges(evidence: DataFrame, batches: DataFrame, levels: Sequence[str] = ()) -> DataFrame:
@@ -135,20 +147,53 @@ def compare_inventories(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Data
     return x.join(y, "organism", "full_outer").withColumn("equal", F.coalesce(F.col("start") == F.col("end"), F.lit(False)))
 
 
-def validate_batch_plan(batches: DataFrame, inventory: DataFrame) -> DataFrame:
-    """(organism, batch, rule): unsorted or too many targets, too many edges, long url, out of order, wrong total."""
-    w = Window.partitionBy("organism").orderBy("batch")
-    b = batches.withColumn("before", F.lag(F.element_at("targets", -1)).over(w))
-    b = b.join(batch_reconciliation(inventory, batches).select("organism", "batch", "ok"), ["organism", "batch"], "left")
+def validate_batch_plan(batches: DataFrame, inventory: DataFrame, organisms: Sequence[str], base_url: str = "https://example.org/interactions", constants: dict[str, str] | None = None) -> DataFrame:
+    """(organism, batch, rule) of every rule that a plan breaks; batches: organism, batch, targets, expected_edges, url, and the place ``leaf`` in the whole plan.
+
+    organism: not among the query's. order: an organism's batches stand before an earlier
+    organism's. targets, edges: none or too many. unsorted: targets out of order. empty: a
+    blank target. repeated: a target that an earlier batch of the organism has. canonical:
+    the url isn't that of the query. url: too many bytes. counts: not the inventory's
+    number of edges. total: all batches together don't have as many edges as the inventory (one row
+    without organism and batch).
+    """
+    n, asked = F.size("targets"), F.array(*[F.lit(x) for x in organisms])
     rules = F.array(
-        F.when(F.array_sort(F.array_distinct("targets")) != F.col("targets"), "unsorted"),
-        F.when(F.size("targets") > MOST_TARGETS, "targets"),
-        F.when(F.col("expected_edges") > MOST_EDGES, "edges"),
-        F.when(F.length("url") > MOST_URL, "url"),
-        F.when(F.col("before") >= F.element_at("targets", 1), "order"),
-        F.when(~F.col("ok"), "total"),
+        F.when(~F.array_contains(asked, F.col("organism")), "organism"),
+        F.when(~n.between(1, MOST_TARGETS), "targets"),
+        F.when(~F.col("expected_edges").between(1, MOST_EDGES), "edges"),
+        F.when(F.array_sort("targets") != F.col("targets"), "unsorted"),
+        F.when(F.exists("targets", lambda t: C.blank(t)), "empty"),
+        F.when(~F.col("url").eqNullSafe(canonical_url(base_url, constants or {}, F.col("organism"), F.col("targets"))), "canonical"),
+        F.when(F.octet_length("url") > MOST_URL, "url"),
     )
-    return b.select("organism", "batch", F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("rule"))
+    own = batches.select("organism", "batch", F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("rule"))
+    counted = batch_reconciliation(inventory, batches).filter("not ok").select("organism", "batch", F.lit("counts").alias("rule"))
+    place = F.array_position(asked, F.col("organism"))
+    spans = batches.filter(place > 0).groupBy("organism").agg(F.min("leaf").alias("first"), F.max("leaf").alias("last"), F.min(place).alias("place"))
+    before = F.max("last").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1))  # one row an organism of the query
+    late = spans.withColumn("before", before).filter("first < before").select("organism", F.lit(None).cast("int").alias("batch"), F.lit("order").alias("rule"))
+    seen = batches.select("organism", "batch", F.explode("targets").alias("target")).filter(~C.blank(F.col("target")))
+    first = seen.groupBy("organism", "target").agg(F.min("batch").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    twice = seen.join(first, ["organism", "target"]).filter("batch > first").select("organism", "batch", F.lit("repeated").alias("rule")).distinct()
+    inside = seen.groupBy("organism", "batch", "target").count().filter("count > 1").select("organism", "batch", F.lit("repeated").alias("rule")).distinct()
+    want = inventory.agg(F.count("*").alias("edges"))
+    total = batches.agg(F.coalesce(F.sum("expected_edges"), F.lit(0)).alias("planned")).join(want, how="cross").filter("planned <> edges")
+    whole = total.select(F.lit(None).cast("string").alias("organism"), F.lit(None).cast("int").alias("batch"), F.lit("total").alias("rule"))
+    return own.unionByName(counted).unionByName(late).unionByName(twice.unionByName(inside).distinct()).unionByName(whole)
+
+
+def assembled(batches: Sequence[DataFrame], key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(all batches' edges as one table, edges that more than one row has)."""
+    edges = reduce(DataFrame.unionByName, batches)
+    return edges, duplicate_edges(edges, key)
+
+
+def split_archive(edges: DataFrame, dataset: str | None, requested: DataFrame, a: str = "ncbi_tax_id_source", b: str = "ncbi_tax_id_target") -> tuple[DataFrame, DataFrame]:
+    """(edges of the dataset's column that is true, a row for each requested organism; edges of every requested organism, also those without any)."""
+    own = edges.filter(F.lower(F.trim(dataset)) == "true") if dataset else edges
+    mine = routed(own, a, b).join(requested, "organism", "left_semi")
+    return mine, split_counts(mine, requested)
 
 
 def validate_query_meta(meta: DataFrame, fields: Sequence[str]) -> DataFrame:

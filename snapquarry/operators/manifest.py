@@ -85,19 +85,70 @@ def entity_files(records: DataFrame, entity: str) -> DataFrame:
     return records.groupBy(entity).agg(F.transform(files, lambda x: x["path"]).alias("paths"))
 
 
-def scope(records: DataFrame, key: Sequence[str], path: str = "path") -> DataFrame:
-    """Scope type and joined value of each snapshot, from its records' paths."""
-    named = records.select(*key, C.scope_of(F.col(path)).alias("scope")).filter("scope <> ''")
-    sets = named.groupBy(*key).agg(F.array_sort(F.collect_set("scope")).alias("scopes"))
-    kind = F.when(F.forall("scopes", lambda s: s.rlike("^[0-9]+$")), F.when(F.size("scopes") == 1, "organism").otherwise("organisms")).when(F.size("scopes") == 1, "reference").otherwise("scopes")
-    return sets.select(*key, kind.alias("scope_type"), F.array_join("scopes", ",").alias("scope_value"))
-
-
-def entity_manifest(records: DataFrame, key: Sequence[str], entity: str) -> DataFrame:
+#: Hierarchy scopes that stand for the reference, and the name of a query's own metadata.
+REFERENCE_SCOPES, QUERY_META = ("br", "ko"), "query_meta.json"
+
+
+def scope(records: DataFrame, key: Sequence[str], family: str = "organism", default: tuple[str, str] = ("organisms", "")) -> DataFrame:
+    """Scope type and value of each snapshot from its records, by the rules of its family; ``default`` where no record has a scope.
+
+    pathway: reference alone is (reference, pathway); one organism, or several without the reference, joined.
+    hierarchy: one or several, of the reference, of organisms or mixed (scopes); all are joined.
+    organism: second path segments but the query's metadata.
+    annotation: datasets|formats of the assets' names.
+    """
+    kind, value = F.lit(default[0]), F.lit(default[1])
+    if family == "annotation":
+        name = C.annotation_name(F.col("asset"))
+        sets = records.groupBy(*key).agg(F.array_sort(F.collect_set(name["dataset"])).alias("scopes"), F.array_sort(F.collect_set(name["format"])).alias("formats"))
+        some = F.size("scopes") > 0
+        joined = F.concat(F.array_join("scopes", ","), F.lit("|"), F.array_join("formats", ","))
+        return sets.select(*key, F.when(some, "datasets_formats").otherwise("").alias("scope_type"), F.when(some, joined).otherwise("").alias("scope_value"))
+    own = F.nullif(C.scope_of(F.col("path")), F.lit(""))
+    sets = records.groupBy(*key).agg(F.array_sort(F.collect_set(own)).alias("scopes"))
+    n = F.size("scopes")
+    if family == "pathway":
+        others = F.filter("scopes", lambda s: s != "reference")
+        kind = F.when(n == 0, kind).when(F.size(others) == 0, "reference").when(n == 1, "organism").otherwise("organisms")
+        value = F.when(n == 0, value).when(F.size(others) == 0, "pathway").otherwise(F.array_join(others, ","))
+    elif family == "hierarchy":
+        general = lambda s: s.isin(*REFERENCE_SCOPES)
+        all_, none = F.forall("scopes", general), ~F.exists("scopes", general)
+        one = F.when(all_, "reference").otherwise("organism")
+        kind = F.when(n == 0, kind).when(n == 1, one).when(all_, "references").when(none, "organisms").otherwise("scopes")
+        value = F.when(n == 0, value).otherwise(F.array_join("scopes", ","))
+    elif family == "organism":
+        others = F.filter("scopes", lambda s: s != QUERY_META)
+        kind = F.when(F.size(others) == 0, kind).when(F.size(others) == 1, "organism").otherwise("organisms")
+        value = F.when(F.size(others) == 0, value).otherwise(F.array_join(others, ","))
+    else:
+        raise ValueError(f"unknown family {family}")
+    return sets.select(*key, kind.alias("scope_type"), value.alias("scope_value"))
+
+
+def entity_manifest(records: DataFrame, key: Sequence[str], entity: str, family: str = "organism") -> DataFrame:
     """(key, entity, paths, scope_type, scope_value): each entity's sorted files beside its snapshot's scope."""
     files = F.array_sort(F.collect_list(F.struct("asset", "path")))
     listed = records.groupBy(*key, entity).agg(F.transform(files, lambda x: x["path"]).alias("paths"))
-    return listed.join(scope(records, key), list(key), "left").orderBy(*key, entity)
+    return listed.join(scope(records, key, family), list(key), "left").orderBy(*key, entity)
+
+
+def classified_files(files: DataFrame, family: str, base_url: str) -> tuple[DataFrame, DataFrame]:
+    """(files with entity_id, asset and url; violations: path, rule) of pathway or hierarchy files, by their names. The list file has no entity."""
+    name = C.last_segment(F.col("path"))
+    found = C.entity_file(name, C.scope_of(F.col("path")), family, base_url)
+    known = files.withColumn("found", found)
+    bad = known.filter("found is null").select("path", F.lit("unexpected name").alias("rule"))
+    return known.filter("found is not null").select(*files.columns, "found.*"), bad
+
+
+def reused_and_acquired(reused: DataFrame, acquired: DataFrame) -> DataFrame:
+    return reused.unionByName(acquired)
+
+
+def distinct_values(rows: DataFrame, value: str) -> DataFrame:
+    """Sorted distinct values that aren't blank."""
+    return rows.select(value).filter(~C.blank(F.col(value))).distinct().orderBy(value)
 
 
 def combined_version(records: DataFrame, key: Sequence[str], version: str) -> DataFrame:

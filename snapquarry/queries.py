@@ -7,10 +7,14 @@ an arriving record. Which records differ from the files goes by asset (source).
 
 from __future__ import annotations
 
+import gzip
+import io
 import uuid
+import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapquarry.functions import checks as C
@@ -19,6 +23,7 @@ from snapquarry.operators import edges as E
 from snapquarry.operators import manifest as M
 from snapquarry.operators.catalog import select_assets
 from snapquarry.plans import reconcile as R
+from snapquarry.sources import files as S
 from snapquarry.sources.files import classify_sidecars
 from snapquarry.sources.storage import shared_dir
 from snapquarry.streaming.upsert import latest_version, upsert_stream
@@ -232,28 +237,53 @@ def _(s, d):
     return E.outside_batches(e, batches).select(*e.columns)
 
 
-@query("w2_plan_edge_batches")
+NAME_SQL = "CASE WHEN l_partkey % 4 = 0 THEN 'p~9*' ELSE 'p: é ' || l_partkey END"
+GREEDY = f""", named AS (SELECT l_returnflag AS organism, {NAME_SQL} AS target FROM lineitem),
+counted AS (SELECT organism, target, count(*) AS n, strlen(replace(url_encode(target), '%20', '+')) AS own, row_number() OVER (PARTITION BY organism ORDER BY target) AS k FROM named GROUP BY organism, target HAVING count(*) <= 500),
+walk AS (WITH RECURSIVE w AS (SELECT organism, target, n, k, 0 AS batch, n AS edges, 1 AS size, 74 + own AS len FROM counted WHERE k = 1
+ UNION ALL SELECT c.organism, c.target, c.n, c.k, w.batch + CASE WHEN {{0}} THEN 1 ELSE 0 END, CASE WHEN {{0}} THEN c.n ELSE w.edges + c.n END, CASE WHEN {{0}} THEN 1 ELSE w.size + 1 END, CASE WHEN {{0}} THEN 74 + c.own ELSE w.len + 3 + c.own END FROM w JOIN counted c ON c.organism = w.organism AND c.k = w.k + 1) SELECT * FROM w)
+""".format("w.edges + c.n > 500 OR w.size = 100 OR w.len + 3 + c.own > 6144")
+
+
+def named_edges(s: SparkSession, d: str) -> DataFrame:
+    part = F.col("l_partkey")
+    return t(s, d, "lineitem").select(F.col("l_returnflag").alias("organism"), F.when(part % 4 == 0, "p~9*").otherwise(F.concat(F.lit("p: é "), part.cast("string"))).alias("target"))
+
+
+@query("w2_plan_edge_batches", GREEDY + "SELECT organism, batch, string_agg(target, ',' ORDER BY target) AS targets, CAST(sum(n) AS BIGINT) AS expected_edges, 'https://example.org/interactions?license=academic+use&organisms=' || organism || '&targets=' || string_agg(replace(url_encode(target), '%20', '+'), '%2C' ORDER BY target) AS url, CAST(NULL AS VARCHAR) AS error FROM walk GROUP BY organism, batch UNION ALL SELECT organism, NULL, target, count(*), NULL, 'target over a bound' FROM named WHERE target = 'p~9*' GROUP BY ALL HAVING count(*) > 500")
 def _(s, d):
-    return E.plan_edge_batches(edges(s, d))
+    """Targets with blanks, accents and colons, whose urls are far longer encoded; one target of each organism has over 500 edges."""
+    return E.plan_edge_batches(named_edges(s, d), constants={"license": "academic use"}).withColumn("targets", F.array_join("targets", ","))
 
 
-@query("e10_validate_batch_plan", "SELECT CAST(NULL AS VARCHAR) AS organism, CAST(NULL AS INTEGER) AS batch, CAST(NULL AS VARCHAR) AS rule WHERE false")
+@query("e10_validate_batch_plan", """, plan AS (SELECT CAST(o_custkey AS INTEGER) AS batch, list(CAST(o_orderkey AS VARCHAR) ORDER BY CAST(o_orderkey AS VARCHAR)) AS targets, count(*) AS n FROM orders GROUP BY o_custkey)
+SELECT 'F' AS organism, batch, unnest(list_filter([CASE WHEN batch % 7 = 1 AND len(targets) > 1 THEN 'unsorted' END, CASE WHEN batch % 7 = 2 THEN 'edges' END, CASE WHEN batch % 7 = 3 THEN 'canonical' END, CASE WHEN batch % 7 = 4 THEN 'repeated' END, CASE WHEN batch % 7 = 5 THEN 'empty' END, CASE WHEN batch % 7 = 6 THEN 'counts' END, CASE WHEN batch % 7 = 2 THEN 'counts' END], lambda x: x IS NOT NULL)) AS rule FROM plan
+UNION ALL SELECT NULL, NULL, 'total'""")
 def _(s, d):
-    e = edges(s, d)
-    return E.validate_batch_plan(E.plan_edge_batches(e).drop("error"), e)
+    """Batches of a customer's orders, of which six sevenths break a rule each: out of order, too many edges, a url that isn't the query's, a target twice, a blank target, a wrong count."""
+    k = F.col("o_custkey") % 7
+    plan = t(s, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.col("o_orderkey").cast("string"))).alias("x"), F.count("*").alias("n"))
+    x = F.when(k == 1, F.reverse("x")).when(k == 4, F.array_sort(F.concat("x", F.slice("x", 1, 1)))).when(k == 5, F.concat(F.array(F.lit(" ")), "x")).otherwise(F.col("x"))
+    edges_ = F.when(k == 2, 501).when(k == 6, F.col("n") + 1).when(k == 4, F.col("n") + 1).otherwise(F.col("n"))
+    plan = plan.select(F.lit("F").alias("organism"), F.col("o_custkey").cast("int").alias("batch"), x.alias("targets"), edges_.alias("expected_edges"), F.col("o_custkey").alias("leaf"), k.alias("k"))
+    url = E.canonical_url("https://example.org/interactions", {}, F.lit("F"), F.col("targets"))
+    plan = plan.withColumn("url", F.when(F.col("k") == 3, F.concat(url, F.lit("&x=1"))).otherwise(url)).drop("k")
+    return E.validate_batch_plan(plan, t(s, d, "orders").select(F.lit("F").alias("organism"), F.col("o_orderkey").cast("string").alias("target")), ["F"])
 
 
-@query("a13_batch_reconciliation", "SELECT count(*) AS edges, true AS ok FROM edges")
+@query("a13_batch_reconciliation", "SELECT organism, CAST(CAST(target AS BIGINT) // 100 AS INTEGER) AS batch, count(*) + CASE WHEN CAST(target AS BIGINT) // 100 = 1 THEN 1 ELSE 0 END AS expected_edges, count(*) AS actual_edges, CAST(target AS BIGINT) // 100 <> 1 AS ok FROM edges GROUP BY organism, CAST(target AS BIGINT) // 100")
 def _(s, d):
-    e = edges(s, d)
-    r = E.batch_reconciliation(e, E.plan_edge_batches(e))
-    return r.agg(F.sum("actual_edges").alias("edges"), F.min("ok").alias("ok"))
+    """Batches of up to 100 targets; the second expects an edge too many."""
+    e, batch = edges(s, d), F.expr("cast(cast(target as bigint) div 100 as int)")
+    plan = e.groupBy("organism", batch.alias("batch")).agg(F.collect_set("target").alias("targets"), F.count("*").alias("n"))
+    return E.batch_reconciliation(e, plan.select("organism", "batch", "targets", (F.col("n") + F.when(F.col("batch") == 1, 1).otherwise(0)).alias("expected_edges")))
 
 
-@query("e9_compare_inventories", "SELECT organism, sha256(string_agg(source || chr(9) || target, chr(10) ORDER BY source || chr(9) || target)) AS \"start\", sha256(string_agg(source || chr(9) || target, chr(10) ORDER BY source || chr(9) || target)) AS \"end\", true AS equal FROM edges GROUP BY ALL")
+@query("e9_compare_inventories", "SELECT coalesce(a.organism, b.organism) AS organism, a.d AS \"start\", b.d AS \"end\", coalesce(a.d = b.d, false) AS equal FROM (SELECT organism, sha256(string_agg(source || chr(9) || target, chr(10) ORDER BY source || chr(9) || target)) AS d FROM edges WHERE organism <> 'A' GROUP BY ALL) a FULL JOIN (SELECT organism, sha256(string_agg(source || chr(9) || target, chr(10) ORDER BY source || chr(9) || target)) AS d FROM edges WHERE organism <> 'N' OR source <> '1' GROUP BY ALL) b ON a.organism = b.organism")
 def _(s, d):
+    """One organism is only in the second, one lost a source's edges, one is the same."""
     e = edges(s, d)
-    return E.compare_inventories(e, e, ["source", "target"])
+    return E.compare_inventories(e.filter("organism <> 'A'"), e.filter("organism <> 'N' or source <> '1'"), ["source", "target"])
 
 
 @query("j16_routed", "SELECT c_custkey, organism FROM routed")
@@ -289,20 +319,28 @@ def _(s, d):
     return records(s, d).select("path", C.record_path_ok(F.col("path")).alias("path_ok"), C.sha256_ok(F.col("sha256")).alias("sha_ok"), C.bytes_ok(F.col("bytes")).alias("bytes_ok"), C.scope_of(F.col("path")).alias("scope"), C.last_segment(F.col("snapshot")).alias("last"))
 
 
-@query("p11_p13_ids", "SELECT p_partkey, lower(regexp_replace(p_brand, '[^A-Za-z]', '', 'g')) || lpad(CAST(p_partkey AS VARCHAR), 5, '0') AS hierarchy, lower(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) AS organism, true AS taxid FROM part")
+@query("p11_p13_ids", "SELECT p_partkey, CASE WHEN p_size % 5 <> 0 THEN lower(regexp_replace(p_brand, '[^A-Za-z]', '', 'g')) || lpad(CAST(p_partkey AS VARCHAR), 5, '0') END AS hierarchy, CASE WHEN p_size % 5 <> 1 THEN lower(regexp_replace(p_brand, '[^A-Za-z0-9]', '', 'g')) END AS organism, p_size % 5 NOT IN (2, 3) AS taxid, CASE WHEN p_size % 5 <> 4 THEN 'Map' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') END AS pathway FROM part")
 def _(s, d):
-    p = t(s, d, "part")
-    h = F.concat(F.lit("br:"), F.lower(F.regexp_replace("p_brand", "[^A-Za-z]", "")), F.lpad(F.col("p_partkey").cast("string"), 5, "0"))
-    o = F.concat(F.lit(" "), F.regexp_replace("p_brand", "[^A-Za-z0-9]", ""), F.lit("; "), F.col("p_name"))
-    return p.select("p_partkey", C.hierarchy_id(h).alias("hierarchy"), C.organism_code(o).alias("organism"), C.taxid_ok(F.col("p_partkey").cast("string")).alias("taxid"))
+    """A fifth of each kind of id is malformed."""
+    p, k, five = t(s, d, "part"), F.col("p_size") % 5, F.lpad(F.col("p_partkey").cast("string"), 5, "0")
+    h = F.concat(F.lit("br:"), F.lower(F.regexp_replace("p_brand", "[^A-Za-z]", "")), five, F.when(k == 0, "x").otherwise(""))
+    o = F.concat(F.lit(" "), F.regexp_replace("p_brand", "[^A-Za-z0-9]", ""), F.when(k == 1, "-").otherwise(""), F.lit("; "), F.col("p_name"))
+    x = F.when(k == 2, "-1").when(k == 3, " ").otherwise(F.col("p_partkey").cast("string"))
+    w = F.concat(F.when(k == 4, "M1").otherwise(" Map"), five)
+    return p.select("p_partkey", C.hierarchy_id(h).alias("hierarchy"), C.organism_code(o).alias("organism"), C.taxid_ok(x).alias("taxid"), C.pathway_id(w).alias("pathway"))
 
 
-@query("p17_release_tokens", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'archive' WHEN 'O' THEN 'kegg' ELSE 'cog' END AS \"database\", CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 'O' THEN strftime(o_orderdate, '%Y-%m') ELSE 'COG' || strftime(o_orderdate, '%Y') END AS token FROM orders")
+@query("p17_release_tokens", """, r AS (SELECT o_orderkey, CAST(o_orderkey % 16 AS INTEGER) AS k, strftime(o_orderdate, '%Y') AS y, strftime(o_orderdate, '%m') AS m, strftime(o_orderdate, '%d') AS dd FROM orders)
+SELECT o_orderkey, CASE k WHEN 0 THEN 'v' || m WHEN 1 THEN m || '.0' WHEN 2 THEN y || '_' || m WHEN 3 THEN y || '-' || m WHEN 4 THEN 'COG' || y WHEN 5 THEN m || '.0.2' WHEN 6 THEN m || '.7-' || dd || '.0' WHEN 7 THEN y || '-' || m || '-' || dd WHEN 8 THEN 'v' || m END AS token FROM r""")
 def _(s, d):
-    st, day = F.col("o_orderstatus"), F.col("o_orderdate")
-    db = F.when(st == "F", "archive").when(st == "O", "kegg").otherwise("cog")
-    raw = F.when(st == "F", F.date_format(day, "yyyy-MM-dd")).when(st == "O", F.date_format(day, "yyyy-MM")).otherwise(F.date_format(day, "yyyy"))
-    return t(s, d, "orders").select("o_orderkey", db.alias("database"), C.release_token(db, raw).alias("token"))
+    """A token of each database, the reactome one with and without its v, and seven malformed ones."""
+    y, m, dd = (F.date_format("o_orderdate", x) for x in ("yyyy", "MM", "dd"))
+    good = [("reactome", F.concat(F.lit(" "), m)), ("interpro", F.concat(m, F.lit(".0"))), ("uniprot", F.concat_ws("_", y, m)), ("kegg", F.concat_ws("-", y, m)), ("cog", y), ("eggnog", F.concat(m, F.lit(".0.2"))), ("interproscan", F.concat(m, F.lit(".7-"), dd, F.lit(".0"))), ("archive", F.concat_ws("-", y, m, dd)), ("reactome", F.concat(F.lit("v"), m))]
+    bad = [("interpro", m), ("uniprot", F.concat_ws("-", y, m)), ("kegg", y), ("cog", F.concat(F.lit("COG"), m)), ("eggnog", F.concat(m, F.lit(".0"))), ("interproscan", F.concat(m, F.lit(".7"))), ("archive", F.concat_ws("/", y, m, dd))]
+    db = token = F.lit(None).cast("string")
+    for k, (name, value) in enumerate(good + bad):
+        db, token = F.when(F.col("o_orderkey") % 16 == k, name).otherwise(db), F.when(F.col("o_orderkey") % 16 == k, value).otherwise(token)
+    return t(s, d, "orders").select("o_orderkey", C.release_token(db, token).alias("token"))
 
 
 @query("p20_p21_versions", "SELECT o_orderkey, CASE WHEN o_orderpriority <> o_orderstatus THEN o_orderpriority END AS version, coalesce(nullif(trim(CASE WHEN o_orderstatus = 'F' THEN ' ' ELSE o_orderstatus END), ''), o_orderpriority) AS start FROM orders")
@@ -317,15 +355,50 @@ def _(s, d):
     return t(s, d, "events").select("event_id", C.info_release(text).alias("release"), C.info_updated(text).alias("updated"))
 
 
-@query("p7_p10_file_names", "SELECT doc_id, 'set_' || source AS dataset, CASE lang WHEN 'en' THEN 'gaf' WHEN 'fr' THEN 'gpad' ELSE 'gpi' END AS format, 'links' AS asset, lang AS species, '2026-05-10' AS released FROM documents")
+@query("p8_p10_file_names", """SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN 'set_' || source END AS dataset, CASE WHEN doc_id % 4 <> 0 THEN CASE lang WHEN 'en' THEN 'gaf' WHEN 'fr' THEN 'gpad' ELSE 'gpi' END END AS format, CASE WHEN doc_id % 4 <> 1 THEN 'links' END AS asset, CASE WHEN doc_id % 4 <> 2 THEN lang END AS species, CASE WHEN doc_id % 4 <> 2 THEN '2026-05-10' END AS released FROM documents""")
 def _(s, d):
-    fmt = F.when(F.col("lang") == "en", "gaf").when(F.col("lang") == "fr", "gpad").otherwise("gpi")
+    """A quarter of each kind of name is malformed."""
+    k, number = F.col("doc_id") % 4, F.col("doc_id").cast("string")
+    fmt = F.when(k == 0, "gafx").when(F.col("lang") == "en", "gaf").when(F.col("lang") == "fr", "gpad").otherwise("gpi")
     a = C.annotation_name(F.concat(F.lit("set_"), "source", F.lit("."), fmt, F.lit(".gz")))
-    n = C.network_asset(F.concat(F.col("doc_id").cast("string"), F.lit(".links.v12.0.txt.gz")), F.col("doc_id").cast("string"))
-    p = C.pathway_set_name(F.concat(F.lit("wikipathways-20260510-gmt-"), "lang", F.lit(".gmt")))
+    n = C.network_asset(F.concat(number, F.lit(".links.v12.0.txt.gz")), F.when(k == 1, F.concat(F.lit("9"), number)).otherwise(number))
+    p = C.pathway_set_name(F.concat(F.when(k == 2, "wikipathways-2026051-gmt-").otherwise("wikipathways-20260510-gmt-"), "lang", F.lit(".gmt")))
     return t(s, d, "documents").select("doc_id", a["dataset"].alias("dataset"), a["format"].alias("format"), n.alias("asset"), p["species"].alias("species"), p["released"].alias("released"))
 
 
+ENTITY_NAMES = """, named AS (SELECT doc_id, lang, 'raw/' || CASE WHEN lang = 'en' THEN 'reference' ELSE lang END || '/' || CASE doc_id % 6 WHEN 0 THEN 'pathway.list.tsv' WHEN 1 THEN 'map' || doc_id || '.txt' WHEN 2 THEN 'map' || doc_id || '.kgml' WHEN 3 THEN 'map' || doc_id || '.conf' WHEN 4 THEN 'map' || doc_id || '.png' ELSE 'map' || doc_id || '.gif' END AS path FROM documents)
+"""
+
+
+def entity_names(s: SparkSession, d: str) -> DataFrame:
+    k, own = F.col("doc_id") % 6, F.concat(F.lit("map"), F.col("doc_id").cast("string"))
+    name = F.when(k == 0, "pathway.list.tsv")
+    for i, suffix in enumerate((".txt", ".kgml", ".conf", ".png", ".gif"), 1):
+        name = name.when(k == i, F.concat(own, F.lit(suffix)))
+    return t(s, d, "documents").select("doc_id", F.concat(F.lit("raw/"), F.when(F.col("lang") == "en", "reference").otherwise(F.col("lang")), F.lit("/"), name).alias("path"))
+
+
+@query("p7_entity_files", ENTITY_NAMES + """SELECT doc_id, path, CASE WHEN doc_id % 6 = 0 THEN '' ELSE 'map' || doc_id END AS entity_id, CASE doc_id % 6 WHEN 0 THEN 'pathway.list' WHEN 1 THEN 'pathway.entry' WHEN 2 THEN 'pathway.kgml' WHEN 3 THEN 'pathway.conf' ELSE 'pathway.image' END AS asset,
+ 'https://example.org' || CASE doc_id % 6 WHEN 0 THEN '/list/pathway' || CASE WHEN lang = 'en' THEN '' ELSE '/' || lang END WHEN 1 THEN '/get/map' || doc_id WHEN 2 THEN '/get/map' || doc_id || '/kgml' WHEN 3 THEN '/get/map' || doc_id || '/conf' ELSE '/get/map' || doc_id || '/image' END AS url FROM named WHERE doc_id % 6 <> 5""")
+def _(s, d):
+    return M.classified_files(entity_names(s, d), "pathway", "https://example.org")[0]
+
+
+@query("p7_unexpected_names", ENTITY_NAMES + "SELECT path, 'unexpected name' AS rule FROM named WHERE doc_id % 6 = 5")
+def _(s, d):
+    return M.classified_files(entity_names(s, d), "pathway", "https://example.org")[1]
+
+
+@query("p24_notes_release", "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y_%m') END AS uniprot, CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS VARCHAR) || '.0' END AS interpro FROM orders")
+def _(s, d):
+    """Several releases in the notes: the first line that begins with the mark counts."""
+    st, ym = F.col("o_orderstatus"), F.date_format("o_orderdate", "yyyy_MM")
+    up = F.concat(F.lit("Notes on UniProt Release 1999_01\n"), F.when(st == "P", "x ").otherwise(""), F.lit("UniProt Release "), ym, F.lit(" of today\nUniProt Release 2001_01\n"))
+    ip = F.concat(F.lit("The Release 1.0 was old\n"), F.when(st == "F", "- ").otherwise(""), F.lit("Release "), F.col("o_custkey").cast("string"), F.lit(".0, more\n"))
+    up = F.when(st == "P", F.regexp_replace(up, "\nUniProt Release 2001_01", "")).otherwise(up)
+    return t(s, d, "orders").select("o_orderkey", C.notes_release(up, "uniprot").alias("uniprot"), C.notes_release(ip, "interpro").alias("interpro"))
+
+
 @query("p16_domains", "SELECT o_orderpriority, lower(trim(o_orderpriority)) IN ('1-urgent', '2-high') AS ok, count(*) AS n FROM orders GROUP BY ALL")
 def _(s, d):
     return t(s, d, "orders").groupBy("o_orderpriority", C.in_domain(F.col("o_orderpriority"), ["1-urgent", "2-high"]).alias("ok")).agg(F.count("*").alias("n"))
@@ -341,9 +414,38 @@ def _(s, d):
     return D.page_links(t(s, d, "pages"))
 
 
-@query("e12_discover_links")
+LINKED = """, linked AS (SELECT page_id, regexp_extract(url, '([a-z]+)[.]example', 1) AS site, page_id % 3 AS k FROM pages)
+"""
+
+
+def linked_pages(s: SparkSession, d: str) -> DataFrame:
+    """Index pages that link to files of their site: names encoded, repeated, in folders, with queries; other links beside them."""
+    site = F.regexp_extract("url", "([a-z]+)[.]example", 1)
+    fmt = F.when(F.col("page_id") % 3 == 0, "gaf").when(F.col("page_id") % 3 == 1, "gpad").otherwise("json")
+    a, p = F.concat(site, F.lit("."), fmt, F.lit(".gz")), F.concat(F.lit("-gmt-"), site, F.lit(".gmt"))
+    parts = ['<a href="../">up</a><a href="/annotations/', a, '?C=N&amp;O=D#top">x</a><a href=" ', F.replace(a, F.lit("."), F.lit("%2E")), '">x</a><a href="index.html">i</a><a href="sub%2Fwikipathways-20250101', p, '">x</a><a href="', "wikipathways-20260510", p, '/">x</a>']
+    return t(s, d, "pages").select("page_id", F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts]).alias("html"))
+
+
+@query("e12_discover_links", LINKED + "SELECT page_id, 1 AS pos, site || CASE k WHEN 0 THEN '.gaf.gz' WHEN 1 THEN '.gpad.gz' ELSE '.json.gz' END AS name FROM linked UNION ALL SELECT page_id, 4, 'wikipathways-20250101-gmt-' || site || '.gmt' FROM linked UNION ALL SELECT page_id, 5, 'wikipathways-20260510-gmt-' || site || '.gmt' FROM linked")
+def _(s, d):
+    return D.discover_links(linked_pages(s, d))
+
+
+@query("e12_annotation_links", LINKED + "SELECT page_id, site || '.gaf.gz' AS name, site AS dataset, 'gaf' AS format, 'raw/' || site || '.gaf.gz' AS path, 'https://example.org/a/' || site || '.gaf.gz' AS url FROM linked WHERE k = 0")
 def _(s, d):
-    return D.discover_links(t(s, d, "pages"))
+    return D.annotation_links(linked_pages(s, d), ["gaf", "gpi"], "https://example.org/a/")
+
+
+@query("e12_pathway_sets", LINKED + "SELECT page_id, site AS species, 'wikipathways-20260510-gmt-' || site || '.gmt' AS name, '2026-05-10' AS released FROM linked")
+def _(s, d):
+    return D.pathway_set_links(linked_pages(s, d))
+
+
+@query("e12_real_pages", "SELECT DISTINCT page_id, min(CAST(pos AS INTEGER)) AS pos, regexp_extract(href, '[^/]*$') AS name FROM links WHERE regexp_full_match(href, '/[A-Za-z]+[.]') GROUP BY ALL")
+def _(s, d):
+    """The pages' own links; of the names with a dot those that are plain letters, whose decoding SQL can say."""
+    return D.discover_links(t(s, d, "pages")).filter(F.col("name").rlike("^[A-Za-z]+[.]$"))
 
 
 @query("w3_first_seen", "SELECT href, min(page_id * 100000 + pos) AS pos FROM links GROUP BY ALL")
@@ -404,9 +506,39 @@ def _(s, d):
     return M.entity_files(files(s, d), "dataset").select("dataset", F.array_join("paths", ",").alias("paths"))
 
 
-@query("a9_scope", "SELECT snapshot, 'reference' AS scope_type, min(dataset) AS scope_value FROM files GROUP BY ALL")
+SCOPED = """, scoped AS (SELECT o_custkey, CASE WHEN o_custkey % 6 = 0 THEN '' WHEN o_custkey % 6 = 1 THEN 'reference' WHEN o_custkey % 6 = 2 THEN 'hsa' WHEN o_custkey % 6 = 3 THEN CASE WHEN o_orderstatus = 'F' THEN 'reference' ELSE 'mmu' END WHEN o_custkey % 6 = 4 THEN CASE WHEN o_orderstatus = 'F' THEN 'br' ELSE 'ko' END ELSE CASE o_orderstatus WHEN 'F' THEN 'reference' WHEN 'O' THEN 'hsa' ELSE 'br' END END AS scope FROM orders),
+sets AS (SELECT o_custkey, coalesce(list_sort(list(DISTINCT scope) FILTER (scope <> '')), []) AS x FROM scoped GROUP BY ALL), parts AS (SELECT *, list_filter(x, lambda s: s <> 'reference') AS o, list_filter(x, lambda s: s IN ('br', 'ko')) AS g FROM sets)
+"""
+
+
+def scoped(s: SparkSession, d: str) -> DataFrame:
+    """Records of customers' snapshots: without scope, of the reference, of one organism, of both, of hierarchies and mixed."""
+    k, st = F.col("o_custkey") % 6, F.col("o_orderstatus")
+    own = F.when(k == 1, "reference").when(k == 2, "hsa").when(k == 3, F.when(st == "F", "reference").otherwise("mmu")).when(k == 4, F.when(st == "F", "br").otherwise("ko")).otherwise(F.when(st == "F", "reference").when(st == "O", "hsa").otherwise("br"))
+    return t(s, d, "orders").select("o_custkey", F.when(k == 0, F.concat(F.lit("raw/"), F.col("o_orderkey").cast("string"))).otherwise(F.concat(F.lit("raw/"), own, F.lit("/"), F.col("o_orderkey").cast("string"))).alias("path"))
+
+
+@query("a9_scope", SCOPED + "SELECT o_custkey, CASE WHEN len(x) = 0 THEN 'organisms' WHEN len(o) = 0 THEN 'reference' WHEN len(x) = 1 THEN 'organism' ELSE 'organisms' END AS scope_type, CASE WHEN len(x) = 0 THEN '' WHEN len(o) = 0 THEN 'pathway' ELSE array_to_string(o, ',') END AS scope_value FROM parts")
+def _(s, d):
+    return M.scope(scoped(s, d), ["o_custkey"], "pathway")
+
+
+@query("a9_hierarchy_scope", SCOPED + "SELECT o_custkey, CASE WHEN len(x) = 0 THEN 'reference' WHEN len(x) = 1 THEN CASE WHEN len(g) = 1 THEN 'reference' ELSE 'organism' END WHEN len(g) = len(x) THEN 'references' WHEN len(g) = 0 THEN 'organisms' ELSE 'scopes' END AS scope_type, CASE WHEN len(x) = 0 THEN 'ko' ELSE array_to_string(x, ',') END AS scope_value FROM parts")
 def _(s, d):
-    return M.scope(files(s, d), ["snapshot"])
+    return M.scope(scoped(s, d), ["o_custkey"], "hierarchy", ("reference", "ko"))
+
+
+@query("a9_organism_scope", "SELECT c_nationkey, CASE WHEN count(DISTINCT c_mktsegment) = 1 THEN 'organism' ELSE 'organisms' END AS scope_type, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS scope_value FROM customer GROUP BY ALL")
+def _(s, d):
+    x = t(s, d, "customer")
+    paths = x.select("c_nationkey", F.concat(F.lit("raw/"), "c_mktsegment", F.lit("/"), "c_name").alias("path"))
+    return M.scope(paths.union(x.select("c_nationkey", F.lit("raw/query_meta.json/x"))), ["c_nationkey"])
+
+
+@query("a9_annotation_scope", "SELECT c_nationkey, 'datasets_formats' AS scope_type, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) || '|gaf,gpi' AS scope_value FROM customer GROUP BY ALL")
+def _(s, d):
+    x = t(s, d, "customer").select("c_nationkey", "c_mktsegment", F.explode(F.array(*[F.lit(y) for y in (".gaf.gz", ".gpi.gz", ".txt")])).alias("end"))
+    return M.scope(x.withColumn("asset", F.concat("c_mktsegment", "end")), ["c_nationkey"], "annotation")
 
 
 @query("a10_combined_version", "SELECT asset, string_agg(DISTINCT dataset, '_' ORDER BY dataset) AS version_token FROM files GROUP BY ALL")
@@ -443,16 +575,51 @@ def _(s, d):
     return D.listing_ids(lines, "species").select("listing", "id", "pos")
 
 
-@query("o6_root_pick", "SELECT p_brand AS code, lower(substr(p_brand, 1, 2)) || '00001' AS id FROM part WHERE p_size = 1")
+def code_lines(s: SparkSession, d: str) -> DataFrame:
+    """Listings of codes: a third malformed, many repeated, blank lines between."""
+    k, five = F.col("c_custkey") % 3, F.lpad(F.col("c_nationkey").cast("string"), 5, "0")
+    code = F.concat(F.when(k == 0, "h").otherwise(" hsa"), five)
+    lines = t(s, d, "customer").select(F.col("c_mktsegment").alias("listing"), F.col("c_custkey").alias("pos"), F.concat(code, F.lit("\t"), "c_name").alias("value"))
+    return lines.union(lines.select("listing", F.col("pos") + 10_000_000, F.lit(" ")))
+
+
+@query("e15_pathway_ids", "SELECT c_mktsegment AS listing, 'hsa' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS id, min(c_custkey) AS pos FROM customer WHERE c_custkey % 3 <> 0 GROUP BY ALL")
+def _(s, d):
+    return D.listing_ids(code_lines(s, d), "pathway").select("listing", "id", "pos")
+
+
+@query("e15_entry_ids", "SELECT c_mktsegment AS listing, c_custkey AS pos, CASE WHEN c_custkey % 3 = 0 THEN 'h' ELSE 'hsa' END || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS id FROM customer")
+def _(s, d):
+    return D.listing_ids(code_lines(s, d), "entry")
+
+
+@query("e15_issues", "SELECT c_mktsegment AS listing, c_custkey AS pos, 'h' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') || chr(9) || c_name AS value FROM customer WHERE c_custkey % 3 = 0")
 def _(s, d):
-    ids = t(s, d, "part").select(F.col("p_brand").alias("code"), F.concat(F.lower(F.substring("p_brand", 1, 2)), F.lpad(F.col("p_size").cast("string"), 5, "0")).alias("id"))
-    return D.root_pick(ids, "code")
+    return D.listing_issues(code_lines(s, d), "pathway")
+
+
+@query("o6_root_pick", "SELECT p_brand AS code, lower(substr(p_brand, 1, 2)) || lpad(CAST(p_size AS VARCHAR), 5, '0') AS id FROM part WHERE p_size = 1 AND p_brand NOT IN (SELECT p_brand FROM part WHERE p_size = 2) UNION ALL SELECT p_brand, p_brand || '00001' FROM part WHERE p_size = 2")
+def _(s, d):
+    """Brands with a part of size 2 have a root of their own; the others fall back to every root."""
+    own = F.when(F.col("p_size") == 2, F.concat("p_brand", F.lit("00001"))).otherwise(F.concat(F.lower(F.substring("p_brand", 1, 2)), F.lpad(F.col("p_size").cast("string"), 5, "0")))
+    return D.root_pick(t(s, d, "part").select(F.col("p_brand").alias("code"), own.alias("id")), "code")
 
 
 @query("u1_u2_union_distinct", "SELECT DISTINCT source AS value FROM documents WHERE trim(source) <> '' UNION SELECT DISTINCT lang FROM documents")
 def _(s, d):
     x = t(s, d, "documents")
-    return x.select(F.col("source").alias("value")).unionByName(x.select(F.col("lang").alias("value"))).filter("trim(value) <> ''").distinct().orderBy("value")
+    return M.distinct_values(M.reused_and_acquired(x.select(F.col("source").alias("value")), x.select(F.when(F.col("doc_id") % 9 == 0, " ").otherwise(F.col("lang")).alias("value")).union(x.select("lang"))), "value")
+
+
+@query("o4_traversal", "SELECT c_custkey // 100 AS part, string_agg(c_name, ',' ORDER BY c_name) AS up, string_agg(c_name, ',' ORDER BY c_name DESC) AS down, string_agg(c_name, ',' ORDER BY c_custkey DESC) AS given FROM customer GROUP BY ALL")
+def _(s, d):
+    """A hundred customers at a time in the three orders, read off the rows' places."""
+    x, out = t(s, d, "customer").select(F.expr("c_custkey div 100").alias("part"), "c_name", (-F.col("c_custkey")).alias("pos")), None
+    for name, rule in (("up", "asc"), ("down", "desc"), ("given", "input")):
+        placed = D.in_order(x, "c_name", rule).withColumn("place", F.monotonically_increasing_id())
+        listed = placed.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("place", "c_name"))).alias("r")).select("part", F.array_join(F.transform("r", lambda y: y["c_name"]), ",").alias(name))
+        out = listed if out is None else out.join(listed, "part")
+    return out
 
 
 LOCK = """, both_sides AS (SELECT coalesce(r.path, p.path) AS path, p.bytes, p.sha256, p.path || CASE WHEN r.asset = 'src4' THEN '#derived' ELSE '' END AS url,
@@ -529,9 +696,9 @@ def _(s, d):
     return chosen_assets(s, d)[1]
 
 
-@query("e16_entity_manifest", "SELECT asset, dataset, string_agg(path, ',' ORDER BY path) AS paths, any_value(k) AS scope_type, any_value(v) AS scope_value FROM files JOIN (SELECT asset, CASE WHEN count(DISTINCT dataset) = 1 THEN 'reference' ELSE 'scopes' END AS k, array_to_string(list_sort(list_distinct(list(dataset))), ',') AS v FROM files GROUP BY ALL) USING (asset) GROUP BY asset, dataset")
+@query("e16_entity_manifest", "SELECT asset, dataset, string_agg(path, ',' ORDER BY path) AS paths, any_value(k) AS scope_type, any_value(v) AS scope_value FROM files JOIN (SELECT asset, CASE WHEN count(DISTINCT dataset) = 1 THEN 'organism' ELSE 'organisms' END AS k, string_agg(DISTINCT dataset, ',' ORDER BY dataset) AS v FROM files GROUP BY ALL) USING (asset) GROUP BY ALL")
 def _(s, d):
-    return M.entity_manifest(files(s, d), ["asset"], "dataset").withColumn("paths", F.array_join("paths", ","))
+    return M.entity_manifest(files(s, d), ["asset"], "dataset", "pathway").withColumn("paths", F.array_join("paths", ","))
 
 
 @query("e17_work_grid", "SELECT c_nationkey, c_mktsegment[1] AS prefix, c_mktsegment || c_custkey AS code, r_name, lpad(CAST(CAST((row_number() OVER (PARTITION BY c_nationkey, c_mktsegment[1], r_name ORDER BY c_mktsegment || c_custkey) - 1) // 10 AS BIGINT) AS VARCHAR), 6, '0') AS batch, 'raw/' || c_mktsegment || c_custkey || '/' || r_name || '.tsv' AS path FROM customer CROSS JOIN region WHERE c_mktsegment[1] IN ('A', 'B', 'M')")
@@ -547,9 +714,19 @@ def _(s, d):
     return D.header_version(t(s, d, "orders").select(F.col("o_custkey").cast("string").alias("file"), F.col("o_orderkey").alias("pos"), value.alias("value")))
 
 
-@query("u3_token_list", "SELECT doc_id, source AS token FROM documents UNION ALL SELECT doc_id, lang FROM documents")
+@query("u3_token_list", "SELECT doc_id, source AS token FROM documents UNION ALL SELECT doc_id, lang FROM documents WHERE doc_id % 5 <> 0")
 def _(s, d):
-    return D.token_list(t(s, d, "documents").select("doc_id", F.concat("source", F.lit(", "), "lang", F.lit(",")).alias("v")), "doc_id", "v")
+    return D.token_list(token_rows(s, d), "doc_id", "v")[0]
+
+
+@query("u3_token_issues", "SELECT doc_id, '@' || lang AS token, 'file syntax' AS rule FROM documents WHERE doc_id % 5 = 0")
+def _(s, d):
+    return D.token_list(token_rows(s, d), "doc_id", "v")[1]
+
+
+def token_rows(s: SparkSession, d: str) -> DataFrame:
+    at = F.when(F.col("doc_id") % 5 == 0, "@").otherwise("")
+    return t(s, d, "documents").select("doc_id", F.concat("source", F.lit(", ,"), at, "lang", F.lit(",")).alias("v"))
 
 
 @query("u4_fixed_domain", "SELECT l_orderkey, array_to_string(list_filter(['R', 'N', 'A'], lambda x: list_contains(list(l_returnflag), x)), ',') AS flags FROM lineitem GROUP BY ALL")
@@ -565,4 +742,238 @@ def _(s, d):
     out = f"{shared_dir(s)}/upsert/{uuid.uuid4().hex}"
     q = upsert_stream(named, f"{out}/versions", f"{out}/checkpoint", "path", ["ts", "event_id"], every=None)
     q.awaitTermination()
-    return latest_version(s, q, f"{out}/versions").drop("ts")
+    return latest_version(s, f"{out}/versions").drop("ts")
+
+
+# Sources, sinks and verifiers: the tables' texts become files in the shared folder, which are then read.
+
+
+def fresh(s: SparkSession) -> str:
+    return f"{shared_dir(s)}/files/{uuid.uuid4().hex}"
+
+
+def below(path: Column, root: str) -> Column:
+    """A file's path below root, whatever form the store gives the path."""
+    return F.substring_index(path, root.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+
+
+def page_files(s: SparkSession, d: str) -> DataFrame:
+    """Pages as files in folders by language; some are empty, some are unfinished downloads."""
+    k = F.col("page_id") % 10
+    name = F.concat(F.lit("raw/"), F.regexp_extract("url", "/([a-z]{2})/", 1), F.lit("/"), F.col("page_id").cast("string"), F.when(k == 1, ".html.part").otherwise(".html"))
+    return t(s, d, "pages").select("page_id", name.alias("path"), F.when(k == 2, "").otherwise(F.coalesce("html", F.lit(""))).alias("content"))
+
+
+PAGE_FILES = """, page_files AS (SELECT page_id, 'raw/' || regexp_extract(url, '/([a-z]{2})/', 1) || '/' || page_id || '.html' || CASE WHEN page_id % 10 = 1 THEN '.part' ELSE '' END AS path, CASE WHEN page_id % 10 = 2 THEN '' ELSE coalesce(html, '') END AS content FROM pages)
+"""
+
+
+@query("s3_v5_file_inventory", PAGE_FILES + "SELECT path, CAST(strlen(content) AS BIGINT) AS bytes, sha256(content) AS sha256, md5(content) AS md5 FROM page_files WHERE page_id % 10 <> 1")
+def _(s, d):
+    """Both hashes of every file below a root in one scan; empty files have theirs, and large ones are hashed in steps."""
+    root = fresh(s)
+    S.write_files(page_files(s, d), root)
+    return S.file_inventory(s, root, largest=8000).withColumn("path", below(F.col("path"), root))
+
+
+@query("s4_file_states", PAGE_FILES + "SELECT path, CAST(strlen(content) AS BIGINT) AS bytes FROM page_files")
+def _(s, d):
+    root = fresh(s)
+    S.write_files(page_files(s, d), root)
+    return S.file_states(s, root).withColumn("path", below(F.col("path"), root))
+
+
+@query("v4_recorded_hash", PAGE_FILES + "SELECT path, page_id % 3 <> 0 AS ok FROM page_files WHERE page_id % 10 <> 1")
+def _(s, d):
+    """Files against recorded hashes, of which a third are of another content."""
+    root, f = fresh(s), page_files(s, d)
+    S.write_files(f, root)
+    recorded = f.select("path", F.sha2(F.when(F.col("page_id") % 3 == 0, F.concat("content", F.lit("!"))).otherwise(F.col("content")), 256).alias("recorded"))
+    have = S.file_inventory(s, root).withColumn("path", below(F.col("path"), root))
+    return have.join(recorded, "path").select("path", (F.col("sha256") == F.col("recorded")).alias("ok"))
+
+
+def lock_records(s: SparkSession, d: str) -> DataFrame:
+    """The documents as files of snapshots of at most 5,000 ids each."""
+    token = F.concat(F.lit("v"), F.expr("cast(regexp_extract(path, '([0-9]+)[.]txt$', 1) as bigint) div 5000").cast("string"))
+    return files(s, d).withColumn("version_token", token).withColumn("snapshot", F.concat_ws("/", F.lit("doc"), "asset", "dataset", "version_token"))
+
+
+def lock_texts(s: SparkSession, d: str) -> DataFrame:
+    """A lock for each snapshot, some with one nested below, some with one in a folder of raw files, and some that can't be read."""
+    entry = F.concat(F.lit('\n[[files]]\npath = "'), "path", F.lit('"\nsha256 = "'), "sha256", F.lit('"\nbytes = '), F.col("bytes").cast("string"), F.lit("\n"))
+    locks = lock_records(s, d).groupBy("snapshot", "database", "asset", "dataset", "version_token").agg(F.array_join(F.array_sort(F.collect_list(entry)), "").alias("entries"))
+    head = F.concat(*[x for c in ("database", "asset", "dataset", "version_token") for x in (F.lit(f'{c} = "'), F.col(c), F.lit('"\n'))])
+    text = F.concat(head, "entries")
+    own = locks.select(F.concat("snapshot", F.lit("/manifest.lock")).alias("path"), text.alias("content"))
+    src0 = locks.filter("asset = 'src0'")
+    nested = src0.select(F.concat("snapshot", F.lit("/deeper/v2/manifest.lock")).alias("path"), text.alias("content"))
+    raw = src0.select(F.concat_ws("/", F.lit("other"), "dataset", F.lit("raw"), "version_token", F.lit("manifest.lock")).alias("path"), text.alias("content"))
+    bad = src0.select(F.concat_ws("/", F.lit("bad"), "dataset", "version_token", F.lit("manifest.lock")).alias("path"), F.lit("files = [").alias("content"))
+    return own.unionByName(nested).unionByName(raw).unionByName(bad)
+
+
+LOCKED = """, locked AS (SELECT 'doc' AS "database", source AS asset, lang AS dataset, 'v' || doc_id // 5000 AS version_token, 'doc/' || source || '/' || lang || '/v' || doc_id // 5000 AS snapshot, CAST(strlen(text) AS BIGINT) AS bytes FROM documents)
+"""
+
+
+def kept_locks(s: SparkSession, d: str) -> tuple[DataFrame, str]:
+    root = fresh(s)
+    S.write_files(lock_texts(s, d), root)
+    return S.prune_nested(S.scan_locks(s, root)), root
+
+
+@query("s1_s2_locks", LOCKED + "SELECT snapshot || '/manifest.lock' AS path, asset, dataset, count(*) AS files, false AS broken FROM locked GROUP BY snapshot, asset, dataset UNION ALL SELECT DISTINCT 'bad/' || dataset || '/' || version_token || '/manifest.lock', NULL, NULL, 0, true FROM locked WHERE asset = 'src0'")
+def _(s, d):
+    """Locks found below a root and decoded; those below another lock or in a raw folder are left out, one that can't be read is told."""
+    locks, root = kept_locks(s, d)
+    n = F.coalesce(F.size("files"), F.lit(0)).cast("bigint")
+    return locks.select(below(F.col("path"), root).alias("path"), "asset", "dataset", F.when(F.col("error").isNull(), n).otherwise(0).alias("files"), F.col("error").isNotNull().alias("broken"))
+
+
+@query("e1_from_locks", LOCKED + 'SELECT snapshot, "database", asset, dataset, version_token, count(*) AS file_count, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM locked GROUP BY ALL')
+def _(s, d):
+    """The whole way: locks on the shared store, pruned, decoded, checked and added up."""
+    locks, root = kept_locks(s, d)
+    records_ = S.lock_files(locks.filter("error is null")).withColumn("snapshot", below(F.col("snapshot"), root))
+    return M.build_manifest(records_)[0]
+
+
+EVENT_HEADER = ["event_id", "user_id", "event_type", "props"]
+
+
+def event_tables(s: SparkSession, d: str) -> str:
+    """Tab-separated files of the events, each with its header; every eleventh line lacks a cell, those of one type stand below a wrong header, and one file is empty."""
+    root, cells = fresh(s), F.concat_ws("\t", F.col("event_id").cast("string"), F.col("user_id").cast("string"), "event_type", "props")
+    line = F.when(F.col("event_id") % 11 == 0, F.regexp_replace(cells, "\t[^\t]*$", "")).otherwise(cells)
+    x = t(s, d, "events").select("event_type", line.alias("line"))
+    for rows, head in ((x.filter("event_type <> 'view'"), "\t".join(EVENT_HEADER)), (x.filter("event_type = 'view'"), "wrong\theader")):
+        rows.select(F.col("line").alias(head)).write.mode("append").option("header", "true").csv(f"{root}/files", sep="\x01", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    S.write_files(s.range(1).select(F.lit("empty.tsv").alias("path"), F.lit("").alias("content")), f"{root}/files")
+    return f"{root}/files"
+
+
+@query("s5_strict_rows", "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, props FROM events WHERE event_id % 11 <> 0")
+def _(s, d):
+    return S.read_strict_tsv(s, event_tables(s, d), EVENT_HEADER)[0]
+
+
+@query("s5_strict_violations", "SELECT 'width' AS rule, count(*) AS n FROM events WHERE event_id % 11 = 0 UNION ALL SELECT 'header', 2")
+def _(s, d):
+    """Lines of a wrong width, and the two kinds of files without the header: a wrong one and an empty one."""
+    bad = S.read_strict_tsv(s, event_tables(s, d), EVENT_HEADER)[1]
+    kinds = F.countDistinct(F.when(F.col("rule") == "header", F.col("file").endswith("empty.tsv")))
+    return bad.groupBy("rule").agg(F.when(F.col("rule") == "header", kinds).otherwise(F.count("*")).alias("n"))
+
+
+def edge_archive(s: SparkSession, d: str) -> str:
+    """A compressed archive of routed edges, several parts, whose columns stand in another order than asked for; a cell equals a column's name."""
+    out, p = fresh(s), pairs(s, d)
+    p.select(F.when(F.col("c_custkey") % 100 == 1, "a").otherwise(F.col("c_custkey").cast("string")).alias("key"), "b", F.lit("x").alias("other"), "a", (F.col("c_custkey") % 2 == 0).cast("string").alias("even")).write.option("header", "true").option("compression", "gzip").csv(out, sep="\t", quote="", emptyValue="")
+    return out
+
+
+@query("s6_edge_archive", "SELECT a, b, CASE WHEN c_custkey % 100 = 1 THEN 'a' ELSE CAST(c_custkey AS VARCHAR) END AS key FROM pairs")
+def _(s, d):
+    return S.read_edge_archive(s, edge_archive(s, d), ["a", "b", "key"])[0]
+
+
+@query("e6_split_archive", "SELECT n.organism, count(r.organism) AS edges FROM (SELECT CAST(n_nationkey AS VARCHAR) AS organism FROM nation WHERE n_nationkey < 9 UNION ALL SELECT '9606') n LEFT JOIN (SELECT * FROM routed WHERE c_custkey % 2 = 0) r ON n.organism = r.organism GROUP BY ALL")
+def _(s, d):
+    """An archive read, one dataset chosen, routed to the requested organisms, written by organism, and counted from the files; organisms without edges appear."""
+    rows = S.read_edge_archive(s, edge_archive(s, d), ["a", "b", "key", "even"])[0]
+    asked = t(s, d, "nation").filter("n_nationkey < 9").select(F.col("n_nationkey").cast("string").alias("organism")).union(s.range(1).select(F.lit("9606")))
+    mine, counts = E.split_archive(rows, "even", asked, "a", "b")
+    out = fresh(s)
+    S.write_by_organism(mine, out)
+    n = s.read.option("header", "true").schema("organism string, a string, b string, key string, even string").csv(out, sep="\t").groupBy("organism").agg(F.count("*").alias("written"))
+    return counts.join(n, "organism", "left").select("organism", F.least("edges", F.coalesce("written", F.lit(0))).alias("edges"))
+
+
+MANIFEST_SQL = "SELECT '2' AS \"SchemaVersion\", '/data' AS \"ResourceRoot\", 'doc' AS \"Database\", asset AS \"Asset\", dataset AS \"Dataset\", 'v1' AS \"Version\", snapshot AS \"Path\", CAST(count(*) AS VARCHAR) AS \"FileCount\", CAST(sum(bytes) AS VARCHAR) AS \"TotalBytes\", '0' AS \"RecordCount\", 22 AS columns FROM files GROUP BY ALL"
+
+
+@query("s8_manifest_tsv", MANIFEST_SQL)
+def _(s, d):
+    """The aggregate manifest written as tab-separated text and read back as text."""
+    out = fresh(s)
+    S.write_manifest(M.build_manifest(files(s, d))[0], out, ["tsv"], "/data")
+    rows, _bad = S.read_strict_tsv(s, f"{out}/tsv/*.csv", list(S.MANIFEST_COLUMNS))
+    return rows.select("SchemaVersion", "ResourceRoot", "Database", "Asset", "Dataset", "Version", "Path", "FileCount", "TotalBytes", "RecordCount", F.lit(len(rows.columns)).alias("columns"))
+
+
+@query("s8_manifest_json", MANIFEST_SQL)
+def _(s, d):
+    out = fresh(s)
+    S.write_manifest(M.build_manifest(files(s, d))[0], out, ["json"], "/data")
+    rows = s.read.json(f"{out}/json")
+    return rows.select("SchemaVersion", "ResourceRoot", "Database", "Asset", "Dataset", "Version", "Path", F.col("FileCount").cast("string").alias("FileCount"), F.col("TotalBytes").cast("string").alias("TotalBytes"), F.col("RecordCount").cast("string").alias("RecordCount"), F.lit(len(rows.columns)).alias("columns"))
+
+
+@query("s9_listing", "SELECT r_name || '.txt' AS listing, CAST(row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) * 2 - 2 AS INTEGER) AS pos, n_nationkey || chr(9) || n_name AS value FROM nation JOIN region ON n_regionkey = r_regionkey")
+def _(s, d):
+    """A listing of nations for each region, with blank lines, read in file order."""
+    root = fresh(s)
+    line = F.concat(F.col("n_nationkey").cast("string"), F.lit("\t"), "n_name")
+    x = t(s, d, "nation").join(t(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", line.alias("line")))).alias("r"))
+    S.write_files(x.select(F.concat("r_name", F.lit(".txt")).alias("path"), F.array_join(F.transform("r", lambda y: y["line"]), "\n \r\n").alias("content")), root)
+    return S.read_listing(s, root)
+
+
+@query("s11_pages", "SELECT page_id, url, html FROM pages")
+def _(s, d):
+    return S.read_pages(s, f"{d}/pages.parquet")
+
+
+def packed_files(s: SparkSession, d: str, kind: str) -> DataFrame:
+    """Pages compressed by the tasks, as binary files read back; a third are cut off or lack the member."""
+    root = fresh(s)
+
+    def f(batches):
+        for b in batches:
+            out = []
+            for k, html in zip(b["page_id"], b["html"], strict=True):
+                data = (html or "").encode()
+                if kind == "gzip":
+                    whole = gzip.compress(data, mtime=0)
+                    out.append(whole[:-9] if k % 3 == 0 else whole)
+                else:
+                    buffer = io.BytesIO()
+                    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+                        z.writestr("other.txt" if k % 3 == 0 else "page.html", data)
+                    out.append(buffer.getvalue())
+            yield pd.DataFrame({"path": [f"{k}.bin" for k in b["page_id"]], "content": out})
+
+    S.write_files(t(s, d, "pages").select("page_id", "html").mapInPandas(f, "path string, content binary"), root)
+    return s.read.format("binaryFile").load(root).withColumn("path", below(F.col("path"), root))
+
+
+@query("v1_gzip_intact", "SELECT page_id || '.bin' AS path, page_id % 3 <> 0 AS ok FROM pages")
+def _(s, d):
+    return S.gzip_intact(packed_files(s, d, "gzip")).select("path", "ok")
+
+
+@query("v2_zip_member", "SELECT page_id || '.bin' AS path, page_id % 3 <> 0 AS ok FROM pages")
+def _(s, d):
+    return S.zip_member_ok(packed_files(s, d, "zip"), "page.html").select("path", "ok")
+
+
+@query("v6_user_verifiers", PAGE_FILES + "SELECT path, CASE WHEN content NOT LIKE '<!DOCTYPE%' THEN 'no doctype' WHEN strlen(content) > 5000 THEN 'long' END AS error FROM page_files WHERE page_id % 10 NOT IN (1, 2)")
+def _(s, d):
+    """Two verifiers of the files' contents; the first error counts."""
+    root = fresh(s)
+    S.write_files(page_files(s, d).filter("page_id % 10 not in (1, 2)"), root)
+    doctype = lambda c: F.when(~F.decode(c, "UTF-8").startswith("<!DOCTYPE"), "no doctype")
+    long = lambda c: F.when(F.length(c) > 5000, "long")
+    found = s.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return found.select(below(F.col("path"), root).alias("path"), S.first_error(F.col("content"), [doctype, long]).alias("error"))
+
+
+@query("t2_scope_progress", "SELECT user_id || '/' || event_type AS path, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL")
+def _(s, d):
+    """Records arrive batch by batch; a second run with the same checkpoint adopts what the first wrote and finds nothing new."""
+    named = lambda: s.readStream.schema(t(s, d, "events").schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/events.parquet*").select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("path"), "ts", "event_id")
+    out = f"{shared_dir(s)}/upsert/{uuid.uuid4().hex}"
+    for _k in range(2):
+        upsert_stream(named(), f"{out}/versions", f"{out}/checkpoint", "path", ["ts", "event_id"], every=None).awaitTermination()
+    return latest_version(s, f"{out}/versions").drop("ts")

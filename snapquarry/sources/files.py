@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import json
 import tomllib
 import zipfile
 import zlib
@@ -65,18 +66,19 @@ def lock_files(locks: DataFrame) -> DataFrame:
 
 
 def file_states(spark: SparkSession, root: str) -> DataFrame:
-    """(path, bytes) of every file below root, hidden names and empty files too, contents unread.
+    """(path, bytes) of every file below root (a folder, a file or a pattern), hidden names and empty files too, contents unread.
 
     The listing goes through Hadoop's file system on the driver, file by file, which Spark's
     own reader does as well; only names and sizes pass.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     top = jvm.org.apache.hadoop.fs.Path(root)
-    files = top.getFileSystem(conf).listFiles(top, True)
-    rows = []
-    while files.hasNext():
-        s = files.next()
-        rows.append((s.getPath().toString(), s.getLen()))
+    store, rows = top.getFileSystem(conf), []
+    for found in store.globStatus(top) or []:
+        files = store.listFiles(found.getPath(), True)
+        while files.hasNext():
+            s = files.next()
+            rows.append((s.getPath().toString(), s.getLen()))
     return spark.createDataFrame(rows, "path string, bytes bigint")
 
 
@@ -86,7 +88,7 @@ def hashed_in_steps(files: DataFrame) -> DataFrame:
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
-                store, name = fs.FileSystem.from_uri("file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path)
+                store, name = fs.FileSystem.from_uri(_uri(path))
                 sha, md5 = hashlib.sha256(), hashlib.md5()
                 with store.open_input_stream(name) as stream:
                     while part := stream.read(STEP):
@@ -112,38 +114,76 @@ def file_inventory(spark: SparkSession, root: str, largest: int = LARGEST) -> Da
     return joined.select("path", "bytes", F.when(empty, EMPTY_SHA256).otherwise(F.col("sha256")).alias("sha256"), F.when(empty, EMPTY_MD5).otherwise(F.col("md5")).alias("md5"))
 
 
+def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(value, file, id of every line; file, head, head_id: each file's first line). Splits keep a file's lines in order."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+    heads = lines.groupBy("file").agg(F.min_by(F.struct("value", "id"), F.struct("start", "id")).alias("h"))
+    return lines.drop("start"), heads.select("file", F.col("h.value").alias("head"), F.col("h.id").alias("head_id"))
+
+
 def read_strict_tsv(spark: SparkSession, path: str, header: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows, violations): exact header, exact width, no quoting, trailing carriage return stripped, lines bounded."""
-    lines = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("value"), F.col("_metadata.file_path").alias("file"))
-    head, cells = "\t".join(header), F.split("value", "\t", -1)
-    heads = lines.groupBy("file").agg(F.sum((F.col("value") == head).cast("int")).alias("n")).filter("n <> 1").select("file", F.lit("header").alias("rule"), F.lit("").alias("detail"))
-    body = lines.filter(F.col("value") != head)
+    """(rows, violations): exact header in the first line, exact width, no quoting, trailing carriage return stripped, lines bounded. A file without a line has no header."""
+    lines, heads = _lines(spark, path)
+    head, plain = "\t".join(header), F.regexp_replace("value", "\r$", "")
+    bad = heads.filter(F.regexp_replace("head", "\r$", "") != head).select("file", F.lit("header").alias("rule"), F.lit("").alias("detail"))
+    empty = file_states(spark, path).filter("bytes = 0").select(F.col("path").alias("file"), F.lit("header").alias("rule"), F.lit("").alias("detail"))
+    body = lines.join(heads.select("file", "head_id"), "file").filter("id <> head_id").select("file", plain.alias("value"))
+    cells = F.split("value", "\t", -1)
     ok = (F.size(cells) == len(header)) & (F.octet_length("value") <= LINE_LIMIT)
     rows = body.filter(ok).select(*[F.get(cells, F.lit(k)).alias(c) for k, c in enumerate(header)])
-    return rows, heads.unionByName(body.filter(~ok).select("file", F.lit("width").alias("rule"), F.substring("value", 1, 80).alias("detail")))
+    return rows, bad.unionByName(empty).unionByName(body.filter(~ok).select("file", F.lit("width").alias("rule"), F.substring("value", 1, 80).alias("detail")))
 
 
-def read_edge_archive(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Columns of a tab-separated archive, plain or gz, found by each file's header; short rows are dropped."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    first = columns[0]
-    is_head = F.array_contains(F.split("value", "\t"), first)
-    heads = lines.filter(is_head).groupBy("file").agg(F.first("value").alias("head"))
-    cells, names = F.split("value", "\t", -1), F.split("head", "\t")
-    j = lines.filter(~is_head).join(heads, "file")
+def read_edge_archive(spark: SparkSession, path: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, violations): columns of a tab-separated archive, plain or gz, found by each file's first line. Files whose header lacks a column are violations; short rows are dropped."""
+    lines, heads = _lines(spark, path)
+    names = F.split("head", "\t")
+    has = F.forall(F.array(*[F.lit(c) for c in columns]), lambda c: F.array_contains(names, c))
+    bad = heads.filter(~has).select("file", F.lit("header").alias("rule"))
+    j = lines.join(heads.filter(has), "file").filter("id <> head_id")
     places = [F.array_position(names, c).cast("int") for c in columns]
-    wide = F.greatest(*places, F.lit(0)) if len(places) > 1 else places[0]
-    return j.filter(F.size(cells) >= wide).select(*[F.get(cells, p - 1).alias(c) for p, c in zip(places, columns, strict=True)])
+    cells, wide = F.split("value", "\t", -1), F.greatest(*places, F.lit(0))
+    return j.filter(F.size(cells) >= wide).select(*[F.get(cells, p - 1).alias(c) for p, c in zip(places, columns, strict=True)]), bad
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, url, html) of index pages."""
+    return spark.read.parquet(path).select("page_id", "url", "html")
+
+
+def write_files(df: DataFrame, root: str, path: str = "path", content: str = "content") -> int:
+    """One file a row below root (contents are bytes), written by the tasks to the shared store; the number of files. A retried task writes the same file again."""
+
+    def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, top = fs.FileSystem.from_uri(_uri(root))
+        for pdf in batches:
+            for name, data in zip(pdf["path"], pdf["content"], strict=True):
+                store.create_dir(f"{top}/{name}".rpartition("/")[0], recursive=True)
+                with store.open_output_stream(f"{top}/{name}", compression=None) as out:
+                    out.write(bytes(data))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    src = df.select(F.col(path).alias("path"), F.col(content).cast("binary").alias("content"))
+    return src.mapInPandas(f, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def _uri(path: str) -> str:
+    return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+def file_name() -> Column:
+    """A row's file, its name decoded (Spark gives it encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
     """(listing, pos, value): lines of small listings in file order, blank ones dropped."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("listing"), "value")
+    whole = spark.read.text(path, wholetext=True).select(file_name().alias("listing"), "value")
     return whole.select("listing", F.posexplode(F.split("value", "\r?\n")).alias("pos", "value")).filter(F.trim("value") != "")
 
 
 def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    return spark.read.text(path, wholetext=True).select(file_name().alias("file"), "value")
 
 
 def classify_sidecars(sidecars: DataFrame, json_ok: Callable[[Column], Column]) -> DataFrame:
@@ -155,20 +195,58 @@ def classify_sidecars(sidecars: DataFrame, json_ok: Callable[[Column], Column])
 
 
 def write_by_organism(df: DataFrame, out: str) -> None:
-    """A folder of tab-separated files for each organism; the column also stays in the files. Large organisms keep several writers."""
-    df.withColumn("taxid", F.col("organism")).repartition("taxid").write.partitionBy("taxid").option("header", "true").csv(out, sep="\t", quote="")
-
-
-def write_manifest(df: DataFrame, out: str, formats: Sequence[str] = ("tsv", "json", "parquet"), order: Sequence[str] = ("database", "asset", "dataset", "version_token", "snapshot")) -> None:
-    """One ordered file a format, equal at every run."""
-    one = df.orderBy(*[c for c in order if c in df.columns]).coalesce(1)
+    """A folder of tab-separated files for each organism; the column also stays in the files. Rows are rebalanced by organism, so adaptive execution gives a large one several writers."""
+    df.withColumn("taxid", F.col("organism")).hint("rebalance", "taxid").write.partitionBy("taxid").option("header", "true").csv(out, sep="\t", quote="")
+
+
+#: Columns of the aggregate manifest, with the snapshot's fields.
+MANIFEST_COLUMNS = {"SchemaVersion": "schema_version", "ResourceRoot": "resource_root", "Database": "database", "Asset": "asset", "Dataset": "dataset", "Version": "version_token", "SourceVersion": "source_version", "Path": "snapshot", "DownloadedAt": "downloaded_at", "FileCount": "file_count", "TotalBytes": "total_bytes", "SourceRelease": "source_release", "SourceReleaseStart": "source_release_start", "SourceReleaseEnd": "source_release_end", "SourceLastUpdate": "source_last_update", "SourceLastUpdateStart": "source_last_update_start", "SourceLastUpdateEnd": "source_last_update_end", "RecordKind": "record_kind", "RecordCount": "record_count", "ManifestPath": "manifest_path", "ManifestSHA256": "manifest_sha256", "ManifestBytes": "manifest_bytes"}
+NUMBERS = ("file_count", "total_bytes", "record_count", "manifest_bytes")
+MANIFEST_FORMATS = ("toml", "tsv", "json", "parquet")
+
+
+def manifest_rows(snapshots: DataFrame, resource_root: str, schema_version: str = "2") -> DataFrame:
+    """The 22 columns of the aggregate manifest in order; what ``snapshots`` doesn't have is empty or 0."""
+    have = {"schema_version": F.lit(schema_version), "resource_root": F.lit(resource_root)} | {c: F.col(c) for c in snapshots.columns}
+    cols = [F.coalesce(have.get(f, F.lit(None)).cast("bigint"), F.lit(0)) if f in NUMBERS else F.coalesce(have.get(f, F.lit(None)).cast("string"), F.lit("")) for f in MANIFEST_COLUMNS.values()]
+    return snapshots.select(*[c.alias(n) for c, n in zip(cols, MANIFEST_COLUMNS, strict=True)])
+
+
+def toml_blocks(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(value and ``keep``): a [[snapshots]] block of each manifest row. Empty texts and a record count of 0 are left out; a text is quoted as JSON quotes it, which TOML reads alike."""
+    kept = ("database", "asset", "version_token", "snapshot", "file_count", "total_bytes")
+    renamed = {"version_token": "version", "snapshot": "path"}
+    lines = [F.lit("[[snapshots]]")]
+    for name, f in list(MANIFEST_COLUMNS.items())[2:]:
+        if f == "manifest_path":
+            lines.append(F.lit("[snapshots.manifest]"))
+        text = F.regexp_extract(F.to_json(F.struct(F.col(name).alias("v"))), '^[{]"v":(.*)[}]$', 1)
+        line = F.concat(F.lit(f"{renamed.get(f, f.removeprefix('manifest_'))} = "), text)
+        filled = F.col(name) != (0 if f in NUMBERS else "")
+        lines.append(line if f in kept or f.startswith("manifest_") else F.when(filled, line))
+    return rows.select(F.concat_ws("\n", *lines).alias("value"), *keep)
+
+
+def write_manifest(snapshots: DataFrame, out: str, formats: Sequence[str] = MANIFEST_FORMATS, resource_root: str = "", schema_version: str = "2") -> None:
+    """One ordered file a format, equal at every run: the 22 columns as tsv, json or parquet; toml has the version and root once and a block a snapshot."""
+    unknown = [f for f in formats if f not in MANIFEST_FORMATS]
+    if unknown:
+        raise ValueError(f"unknown manifest formats: {', '.join(unknown)}")
+    rows = manifest_rows(snapshots, resource_root, schema_version)
+    one = rows.orderBy("Database", "Asset", "Dataset", "Version", "Path").coalesce(1)
     for f in formats:
         if f == "tsv":
-            one.write.csv(f"{out}/tsv", sep="\t", header=True)
+            one.write.csv(f"{out}/tsv", sep="\t", header=True, emptyValue="")
         elif f == "json":
             one.write.json(f"{out}/json")
+        elif f == "parquet":
+            one.write.parquet(f"{out}/parquet")
         else:
-            one.write.parquet(f"{out}/{f}")
+            head = f"schema_version = {json.dumps(schema_version)}\nresource_root = {json.dumps(resource_root)}"
+            order = ["Database", "Asset", "Dataset", "Version", "Path"]
+            blocks = toml_blocks(rows, order).withColumn("k", F.lit(1))
+            top = snapshots.sparkSession.range(1).select(F.lit(head).alias("value"), *[F.lit("").alias(c) for c in order], F.lit(0).alias("k"))
+            blocks.unionByName(top).orderBy("k", *order).coalesce(1).select("value").write.text(f"{out}/toml")
 
 
 def _verified(files: DataFrame, check: Callable[[bytes], str | None]) -> DataFrame:

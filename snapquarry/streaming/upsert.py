@@ -30,6 +30,11 @@ def upsert_stream(source: DataFrame, out: str, checkpoint: str, key: str, order:
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def latest_version(spark: SparkSession, query: StreamingQuery, out: str) -> DataFrame:
-    return spark.read.parquet(f"{out}/v{query.lastProgress['batchId']:09d}")
-
+def latest_version(spark: SparkSession, out: str) -> DataFrame:
+    """The newest finished version. A restart that finds nothing new names a batch without a folder, so the folders decide."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(out)
+    done = top.getFileSystem(conf).globStatus(jvm.org.apache.hadoop.fs.Path(top, "v*/_SUCCESS"))
+    if not len(done):
+        raise FileNotFoundError(f"no version below {out}")
+    return spark.read.parquet(max(s.getPath().getParent().toString() for s in done))

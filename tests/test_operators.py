@@ -1,6 +1,7 @@
 """Small inputs in the shapes of the data that the jobs are for."""
 
 import gzip
+import tomllib
 import zipfile
 
 import pytest
@@ -65,6 +66,24 @@ def test_batch_bounds(spark):
     over = E.plan_edge_batches(edge_rows(spark, [("9606", f"S{k}", "T") for k in range(501)])).collect()
     assert over[0].error and len(over) == 1
     assert E.plan_edge_batches(edge_rows(spark, [("9606", "S", "T" * 6144)])).first().error
+    odd = E.plan_edge_batches(edge_rows(spark, [("9606", "S", t) for t in (None, " ", "b", "a")])).collect()
+    assert [(r.batch, list(r.targets)) for r in odd if not r.error] == [(0, ["a", "b"])] and sum(r.error == "empty target" for r in odd) == 2
+    long = E.plan_edge_batches(edge_rows(spark, [("9606", "S", f"{k:03d}" + "é:" * 25) for k in range(39)])).collect()
+    assert len(long) > 1 and all(len(r.url) <= 6144 for r in long) and [r.batch for r in long] == list(range(len(long)))
+
+
+def test_batch_plan_rules(spark):
+    """The plan of an inventory breaks no rule; each planted fault is told."""
+    edges = edge_rows(spark, [(o, "S", f"T{k:03d}") for o in ("9606", "10090") for k in range(150)])
+    plan = E.plan_edge_batches(edges).drop("error").withColumn("leaf", F.col("batch") + F.when(F.col("organism") == "9606", 0).otherwise(10))
+    rules = lambda p, asked=("9606", "10090"): {(r.organism, r.batch, r.rule) for r in E.validate_batch_plan(p, edges, asked).collect()}
+    assert rules(plan) == set()
+    assert ("10090", None, "order") in rules(plan.withColumn("leaf", 20 - F.col("leaf"))) or ("9606", None, "order") in rules(plan.withColumn("leaf", 20 - F.col("leaf")))
+    assert {(r[0], r[2]) for r in rules(plan, ("9606",))} == {("10090", "organism")}
+    assert {r[2] for r in rules(plan.filter("batch = 0"))} == {"total"}
+    assert {r[2] for r in rules(plan.withColumn("targets", F.array().cast("array<string>")))} >= {"targets", "canonical", "counts"} - {"counts"}
+    twice = plan.withColumn("targets", F.when(F.col("batch") == 1, F.array_sort(F.concat("targets", F.array(F.lit("T001"))))).otherwise(F.col("targets")))
+    assert ("9606", 1, "repeated") in rules(twice)
 
 
 def test_edge_violations(spark):
@@ -75,6 +94,17 @@ def test_edge_violations(spark):
     assert got == {("S2", "target"), ("S2", "evidences"), ("S3", "evidences"), ("S3", "level"), ("S4", "level")}
 
 
+def test_scopes(spark):
+    """One organism, the reference, both, none, mixed hierarchies; the query's metadata is no scope."""
+    rows = [("one", "raw/hsa/a"), ("ref", "raw/reference/a"), ("both", "raw/reference/a"), ("both", "raw/hsa/b"), ("none", "raw/a"), ("mixed", "raw/br/a"), ("mixed", "raw/hsa/b"), ("refs", "raw/br/a"), ("refs", "raw/ko/a"), ("meta", "raw/query_meta.json/x"), ("two", "raw/9606/a"), ("two", "raw/10090/a")]
+    df = spark.createDataFrame(rows, "snapshot string, path string")
+    got = lambda *a: {r.snapshot: (r.scope_type, r.scope_value) for r in M.scope(df, ["snapshot"], *a).collect()}
+    pathway, hierarchy, organism = got("pathway"), got("hierarchy", ("reference", "ko")), got()
+    assert [pathway[k] for k in ("one", "ref", "both", "none")] == [("organism", "hsa"), ("reference", "pathway"), ("organisms", "hsa"), ("organisms", "")]
+    assert [hierarchy[k] for k in ("one", "mixed", "refs", "none", "two")] == [("organism", "hsa"), ("scopes", "br,hsa"), ("references", "br,ko"), ("reference", "ko"), ("organisms", "10090,9606")]
+    assert [organism[k] for k in ("one", "meta", "two")] == [("organism", "hsa"), ("organisms", ""), ("organisms", "10090,9606")]
+
+
 def test_routing(spark):
     df = spark.createDataFrame([(1, "9606", "-1"), (2, "9606", "9606"), (3, "10090", "9606"), (4, "", "1"), (5, "-1", "-1")], "id int, a string, b string")
     got = {(r.id, r.organism) for r in E.routed(df, "a", "b").collect()}
@@ -157,8 +187,10 @@ def test_tables_on_disk(spark, tmp_path):
     assert S.read_strict_tsv(spark, str(tmp_path / "t.tsv"), ["source", "wrong"])[1].filter("rule = 'header'").count() == 1
     with gzip.open(tmp_path / "e.tsv.gz", "wt") as f:
         f.write("enzyme\tx\tncbi_tax_id\nP12345\t1\t10090\nshort\n")
-    got = S.read_edge_archive(spark, str(tmp_path / "e.tsv.gz"), ["enzyme", "ncbi_tax_id"]).collect()
-    assert [tuple(r) for r in got] == [("P12345", "10090")]
+        f.write("2\tenzyme\t9606\n")
+    got, bad = S.read_edge_archive(spark, str(tmp_path / "e.tsv.gz"), ["enzyme", "ncbi_tax_id"])
+    assert sorted(tuple(r) for r in got.collect()) == [("2", "9606"), ("P12345", "10090")] and bad.count() == 0
+    assert S.read_edge_archive(spark, str(tmp_path / "e.tsv.gz"), ["enzyme", "none"])[1].count() == 1
     (tmp_path / "l.txt").write_text("b\n\na\n")
     assert [(r.pos, r.value) for r in S.read_listing(spark, str(tmp_path / "l.txt")).orderBy("pos").collect()] == [(0, "b"), (2, "a")]
 
@@ -172,18 +204,27 @@ def test_sidecars_and_sinks(spark, tmp_path):
     S.write_by_organism(df, str(tmp_path / "out"))
     text = next((tmp_path / "out/taxid=9606").glob("*.csv")).read_text()
     assert text == 'organism\tj\n9606\t{"a": "b"}\n'
-    S.write_manifest(spark.createDataFrame([("b", 1), ("a", 2)], "database string, n int"), str(tmp_path / "m"), ["tsv"])
-    assert next((tmp_path / "m/tsv").glob("*.csv")).read_text() == "database\tn\na\t2\nb\t1\n"
+    snapshots = spark.createDataFrame([("b", 'q"t', "v1", "b/v1", 3), ("a", "x", "v2", "a/v2", 4)], "database string, asset string, version_token string, snapshot string, file_count int")
+    S.write_manifest(snapshots, str(tmp_path / "m"), resource_root="/data")
+    tsv = next((tmp_path / "m/tsv").glob("*.csv")).read_text().splitlines()
+    assert tsv[0].split("\t") == list(S.MANIFEST_COLUMNS) and len(tsv[0].split("\t")) == 22 and tsv[1].startswith("2\t/data\ta\tx\t\tv2\t\ta/v2\t\t4\t0\t")
+    toml = tomllib.loads(next((tmp_path / "m/toml").glob("*.txt")).read_text())
+    assert toml["resource_root"] == "/data" and [(s["database"], s["asset"], s["version"], s["file_count"]) for s in toml["snapshots"]] == [("a", "x", "v2", 4), ("b", 'q"t', "v1", 3)]
+    assert "dataset" not in toml["snapshots"][0] and toml["snapshots"][0]["manifest"]["bytes"] == 0
+    assert [r.Database for r in spark.read.json(str(tmp_path / "m/json")).collect()] == ["a", "b"]
+    with pytest.raises(ValueError, match="xml"):
+        S.write_manifest(snapshots, str(tmp_path / "n"), ["tsv", "xml"])
 
 
 def test_stream_restart(spark, tmp_path):
     src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     schema = "path string, k bigint, v int"
-    for rows in ([("a", 1, 1), ("b", 1, 1)], [("a", 2, 5), ("b", 0, 9)]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    for rows in ([("a", 1, 1), ("b", 1, 1)], [("a", 2, 5), ("b", 0, 9)], []):  # the last run finds nothing new
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
         q = upsert_stream(spark.readStream.schema(schema).parquet(src), out, cp, "path", ["k"], every=None)
         q.awaitTermination()
-    assert {tuple(r) for r in latest_version(spark, q, out).collect()} == {("a", 2, 5), ("b", 1, 1)}
+    assert {tuple(r) for r in latest_version(spark, out).collect()} == {("a", 2, 5), ("b", 1, 1)}
 
 
 @pytest.mark.parametrize("policy,want", [("strict", ["reuse", "acquire", "acquire", "acquire"]), ("manifest_first", ["reuse_manifest", "rebuild_hash", "rebuild_hash", "acquire"]), ("adopting", ["reuse_manifest", "acquire", "rebuild_hash", "acquire"]), ("intact", ["rebuild_hash", "rebuild_hash", "rebuild_hash", "acquire"])])
