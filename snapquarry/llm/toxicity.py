@@ -141,6 +141,15 @@ def select(texts: pa.Array, labels: np.ndarray, most: int) -> np.ndarray:
     return index
 
 
+def out_of_fold(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Each row's probability by a model of the rows of the other folds."""
+    out = np.zeros(len(y), np.float32)
+    for k in np.unique(fold).tolist():
+        w = logistic(x[fold != k], y[fold != k])
+        out[fold == k] = sigmoid(x[fold == k] @ w[:-1] + w[-1])
+    return out
+
+
 def train(texts: pa.Array, labels: np.ndarray, categories: Sequence[str], folds: int = FOLDS) -> Chain:
     if not len(texts):
         return Chain(np.full(1 << BITS, -1, np.int32), tuple(categories), [np.zeros(k + 1, np.float32) for k in range(len(categories))])
@@ -154,12 +163,8 @@ def train(texts: pa.Array, labels: np.ndarray, categories: Sequence[str], folds:
     for c in range(labels.shape[1]):
         y = labels[:, c].astype(np.float32)
         chain.weights.append(logistic(x, y))
-        out = np.zeros(len(y), np.float32)
-        for k in range(folds):
-            if c + 1 < labels.shape[1] and (fold == k).any():
-                w = logistic(x[fold != k], y[fold != k])
-                out[fold == k] = sigmoid(x[fold == k] @ w[:-1] + w[-1])
-        x = np.c_[x, logit(out).astype(np.float32)]
+        if c + 1 < labels.shape[1]:
+            x = np.c_[x, logit(out_of_fold(x, y, fold)).astype(np.float32)]
     return chain
 
 
