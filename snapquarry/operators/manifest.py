@@ -18,16 +18,22 @@ def failed_rules(rules: Sequence[tuple[str, Column]]) -> Column:
     return F.filter(F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules]), lambda x: x.isNotNull())
 
 
+def record_rules() -> list[tuple[str, Column]]:
+    return [("path", C.record_path_ok(F.col("path"))), ("sha256", C.sha256_ok(F.col("sha256"))), ("bytes", C.bytes_ok(F.col("bytes")))]
+
+
+def identity_rules() -> list[tuple[str, Column]]:
+    return [("database", ~C.blank(F.col("database"))), ("asset", ~C.blank(F.col("asset"))), ("version_token", ~C.blank(F.col("version_token"))), ("dataset", C.dataset_ok(F.col("dataset"))), ("directory", F.coalesce(C.last_segment(F.col("snapshot")) == F.col("version_token"), F.lit(False)))]
+
+
 def record_issues(files: DataFrame, key: Sequence[str] = ("snapshot", "path")) -> DataFrame:
     """(key, rule) of every record rule broken: path, sha256, bytes."""
-    rules = [("path", C.record_path_ok(F.col("path"))), ("sha256", C.sha256_ok(F.col("sha256"))), ("bytes", C.bytes_ok(F.col("bytes")))]
-    return files.select(*key, F.explode(failed_rules(rules)).alias("rule"))
+    return files.select(*key, F.explode(failed_rules(record_rules())).alias("rule"))
 
 
 def identity_issues(locks: DataFrame) -> DataFrame:
     """(snapshot, rule): blank identity fields, a malformed dataset, a token that isn't the directory's name."""
-    rules = [("database", ~C.blank(F.col("database"))), ("asset", ~C.blank(F.col("asset"))), ("version_token", ~C.blank(F.col("version_token"))), ("dataset", C.dataset_ok(F.col("dataset"))), ("directory", F.coalesce(C.last_segment(F.col("snapshot")) == F.col("version_token"), F.lit(False)))]
-    return locks.select("snapshot", F.explode(failed_rules(rules)).alias("rule"))
+    return locks.select("snapshot", F.explode(failed_rules(identity_rules())).alias("rule"))
 
 
 def snapshot_totals(files: DataFrame) -> DataFrame:
@@ -50,8 +56,18 @@ def summary(totals: DataFrame) -> DataFrame:
     return totals.agg(F.countDistinct("database").alias("database_count"), F.count("*").alias("snapshot_count"), F.sum("file_count").alias("file_count"), F.try_sum("total_bytes").alias("total_bytes"))
 
 
+def sound_snapshots(files: DataFrame) -> DataFrame:
+    """Totals of the snapshots without any issue: one pass over the records for totals and rules, and one over snapshot and path for duplicates."""
+    broken = F.max(F.size(failed_rules(record_rules())) > 0).alias("broken")
+    totals = files.groupBy("snapshot", *IDENTITY).agg(F.count("*").alias("file_count"), F.try_sum("bytes").alias("total_bytes"), broken)
+    again = F.row_number().over(Window.partitionBy(*IDENTITY).orderBy("snapshot")) > 1
+    bad = F.col("broken") | (F.size(failed_rules(identity_rules())) > 0) | F.col("total_bytes").isNull() | again
+    marked = totals.withColumn("bad", bad).withColumn("bad", F.max("bad").over(Window.partitionBy("snapshot")))
+    return marked.filter(~F.col("bad")).drop("broken", "bad").join(duplicate_paths(files).select("snapshot").distinct(), "snapshot", "left_anti")
+
+
 def build_manifest(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(snapshots, summary, issues). Snapshots with an issue stay out of the first two."""
+    """(snapshots, summary, issues). Snapshots with an issue stay out of the first two. Each of the three is a plan of its own; only the issues read the records once a rule."""
     totals = snapshot_totals(files)
     parts = [
         record_issues(files).select("snapshot", "rule", F.col("path").alias("detail")),
@@ -61,7 +77,7 @@ def build_manifest(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         totals.filter("total_bytes is null and file_count > 0").select("snapshot", F.lit("overflow").alias("rule"), F.lit("").alias("detail")),
     ]
     issues = reduce(DataFrame.unionByName, parts)
-    good = totals.join(issues.select("snapshot").distinct(), "snapshot", "left_anti")
+    good = sound_snapshots(files)
     return good, summary(good), issues
 
 

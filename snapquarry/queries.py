@@ -131,6 +131,22 @@ def _(s, d):
     return M.build_manifest(files(s, d))[1]
 
 
+LINE_FILES = """, line_files AS (SELECT 'doc' AS "database", l_returnflag AS asset, l_linestatus AS dataset, 'v' || l_suppkey AS version_token, l_returnflag || '/' || l_linestatus || '/v' || l_suppkey AS snapshot, CAST(floor(l_extendedprice) AS BIGINT) AS bytes FROM lineitem WHERE l_suppkey <> 1)
+"""
+
+
+@query("e1_large_manifest", LINE_FILES + 'SELECT snapshot, "database", asset, dataset, version_token, count(*) AS file_count, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM line_files GROUP BY ALL')
+def _(s, d):
+    """Line items as records: several times as many as documents. One supplier's snapshots have a bad hash each."""
+    number = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.monotonically_increasing_id().cast("string"))
+    token = F.concat(F.lit("v"), F.col("l_suppkey").cast("string"))
+    x = t(s, d, "lineitem").select(
+        F.lit("doc").alias("database"), F.col("l_returnflag").alias("asset"), F.col("l_linestatus").alias("dataset"), token.alias("version_token"), F.concat_ws("/", "l_returnflag", "l_linestatus", token).alias("snapshot"),
+        F.concat(F.lit("raw/"), number).alias("path"), F.when(F.col("l_suppkey") == 1, "bad").otherwise(F.sha2(number, 256)).alias("sha256"), F.floor("l_extendedprice").cast("bigint").alias("bytes"),
+    )
+    return M.build_manifest(x)[0]
+
+
 @query("a16_validation_report", BROKEN + 'SELECT count(DISTINCT "database") AS database_count, count(*) AS snapshot_count, CAST(sum(file_count) AS BIGINT) AS file_count, CAST(sum(total_bytes) AS BIGINT) AS total_bytes, (SELECT count(DISTINCT snapshot) FROM issues) AS incompatible_count FROM good')
 def _(s, d):
     good, _s, issues = M.build_manifest(broken(s, d))
