@@ -11,11 +11,11 @@ of bounded size. What the sample misses costs time, never a pair.
 
 Candidates pass two bounds that hold for every pair at t: the sizes', and that of parity
 bitmaps (bit h mod 256 flips with every member h), whose distance is at most the number of
-members that only one set has. Pairs that pass meet once more by longer bitmaps, of at
-least a bit a member; what is left is verified by the whole texts.
+members that only one set has. Pairs that pass meet once more by longer bitmaps, of four
+bits a member or more; what is left is verified by the whole texts.
 
-Where more than ``SMALL`` nodes meet, they are paired with a few of them first; when the
-links so verified are joined to components, all remaining pairs of different components
+Where more than ``SMALL`` nodes meet, they are paired with a few of them first, which lie
+in the middle of all; when the links so verified are joined to components, all remaining pairs of different components
 are candidates too. So a group of thousands of near copies isn't compared pair by pair,
 and still no link between components is lost.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from snapquarry.llm.common import map_text, materialise, small_batches
 
 SEED, WORDS64 = 42, 4
-SMALL, HUBS = 16, 4
+SMALL, HUBS, CENTRE = 16, 4, 4096  # bitmaps whose majority is taken; only which nodes are hubs depends on them
 SAMPLE, SEEN, LETTERS = 4_000_000, 3, 6  # shingles counted for the order, how often a frequent one is met in them at least, bytes a word
 BLOCK = 1 << 20  # comparisons made, and shingles ordered, at once
 MARKS = 1 << 25  # bits of the bitmap that tells which nodes have candidates
@@ -111,7 +111,7 @@ def signatures(df: DataFrame, keep: Sequence[str], text_col: str, words: int, si
         for i, s in enumerate(found):
             odd[i] = np.bincount((s % np.uint64(64 * WORDS64)).astype(np.int64), minlength=64 * WORDS64) & 1
         bits = np.packbits(odd, axis=1, bitorder="little").view(np.int64)
-        keys, marks = [first(s) for s in found], [parity(s, 1 << max(8, int(len(s) - 1).bit_length())) for s in found]
+        keys, marks = [first(s) for s in found], [parity(s, 1 << max(8, int(4 * len(s) - 1).bit_length())) for s in found]
         flat = np.concatenate([np.zeros(0, np.int64), *keys])
         listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)), pa.array(flat))
         fp = np.array([majority(s) for s in found], np.uint64).view(np.int64)
@@ -191,12 +191,27 @@ def met(rows: np.ndarray, start: np.ndarray, stop: np.ndarray, similarity: float
     for s, e in zip(start[~small].tolist(), stop[~small].tolist(), strict=True):
         run = rows[s:e]
         out.append(run[:, [0, 1, 1]])
-        for k in range(HUBS):
-            ok = run[k + 1 :][near(run[k, 2:], run[k + 1 :, 2:], similarity)]
+        for k in hubs(run):
+            ok = run[near(run[k, 2:], run[:, 2:], similarity)]
+            ok = ok[ok[:, 1] != run[k, 1]]
             out.append(np.stack([ok[:, 0], np.full(len(ok), run[k, 1]), ok[:, 1]], 1))
     return out
 
 
+def hubs(run: np.ndarray) -> list[int]:
+    """Places of up to ``HUBS`` rows that lie in the middle of a large run: nearest to the majority of all bitmaps, then to that of the half that lies farthest from the hubs so far. Variants of one text thus meet at the text."""
+    bitmaps = np.ascontiguousarray(run[:, 3 : 3 + WORDS64]).view(np.uint64)
+    apart, out, some = np.full(len(run), 64 * WORDS64, np.int64), [], np.arange(len(run))
+    while len(out) < HUBS and len(some):
+        bits = np.unpackbits(bitmaps[some[:CENTRE]].view(np.uint8), axis=1)
+        middle = np.packbits(bits.sum(0, dtype=np.int64) * 2 > len(bits)).view(np.uint64)
+        hub = int(some[np.bitwise_count(bitmaps[some] ^ middle).sum(1, dtype=np.int64).argmin()])
+        out.append(hub)
+        apart = np.minimum(apart, np.bitwise_count(bitmaps ^ bitmaps[hub]).sum(1, dtype=np.int64))
+        some = np.flatnonzero(apart > np.median(apart))
+    return out
+
+
 def folded(marks: np.ndarray) -> dict[int, np.ndarray]:
     """By each width of bitmap there is: all bitmaps of it or more as rows of words, longer ones folded to it."""
     width = np.array([len(m) for m in marks])
