@@ -21,14 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+WRITTEN: list[str] = []  # the tables that materialise wrote and nobody dropped yet
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage: write df as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete tables that ``materialise`` wrote, once nothing reads them any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        WRITTEN.remove(path)
+
+
 HOT = 1000  # a key is hot if it holds over one in so many rows
 
 

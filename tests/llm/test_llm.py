@@ -67,6 +67,20 @@ def test_secrets(spark, odd):
     assert rows[0].base_sha256 == hashlib.sha256(b"").hexdigest() and rows[0].spans == ""
 
 
+def test_token_queries_against_the_library(spark, sf_dir, docs):
+    """All columns of op4 and op5 over the whole table."""
+    from tokenizers import Tokenizer
+
+    byte, word = (Tokenizer.from_file(public_tokenizers.path(n)) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    counts, coded = by_id(queries.op4_token_counts(spark, sf_dir)), by_id(queries.op5_bpe(spark, sf_dir))
+    assert len(counts) == len(coded) == len(docs)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for d, t in zip(docs.doc_id, docs.text, strict=True):
+        n, ids = len(byte.encode(t or "", add_special_tokens=False).ids), word.encode(t or "", add_special_tokens=False).ids
+        assert (counts[d].n_bytes, counts[d].n_tokens, counts[d].over_limit) == (len((t or "").encode()), n, n > 512)
+        assert (coded[d].n_tokens, coded[d].ids_sha256, coded[d].decoded_sha256) == (len(ids), sha(" ".join(map(str, ids))), sha(word.decode(ids, skip_special_tokens=False)))
+
+
 def test_simhash_components(spark, odd, docs):
     def fp(t):
         w = (t or "").encode().lower().split()
@@ -313,7 +327,7 @@ def test_pipeline_stages_on_odd_input(spark, sf_dir, shape):
     assert clean.text == "<secret> and words" and clean.n_chars == len(clean.text)
     if shape == "clashing":
         assert [clean[c] for c in CLASHING] == list(range(len(CLASHING)))
-    assert next(r for r in n["secrets"] if r.doc_id == 0).text in (None, "")
+    assert next(r for r in n["secrets"] if r.doc_id == 0).text is None
 
 
 def test_pipeline(spark, sf_dir, docs):
@@ -331,6 +345,34 @@ def test_pipeline(spark, sf_dir, docs):
     assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in now.collect()}
 
 
+def test_run_against_plain_python(spark, sf_dir, docs):
+    """run() gives the rows of a pipeline of Python sets, text search, patterns and the tokenizers library, given the classifier's scores; its tables are dropped."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from snapquarry.llm import common, quality
+
+    source, before = table(spark, sf_dir, "documents"), len(common.WRITTEN)
+    scores = {r.doc_id: r.score for r in quality.score(source, quality.fit(source, table(spark, sf_dir, "labels")), ["doc_id"]).collect()}
+    common.drop_tables(spark, common.WRITTEN[before:])
+    rows = sorted((d, t or "") for d, t in zip(docs.doc_id, docs.text, strict=True) if scores[d] >= 0.5)
+    sets = []
+    for _, t in rows:
+        w = t.lower().split() if t.isascii() else t.encode().lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    least = brute_components(sets)
+    rows = [rows[k] for k in sorted(set(least.values()))]
+    norm = lambda t: re.sub(r"\s+", " ", t.lower()).strip()
+    items = [norm(t) for t in table(spark, sf_dir, "benchmark").toPandas().text]
+    rows = [(d, t) for d, t in rows if not any(x in norm(t) for x in items)]
+    rows = [(d, secrets.redacted(t, secrets.spans(t))) for d, t in rows]
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = {d: library.encode(t, add_special_tokens=False).ids for d, t in rows}
+    got = corpus_pipeline.run(spark, sf_dir).collect()
+    assert {r.doc_id: list(r.ids) for r in got} == want and len(got) == len(want) < len(docs)
+    assert len(common.WRITTEN) == before + 1
+
+
 def planted_pairs(seed, lengths=(40, 120, 300), copies=6):
     """Texts in pairs whose five-word-shingle similarity goes from about 0.6 to 0.95, and their sets."""
     rng = random.Random(seed)
@@ -360,7 +402,7 @@ def brute_components(sets, least=0.8):
     for a in range(len(sets)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if both * 10 >= least * 10 * (len(sets[a]) + len(sets[b]) - both):
+            if sets[a] == sets[b] or both * 10 >= least * 10 * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {k: find(k) for k in range(len(sets))}
