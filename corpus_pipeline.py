@@ -11,22 +11,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapquarry.llm import bpe, decontaminate, quality, secrets, simhash
-from snapquarry.llm.common import materialise, packed, table
+from snapquarry.llm.common import WRITTEN, drop_tables, materialise, packed, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learned from this stage's input, rejects go."""
+    """Documents that the quality classifier, learned from this stage's input, rejects go.
+
+    Null and empty texts are scored by the bias alone; repeated rows are kept or go together;
+    without labels every document scores 0.5 and stays; an empty table stays empty.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(packed(docs), model, ["row"]).filter(F.col("score") >= 0.5).select("row.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (components of Jaccard similarity 0.8 or more over distinct five-word shingles) stays."""
+    """One document of each group of near copies (components of Jaccard similarity 0.8 or more over distinct five-word shingles) stays.
+
+    The one with the smallest id stays; a null id only where there is no other. Null, empty
+    and blank texts have no shingle and are copies of each other; texts under five words are
+    compared as one shingle; of repeated rows one stays; an empty table stays empty.
+    """
     return simhash.without_copies(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item, with up to 5 % edits, go.
+
+    Null and empty texts hold none; repeated rows are kept or go together; with an empty
+    benchmark all stay.
+    """
     found = decontaminate.contaminated(packed(docs), table(spark, sf_dir, "benchmark"), ["row"])
     return found.filter(F.size("item_ids") == 0).select("row.*")
 
@@ -41,7 +54,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every whole text, and the text they decode to."""
+    """Token ids of every whole text, and the text they decode to. Null and empty texts have no ids; repeated rows repeat."""
     import public_tokenizers
 
     return bpe.encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"), ["doc_id", "lang", "source"])
@@ -54,15 +67,17 @@ STAGES = [
     ("secrets", secret_stage),
     ("bpe", bpe_stage),
 ]
-#: SQL can express none of the stages but trivially; tests/llm holds the near-duplicate stage against brute force
-#: and run() against its stages called one by one.
+#: SQL can express none of the stages but trivially; tests/llm holds each stage's operator against brute force, and
+#: run() against a plain pipeline of Python sets, scans and the tokenizers library on a small table.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. Tables of a stage are dropped when the next stage's result is written."""
+    docs, before = table(spark, sf_dir, "documents"), len(WRITTEN)
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = materialise(docs)
+            drop_tables(spark, WRITTEN[before:-1])
     return docs
