@@ -18,7 +18,7 @@ def catalog(spark: SparkSession, rows: list[tuple]) -> DataFrame:
 
 def select_assets(declared: DataFrame, requested: DataFrame, version: str, allow_large: bool = False, above: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(selected assets with expanded paths and urls, issues). issues: name, rule (unknown, large)."""
-    chosen, unknown = selected(requested, declared, "name")
+    chosen, unknown = selected(requested, declared, "name", "is_default" if "is_default" in declared.columns else None)
     large = F.col("is_large") | (F.coalesce(F.col("expected_bytes"), F.lit(0)) > above if above is not None else F.lit(False))
     v = F.lit(version)
     out = chosen.withColumn("path", F.concat(F.lit("raw/"), C.expanded(F.col("path"), v))).withColumn("url", C.expanded(F.col("url"), v))

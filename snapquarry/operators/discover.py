@@ -79,11 +79,12 @@ def header_version(lines: DataFrame) -> DataFrame:
     return first.select("file", F.coalesce(F.nullif(date, F.lit("")), text).alias("version"))
 
 
-def selected(requested: DataFrame, available: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(available rows that are requested, requested names that aren't available). No request, or all, means everything."""
+def selected(requested: DataFrame, available: DataFrame, name: str, default: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(available rows that are requested, requested names that aren't available). No request, or all, means the default set: rows for which the column ``default`` is true, or everything."""
     asked = requested.filter(~C.blank(F.col(name)) & (F.lower(F.trim(name)) != "all"))
     every = requested.filter(F.lower(F.trim(name)) == "all").limit(1).count() > 0 or not asked.limit(1).count()
-    chosen = available if every else available.join(asked, name, "left_semi")
+    usual = available.filter(default) if default else available
+    chosen = usual if every else available.join(asked, name, "left_semi")
     return chosen, asked.join(available, name, "left_anti")
 
 

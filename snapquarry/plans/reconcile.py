@@ -73,6 +73,17 @@ def plan_restore(records: DataFrame, files: DataFrame, by: str = "sha256") -> Da
     return _joined(records, records, files).select("path", F.when(F.coalesce(same, F.lit(False)), "reuse").otherwise("acquire").alias("decision"))
 
 
+def restore_issues(records: DataFrame) -> DataFrame:
+    """(asset, path, rule) of what keeps records from being restored: blank asset, path, sha256, bytes, and a path or an asset that more than one record has."""
+    own = [("asset", ~C.blank(F.col("asset"))), ("path", C.record_path_ok(F.col("path"))), ("sha256", C.sha256_ok(F.col("sha256"))), ("bytes", C.bytes_ok(F.col("bytes")))]
+    broken = F.filter(F.array(*[F.when(~ok, F.lit(name)) for name, ok in own]), lambda x: x.isNotNull())
+    out = records.select("asset", "path", F.explode(broken).alias("rule"))
+    for c, rule in (("path", "duplicate path"), ("asset", "duplicate asset")):
+        again = records.groupBy(c).agg(F.count("*").alias("copies")).filter("copies > 1").select(c)
+        out = out.unionByName(records.join(again, c, "left_semi").select("asset", "path", F.lit(rule).alias("rule")))
+    return out
+
+
 def plan_statistics(plan: DataFrame) -> DataFrame:
     return plan.groupBy("decision").agg(F.count("*").alias("files"))
 

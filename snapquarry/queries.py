@@ -191,6 +191,38 @@ def _(s, d):
     return R.plan_restore(records(s, d), present(s, d))
 
 
+@query("e4_restore_issues", """, r AS (SELECT asset || '/' || CASE WHEN asset = 'src6' THEN dataset ELSE path END AS asset, CASE WHEN asset = 'src1' THEN 'raw/../' || path ELSE path END AS path, CASE WHEN asset = 'src7' THEN 'bad' ELSE sha256 END AS sha256, CASE WHEN asset = 'src8' THEN NULL ELSE bytes END AS bytes FROM records)
+SELECT asset, path, 'path' AS rule FROM r WHERE path LIKE 'raw/../%' UNION ALL SELECT asset, path, 'sha256' FROM r WHERE sha256 = 'bad' UNION ALL SELECT asset, path, 'bytes' FROM r WHERE bytes IS NULL UNION ALL SELECT asset, path, 'duplicate asset' FROM r WHERE asset IN (SELECT asset FROM r GROUP BY asset HAVING count(*) > 1)""")
+def _(s, d):
+    a = F.col("asset")
+    r = records(s, d).select(
+        F.concat("asset", F.lit("/"), F.when(a == "src6", F.col("dataset")).otherwise(F.col("path"))).alias("asset"), F.when(a == "src1", F.concat(F.lit("raw/../"), "path")).otherwise(F.col("path")).alias("path"),
+        F.when(a == "src7", "bad").otherwise(F.col("sha256")).alias("sha256"), F.when(a != "src8", F.col("bytes")).alias("bytes"),
+    )
+    return R.restore_issues(r)
+
+
+@query("j10_default_set", "SELECT p_partkey, p_brand AS name FROM part WHERE p_size > 25")
+def _(s, d):
+    """The request says all: the default rows."""
+    p = t(s, d, "part").select("p_partkey", F.col("p_brand").alias("name"), (F.col("p_size") > 25).alias("is_default"))
+    return D.selected(s.range(1).select(F.lit("All").alias("name")), p, "name", "is_default")[0].select("p_partkey", "name")
+
+
+@query("u6_assembled", "SELECT target, flag, count(*) AS copies FROM (SELECT target, flag FROM edges WHERE organism = 'A' UNION ALL SELECT target, flag FROM edges WHERE organism = 'R') GROUP BY ALL HAVING count(*) > 1")
+def _(s, d):
+    """Two batches put together: edges that both, or one of them twice, have."""
+    e = edges(s, d)
+    return E.assembled([e.filter("organism = 'A'").select("target", "flag"), e.filter("organism = 'R'").select("target", "flag")], ["target", "flag"])[1]
+
+
+@query("j14_repeated_targets", "SELECT organism, target, count(DISTINCT flag) AS batches FROM edges GROUP BY ALL HAVING count(DISTINCT flag) > 1")
+def _(s, d):
+    """Batches by flag, a hundred targets each: targets in more than one."""
+    e = edges(s, d).select("organism", "flag", "target").distinct().groupBy("organism", "flag", F.expr("cast(target as bigint) div 100").alias("k")).agg(F.collect_list("target").alias("targets"))
+    return E.targets_in_two_batches(e)
+
+
 @query("a12_plan_statistics", f"SELECT decision, count(*) AS files FROM ({PLAN.format(DECISIONS['manifest_first'])}) GROUP BY ALL")
 def _(s, d):
     return R.plan_statistics(R.plan_fetch(files(s, d), records(s, d), present(s, d), "manifest_first"))
