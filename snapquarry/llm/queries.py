@@ -1,10 +1,13 @@
-"""The registered queries of the text operators. None of them can be said in SQL; tests/llm checks them against brute force."""
+"""The registered queries of the text operators. SQL can say op11 alone; tests/llm checks the others against brute force."""
 
+from snapquarry.llm import collocations
 from snapquarry.llm.bpe import op5_bpe
+from snapquarry.llm.collocations import op11_collocations
 from snapquarry.llm.decontaminate import op7_decontaminate
 from snapquarry.llm.html import op2_html
 from snapquarry.llm.iblt import op6_fingerprints
 from snapquarry.llm.langid import op8_language
+from snapquarry.llm.periodic import op12_periodic
 from snapquarry.llm.quality import op10_quality
 from snapquarry.llm.secrets import op3_secrets
 from snapquarry.llm.simhash import op9_simhash
@@ -22,5 +25,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
+    "op11_collocations": op11_collocations,
+    "op12_periodic": op12_periodic,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_collocations": collocations.ORACLE}
