@@ -8,6 +8,7 @@ from snapquarry.llm.html import op2_html
 from snapquarry.llm.iblt import op6_fingerprints
 from snapquarry.llm.langid import op8_language
 from snapquarry.llm.periodic import op12_periodic
+from snapquarry.llm.pii import op13_personal_data
 from snapquarry.llm.quality import op10_quality
 from snapquarry.llm.secrets import op3_secrets
 from snapquarry.llm.simhash import op9_simhash
@@ -27,5 +28,6 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_collocations": op11_collocations,
     "op12_periodic": op12_periodic,
+    "op13_personal_data": op13_personal_data,
 }
 ORACLE_SQL: dict[str, str] = {"op11_collocations": collocations.ORACLE}
