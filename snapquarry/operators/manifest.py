@@ -57,28 +57,34 @@ def summary(totals: DataFrame) -> DataFrame:
 
 
 def sound_snapshots(files: DataFrame) -> DataFrame:
-    """Totals of the snapshots without any issue: one pass over the records for totals and rules, and one over snapshot and path for duplicates."""
+    """Totals of the snapshots that break no rule of their own: one pass over the records for totals and rules, and one over snapshot and path for repeated paths. Identities aren't compared."""
     broken = F.max(F.size(failed_rules(record_rules())) > 0).alias("broken")
     totals = files.groupBy("snapshot", *IDENTITY).agg(F.count("*").alias("file_count"), F.try_sum("bytes").alias("total_bytes"), broken)
-    again = F.row_number().over(Window.partitionBy(*IDENTITY).orderBy("snapshot")) > 1
-    bad = F.col("broken") | (F.size(failed_rules(identity_rules())) > 0) | F.col("total_bytes").isNull() | again
+    bad = F.col("broken") | (F.size(failed_rules(identity_rules())) > 0) | F.col("total_bytes").isNull()
     marked = totals.withColumn("bad", bad).withColumn("bad", F.max("bad").over(Window.partitionBy("snapshot")))
     return marked.filter(~F.col("bad")).drop("broken", "bad").join(duplicate_paths(files).select("snapshot").distinct(), "snapshot", "left_anti")
 
 
+def first_identities(sound: DataFrame) -> DataFrame:
+    """Of the sound snapshots with one identity the first by name. A snapshot that breaks a rule of its own takes no identity."""
+    return sound.withColumn("place", F.row_number().over(Window.partitionBy(*IDENTITY).orderBy("snapshot"))).filter("place = 1").drop("place")
+
+
 def build_manifest(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(snapshots, summary, issues). Snapshots with an issue stay out of the first two. Each of the three is a plan of its own; only the issues read the records once a rule."""
-    totals = snapshot_totals(files)
+    """(snapshots, summary, issues). Snapshots with an issue stay out of the first two. Each of the three is a plan of its own; the issues read the records once for their rules, once for identities and totals, and for repeated paths and identities."""
+    sound = sound_snapshots(files)
+    rows = files.select("snapshot", *IDENTITY, "path", "bytes", failed_rules(record_rules()).alias("broken"))
+    totals = rows.groupBy("snapshot", *IDENTITY).agg(F.count("*").alias("file_count"), F.try_sum("bytes").alias("total_bytes"), F.count("bytes").alias("sized"))
+    lost = F.when(F.col("total_bytes").isNull() & (F.col("sized") > 0), F.lit("overflow"))
+    whole = F.filter(F.concat(failed_rules(identity_rules()), F.array(lost)), lambda r: r.isNotNull())
     parts = [
-        record_issues(files).select("snapshot", "rule", F.col("path").alias("detail")),
-        identity_issues(totals).select("snapshot", "rule", F.lit("").alias("detail")),
+        rows.filter(F.size("broken") > 0).select("snapshot", F.explode("broken").alias("rule"), F.col("path").alias("detail")),
+        totals.select("snapshot", F.explode(whole).alias("rule"), F.lit("").alias("detail")),
         duplicate_paths(files).select("snapshot", F.lit("duplicate path").alias("rule"), F.col("path").alias("detail")),
-        duplicate_identities(totals).select("snapshot", F.lit("duplicate identity").alias("rule"), F.col("first_snapshot").alias("detail")),
-        totals.filter("total_bytes is null and file_count > 0").select("snapshot", F.lit("overflow").alias("rule"), F.lit("").alias("detail")),
+        duplicate_identities(sound).select("snapshot", F.lit("duplicate identity").alias("rule"), F.col("first_snapshot").alias("detail")),
     ]
-    issues = reduce(DataFrame.unionByName, parts)
-    good = sound_snapshots(files)
-    return good, summary(good), issues
+    good = first_identities(sound)
+    return good, summary(good), reduce(DataFrame.unionByName, parts)
 
 
 def validation_report(good: DataFrame, issues: DataFrame) -> DataFrame:

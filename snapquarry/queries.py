@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import tomllib
 import uuid
 import zipfile
 from collections.abc import Callable
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from snapquarry.functions import checks as C
 from snapquarry.operators import discover as D
 from snapquarry.operators import edges as E
+from snapquarry.operators import locks as L
 from snapquarry.operators import manifest as M
 from snapquarry.operators.catalog import select_assets
 from snapquarry.plans import reconcile as R
@@ -879,14 +881,135 @@ def _(s, d):
     return locks.select(below(F.col("path"), root).alias("path"), "asset", "dataset", F.when(F.col("error").isNull(), n).otherwise(0).alias("files"), F.col("error").isNotNull().alias("broken"))
 
 
-@query("e1_from_locks", LOCKED + 'SELECT snapshot, "database", asset, dataset, version_token, count(*) AS file_count, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM locked GROUP BY ALL')
+def full_locks(s: SparkSession, d: str) -> DataFrame:
+    """(path, content) of a lock with all its fields for each snapshot, and of planted ones that break a rule each, repeat an identity, or both."""
+    entry = F.concat(F.lit('\n[[files]]\npath = "'), "path", F.lit('"\nsha256 = "'), "sha256", F.lit('"\nbytes = '), F.col("bytes").cast("string"), F.lit("\n"))
+    locks = lock_records(s, d).groupBy("snapshot", "database", "asset", "dataset", "version_token").agg(F.array_join(F.array_sort(F.collect_list(entry)), "").alias("entries"))
+    asset, token = F.col("asset"), F.col("version_token")
+    fields = [
+        ("database", F.col("database")), ("asset", asset), ("dataset", F.when(asset != "src2", F.col("dataset"))), ("version", F.when(asset == "src3", F.concat(F.lit("r"), token)).when(asset == "src4", token)), ("version_token", token),
+        ("downloaded_at", F.lit("2026-03-01T00:00:00Z")), ("source_release", F.when(asset == "src5", "117.0")), ("source_release_start", F.when(asset == "src5", "116.0")), ("source_release_end", F.when(asset == "src5", "117.0")),
+        ("source_last_update", F.when(asset == "src6", "2026-02-03")), ("source_last_update_start", F.when(asset == "src6", "2026-02-01")), ("source_last_update_end", F.when(asset == "src6", "2026-02-03")),
+    ]
+    head = F.concat_ws("", *[F.concat(F.lit(f'{name} = "'), value, F.lit('"\n')) for name, value in fields])
+    kinds = F.when(asset == "src1", '\n[[species]]\nid = "9606"\n\n[[species]]\nid = "10090"\n').when(asset == "src7", '\n[[pathways]]\nid = "hsa00010"\n\n[[brites]]\nid = "br08301"\n').when(asset == "src8", '\n[[brites]]\nid = "br08301"\n').otherwise("")
+    text = F.concat(head, kinds, "entries")
+    one = locks.filter("asset = 'src9'")
+    big = '\n[[files]]\npath = "raw/{}"\nsha256 = "' + "0" * 64 + '"\nbytes = 9223372036854775807\n'
+    planted = [
+        ("aa", F.concat(text, F.lit('\n[[files]]\npath = "../escape"\nsha256 = "x"\n')), None), ("bad", F.lit("files = ["), None), ("empty", head, None), ("over", F.concat(head, F.lit(big.format("a") + big.format("b"))), None),
+        ("twice", F.concat(head, F.lit(big.format("a") * 3)), None), ("type", F.concat(head, F.lit(big.format("a").replace("9223372036854775807", '"1"'))), None), ("zz", text, None), ("token", text, "other"), ("blank", F.replace(text, F.lit("src9"), F.lit("  ")), None),
+    ]
+    out = locks.select(F.concat("snapshot", F.lit("/manifest.lock")).alias("path"), text.alias("content"))
+    for top, content, last in planted:
+        out = out.unionByName(one.select(F.concat_ws("/", F.lit(top), "dataset", F.lit(last) if last else token, F.lit("manifest.lock")).alias("path"), content.alias("content")))
+    return out
+
+
+def from_locks(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    root = fresh(s)
+    S.write_files(full_locks(s, d), root)
+    return L.build_from_locks(S.prune_nested(S.scan_locks(s, root)), root)
+
+
+#: The same locks in SQL; the texts are made anew, so that hash and size of a lock are the file's.
+FULL_LOCKS = """, lock_entries AS (SELECT source AS asset, lang AS dataset, 'v' || doc_id // 5000 AS version_token, CAST(strlen(text) AS BIGINT) AS bytes,
+ chr(10) || '[[files]]' || chr(10) || 'path = "raw/' || lang || '/' || doc_id || '.txt"' || chr(10) || 'sha256 = "' || sha256(text) || '"' || chr(10) || 'bytes = ' || strlen(text) || chr(10) AS entry FROM documents),
+lock_heads AS (SELECT asset, dataset, version_token, count(*) AS file_count, CAST(sum(bytes) AS BIGINT) AS total_bytes, string_agg(entry, '' ORDER BY entry) AS entries, 'doc/' || asset || '/' || dataset || '/' || version_token AS snapshot FROM lock_entries GROUP BY ALL),
+lock_texts AS (SELECT *, 'database = "doc"' || chr(10) || 'asset = "' || asset || '"' || chr(10) || CASE WHEN asset <> 'src2' THEN 'dataset = "' || dataset || '"' || chr(10) ELSE '' END
+ || CASE asset WHEN 'src3' THEN 'version = "r' || version_token || '"' || chr(10) WHEN 'src4' THEN 'version = "' || version_token || '"' || chr(10) ELSE '' END || 'version_token = "' || version_token || '"' || chr(10) || 'downloaded_at = "2026-03-01T00:00:00Z"' || chr(10)
+ || CASE asset WHEN 'src5' THEN 'source_release = "117.0"' || chr(10) || 'source_release_start = "116.0"' || chr(10) || 'source_release_end = "117.0"' || chr(10) WHEN 'src6' THEN 'source_last_update = "2026-02-03"' || chr(10) || 'source_last_update_start = "2026-02-01"' || chr(10) || 'source_last_update_end = "2026-02-03"' || chr(10) ELSE '' END
+ || replace(CASE asset WHEN 'src1' THEN '~[[species]]~id = "9606"~~[[species]]~id = "10090"~' WHEN 'src7' THEN '~[[pathways]]~id = "hsa00010"~~[[brites]]~id = "br08301"~' WHEN 'src8' THEN '~[[brites]]~id = "br08301"~' ELSE '' END, '~', chr(10)) || entries AS lock FROM lock_heads),
+manifest_snapshots AS (SELECT 'doc' AS "database", asset, CASE WHEN asset <> 'src2' THEN dataset END AS dataset, version_token, snapshot, CASE WHEN asset = 'src3' THEN 'r' || version_token END AS source_version, '2026-03-01T00:00:00Z' AS downloaded_at, file_count, total_bytes,
+ CASE WHEN asset = 'src5' THEN '117.0' END AS source_release, CASE WHEN asset = 'src5' THEN '116.0' END AS source_release_start, CASE WHEN asset = 'src5' THEN '117.0' END AS source_release_end,
+ CASE WHEN asset = 'src6' THEN '2026-02-03' END AS source_last_update, CASE WHEN asset = 'src6' THEN '2026-02-01' END AS source_last_update_start, CASE WHEN asset = 'src6' THEN '2026-02-03' END AS source_last_update_end,
+ CASE asset WHEN 'src1' THEN 'species' WHEN 'src7' THEN 'pathways' WHEN 'src8' THEN 'brites' ELSE '' END AS record_kind, CAST(CASE asset WHEN 'src1' THEN 2 WHEN 'src7' THEN 1 WHEN 'src8' THEN 1 ELSE 0 END AS BIGINT) AS record_count,
+ 'manifest.lock' AS manifest_path, sha256(lock) AS manifest_sha256, CAST(strlen(lock) AS BIGINT) AS manifest_bytes
+ FROM (SELECT *, row_number() OVER (PARTITION BY asset, CASE WHEN asset <> 'src2' THEN dataset END, version_token ORDER BY snapshot) AS place FROM lock_texts) WHERE place = 1)
+"""
+LOCK_ISSUES = FULL_LOCKS + """, one AS (SELECT dataset, version_token, snapshot FROM lock_texts WHERE asset = 'src9')
+SELECT 'aa/' || dataset || '/' || version_token || '/manifest.lock' AS path, unnest(['path', 'sha256', 'bytes']) AS rule, '../escape' AS detail FROM one
+UNION ALL SELECT 'bad/' || dataset || '/' || version_token || '/manifest.lock', 'parse', '' FROM one
+UNION ALL SELECT 'type/' || dataset || '/' || version_token || '/manifest.lock', 'parse', '' FROM one
+UNION ALL SELECT 'empty/' || dataset || '/' || version_token || '/manifest.lock', 'files', '' FROM one
+UNION ALL SELECT 'over/' || dataset || '/' || version_token || '/manifest.lock', 'overflow', '' FROM one
+UNION ALL SELECT 'twice/' || dataset || '/' || version_token || '/manifest.lock', unnest(['overflow', 'duplicate path', 'duplicate path']), unnest(['', 'raw/a', 'raw/a']) FROM one
+UNION ALL SELECT 'token/' || dataset || '/other/manifest.lock', 'directory', '' FROM one
+UNION ALL SELECT 'blank/' || dataset || '/' || version_token || '/manifest.lock', 'asset', '' FROM one
+UNION ALL SELECT 'zz/' || dataset || '/' || version_token || '/manifest.lock', 'duplicate identity', snapshot FROM one
+UNION ALL SELECT snapshot || '/manifest.lock', 'duplicate identity', first FROM (SELECT snapshot, row_number() OVER w AS place, first_value(snapshot) OVER w AS first FROM lock_texts WHERE asset = 'src2' WINDOW w AS (PARTITION BY version_token ORDER BY snapshot)) WHERE place > 1"""
+
+
+@query("e1_from_locks", FULL_LOCKS + "SELECT * FROM manifest_snapshots")
 def _(s, d):
-    """The whole way: locks on the shared store, pruned, decoded, checked and added up."""
+    """The whole way: locks on the shared store, pruned, decoded, checked and described with all fields of the manifest."""
+    return from_locks(s, d)[0]
+
+
+@query("e1_lock_issues", LOCK_ISSUES)
+def _(s, d):
+    """Locks that can't be parsed, hold no file, break rules, or repeat an identity; one of them breaks a rule and so takes no identity."""
+    return from_locks(s, d)[2]
+
+
+@query("e1_lock_summary", FULL_LOCKS + 'SELECT count(DISTINCT "database") AS database_count, count(*) AS snapshot_count, CAST(sum(file_count) AS BIGINT) AS file_count, CAST(sum(total_bytes) AS BIGINT) AS total_bytes FROM manifest_snapshots')
+def _(s, d):
+    return from_locks(s, d)[1]
+
+
+@query("e1_locks_as_records", LOCKED + 'SELECT snapshot, "database", asset, dataset, version_token, count(*) AS file_count, CAST(sum(bytes) AS BIGINT) AS total_bytes FROM locked GROUP BY ALL')
+def _(s, d):
+    """The locks' files as records of their own, checked and added up."""
     locks, root = kept_locks(s, d)
     records_ = S.lock_files(locks.filter("error is null")).withColumn("snapshot", below(F.col("snapshot"), root))
     return M.build_manifest(records_)[0]
 
 
+LOCKED_MANIFEST = FULL_LOCKS + "SELECT '2' AS \"SchemaVersion\", '/data' AS \"ResourceRoot\", " + ", ".join(f"CAST({c} AS BIGINT) AS \"{n}\"" if c in S.NUMBERS else f"coalesce({c}, '') AS \"{n}\"" for n, c in list(S.MANIFEST_COLUMNS.items())[2:]).replace("coalesce(database", 'coalesce("database"') + " FROM manifest_snapshots"
+
+
+def locked_manifest(s: SparkSession, d: str, kind: str) -> str:
+    out = fresh(s)
+    S.write_manifest(from_locks(s, d)[0], out, [kind], "/data")
+    return f"{out}/{kind}"
+
+
+def manifest_types(rows: DataFrame) -> DataFrame:
+    return rows.select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) if c not in S.NUMBERS else F.col(n).cast("bigint").alias(n) for n, c in S.MANIFEST_COLUMNS.items()])
+
+
+@query("s8_locks_tsv", LOCKED_MANIFEST)
+def _(s, d):
+    """All 22 columns from decoded locks, written and read back as text."""
+    return manifest_types(S.read_strict_tsv(s, locked_manifest(s, d, "tsv") + "/*.csv", list(S.MANIFEST_COLUMNS))[0])
+
+
+@query("s8_locks_json", LOCKED_MANIFEST)
+def _(s, d):
+    return manifest_types(s.read.json(locked_manifest(s, d, "json")))
+
+
+@query("s8_locks_parquet", LOCKED_MANIFEST)
+def _(s, d):
+    return manifest_types(s.read.parquet(locked_manifest(s, d, "parquet")))
+
+
+@query("s8_locks_toml", LOCKED_MANIFEST)
+def _(s, d):
+    """The toml read by the standard library, in one piece: it is one document by its format."""
+    fields = {"version_token": "version", "snapshot": "path"}
+
+    def f(batches):
+        for b in batches:
+            for text in b["value"]:
+                t = tomllib.loads(text)
+                rows = [t | {"manifest_" + k: v for k, v in x["manifest"].items()} | x for x in t["snapshots"]]
+                yield pd.DataFrame({n: [x.get(c if c.startswith("manifest_") or c in t else fields.get(c, c), 0 if c in S.NUMBERS else "") for x in rows] for n, c in S.MANIFEST_COLUMNS.items()})
+
+    schema = ", ".join(f"{n} {'bigint' if c in S.NUMBERS else 'string'}" for n, c in S.MANIFEST_COLUMNS.items())
+    return s.read.text(locked_manifest(s, d, "toml"), wholetext=True).mapInPandas(f, schema)
+
+
 EVENT_HEADER = ["event_id", "user_id", "event_type", "props"]
 
 

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 LARGEST, STEP = (1 << 31) - 1025, 1 << 20  # most bytes of a file that is read as one value; bytes of a step beyond
 LINE_LIMIT = 32 << 20  # fixed value: longest line of a strict table, in bytes
 SKIPPED_DIRS = ("raw", "tidy", "logs")
-LOCK_FIELDS = "database string, asset string, dataset string, version string, version_token string, files array<struct<path string, sha256 string, bytes bigint>>, species array<struct<id string>>, pathways array<struct<id string>>, brites array<struct<id string>>, error string"
+LOCK_TEXTS = ("database", "asset", "dataset", "version", "version_token", "downloaded_at", "source_release", "source_release_start", "source_release_end", "source_last_update", "source_last_update_start", "source_last_update_end")
+LOCK_FIELDS = ", ".join(f"{c} string" for c in LOCK_TEXTS) + ", files array<struct<path string, sha256 string, bytes bigint>>, species array<struct<id string>>, pathways array<struct<id string>>, brites array<struct<id string>>, error string"
 EMPTY_SHA256, EMPTY_MD5 = hashlib.sha256(b"").hexdigest(), hashlib.md5(b"").hexdigest()
 
 
@@ -27,28 +28,40 @@ def _dir(path: Column) -> Column:
 
 
 def scan_locks(spark: SparkSession, root: str) -> DataFrame:
-    """Every manifest.lock below root: its fields, path, hash and size. A lock that can't be read is a row with ``error``."""
+    """Every manifest.lock below root: its fields, path, hash and size. A lock that can't be read, or has a value of a wrong type, is a row with ``error``."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "manifest.lock").load(root)
     src = found.select("path", F.sha2("content", 256).alias("lock_sha256"), F.length("content").cast("bigint").alias("lock_bytes"), "content")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.split(" ")[0] for x in ("database", "asset", "dataset", "version", "version_token")]
+        columns = [*LOCK_TEXTS, "files", "species", "pathways", "brites", "error"]
         for pdf in batches:
             rows = []
             for content in pdf["content"]:
                 try:
-                    t = tomllib.loads(bytes(content).decode())
-                    files = [{"path": f.get("path"), "sha256": f.get("sha256"), "bytes": f.get("bytes")} for f in t.get("files", [])]
-                    ids = [[{"id": str(x.get("id"))} for x in t[k]] if k in t else None for k in ("species", "pathways", "brites")]
-                    rows.append([*(t.get(n) for n in names), files, *ids, None])
-                except (ValueError, AttributeError, TypeError) as e:
-                    rows.append([None] * 9 + [str(e)])
-            out = pd.DataFrame(rows, columns=[*names, "files", "species", "pathways", "brites", "error"], dtype=object)
+                    rows.append([*_lock_fields(tomllib.loads(bytes(content).decode())), None])
+                except (ValueError, TypeError, RecursionError) as e:
+                    rows.append([None] * (len(columns) - 1) + [str(e)])
+            out = pd.DataFrame(rows, columns=columns, dtype=object)
             yield pd.concat([pdf[["path", "lock_sha256", "lock_bytes"]].reset_index(drop=True), out], axis=1)
 
     return src.mapInPandas(parse, "path string, lock_sha256 string, lock_bytes bigint, " + LOCK_FIELDS)
 
 
+def _lock_fields(t: dict) -> list:
+    """The fields of a lock; a value of another type than its field's is an error."""
+
+    def typed(v: object, kind: type, name: str) -> object:
+        if v is not None and (not isinstance(v, kind) or isinstance(v, bool) or kind is int and not -(1 << 63) <= v < 1 << 63):
+            raise ValueError(f"{name} is not of its type")
+        return v
+
+    def tables(name: str) -> list[dict]:
+        return [typed(x, dict, name) for x in typed(t.get(name, []), list, name)]
+
+    files = [{"path": typed(f.get("path", ""), str, "path"), "sha256": typed(f.get("sha256", ""), str, "sha256"), "bytes": typed(f.get("bytes"), int, "bytes")} for f in tables("files")]
+    return [*(typed(t.get(n), str, n) for n in LOCK_TEXTS), files, *([{"id": typed(x.get("id"), str, "id")} for x in tables(k)] for k in ("species", "pathways", "brites"))]
+
+
 def prune_nested(locks: DataFrame) -> DataFrame:
     """A lock's directory is terminal: locks below another lock's directory, or below raw, tidy, logs or part folders, go."""
     d = locks.withColumn("dir", _dir(F.col("path")))
