@@ -34,7 +34,7 @@ CHUNK = 8 << 20  # bytes of text that are counted together
 RANGE = 1 << 21  # about so many hashes meet in one range
 MOST_BITS = 28
 ENTRY = 40  # bits of a hash that are kept within its range
-TOP = 2000
+TOP, PARTS = 2000, 64  # a language's phrases are ranked in so many parts first
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -236,7 +236,9 @@ def collocations(df: DataFrame, least: int = 10, share: int = 50, top: int = TOP
     longer = three.select("lang", "a", F.explode(F.array(F.concat_ws(" ", w[0], w[1]), F.concat_ws(" ", w[1], w[2]))).alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = best.join(longer, ["lang", "phrase"], "left").filter(F.coalesce(100 * F.col("longer") < share * F.col("a"), F.lit(True)))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase")))
-    first = kept.withColumn("rank", place).filter(F.col("rank") <= top)
+    part = F.row_number().over(Window.partitionBy("lang", "part").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase")))
+    some = kept.withColumn("part", F.pmod(F.hash("phrase"), F.lit(PARTS))).withColumn("rank", part).filter(F.col("rank") <= top).drop("part")
+    first = some.withColumn("rank", place).filter(F.col("rank") <= top)
     size = found.filter("words = 0").select("lang", F.col("a").alias("n"))
     return first.join(size, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
