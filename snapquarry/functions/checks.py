@@ -127,25 +127,30 @@ def source_version(version: Column, token: Column) -> Column:
     return F.when(~blank(version) & (version != token), version)
 
 
-#: Accepted release tokens, as (database, pattern, canonical form).
+#: Accepted release tokens, as (database, pattern, canonical form); the pattern ignores case where it begins with (?i).
 RELEASE_RULES = [
-    ("reactome", "^v?([0-9]+)$", "v$1"),
-    ("interpro", "^([0-9]+\\.[0-9]+)$", "$1"),
+    ("reactome", "(?i)^v?([0-9]+)$", "v$1"),
+    ("interpro", "^([0-9]+(?:\\.[0-9]+)?)$", "$1"),
     ("uniprot", "^([0-9]{4}_[0-9]{2})$", "$1"),
     ("kegg", "^([0-9]{4}-[0-9]{2})$", "$1"),
-    ("cog", "^(?:COG)?([0-9]{4})$", "COG$1"),
+    ("cog", "(?i)^(?:COG)?([0-9]{4})$", "COG$1"),
+    ("eggnog", "^5$", "5.0.2"),
+    ("eggnog", "^([0-9]+)$", "$1.0.0"),
     ("eggnog", "^([0-9]+\\.[0-9]+\\.[0-9]+)$", "$1"),
-    ("interproscan", "^([0-9]+\\.[0-9]+-[0-9]+\\.[0-9]+)$", "$1"),
+    ("interproscan", "^([0-9]{1,4}\\.[0-9]{1,4}-[0-9]{1,4}\\.[0-9]{1,4})$", "$1"),
     ("archive", "^([0-9]{4}-[0-9]{2}-[0-9]{2})$", "$1"),
 ]
+#: Databases whose tokens are months or days of the calendar, with what makes a day of one; and the one whose tokens aren't trimmed.
+CALENDAR, UNTRIMMED = {"kegg": "-01", "archive": ""}, "interproscan"
 
 
 def release_token(database: Column, token: Column) -> Column:
-    """The canonical token of a database's release, or null."""
+    """The canonical token of a database's release, or null: of another form, no day or month of the calendar, or "current", which is no fixed release."""
     out = F.lit(None).cast("string")
-    for name, pattern, form in RELEASE_RULES:
-        t = F.trim(token)
-        out = F.when((database == name) & t.rlike(pattern), F.regexp_replace(t, pattern, form)).otherwise(out)
+    for name, pattern, form in reversed(RELEASE_RULES):
+        t = token if name == UNTRIMMED else F.trim(token)
+        real = F.try_to_date(F.concat(t, F.lit(CALENDAR[name])), "yyyy-MM-dd").isNotNull() if name in CALENDAR else F.lit(True)
+        out = F.when((database == name) & t.rlike(pattern) & real, F.regexp_replace(t, pattern, form)).otherwise(out)
     return out
 
 
@@ -180,12 +185,30 @@ def entity_file(name: Column, scope: Column, family: str, base_url: str) -> Colu
     return out
 
 
+def info_metadata(text: Column) -> Column:
+    """struct(release, updated) of an info page: of the lines that name one the last counts, up to the line by which both are known; a day written with slashes gets dashes, any other text stays. Null where there is none."""
+
+    def after(line: Column, mark: str) -> Column:
+        rest = F.trim(F.regexp_replace(line, f"^.*?{mark}", ""))
+        return F.when(line.contains(mark), F.trim(F.substring_index(rest, ",", 1))).otherwise("")
+
+    def step(a: Column, line: Column) -> Column:
+        release, updated = after(line, "Release "), after(line, "Last update ")
+        known = (a["release"] != "") & (a["updated"] != "")
+        return F.struct(F.when(known | (release == ""), a["release"]).otherwise(release).alias("release"), F.when(known | (updated == ""), a["updated"]).otherwise(updated).alias("updated"))
+
+    lines = F.transform(F.split(text, "\r?\n"), lambda x: F.trim(x))
+    found = F.aggregate(lines, F.struct(F.lit("").alias("release"), F.lit("").alias("updated")), step)
+    day = F.date_format(F.try_to_date(F.when(found["updated"].rlike("^[0-9]{4}/[0-9]{2}/[0-9]{2}$"), found["updated"]), "yyyy/MM/dd"), "yyyy-MM-dd")
+    return F.struct(F.nullif(found["release"], F.lit("")).alias("release"), F.coalesce(day, F.nullif(found["updated"], F.lit(""))).alias("updated"))
+
+
 def info_release(text: Column) -> Column:
-    return F.nullif(F.trim(F.regexp_extract(text, "Release ([^,\\n]+)", 1)), F.lit(""))
+    return info_metadata(text)["release"]
 
 
 def info_updated(text: Column) -> Column:
-    return F.nullif(F.regexp_replace(F.regexp_extract(text, "Last update ([0-9]{4}/[0-9]{2}/[0-9]{2})", 1), "/", "-"), F.lit(""))
+    return info_metadata(text)["updated"]
 
 
 def annotation_name(name: Column) -> Column:
@@ -195,9 +218,12 @@ def annotation_name(name: Column) -> Column:
 
 
 def network_asset(name: Column, taxid: Column) -> Column:
-    """Asset of <taxid>.<asset>.<version>.txt.gz, or null."""
-    p = "^([0-9]+)\\.(.+)\\.(v[0-9.]+)\\.txt\\.gz$"
-    return F.when(name.rlike(p) & (F.regexp_extract(name, p, 1) == taxid), F.regexp_extract(name, p, 2))
+    """Asset of <taxid>.<asset>.<version>.txt.gz, or null. What follows the last dot of the middle is the version, whatever its form."""
+    begin, end = F.concat(taxid, F.lit(".")), ".txt.gz"
+    body = F.substring(name, F.char_length(begin) + 1, F.greatest(F.char_length(name) - F.char_length(begin) - len(end), F.lit(0)))
+    asset = F.regexp_extract(body, "^(.+)\\.[^.]*$", 1)
+    whole = name.startswith(begin) & name.endswith(end) & (F.char_length(name) >= F.char_length(begin) + len(end))
+    return F.when(whole, F.nullif(asset, F.lit("")))
 
 
 def pathway_set_name(name: Column) -> Column:
@@ -208,6 +234,6 @@ def pathway_set_name(name: Column) -> Column:
 
 
 def checksum_line(line: Column) -> Column:
-    """struct(md5, name) of a checksum line, or null."""
-    p = "^([0-9A-Fa-f]{32})\\s+\\*?(\\S+)\\s*$"
+    """struct(md5, name) of a checksum file's only line, or null: 32 hexadecimal characters, blanks or tabs, perhaps an asterisk, and a name, which may hold blanks but no slash."""
+    p = "^([0-9A-Fa-f]{32})[ \\t]+\\*?([^/\\r\\n]+)(?:\\r?\\n)?$"
     return F.when(line.rlike(p), F.struct(F.lower(F.regexp_extract(line, p, 1)).alias("md5"), F.regexp_extract(line, p, 2).alias("name")))

@@ -16,13 +16,12 @@ def catalog(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def select_assets(declared: DataFrame, requested: DataFrame, version: str, allow_large: bool = False, above: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(selected assets with expanded paths and urls, issues). issues: name, rule (unknown, large)."""
-    chosen, unknown = selected(requested, declared, "name", "is_default" if "is_default" in declared.columns else None)
-    large = F.col("is_large") | (F.coalesce(F.col("expected_bytes"), F.lit(0)) > above if above is not None else F.lit(False))
+def select_assets(declared: DataFrame, requested: DataFrame, version: str, allow_large: bool = False, above: int | None = None, family: str = "bulk") -> tuple[DataFrame, DataFrame]:
+    """(selected assets with expanded paths and urls, issues: name, rule). Rules of ``selected``'s family, and large: an asset that is marked large, or over ``above`` bytes, without leave."""
+    chosen, issues = selected(requested, declared, "name", "is_default" if "is_default" in declared.columns else None, family)
+    large = F.coalesce(F.col("is_large"), F.lit(False)) | (F.coalesce(F.col("expected_bytes"), F.lit(0)) > above if above is not None else F.lit(False))
     v = F.lit(version)
     out = chosen.withColumn("path", F.concat(F.lit("raw/"), C.expanded(F.col("path"), v))).withColumn("url", C.expanded(F.col("url"), v))
-    issues = unknown.select("name", F.lit("unknown").alias("rule"))
     if allow_large:
         return out, issues
     return out.filter(~large), issues.unionByName(out.filter(large).select("name", F.lit("large").alias("rule")))

@@ -79,13 +79,31 @@ def header_version(lines: DataFrame) -> DataFrame:
     return first.select("file", F.coalesce(F.nullif(date, F.lit("")), text).alias("version"))
 
 
-def selected(requested: DataFrame, available: DataFrame, name: str, default: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(available rows that are requested, requested names that aren't available). No request, or all, means the default set: rows for which the column ``default`` is true, or everything."""
-    asked = requested.filter(~C.blank(F.col(name)) & (F.lower(F.trim(name)) != "all"))
-    every = requested.filter(F.lower(F.trim(name)) == "all").limit(1).count() > 0 or not asked.limit(1).count()
-    usual = available.filter(default) if default else available
-    chosen = usual if every else available.join(asked, name, "left_semi")
-    return chosen, asked.join(available, name, "left_anti")
+def selected(requested: DataFrame, available: DataFrame, name: str, default: str | None = None, family: str = "exact") -> tuple[DataFrame, DataFrame]:
+    """(available rows that are requested, issues: ``name``, rule). Requests are comma lists of names.
+
+    No request at all means the rows for which the column ``default`` is true, or every row.
+    family bulk: all, in this spelling, is every row, also beside names. family exact: all, in
+    any case, is every row; beside known names it is an issue (all beside names), and hides
+    unknown ones. family plain: all is a name like others. Other issues: unknown; file syntax
+    (a name that begins with @); empty (a request without any name). With an issue the rows
+    that are asked for stand all the same; callers decide.
+    """
+    if family not in ("bulk", "exact", "plain"):
+        raise ValueError(f"unknown family {family}")
+    tokens, at = token_list(requested.select(F.lit(0).alias("k"), F.col(name).alias("v")), "k", "v")
+    all_ = {"bulk": F.col("token") == "all", "exact": F.lower("token") == "all", "plain": F.lit(False)}[family]
+    names = tokens.filter(~all_).select(F.col("token").alias(name)).distinct()
+    known = available.select(name).distinct()
+    n = requested.agg(F.count("*").alias("requests"))  # one row, as are the two below
+    n = n.crossJoin(tokens.agg(F.count("*").alias("tokens"), F.coalesce(F.max(all_), F.lit(False)).alias("every"))).crossJoin(names.join(known, name, "left_semi").agg(F.count("*").alias("known")))
+    marked = available.join(names.withColumn("asked", F.lit(True)), name, "left").crossJoin(F.broadcast(n))
+    usual = F.coalesce(F.col(default), F.lit(False)) if default else F.lit(True)
+    chosen = marked.filter(F.when(F.col("requests") == 0, usual).otherwise(F.col("every") | F.coalesce("asked", F.lit(False)))).select(*available.columns)
+    lost = names.join(known, name, "left_anti").crossJoin(F.broadcast(n)).filter(~F.col("every") | F.lit(family == "bulk")).select(name, F.lit("unknown").alias("rule"))
+    beside = n.filter(F.col("every") & (F.col("known") > 0) & F.lit(family == "exact")).select(F.lit("all").alias(name), F.lit("all beside names").alias("rule"))
+    empty = n.filter("requests > 0 and tokens = 0").select(F.lit("").alias(name), F.lit("empty").alias("rule"))
+    return chosen, lost.unionByName(at.select(F.col("token").alias(name), "rule")).unionByName(beside).unionByName(empty)
 
 
 def prefix_partition(codes: DataFrame, prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -189,10 +189,15 @@ def assembled(batches: Sequence[DataFrame], key: Sequence[str]) -> tuple[DataFra
     return edges, duplicate_edges(edges, key)
 
 
-def split_archive(edges: DataFrame, dataset: str | None, requested: DataFrame, a: str = "ncbi_tax_id_source", b: str = "ncbi_tax_id_target") -> tuple[DataFrame, DataFrame]:
-    """(edges of the dataset's column that is true, a row for each requested organism; edges of every requested organism, also those without any)."""
-    own = edges.filter(F.lower(F.trim(dataset)) == "true") if dataset else edges
-    mine = routed(own, a, b).join(requested, "organism", "left_semi")
+def split_archive(edges: DataFrame, dataset: str | None, requested: DataFrame, a: str = "ncbi_tax_id_source", b: str | None = "ncbi_tax_id_target") -> tuple[DataFrame, DataFrame]:
+    """(edges of the dataset, of its requested organisms; edges of every requested organism, also those without any).
+
+    With ``dataset`` only rows count whose column of that name is exactly True. With ``b``
+    None there is one taxid column, ``a``, and a row belongs to that organism alone.
+    """
+    own = edges.filter(F.col(dataset) == "True") if dataset else edges
+    alone = own.withColumn("organism", F.trim(a)).filter(C.taxid_ok(F.col("organism"))) if b is None else routed(own, a, b)
+    mine = alone.join(requested, "organism", "left_semi")
     return mine, split_counts(mine, requested)
 
 

@@ -22,17 +22,23 @@ def declared_vs_present(declared: DataFrame, present: DataFrame, ignore_extra: b
 
 
 def record_set_issues(records: DataFrame, declared: DataFrame) -> DataFrame:
-    """(path, rule): duplicate, undeclared, missing, and mismatches of asset and size."""
-    n = records.groupBy("path").agg(F.count("*").alias("copies"), F.max("asset").alias("asset"), F.max("bytes").alias("bytes"))
-    both = n.alias("r").join(declared.alias("d"), F.col("r.path") == F.col("d.path"), "full_outer")
-    rules = F.array(
-        F.when(F.col("r.copies") > 1, "duplicate"),
-        F.when(F.col("d.path").isNull(), "undeclared"),
-        F.when(F.col("r.path").isNull(), "missing"),
-        F.when(F.col("r.asset") != F.col("d.asset"), "asset"),
-        F.when(F.col("r.bytes") != F.col("d.expected_bytes"), "bytes"),
-    )
-    return both.select(F.coalesce("r.path", "d.path").alias("path"), F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("rule"))
+    """(path, rule) of a complete set: duplicate, undeclared, missing, and mismatches of asset, url and size with the declaration.
+
+    Url and asset are compared if the declaration has such columns; a missing value is an
+    empty one. An expected size of 0 or null isn't known and matches any.
+    """
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    compared = [c for c in ("asset", "url") if c in declared.columns and c in records.columns]
+    d = declared.select("path", *compared, "expected_bytes").alias("d")
+    each = records.select("path", *compared, "bytes").alias("r").join(d, F.col("r.path") == F.col("d.path"), "left")
+    rules = [F.when(text(f"r.{c}") != text(f"d.{c}"), c) for c in compared]
+    rules.append(F.when((F.col("d.expected_bytes") > 0) & ~F.col("r.bytes").eqNullSafe(F.col("d.expected_bytes")), "bytes"))
+    known = F.col("d.path").isNotNull()
+    own = each.select(F.col("r.path").alias("path"), F.when(~known, F.array(F.lit("undeclared"))).otherwise(F.filter(F.array(*rules), lambda x: x.isNotNull())).alias("rules"))
+    by = own.groupBy("path").agg(F.array_distinct(F.flatten(F.collect_set("rules"))).alias("rules"), F.count("*").alias("copies"))
+    told = by.select("path", F.explode(F.concat("rules", F.when(F.col("copies") > 1, F.array(F.lit("duplicate"))).otherwise(F.array().cast("array<string>")))).alias("rule"))
+    missing = declared.select("path").join(records.select("path"), "path", "left_anti").select("path", F.lit("missing").alias("rule"))
+    return told.unionByName(missing)
 
 
 def _joined(expected: DataFrame, records: DataFrame, files: DataFrame) -> DataFrame:
@@ -113,6 +119,10 @@ def to_hash(expected: DataFrame, records: DataFrame, states: DataFrame) -> DataF
 
 
 def checksum_binding(archives: DataFrame, sidecars: DataFrame) -> DataFrame:
-    """(name, ok): the archive's md5 equals that of its sidecar line."""
-    line = sidecars.select(C.checksum_line(F.col("line")).alias("c")).select(F.col("c.name").alias("name"), F.col("c.md5").alias("expected"))
-    return archives.join(line, "name").select("name", (F.col("md5") == F.col("expected")).alias("ok"))
+    """(name, status) of every archive against its checksum file <name>.md5: ok, mismatch, name (the line is another archive's), malformed, missing.
+
+    archives: name, md5; sidecars: file, line (the whole file's text).
+    """
+    line = sidecars.select(F.regexp_extract("file", "^(.*)\\.md5$", 1).alias("name"), C.checksum_line(F.col("line")).alias("c"), F.lit(True).alias("there"))
+    status = F.when(F.col("there").isNull(), "missing").when(F.col("c").isNull(), "malformed").when(F.col("c.name") != F.col("name"), "name").when(F.col("c.md5") != F.col("md5"), "mismatch").otherwise("ok")
+    return archives.join(line, "name", "left").select("name", status.alias("status"))

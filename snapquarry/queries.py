@@ -172,9 +172,17 @@ def _(s, d):
     return R.declared_vs_present(records(s, d).select("path", F.col("bytes").alias("expected_bytes")), present(s, d))
 
 
-@query("j2_record_set", "SELECT coalesce(r.path, p.path) AS path, unnest(list_filter([CASE WHEN p.path IS NULL THEN 'undeclared' END, CASE WHEN r.path IS NULL THEN 'missing' END, CASE WHEN r.bytes <> p.bytes THEN 'bytes' END], lambda x: x IS NOT NULL)) AS rule FROM records r FULL JOIN present p ON r.path = p.path")
+@query("j2_record_set", """, r2 AS (SELECT path, asset, url, bytes FROM records UNION ALL SELECT path, asset, url, bytes FROM records WHERE asset = 'src10'),
+declared AS (SELECT path, CASE WHEN asset = 'src11' THEN 'other' ELSE asset END AS asset, 'https://example.org/' || path AS url, CASE WHEN asset = 'src12' THEN 0 WHEN asset = 'src13' THEN NULL WHEN asset = 'src14' THEN bytes + 5 ELSE bytes END AS expected_bytes FROM present)
+SELECT path, 'duplicate' AS rule FROM r2 GROUP BY path HAVING count(*) > 1 UNION ALL SELECT path, 'undeclared' FROM records WHERE path NOT IN (SELECT path FROM declared) UNION ALL SELECT path, 'missing' FROM declared WHERE path NOT IN (SELECT path FROM records)
+UNION ALL SELECT r.path, 'asset' FROM records r JOIN declared d ON r.path = d.path WHERE r.asset <> d.asset UNION ALL SELECT r.path, 'url' FROM records r JOIN declared d ON r.path = d.path WHERE r.url <> d.url
+UNION ALL SELECT r.path, 'bytes' FROM records r JOIN declared d ON r.path = d.path WHERE d.expected_bytes > 0 AND r.bytes <> d.expected_bytes""")
 def _(s, d):
-    return R.record_set_issues(records(s, d), present(s, d).withColumnRenamed("bytes", "expected_bytes"))
+    """A complete set with repeated, undeclared and missing files, other assets, urls and sizes; sizes that aren't known match any."""
+    a, r = F.col("asset"), records(s, d)
+    size = F.when(a == "src12", 0).when(a != "src13", F.col("bytes") + F.when(a == "src14", 5).otherwise(0))
+    declared = present(s, d).select("path", F.when(a == "src11", "other").otherwise(a).alias("asset"), F.concat(F.lit("https://example.org/"), "path").alias("url"), size.alias("expected_bytes"))
+    return R.record_set_issues(r.unionByName(r.filter("asset = 'src10'")), declared)
 
 
 PLAN = "SELECT f.path, {} AS decision FROM files f LEFT JOIN records r ON f.path = r.path LEFT JOIN present p ON f.path = p.path"
@@ -204,11 +212,38 @@ def _(s, d):
     return R.restore_issues(r)
 
 
+def brands(s: SparkSession, d: str) -> DataFrame:
+    return t(s, d, "part").select("p_partkey", F.col("p_brand").alias("name"), (F.col("p_size") > 25).alias("is_default"))
+
+
+def asked(s: SparkSession, *names: str) -> DataFrame:
+    return s.createDataFrame([(x,) for x in names], "name string")
+
+
 @query("j10_default_set", "SELECT p_partkey, p_brand AS name FROM part WHERE p_size > 25")
 def _(s, d):
-    """The request says all: the default rows."""
-    p = t(s, d, "part").select("p_partkey", F.col("p_brand").alias("name"), (F.col("p_size") > 25).alias("is_default"))
-    return D.selected(s.range(1).select(F.lit("All").alias("name")), p, "name", "is_default")[0].select("p_partkey", "name")
+    """No request: the default rows."""
+    return D.selected(asked(s), brands(s, d), "name", "is_default", "bulk")[0].select("p_partkey", "name")
+
+
+@query("j10_all", "SELECT 'bulk' AS family, p_partkey FROM part UNION ALL SELECT 'exact', p_partkey FROM part UNION ALL SELECT 'plain', p_partkey FROM part WHERE p_brand IN (SELECT min(p_brand) FROM part)")
+def _(s, d):
+    """All beside a name is every row where the family says so, default or not."""
+    p = brands(s, d)
+    want = p.agg(F.min("name").alias("name")).select(F.concat(F.lit(" all ,, "), "name", F.lit(" ")).alias("name"))
+    parts = [D.selected(want, p, "name", "is_default", f)[0].select(F.lit(f).alias("family"), "p_partkey") for f in ("bulk", "exact", "plain")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("j10_issues", "SELECT unnest(['bulk', 'bulk', 'exact', 'exact', 'plain', 'plain', 'plain', 'plain']) AS family, unnest(['no such', '@file', 'all', '@file', 'no such', '@file', 'ALL', 'all']) AS name, unnest(['unknown', 'file syntax', 'all beside names', 'file syntax', 'unknown', 'file syntax', 'unknown', 'unknown']) AS rule FROM (SELECT 1 FROM part LIMIT 1) UNION ALL SELECT 'bulk', 'ALL', 'unknown' UNION ALL SELECT 'none', '', 'empty'")
+def _(s, d):
+    """What each family of selections says about an unknown name, a file mark, all in two spellings beside a name, and a request of blanks."""
+    p = brands(s, d)
+    want = p.agg(F.min("name").alias("name")).select(F.concat(F.lit("no such, @file, ALL, all,"), "name").alias("name"))
+    out = D.selected(asked(s, " , "), p, "name", "is_default", "bulk")[1].select(F.lit("none").alias("family"), "name", "rule")
+    for f in ("bulk", "exact", "plain"):
+        out = out.unionByName(D.selected(want, p, "name", "is_default", f)[1].select(F.lit(f).alias("family"), "name", "rule"))
+    return out
 
 
 @query("u6_assembled", "SELECT target, flag, count(*) AS copies FROM (SELECT target, flag FROM edges WHERE organism = 'A' UNION ALL SELECT target, flag FROM edges WHERE organism = 'R') GROUP BY ALL HAVING count(*) > 1")
@@ -246,12 +281,14 @@ def _(s, d):
     return R.to_hash(files(s, d), records(s, d), present(s, d))
 
 
-@query("j18_checksum_binding", "SELECT path AS name, (asset <> 'src5') AS ok FROM records")
+@query("j18_checksum_binding", "SELECT doc_id || ' of it.tar' AS name, CASE asset WHEN 'src5' THEN 'mismatch' WHEN 'src6' THEN 'missing' WHEN 'src7' THEN 'malformed' WHEN 'src8' THEN 'malformed' WHEN 'src9' THEN 'name' ELSE 'ok' END AS status FROM (SELECT doc_id, source AS asset FROM documents)")
 def _(s, d):
-    md5 = t(s, d, "documents").select(F.concat(F.lit("raw/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), F.md5("text").alias("md5"))
-    r = records(s, d).join(md5, "path")
-    lines = r.select(F.concat(F.when(F.col("asset") == "src5", F.lit("0" * 32)).otherwise(F.col("md5")), F.lit("  *"), "path").alias("line"))
-    return R.checksum_binding(r.select(F.col("path").alias("name"), "md5"), lines)
+    """Archives with a checksum file of another hash, without one, with two lines or a name in a folder, and with another archive's name."""
+    a = F.col("source")
+    x = t(s, d, "documents").select("source", F.concat(F.col("doc_id").cast("string"), F.lit(" of it.tar")).alias("name"), F.md5(F.coalesce("text", F.lit(""))).alias("md5"))
+    told = F.when(a == "src8", F.concat(F.lit("x/"), "name")).when(a == "src9", F.concat("name", F.lit("2"))).otherwise(F.col("name"))
+    line = F.concat(F.when(a == "src5", F.lit("0" * 32)).otherwise(F.upper("md5")), F.lit(" \t*"), told, F.when(a == "src7", "\nmore\n").when(a == "src1", "\r\n").otherwise("\n"))
+    return R.checksum_binding(x.select("name", "md5"), x.filter("source <> 'src6'").select(F.concat("name", F.lit(".md5")).alias("file"), line.alias("line")))
 
 
 @query("a5_edges_per_target", "SELECT organism, target, count(*) AS edges FROM edges GROUP BY ALL")
@@ -380,16 +417,34 @@ def _(s, d):
     return p.select("p_partkey", C.hierarchy_id(h).alias("hierarchy"), C.organism_code(o).alias("organism"), C.taxid_ok(x).alias("taxid"), C.pathway_id(w).alias("pathway"))
 
 
-@query("p17_release_tokens", """, r AS (SELECT o_orderkey, CAST(o_orderkey % 16 AS INTEGER) AS k, strftime(o_orderdate, '%Y') AS y, strftime(o_orderdate, '%m') AS m, strftime(o_orderdate, '%d') AS dd FROM orders)
-SELECT o_orderkey, CASE k WHEN 0 THEN 'v' || m WHEN 1 THEN m || '.0' WHEN 2 THEN y || '_' || m WHEN 3 THEN y || '-' || m WHEN 4 THEN 'COG' || y WHEN 5 THEN m || '.0.2' WHEN 6 THEN m || '.7-' || dd || '.0' WHEN 7 THEN y || '-' || m || '-' || dd WHEN 8 THEN 'v' || m END AS token FROM r""")
+TOKENS = [
+    # (database, what the token is made of, canonical form or None): %y, %m, %d are the order's, %n its number modulo 30
+    ("reactome", " %m", "v%m"), ("reactome", "V%m ", "v%m"), ("reactome", "v%m.0", None), ("reactome", "current", None),
+    ("interpro", "%m.0", "%m.0"), ("interpro", "%m", "%m"), ("interpro", "%m.", None),
+    ("uniprot", "%y_%m", "%y_%m"), ("uniprot", "%y-%m", None), ("uniprot", "Current", None),
+    ("kegg", "%y-%m", "%y-%m"), ("kegg", "%y-13", None), ("kegg", "%y-00", None), ("kegg", "%y", None),
+    ("cog", "%y", "COG%y"), ("cog", "cog%y", "COG%y"), ("cog", "COG%m", None),
+    ("eggnog", "5", "5.0.2"), ("eggnog", "7", "7.0.0"), ("eggnog", " %m.0.2", "%m.0.2"), ("eggnog", "%m.0", None),
+    ("interproscan", "%m.7-%d.0", "%m.7-%d.0"), ("interproscan", "%m.7", None), ("interproscan", " %m.7-%d.0", None), ("interproscan", "12345.7-%d.0", None),
+    ("archive", "%y-%m-%d", "%y-%m-%d"), ("archive", "%y/%m/%d", None), ("archive", "%y-02-31", None), ("archive", "%y-%m-00", None), ("other", "%m", None),
+]
+
+
+def _sql_token(form: str | None) -> str:
+    return "NULL" if form is None else "'" + form.replace("%y", "' || y || '").replace("%m", "' || m || '").replace("%d", "' || dd || '") + "'"
+
+
+@query("p17_release_tokens", ", r AS (SELECT o_orderkey, strftime(o_orderdate, '%Y') AS y, strftime(o_orderdate, '%m') AS m, strftime(o_orderdate, '%d') AS dd FROM orders) SELECT o_orderkey, CASE CAST(o_orderkey % 30 AS INTEGER) " + " ".join(f"WHEN {k} THEN {_sql_token(form)}" for k, (_, _, form) in enumerate(TOKENS)) + " END AS token FROM r")
 def _(s, d):
-    """A token of each database, the reactome one with and without its v, and seven malformed ones."""
-    y, m, dd = (F.date_format("o_orderdate", x) for x in ("yyyy", "MM", "dd"))
-    good = [("reactome", F.concat(F.lit(" "), m)), ("interpro", F.concat(m, F.lit(".0"))), ("uniprot", F.concat_ws("_", y, m)), ("kegg", F.concat_ws("-", y, m)), ("cog", y), ("eggnog", F.concat(m, F.lit(".0.2"))), ("interproscan", F.concat(m, F.lit(".7-"), dd, F.lit(".0"))), ("archive", F.concat_ws("-", y, m, dd)), ("reactome", F.concat(F.lit("v"), m))]
-    bad = [("interpro", m), ("uniprot", F.concat_ws("-", y, m)), ("kegg", y), ("cog", F.concat(F.lit("COG"), m)), ("eggnog", F.concat(m, F.lit(".0"))), ("interproscan", F.concat(m, F.lit(".7"))), ("archive", F.concat_ws("/", y, m, dd))]
+    """Tokens of each database in each accepted form, and of forms, days and months that are none."""
+    parts = {"y": F.date_format("o_orderdate", "yyyy"), "m": F.date_format("o_orderdate", "MM"), "d": F.date_format("o_orderdate", "dd")}
     db = token = F.lit(None).cast("string")
-    for k, (name, value) in enumerate(good + bad):
-        db, token = F.when(F.col("o_orderkey") % 16 == k, name).otherwise(db), F.when(F.col("o_orderkey") % 16 == k, value).otherwise(token)
+    for k, (name, made, _) in enumerate(TOKENS):
+        value = F.lit(made)
+        for mark, part in parts.items():
+            value = F.replace(value, F.lit("%" + mark), part)
+        here = F.col("o_orderkey") % 30 == k
+        db, token = F.when(here, name).otherwise(db), F.when(here, value).otherwise(token)
     return t(s, d, "orders").select("o_orderkey", C.release_token(db, token).alias("token"))
 
 
@@ -399,19 +454,27 @@ def _(s, d):
     return t(s, d, "orders").select("o_orderkey", C.source_version(pr, st).alias("version"), C.first_filled(F.when(st == "F", " ").otherwise(st), pr).alias("start"))
 
 
-@query("p22_info_text", "SELECT event_id, CAST(user_id AS VARCHAR) || '.0' AS release, strftime(ts, '%Y-%m-%d') AS updated FROM events")
+@query("p22_info_text", """SELECT event_id, CASE CAST(event_id % 5 AS INTEGER) WHEN 0 THEN user_id || '.0' WHEN 1 THEN user_id || '.1+/03-10' WHEN 2 THEN NULL WHEN 3 THEN user_id || '.2' ELSE user_id || '.3' END AS release,
+ CASE CAST(event_id % 5 AS INTEGER) WHEN 0 THEN strftime(ts, '%Y-%m-%d') WHEN 1 THEN NULL WHEN 2 THEN 'March 2026' WHEN 3 THEN '2026/13/40' ELSE strftime(ts, '%Y-%m-%d') END AS updated FROM events""")
 def _(s, d):
-    text = F.concat(F.lit("pathway  Release "), F.col("user_id").cast("string"), F.lit(".0, Mar\nLast update "), F.date_format("ts", "yyyy/MM/dd"), F.lit(", x"))
+    """Info texts with a day, without one, with a month in words, with no day of the calendar, and with later lines that no longer count."""
+    n, day = F.col("user_id").cast("string"), F.date_format("ts", "yyyy/MM/dd")
+    texts = [
+        F.concat(F.lit("pathway  Release "), n, F.lit(".0, Mar\nLast update "), day, F.lit(", x")), F.concat(F.lit("\n  pathway          Release "), n, F.lit(".1+/03-10, Mar 10\r\nLast update ,\n")), F.lit("x\nLast update March 2026\n"),
+        F.concat(F.lit("Release 0.1\nRelease "), n, F.lit(".2\nLast update 2026/13/40")), F.concat(F.lit("Last update "), day, F.lit("\nRelease "), n, F.lit(".3\nRelease 9.9\nLast update 1999/01/01")),
+    ]
+    text = F.get(F.array(*texts), (F.col("event_id") % 5).cast("int"))
     return t(s, d, "events").select("event_id", C.info_release(text).alias("release"), C.info_updated(text).alias("updated"))
 
 
-@query("p8_p10_file_names", """SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN 'set_' || source END AS dataset, CASE WHEN doc_id % 4 <> 0 THEN CASE lang WHEN 'en' THEN 'gaf' WHEN 'fr' THEN 'gpad' ELSE 'gpi' END END AS format, CASE WHEN doc_id % 4 <> 1 THEN 'links' END AS asset, CASE WHEN doc_id % 4 <> 2 THEN lang END AS species, CASE WHEN doc_id % 4 <> 2 THEN '2026-05-10' END AS released FROM documents""")
+@query("p8_p10_file_names", """SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN 'set_' || source END AS dataset, CASE WHEN doc_id % 4 <> 0 THEN CASE lang WHEN 'en' THEN 'gaf' WHEN 'fr' THEN 'gpad' ELSE 'gpi' END END AS format, CASE doc_id % 4 WHEN 0 THEN 'links' WHEN 2 THEN 'links.detailed.v12' WHEN 3 THEN 'links' END AS asset, CASE WHEN doc_id % 4 <> 2 THEN lang END AS species, CASE WHEN doc_id % 4 <> 2 THEN '2026-05-10' END AS released FROM documents""")
 def _(s, d):
     """A quarter of each kind of name is malformed."""
     k, number = F.col("doc_id") % 4, F.col("doc_id").cast("string")
     fmt = F.when(k == 0, "gafx").when(F.col("lang") == "en", "gaf").when(F.col("lang") == "fr", "gpad").otherwise("gpi")
     a = C.annotation_name(F.concat(F.lit("set_"), "source", F.lit("."), fmt, F.lit(".gz")))
-    n = C.network_asset(F.concat(number, F.lit(".links.v12.0.txt.gz")), F.when(k == 1, F.concat(F.lit("9"), number)).otherwise(number))
+    middle = F.when(k == 2, ".links.detailed.v12.0").when(k == 3, ".links.").otherwise(".links.2025-01 beta")
+    n = C.network_asset(F.concat(number, middle, F.lit(".txt.gz")), F.when(k == 1, F.concat(F.lit("9"), number)).otherwise(number))
     p = C.pathway_set_name(F.concat(F.when(k == 2, "wikipathways-2026051-gmt-").otherwise("wikipathways-20260510-gmt-"), "lang", F.lit(".gmt")))
     return t(s, d, "documents").select("doc_id", a["dataset"].alias("dataset"), a["format"].alias("format"), n.alias("asset"), p["species"].alias("species"), p["released"].alias("released"))
 
@@ -1040,7 +1103,7 @@ def _(s, d):
 def edge_archive(s: SparkSession, d: str) -> str:
     """A compressed archive of routed edges, several parts, whose columns stand in another order than asked for; a cell equals a column's name."""
     out, p = fresh(s), pairs(s, d)
-    p.select(F.when(F.col("c_custkey") % 100 == 1, "a").otherwise(F.col("c_custkey").cast("string")).alias("key"), "b", F.lit("x").alias("other"), "a", (F.col("c_custkey") % 2 == 0).cast("string").alias("even")).write.option("header", "true").option("compression", "gzip").csv(out, sep="\t", quote="", emptyValue="")
+    p.select(F.when(F.col("c_custkey") % 100 == 1, "a").otherwise(F.col("c_custkey").cast("string")).alias("key"), "b", F.lit("x").alias("other"), "a", F.get(F.array(F.lit("True"), F.lit("true"), F.lit("True "), F.lit("False")), (F.col("c_custkey") % 4).cast("int")).alias("even")).write.option("header", "true").option("compression", "gzip").csv(out, sep="\t", quote="", emptyValue="")
     return out
 
 
@@ -1049,7 +1112,7 @@ def _(s, d):
     return S.read_edge_archive(s, edge_archive(s, d), ["a", "b", "key"])[0]
 
 
-@query("e6_split_archive", "SELECT n.organism, count(r.organism) AS edges FROM (SELECT CAST(n_nationkey AS VARCHAR) AS organism FROM nation WHERE n_nationkey < 9 UNION ALL SELECT '9606') n LEFT JOIN (SELECT * FROM routed WHERE c_custkey % 2 = 0) r ON n.organism = r.organism GROUP BY ALL")
+@query("e6_split_archive", "SELECT n.organism, count(r.organism) AS edges FROM (SELECT CAST(n_nationkey AS VARCHAR) AS organism FROM nation WHERE n_nationkey < 9 UNION ALL SELECT '9606') n LEFT JOIN (SELECT * FROM routed WHERE c_custkey % 4 = 0) r ON n.organism = r.organism GROUP BY ALL")
 def _(s, d):
     """An archive read, one dataset chosen, routed to the requested organisms, written by organism, and counted from the files; organisms without edges appear."""
     rows = S.read_edge_archive(s, edge_archive(s, d), ["a", "b", "key", "even"])[0]
@@ -1061,6 +1124,14 @@ def _(s, d):
     return counts.join(n, "organism", "left").select("organism", F.least("edges", F.coalesce("written", F.lit(0))).alias("edges"))
 
 
+@query("e6_single_taxid", "SELECT n.organism, count(r.taxid) AS edges FROM (SELECT CAST(n_nationkey AS VARCHAR) AS organism FROM nation WHERE n_nationkey < 9 UNION ALL SELECT '9606') n LEFT JOIN (SELECT trim(a) AS taxid FROM pairs WHERE regexp_full_match(trim(a), '[0-9]+')) r ON n.organism = r.taxid GROUP BY ALL")
+def _(s, d):
+    """An archive with one taxid column: a row belongs to that organism, wildcards and blanks to none."""
+    rows = S.read_edge_archive(s, edge_archive(s, d), ["a", "key"])[0]
+    wanted = t(s, d, "nation").filter("n_nationkey < 9").select(F.col("n_nationkey").cast("string").alias("organism")).union(s.range(1).select(F.lit("9606")))
+    return E.split_archive(rows, None, wanted, "a", None)[1]
+
+
 MANIFEST_SQL = "SELECT '2' AS \"SchemaVersion\", '/data' AS \"ResourceRoot\", 'doc' AS \"Database\", asset AS \"Asset\", dataset AS \"Dataset\", 'v1' AS \"Version\", snapshot AS \"Path\", CAST(count(*) AS VARCHAR) AS \"FileCount\", CAST(sum(bytes) AS VARCHAR) AS \"TotalBytes\", '0' AS \"RecordCount\", 22 AS columns FROM files GROUP BY ALL"
 
 
