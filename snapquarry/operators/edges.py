@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from functools import reduce
-from urllib.parse import quote_plus, urlencode
+from urllib.parse import urlencode
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from snapquarry.functions import checks as C
+from snapquarry.operators.ranks import BLOCK, batch_steps, ranked, walk
+from snapquarry.sources.storage import written
 
 KEY = ["source", "target", "is_directed", "is_stimulation", "is_inhibition", "consensus_direction", "consensus_stimulation", "consensus_inhibition"]
 MOST_EDGES, MOST_TARGETS, MOST_URL = 500, 100, 6144  # fixed values: bounds of a batch
@@ -25,8 +33,38 @@ def edges_per_target(edges: DataFrame) -> DataFrame:
 
 
 def inventory_digest(edges: DataFrame, cols: Sequence[str], by: str = "organism") -> DataFrame:
-    """Exact digest of the sorted keys of each group; a group must fit one row."""
-    return edges.select(by, key_text(cols).alias("k")).groupBy(by).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("k")), "\n"), 256).alias("digest"), F.count("*").alias("edges"))
+    """(by, digest, edges): the exact digest of each group's keys, sorted and joined by newlines.
+
+    Keys are sorted by Spark, which spills, and go through SHA-256 batch by batch, so a group
+    of any size takes constant memory. One digest is one chain of blocks by its definition, so
+    one task reads a group's sorted keys; ``bucketed_digest`` spreads them.
+    """
+    kind = edges.schema[by].dataType
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sha, n = None, None, 0
+        out: list[tuple] = []
+        for b in batches:
+            groups = b.column(0)
+            ends = pc.indices_nonzero(pc.fill_null(pc.not_equal(groups.slice(1), groups.slice(0, len(groups) - 1)), True)).to_pylist() if len(groups) > 1 else []
+            cuts = [0, *(e + 1 for e in ends), len(groups)]
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if i == j:
+                    continue
+                group = groups[i].as_py()
+                if sha is None or group != now:
+                    if sha is not None:
+                        out.append((now, sha.hexdigest(), n))
+                    now, sha, n = group, hashlib.sha256(), 0
+                keys = "\n".join(b.column(1).slice(i, j - i).to_pylist())
+                sha.update((("\n" if n else "") + keys).encode())
+                n += j - i
+        if sha is not None:
+            out.append((now, sha.hexdigest(), n))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], to_arrow_type(kind)), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.int64())], names=[by, "digest", "edges"])
+
+    rows = edges.select(by, key_text(cols).alias("k")).repartition(by).sortWithinPartitions(by, "k")
+    return rows.mapInArrow(fold, T.StructType([T.StructField(by, kind), T.StructField("digest", T.StringType()), T.StructField("edges", T.LongType())]))
 
 
 def bucketed_digest(edges: DataFrame, cols: Sequence[str], by: str = "organism", digits: int = 2) -> DataFrame:
@@ -97,37 +135,57 @@ def plan_edge_batches(edges: DataFrame, base_url: str = "https://example.org/int
     """(organism, batch, targets, expected_edges, url, error): greedy batches of the sorted targets.
 
     The bound on a url counts its encoded bytes. A target that is null or blank, or that is
-    over a bound by itself, is a row with an error and no batch number. Sequential inside an
-    organism by its nature, so edges are counted by target first; what one task reads is an
-    organism's list of targets, not its edges.
+    over a bound by itself, is a row with an error and no batch number.
+
+    Greedy is a walk: where a batch begins says where the next one does. Edges are counted by
+    target and targets numbered first. As no batch has over ``targets_bound`` targets, a block
+    of consecutive ones, with as many of the next block, says alone what becomes of a walk
+    from each of its first places; these steps are put together block by block (see ``walk``).
+    So no task reads an organism's list of targets.
     """
     head = f"{base_url}?{urlencode(sorted((constants or {}).items()), safe='~')}{'&' if constants else ''}organisms="
-
-    def f(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, bad, now, size = [], [], [], 0
-        organism = pdf["organism"].iloc[0]
-        first = len(head) + len(quote_plus(str(organism), safe="~")) + len("&targets=")
-        length = first
-        none = pdf["target"].isna() | (pdf["target"].str.strip() == "")
-        bad += [(organism, None, [t], int(n), "empty target") for t, n in zip(pdf["target"][none], pdf["edges"][none], strict=True)]
-        for target, n in sorted(zip(pdf["target"][~none], pdf["edges"][~none], strict=True)):
-            own = len(quote_plus(target, safe="~"))
-            if n > edges_bound or first + own > url_bound:
-                bad.append((organism, None, [target], int(n), "target over a bound"))
-                continue
-            if now and (size + n > edges_bound or len(now) == targets_bound or length + 3 + own > url_bound):
-                out.append((organism, len(out), now, size, None))
-                now, size, length = [], 0, first
-            length += own + 3 * bool(now)
-            now.append(target)
-            size += int(n)
-        if now:
-            out.append((organism, len(out), now, size, None))
-        return pd.DataFrame(out + bad, columns=["organism", "batch", "targets", "expected_edges", "error"]).astype({"batch": "Int32"})
-
-    plan = edges_per_target(edges).groupBy("organism").applyInPandas(f, "organism string, batch int, targets array<string>, expected_edges bigint, error string")
+    first = F.lit(len(head) + len("&targets=")) + F.octet_length(C.query_value(F.col("organism")))
+    counted = edges_per_target(edges).withColumns({"own": F.octet_length(C.query_value(F.col("target"))), "first": first})
+    error = F.when(F.coalesce(F.trim("target") == "", F.lit(True)), "empty target").when((F.col("edges") > edges_bound) | (F.col("first") + F.col("own") > url_bound), "target over a bound")
+    told = written(counted.withColumn("error", error))
+    bad = told.filter("error is not null").select("organism", F.lit(None).cast("int").alias("batch"), F.array("target").alias("targets"), F.col("edges").alias("expected_edges"), F.lit(None).cast("string").alias("url"), "error")
+    size = max(BLOCK, targets_bound)
+    placed = ranked(told.filter("error is null").select("organism", "target", "edges", "own", "first"), ["organism"], ["target"])
+    placed = written(placed.withColumn("block", F.expr(f"place div {size}")))
+    fields = ["organism", "block", "place", "edges", "own", "first"]
+    ahead = placed.filter((F.col("place") % size < targets_bound) & (F.col("block") > 0)).withColumn("block", F.col("block") - 1)
+
+    def starts(pdf: pd.DataFrame) -> tuple[np.ndarray, int]:
+        """Where the batch after each place begins (places within the block), and the block's own size."""
+        pdf = pdf.sort_values("place")
+        n, own = len(pdf), int((pdf["place"] // size == pdf["block"]).sum())
+        total = np.r_[0, np.cumsum(pdf["edges"].to_numpy(np.int64))]
+        length = np.r_[0, np.cumsum(pdf["own"].to_numpy(np.int64) + 3)]
+        k = np.arange(n)
+        most = np.minimum(np.searchsorted(total, total[:-1] + edges_bound, "right"), np.searchsorted(length, length[:-1] + url_bound - int(pdf["first"].iloc[0]) + 3, "right")) - 1
+        return np.minimum(np.minimum(most, k + targets_bound), n), own
+
+    def steps(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        after, own = starts(pdf)
+        rows = [(key[0], key[1], *r) for r in batch_steps(after, own, targets_bound if key[1] else 0)]
+        return pd.DataFrame(rows, columns=["organism", "block", "entry", "exit", "steps"])
+
+    def numbered(key: tuple, pdf: pd.DataFrame, at: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place")
+        after, own = starts(pdf)
+        entry, batch = int(at["entry"].iloc[0]), int(at["done"].iloc[0])
+        out = np.full(own, batch - 1, np.int64)  # what stands before the entry belongs to the last batch of the block before
+        while entry < own:
+            out[entry : after[entry]] = batch
+            entry, batch = int(after[entry]), batch + 1
+        return pd.DataFrame({"organism": key[0], "place": pdf["place"].to_numpy()[:own], "batch": out})
+
+    seen = placed.select(*fields).unionByName(ahead.select(*fields))
+    path = walk(seen.groupBy("organism", "block").applyInPandas(steps, "organism string, block bigint, entry int, exit int, steps bigint"), "organism")
+    batches = seen.groupBy("organism", "block").cogroup(path.groupBy("organism", "block")).applyInPandas(numbered, "organism string, place bigint, batch int")
+    grouped = placed.select("organism", "place", "target", "edges").join(batches, ["organism", "place"]).groupBy("organism", "batch").agg(F.array_sort(F.collect_list("target")).alias("targets"), F.sum("edges").alias("expected_edges"))
     url = canonical_url(base_url, constants or {}, F.col("organism"), F.col("targets"))
-    return plan.select("organism", "batch", "targets", "expected_edges", F.when(F.col("error").isNull(), url).alias("url"), "error")
+    return grouped.select("organism", "batch", "targets", "expected_edges", url.alias("url"), F.lit(None).cast("string").alias("error")).unionByName(bad)
 
 
 def validate_edges(evidence: DataFrame, batches: DataFrame, levels: Sequence[str] = ()) -> DataFrame:
@@ -147,6 +205,11 @@ def compare_inventories(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Data
     return x.join(y, "organism", "full_outer").withColumn("equal", F.coalesce(F.col("start") == F.col("end"), F.lit(False)))
 
 
+def inventory_drift(a: DataFrame, b: DataFrame, cols: Sequence[str], by: str = "organism") -> DataFrame:
+    """(by, cols, side, copies): the edges that make two inventories differ: missing from the second, or extra there. No digest is needed and no group meets in one task."""
+    return edge_difference(a, b, [by, *cols])
+
+
 def validate_batch_plan(batches: DataFrame, inventory: DataFrame, organisms: Sequence[str], base_url: str = "https://example.org/interactions", constants: dict[str, str] | None = None) -> DataFrame:
     """(organism, batch, rule) of every rule that a plan breaks; batches: organism, batch, targets, expected_edges, url, and the place ``leaf`` in the whole plan.
 

@@ -373,6 +373,21 @@ def _(s, d):
     return E.compare_inventories(e.filter("organism <> 'A'"), e.filter("organism <> 'N' or source <> '1'"), ["source", "target"])
 
 
+@query("e9_drift_rows", """, both_sides AS (SELECT organism, source, target, 1 AS n FROM edges WHERE organism <> 'A' UNION ALL SELECT organism, source, target, -1 FROM edges WHERE organism <> 'N' OR source <> '1')
+SELECT organism, source, target, CASE WHEN sum(n) > 0 THEN 'missing' ELSE 'extra' END AS side, CAST(abs(sum(n)) AS BIGINT) AS copies FROM both_sides GROUP BY ALL HAVING sum(n) <> 0""")
+def _(s, d):
+    """The edges by which the inventories of e9_compare_inventories differ."""
+    e = edges(s, d)
+    return E.inventory_drift(e.filter("organism <> 'A'"), e.filter("organism <> 'N' or source <> '1'"), ["source", "target"])
+
+
+@query("w1_one_key", "SELECT o_orderstatus, lpad(CAST(k AS VARCHAR), 6, '0') AS batch, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS ids, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 50 = 0 THEN 'P' ELSE 'O' END AS o_orderstatus, o_orderkey, (row_number() OVER (PARTITION BY o_orderkey % 50 = 0 ORDER BY o_orderkey) - 1) // 10 AS k FROM orders) GROUP BY ALL")
+def _(s, d):
+    """Nearly all orders have one key; no task numbers them alone."""
+    o = t(s, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 50 == 0, "P").otherwise("O").alias("o_orderstatus"))
+    return D.fixed_batches(o, ["o_orderstatus"], "o_orderkey", 10)
+
+
 @query("j16_routed", "SELECT c_custkey, organism FROM routed")
 def _(s, d):
     return E.routed(pairs(s, d), "a", "b").select("c_custkey", "organism")

@@ -16,6 +16,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp"))
         .config("spark.local.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .getOrCreate()
     )
