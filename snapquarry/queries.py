@@ -862,15 +862,26 @@ def _(s, d):
     return t(s, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_returnflag").alias("f")).select("l_orderkey", F.array_join(M.fixed_domain(F.col("f"), "RNA"), ",").alias("flags"))
 
 
+ARRIVING = "path string, ts timestamp_ntz, event_id bigint, value double"
+
+
+def arriving(s: SparkSession, d: str) -> DataFrame:
+    return t(s, d, "events").select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("path"), "ts", "event_id", "value")
+
+
+def arrive(s: SparkSession, rows: DataFrame, root: str, parts: int) -> None:
+    """Write records as ``parts`` files, so that as many micro-batches read them."""
+    rows.repartition(parts, "event_id").write.mode("append").parquet(root)
+
+
 @query("t1_stream_upsert", "SELECT user_id || '/' || event_type AS path, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY ALL")
 def _(s, d):
-    schema = t(s, d, "events").schema
-    arriving = s.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{d}/events.parquet*")
-    named = arriving.select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("path"), "ts", "event_id", "value")
-    out = f"{shared_dir(s)}/upsert/{uuid.uuid4().hex}"
-    q = upsert_stream(named, f"{out}/versions", f"{out}/checkpoint", "path", ["ts", "event_id"], every=None)
-    q.awaitTermination()
-    return latest_version(s, f"{out}/versions").drop("ts")
+    """Records from several files, a file a micro-batch, each merged into the buckets that it touches."""
+    root = fresh(s)
+    arrive(s, arriving(s, d), f"{root}/in", 3)
+    named = s.readStream.schema(ARRIVING).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    upsert_stream(named, f"{root}/table", f"{root}/checkpoint", "path", ["ts", "event_id"], every=None, buckets=8).awaitTermination()
+    return latest_version(s, f"{root}/table", ARRIVING).drop("ts")
 
 
 # Sources, sinks and verifiers: the tables' texts become files in the shared folder, which are then read.
@@ -1226,11 +1237,20 @@ def _(s, d):
     return found.select(below(F.col("path"), root).alias("path"), S.first_error(F.col("content"), [doctype, long]).alias("error"))
 
 
-@query("t2_scope_progress", "SELECT user_id || '/' || event_type AS path, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL")
+@query("t2_scope_progress", "SELECT user_id || '/' || event_type AS path, arg_max(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type <> 'click' OR user_id % 3 <> 0 GROUP BY ALL")
 def _(s, d):
-    """Records arrive batch by batch; a second run with the same checkpoint adopts what the first wrote and finds nothing new."""
-    named = lambda: s.readStream.schema(t(s, d, "events").schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/events.parquet*").select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("path"), "ts", "event_id")
-    out = f"{shared_dir(s)}/upsert/{uuid.uuid4().hex}"
-    for _k in range(2):
-        upsert_stream(named(), f"{out}/versions", f"{out}/checkpoint", "path", ["ts", "event_id"], every=None).awaitTermination()
-    return latest_version(s, f"{out}/versions").drop("ts")
+    """Half of the records, a stop, the other half after a restart with the same checkpoint, and a third run that finds nothing; in between paths vanish, which leave the table."""
+    root, rows = fresh(s), arriving(s, d)
+    half = F.col("event_id") % 2 == 0
+
+    def run(present=None) -> None:
+        named = s.readStream.schema(ARRIVING).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        upsert_stream(named, f"{root}/table", f"{root}/checkpoint", "path", ["ts", "event_id"], every=None, present=present, buckets=8, keep=2).awaitTermination()
+
+    arrive(s, rows.filter(half), f"{root}/in", 2)
+    run()
+    arrive(s, rows.filter(~half), f"{root}/in", 2)
+    there = lambda: t(s, d, "events").filter("event_type <> 'click' or user_id % 3 <> 0").select(F.concat_ws("/", F.col("user_id").cast("string"), "event_type").alias("path"))
+    run(there)
+    run(there)
+    return latest_version(s, f"{root}/table", ARRIVING).select("path", "event_id")

@@ -14,7 +14,7 @@ from snapquarry.operators import edges as E
 from snapquarry.operators import manifest as M
 from snapquarry.plans import reconcile as R
 from snapquarry.sources import files as S
-from snapquarry.streaming.upsert import latest_version, upsert_stream
+from snapquarry.streaming.upsert import latest_version, merge_batch, upsert_stream, versions
 
 FILES = "snapshot string, database string, asset string, dataset string, version_token string, path string, sha256 string, bytes bigint"
 SHA = "a" * 64
@@ -217,14 +217,33 @@ def test_sidecars_and_sinks(spark, tmp_path):
 
 
 def test_stream_restart(spark, tmp_path):
+    """A restart goes on; only touched buckets are written anew, vanished keys leave, old versions and their buckets go."""
     src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     schema = "path string, k bigint, v int"
-    for rows in ([("a", 1, 1), ("b", 1, 1)], [("a", 2, 5), ("b", 0, 9)], []):  # the last run finds nothing new
+    there = [["a", "b", "c", "d", "e", "f"]] * 3 + [["a", "b", "d", "e", "f"]]
+    batches = [[(p, 1, 1) for p in "abcdef"], [("a", 2, 5), ("b", 0, 9)], [], [("a", 3, 6)]]
+    written_ = []
+    for rows, keys in zip(batches, there, strict=True):
         if rows:
             spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
-        q = upsert_stream(spark.readStream.schema(schema).parquet(src), out, cp, "path", ["k"], every=None)
+        q = upsert_stream(spark.readStream.schema(schema).parquet(src), out, cp, "path", ["k"], every=None, present=lambda keys=keys: spark.createDataFrame([(x,) for x in keys], "path string"), buckets=32, keep=2)
         q.awaitTermination()
-    assert {tuple(r) for r in latest_version(spark, out).collect()} == {("a", 2, 5), ("b", 1, 1)}
+        written_.append({p.name for p in (tmp_path / "out/buckets").glob("v*/bucket=*")} and sorted(str(p.relative_to(tmp_path / "out/buckets")) for p in (tmp_path / "out/buckets").glob("v*/bucket=*")))
+    assert {tuple(r) for r in latest_version(spark, out, schema).collect()} == {("a", 3, 6), ("b", 1, 1), ("d", 1, 1), ("e", 1, 1), ("f", 1, 1)}
+    assert len([x for x in written_[1] if x.startswith("v000000001/")]) <= 2 < len([x for x in written_[1] if x.startswith("v000000000/")])
+    assert versions(spark, out) == [1, 2] and "c" not in {r.path for r in latest_version(spark, out, schema).collect()}
+    assert len(written_[3]) <= 6 + 2
+
+
+def test_stream_batch_again(spark, tmp_path):
+    """A batch that runs again, as after a lost driver, gives the same version."""
+    out, schema = str(tmp_path / "out"), "path string, k bigint"
+    first, second = spark.createDataFrame([("a", 1), ("b", 1)], schema), spark.createDataFrame([("a", 2), (None, 1)], schema)
+    for batch, k in ((first, 0), (second, 1), (second, 1)):
+        merge_batch(spark, batch, k, out, "path", ["k"], buckets=4)
+    assert {tuple(r) for r in latest_version(spark, out, schema).collect()} == {("a", 2), ("b", 1), (None, 1)}
+    merge_batch(spark, first.limit(0), 2, out, "path", ["k"], buckets=4)
+    assert latest_version(spark, out, schema).count() == 3
 
 
 @pytest.mark.parametrize("policy,want", [("strict", ["reuse", "acquire", "acquire", "acquire"]), ("manifest_first", ["reuse_manifest", "rebuild_hash", "rebuild_hash", "acquire"]), ("adopting", ["reuse_manifest", "acquire", "rebuild_hash", "acquire"]), ("intact", ["rebuild_hash", "rebuild_hash", "rebuild_hash", "acquire"])])
