@@ -264,12 +264,71 @@ def split_archive(edges: DataFrame, dataset: str | None, requested: DataFrame, a
     return mine, split_counts(mine, requested)
 
 
-def validate_query_meta(meta: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """(query_id, rule): organisms not sorted and distinct, levels not canonical, a token that isn't time-fingerprint."""
-    domain = F.array(*[F.lit(x) for x in "ABCD"])
-    canonical = F.filter(domain, lambda x: F.array_contains(F.col("levels"), x))
-    token = F.concat_ws("-", "taken_at", F.substring(query_fingerprint(fields), 1, 12))
-    rules = F.array(F.when(F.array_sort(F.array_distinct("organisms")) != F.col("organisms"), "organisms"), F.when(canonical != F.col("levels"), "levels"), F.when(F.col("version_token") != token, "token"))
-    return meta.select("query_id", F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("rule"))
-
-
+#: What a full-evidence query may ask for, and the columns it must name.
+DATASETS, LICENSES, LEVELLED = ("collectri", "dorothea", "kinaseextra"), ("academic", "commercial"), "dorothea"
+QUERY_FIELDS = ["curation_effort", "dorothea_level", "dorothea_methods", "evidences", "extra_attrs", "ncbi_tax_id", "references", "sources", "type"]
+OUTPUT_FIELDS = [
+    "source", "target", "source_genesymbol", "target_genesymbol", "is_directed", "is_stimulation", "is_inhibition", "consensus_direction", "consensus_stimulation", "consensus_inhibition", "sources", "references",
+    "dorothea_curated", "dorothea_chipseq", "dorothea_tfbs", "dorothea_coexp", "dorothea_level", "type", "curation_effort", "extra_attrs", "evidences", "ncbi_tax_id_source", "ncbi_tax_id_target",
+]
+QUERY_ORDER = ("schema", "dataset", "license", "organisms", "fields", "output_fields", "levels")
+
+
+def query_json(query: Column) -> Column:
+    """The query as compact JSON in its fixed order of fields, as it is fingerprinted: missing lists are null, and < > & are escaped."""
+    text = F.to_json(F.struct(*[query[c].alias(c) for c in QUERY_ORDER]), {"ignoreNullFields": "false"})
+    for c, code in (("<", "003c"), (">", "003e"), ("&", "0026")):
+        text = F.replace(text, F.lit(c), F.lit(f"\\u{code}"))
+    return text
+
+
+def validate_query_meta(meta: DataFrame, dataset: Column, version_token: Column, supported: Sequence[str] = DATASETS) -> DataFrame:
+    """(query_id, rule) of the rules that a decoded sidecar breaks (query_id, meta; ``dataset`` and ``version_token`` are what its snapshot says).
+
+    schema, transport, dataset, license, fields: not the fixed ones. organisms: none, out of
+    order, repeated, or not digits. levels: not canonical A to D for the levelled dataset, or
+    any for another. fingerprint: not the query's SHA-256. time: not RFC 3339 in UTC. token:
+    not the time and the first twelve digits. inventory: start and end differ, fewer than 0
+    edges, or no digest. The leaves are checked by ``validate_batch_plan``.
+    """
+    m, q = F.col("meta"), F.col("meta.query")
+    fixed = lambda c, want: c.eqNullSafe(F.array(*[F.lit(x) for x in want]))
+    organisms = F.coalesce(q["organisms"], F.array().cast("array<string>"))
+    sorted_ = organisms.eqNullSafe(F.array_sort(F.array_distinct(organisms)))
+    levels = F.coalesce(q["levels"], F.array().cast("array<string>"))
+    canonical = F.filter(F.array(*[F.lit(x) for x in "ABCD"]), lambda x: F.array_contains(levels, x)).eqNullSafe(levels) & (F.size(levels) > 0)
+    own = F.sha2(query_json(q), 256)
+    time = m["acquired_at_utc"]
+    parts = "^([0-9]{4})-([0-9]{2})-([0-9]{2})T([0-9]{2}):([0-9]{2}):([0-9]{2})(?:[.,]([0-9]{1,9})[0-9]*)?Z$"
+    real = time.rlike(parts) & F.try_to_timestamp(F.regexp_replace(F.substring(time, 1, 19), "T", " "), F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()
+    digits = [F.regexp_extract(time, parts, k) for k in range(1, 8)]
+    stamp = F.concat(*digits[:3], F.lit("T"), *digits[3:6], F.lit("."), F.rpad(digits[6], 9, "0"), F.lit("Z"))
+    start, end = m["start_inventory"], m["end_inventory"]
+    same = start["sha256"].eqNullSafe(end["sha256"]) & F.coalesce(start["edges"], F.lit(0)).eqNullSafe(F.coalesce(end["edges"], F.lit(0)))
+    rules = {
+        "schema": (m["schema"] == "full-evidence-v1") & (q["schema"] == "full-evidence-v1"),
+        "transport": m["transport"] == "target-batches-v1",
+        "dataset": (q["dataset"] == dataset) & q["dataset"].isin(*supported),
+        "license": q["license"].isin(*LICENSES),
+        "fields": fixed(q["fields"], QUERY_FIELDS) & fixed(q["output_fields"], OUTPUT_FIELDS),
+        "organisms": (F.size(organisms) > 0) & sorted_ & F.forall(organisms, lambda o: C.taxid_ok(o)),
+        "levels": F.when(q["dataset"] == LEVELLED, canonical).otherwise(F.size(levels) == 0),
+        "fingerprint": m["fingerprint"] == own,
+        "time": real,
+        "token": F.when(F.coalesce(real, F.lit(False)), version_token == F.concat_ws("-", stamp, F.substring(own, 1, 12))).otherwise(True),
+        "inventory": same & (F.coalesce(start["edges"], F.lit(0)) >= 0) & C.sha256_ok(start["sha256"]),
+    }
+    broken = F.filter(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]), lambda x: x.isNotNull())
+    return meta.select("query_id", F.explode(broken).alias("rule"))
+
+
+def sidecar_leaves(meta: DataFrame) -> DataFrame:
+    """The leaf batches of decoded sidecars as ``validate_batch_plan`` takes them: query_id, organism, batch and leaf (places in the plan), targets, expected_edges, url."""
+    leaves = meta.select("query_id", F.posexplode("meta.leaf_batches").alias("leaf", "b"))
+    return leaves.select("query_id", "b.organism", F.col("leaf").alias("batch"), "leaf", "b.targets", "b.expected_edges", "b.url")
+
+
+def sidecar_inventories(meta: DataFrame) -> DataFrame:
+    """(query_id, start, end, equal) of decoded sidecars' inventories, as ``compare_inventories`` gives them."""
+    start, end = F.col("meta.start_inventory"), F.col("meta.end_inventory")
+    return meta.select("query_id", start["sha256"].alias("start"), end["sha256"].alias("end"), (start["sha256"].eqNullSafe(end["sha256"]) & start["edges"].eqNullSafe(end["edges"])).alias("equal"))

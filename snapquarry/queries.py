@@ -26,7 +26,6 @@ from snapquarry.operators import manifest as M
 from snapquarry.operators.catalog import select_assets
 from snapquarry.plans import reconcile as R
 from snapquarry.sources import files as S
-from snapquarry.sources.files import classify_sidecars
 from snapquarry.sources.storage import shared_dir
 from snapquarry.streaming.upsert import latest_version, upsert_stream
 
@@ -783,22 +782,72 @@ def _(s, d):
     return E.validate_edges(ev, E.plan_edge_batches(ev.filter("flag = 'F'")), "ABCD")
 
 
-@query("e11_validate_query_meta", """, m AS (SELECT o_orderkey AS query_id, CAST(o_custkey AS VARCHAR) AS a, CAST(o_orderkey AS VARCHAR) AS b, o_orderstatus AS st, o_orderpriority AS p FROM orders)
-SELECT query_id, 'organisms' AS rule FROM m WHERE a >= b UNION ALL SELECT query_id, 'levels' FROM m WHERE st = 'F' UNION ALL SELECT query_id, 'token' FROM m WHERE p = '1-URGENT'""")
+FAULTS = [None, "schema", "transport", "dataset", "license", "fields", "organisms", "organisms", "levels", "fingerprint", "time", "token", "inventory", "inventory"]
+
+
+def query_sidecars(s: SparkSession, d: str) -> DataFrame:
+    """(query_id, file, value, dataset, version_token): a full-evidence sidecar for each order, of which thirteen in fourteen break a rule."""
+    k = (F.col("o_orderkey") % len(FAULTS)).cast("int")
+    at = lambda fault, broken, right: F.when(k.isin([i for i, x in enumerate(FAULTS) if x == fault] if isinstance(fault, str) else fault), broken).otherwise(right)
+    listed = lambda xs: F.lit("[" + ",".join(f'"{x}"' for x in xs) + "]")
+    query_ = F.concat(
+        F.lit('{"schema":"'), at("schema", F.lit("x"), F.lit("full-evidence-v1")), F.lit('","dataset":"'), at("dataset", F.lit("collectri"), F.lit("dorothea")), F.lit('","license":"'), at("license", F.lit("free"), F.lit("academic")),
+        F.lit('","organisms":'), F.when(k == 6, listed(["9606", "10090"])).when(k == 7, listed(["10090", "96x"])).otherwise(listed(["10090", "9606"])), F.lit(',"fields":'), at("fields", listed(E.QUERY_FIELDS[1:]), listed(E.QUERY_FIELDS)),
+        F.lit(',"output_fields":'), listed(E.OUTPUT_FIELDS), F.lit(',"levels":'), at("levels", listed("BA"), at("dataset", F.lit("null"), listed("AD"))), F.lit("}"),
+    )
+    own, day = F.sha2(query_, 256), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    time = at("time", F.lit("2026-02-31T00:00:00Z"), F.concat(day, F.lit(".5Z")))
+    edges_ = F.when(k == 13, F.lit("-1")).otherwise(F.col("o_custkey").cast("string"))
+    inventory = lambda sha: F.concat(F.lit('{"sha256":"'), F.lit(sha * 64), F.lit('","edges":'), edges_, F.lit("}"))
+    value = F.concat(
+        F.lit('{"schema":"full-evidence-v1","acquired_at_utc":"'), time, F.lit('","fingerprint":"'), at("fingerprint", F.lit("0" * 64), own), F.lit('","query":'), query_, F.lit(',"transport":"'), at("transport", F.lit("other"), F.lit("target-batches-v1")),
+        F.lit('","start_inventory":'), inventory("a"), F.lit(',"end_inventory":'), F.when(k == 12, inventory("b")).otherwise(inventory("a")), F.lit(',"leaf_batches":[]}'),
+    )
+    token = F.concat_ws("-", F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss'.500000000Z'"), F.substring(at("token", F.lit("0" * 12), own), 1, 12))
+    return t(s, d, "orders").select(F.col("o_orderkey").alias("query_id"), F.col("o_orderkey").cast("string").alias("file"), value.alias("value"), F.lit("dorothea").alias("dataset"), token.alias("version_token"))
+
+
+def decoded_sidecars(s: SparkSession, d: str) -> DataFrame:
+    x = query_sidecars(s, d)
+    return S.classify_sidecars(x).join(x.select("file", "query_id", "dataset", "version_token"), "file")
+
+
+@query("e11_validate_query_meta", ", f AS (SELECT o_orderkey AS query_id, CASE CAST(o_orderkey % 14 AS INTEGER) " + " ".join(f"WHEN {k} THEN {repr(x) if x else 'NULL'}" for k, x in enumerate(FAULTS)) + " END AS rule FROM orders) SELECT * FROM f WHERE rule IS NOT NULL")
+def _(s, d):
+    return E.validate_query_meta(decoded_sidecars(s, d), F.col("dataset"), F.col("version_token"))
+
+
+@query("w7_sidecar_inventories", "SELECT o_orderkey AS query_id, repeat('a', 64) AS start, CASE WHEN o_orderkey % 14 = 12 THEN repeat('b', 64) ELSE repeat('a', 64) END AS \"end\", o_orderkey % 14 <> 12 AS equal FROM orders")
+def _(s, d):
+    """The drift test of decoded sidecars: start and end inventory."""
+    return E.sidecar_inventories(decoded_sidecars(s, d))
+
+
+@query("e10_sidecar_leaves", """, plan AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS k FROM orders)
+SELECT o_custkey AS query_id, CAST(o_custkey AS VARCHAR) AS organism, CAST(k AS INTEGER) AS batch, CAST(k AS INTEGER) AS leaf, CAST(o_orderkey AS VARCHAR) AS targets, 1 AS expected_edges, 'https://example.org/?t=' || o_orderkey AS url FROM plan""")
 def _(s, d):
-    st, key = F.col("o_orderstatus"), F.col("o_orderkey")
-    levels = F.when(st == "O", F.array(F.lit("A"), F.lit("B"))).when(st == "F", F.array(F.lit("B"), F.lit("A"))).otherwise(F.array(F.lit("D")))
-    meta = t(s, d, "orders").select(key.alias("query_id"), F.array(F.col("o_custkey").cast("string"), key.cast("string")).alias("organisms"), levels.alias("levels"), F.date_format("o_orderdate", "yyyyMMdd").alias("taken_at"), "o_orderpriority")
-    written = F.concat(*[x for c in ("organisms", "levels") for x in (F.lit(('{' if c == "organisms" else ",") + f'"{c}":["'), F.array_join(c, '","'), F.lit('"]'))], F.lit("}"))
-    digest = F.sha2(F.when(F.col("o_orderpriority") == "1-URGENT", "{}").otherwise(written), 256)
-    return E.validate_query_meta(meta.withColumn("version_token", F.concat_ws("-", "taken_at", F.substring(digest, 1, 12))), ["organisms", "levels"])
+    """Sidecars of customers, a leaf an order, written as files, read, decoded and laid out as a batch plan."""
+    leaf = F.concat(F.lit('{"organism":"'), F.col("o_custkey").cast("string"), F.lit('","targets":["'), F.col("o_orderkey").cast("string"), F.lit('"],"expected_edges":1,"url":"https://example.org/?t='), F.col("o_orderkey").cast("string"), F.lit('"}'))
+    x = t(s, d, "orders").groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", leaf.alias("leaf")))), lambda r: r["leaf"]), ",").alias("leaves"))
+    root = fresh(s)
+    S.write_files(x.select(F.concat(F.col("o_custkey").cast("string"), F.lit(".json")).alias("path"), F.concat(F.lit('{"schema":"full-evidence-v1","leaf_batches":['), "leaves", F.lit("]}")).alias("content")), root)
+    meta = S.classify_sidecars(S.read_sidecars(s, root)).filter("error is null").withColumn("query_id", F.regexp_extract("file", "^([0-9]+)", 1).cast("bigint"))
+    return E.sidecar_leaves(meta).withColumn("targets", F.array_join("targets", ","))
+
+
+SIDECARS = [
+    # (text, kind, error); %p is the event's JSON
+    ('{"schema": "full-evidence-v1", "transport": null}', "full-evidence-v1", None), ('{"schema": "full-evidence-v1", "props": %p}', "malformed", "unknown field .props"), ('{"schema": "full-evidence-v1", "query": {"levels": [1]}}', "malformed", ".query.levels is no text"),
+    ('{"schema": "full-evidence-v1"} {}', "malformed", "malformed JSON"), ("%p", "unsupported", "schema"), ('{"mode": "archive", "props": %p}', "legacy-basic", None), ('{"schema": "legacy", "mode": "live"}', "unsupported", "schema"), ("%p and more", "malformed", "malformed JSON"), (" [", "malformed", "malformed JSON"), ("7", "malformed", "no envelope"),
+    ("argument\tvalues\ndatasets\ta;b\r\nlicense\t\n", "legacy-basic", None), ("argument\tvalues\n", "malformed", "no rows"), ("datasets\ta;b\n", "malformed", "header"), ("argument\tvalues\ndatasets\n", "malformed", "width"), ("argument\tvalues\n \tb", "malformed", "empty argument"), ("word\ttab", "malformed", "header"),
+]
 
 
-@query("e13_classify_sidecars", """SELECT CAST(event_id AS VARCHAR) AS file, CASE event_type WHEN 'click' THEN 'full-evidence-v1' WHEN 'view' THEN 'malformed' WHEN 'purchase' THEN 'legacy-basic' ELSE 'unsupported' END AS kind FROM events""")
+@query("e13_classify_sidecars", "SELECT CAST(event_id AS VARCHAR) AS file, CASE CAST(event_id % 16 AS INTEGER) " + " ".join(f"WHEN {k} THEN '{x[1]}'" for k, x in enumerate(SIDECARS)) + " END AS kind, CASE CAST(event_id % 16 AS INTEGER) " + " ".join(f"WHEN {k} THEN '{x[2]}'" for k, x in enumerate(SIDECARS) if x[2]) + " END AS error FROM events")
 def _(s, d):
-    kind = F.col("event_type")
-    value = F.when(kind == "click", F.concat(F.lit('{"schema": "full-evidence-v1", "props": '), "props", F.lit("}"))).when(kind == "view", F.concat("props", F.lit(" and more"))).when(kind == "purchase", F.concat(F.lit("datasets\t"), F.col("user_id").cast("string"), F.lit(";b"))).otherwise(F.col("props"))
-    return classify_sidecars(t(s, d, "events").select(F.col("event_id").cast("string").alias("file"), value.alias("value")), C.json_ok)
+    """Sidecars of each kind, and of each way to be malformed."""
+    value = F.get(F.array(*[F.replace(F.lit(x[0]), F.lit("%p"), F.col("props")) for x in SIDECARS]), (F.col("event_id") % len(SIDECARS)).cast("int"))
+    return S.classify_sidecars(t(s, d, "events").select(F.col("event_id").cast("string").alias("file"), value.alias("value"))).drop("meta")
 
 
 def chosen_assets(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -1096,7 +1145,8 @@ def _(s, d):
                 yield pd.DataFrame({n: [x.get(c if c.startswith("manifest_") or c in t else fields.get(c, c), 0 if c in S.NUMBERS else "") for x in rows] for n, c in S.MANIFEST_COLUMNS.items()})
 
     schema = ", ".join(f"{n} {'bigint' if c in S.NUMBERS else 'string'}" for n, c in S.MANIFEST_COLUMNS.items())
-    return s.read.text(locked_manifest(s, d, "toml"), wholetext=True).mapInPandas(f, schema)
+    lines = S.read_in_order(s, locked_manifest(s, d, "toml")).agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("r"))
+    return lines.select(F.array_join(F.transform("r", lambda x: x["value"]), "\n").alias("value")).mapInPandas(f, schema)
 
 
 EVENT_HEADER = ["event_id", "user_id", "event_type", "props"]
@@ -1193,7 +1243,7 @@ def _(s, d):
     return S.read_pages(s, f"{d}/pages.parquet")
 
 
-def packed_files(s: SparkSession, d: str, kind: str) -> DataFrame:
+def packed_files(s: SparkSession, d: str, kind: str) -> tuple[DataFrame, str]:
     """Pages compressed by the tasks, as binary files read back; a third are cut off or lack the member."""
     root = fresh(s)
 
@@ -1213,17 +1263,21 @@ def packed_files(s: SparkSession, d: str, kind: str) -> DataFrame:
             yield pd.DataFrame({"path": [f"{k}.bin" for k in b["page_id"]], "content": out})
 
     S.write_files(t(s, d, "pages").select("page_id", "html").mapInPandas(f, "path string, content binary"), root)
-    return s.read.format("binaryFile").load(root).withColumn("path", below(F.col("path"), root))
+    return s.read.format("binaryFile").load(root), root
 
 
 @query("v1_gzip_intact", "SELECT page_id || '.bin' AS path, page_id % 3 <> 0 AS ok FROM pages")
 def _(s, d):
-    return S.gzip_intact(packed_files(s, d, "gzip")).select("path", "ok")
+    """Small files by their contents, those over 700 bytes step by step."""
+    files_, root = packed_files(s, d, "gzip")
+    return S.gzip_intact(files_, largest=700).select(below(F.col("path"), root).alias("path"), "ok")
 
 
 @query("v2_zip_member", "SELECT page_id || '.bin' AS path, page_id % 3 <> 0 AS ok FROM pages")
 def _(s, d):
-    return S.zip_member_ok(packed_files(s, d, "zip"), "page.html").select("path", "ok")
+    """Small archives by their contents, those over 700 bytes by their directory and the member."""
+    files_, root = packed_files(s, d, "zip")
+    return S.zip_member_ok(files_, "page.html", largest=700).select(below(F.col("path"), root).alias("path"), "ok")
 
 
 @query("v6_user_verifiers", PAGE_FILES + "SELECT path, CASE WHEN content NOT LIKE '<!DOCTYPE%' THEN 'no doctype' WHEN strlen(content) > 5000 THEN 'long' END AS error FROM page_files WHERE page_id % 10 NOT IN (1, 2)")

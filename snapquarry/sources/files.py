@@ -9,11 +9,15 @@ import tomllib
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from typing import BinaryIO
 
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from snapquarry.sources.storage import written
 
 LARGEST, STEP = (1 << 31) - 1025, 1 << 20  # most bytes of a file that is read as one value; bytes of a step beyond
 LINE_LIMIT = 32 << 20  # fixed value: longest line of a strict table, in bytes
@@ -78,21 +82,32 @@ def lock_files(locks: DataFrame) -> DataFrame:
     return locks.select(_dir(F.col("path")).alias("snapshot"), "database", "asset", "dataset", "version_token", F.explode("files").alias("f")).select("snapshot", "database", "asset", "dataset", "version_token", "f.*")
 
 
-def file_states(spark: SparkSession, root: str) -> DataFrame:
+def file_states(spark: SparkSession, root: str, deal: int = 64) -> DataFrame:
     """(path, bytes) of every file below root (a folder, a file or a pattern), hidden names and empty files too, contents unread.
 
-    The listing goes through Hadoop's file system on the driver, file by file, which Spark's
-    own reader does as well; only names and sizes pass.
+    Folders are listed by tasks, level by level: the folders that one round finds are dealt to
+    the tasks of the next, through written tables. The driver resolves the pattern and sees
+    how many folders are left, no names.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     top = jvm.org.apache.hadoop.fs.Path(root)
-    store, rows = top.getFileSystem(conf), []
-    for found in store.globStatus(top) or []:
-        files = store.listFiles(found.getPath(), True)
-        while files.hasNext():
-            s = files.next()
-            rows.append((s.getPath().toString(), s.getLen()))
-    return spark.createDataFrame(rows, "path string, bytes bigint")
+    found = top.getFileSystem(conf).globStatus(top) or []
+    kind = "path string, bytes bigint, folder boolean"
+    now = spark.createDataFrame([(x.getPath().toString(), x.getLen(), x.isDirectory()) for x in found], kind)
+    files = now.filter("not folder")
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path in pdf["path"]:
+                store, name = _store(path)
+                rows = [(f"{path.rstrip('/')}/{x.base_name}", x.size or 0, x.type == fs.FileType.Directory) for x in store.get_file_info(fs.FileSelector(name))]
+                for k in range(0, len(rows), 10_000):
+                    yield pd.DataFrame(rows[k : k + 10_000], columns=["path", "bytes", "folder"])
+
+    while left := (folders := now.filter("folder").select("path")).count():
+        now = written(folders.repartition(max(1, min(left, deal)), "path").mapInPandas(listed, kind))
+        files = files.unionByName(now.filter("not folder"))
+    return files.select("path", "bytes")
 
 
 def hashed_in_steps(files: DataFrame) -> DataFrame:
@@ -101,7 +116,7 @@ def hashed_in_steps(files: DataFrame) -> DataFrame:
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path in pdf["path"]:
-                store, name = fs.FileSystem.from_uri(_uri(path))
+                store, name = _store(path)
                 sha, md5 = hashlib.sha256(), hashlib.md5()
                 with store.open_input_stream(name) as stream:
                     while part := stream.read(STEP):
@@ -168,7 +183,7 @@ def write_files(df: DataFrame, root: str, path: str = "path", content: str = "co
     """One file a row below root (contents are bytes), written by the tasks to the shared store; the number of files. A retried task writes the same file again."""
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, top = fs.FileSystem.from_uri(_uri(root))
+        store, top = _store(root)
         for pdf in batches:
             for name, data in zip(pdf["path"], pdf["content"], strict=True):
                 store.create_dir(f"{top}/{name}".rpartition("/")[0], recursive=True)
@@ -180,8 +195,14 @@ def write_files(df: DataFrame, root: str, path: str = "path", content: str = "co
     return src.mapInPandas(f, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def _uri(path: str) -> str:
-    return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path as Hadoop writes it, and the name there; nothing in the path is encoded."""
+    scheme, rest = ("file", path) if path.startswith("/") else path.split(":", 1)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    authority, _, name = rest.removeprefix("//").partition("/")
+    store, top = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return store, f"{top.rstrip('/')}/{name}"
 
 
 def file_name() -> Column:
@@ -199,12 +220,72 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(file_name().alias("file"), "value")
 
 
-def classify_sidecars(sidecars: DataFrame, json_ok: Callable[[Column], Column]) -> DataFrame:
-    """(file, kind): full-evidence-v1, unsupported (other JSON), legacy-basic (argument table), malformed."""
-    schema = F.get_json_object("value", "$.schema")
-    looks = F.trim("value").startswith("{")
-    kind = F.when(looks & json_ok(F.col("value")), F.when(schema == "full-evidence-v1", "full-evidence-v1").otherwise("unsupported")).when(~looks & F.col("value").rlike("(?m)^[a-z_]+\t\\S"), "legacy-basic").otherwise("malformed")
-    return sidecars.select("file", kind.alias("kind"))
+#: The layout of a full-evidence sidecar, its schema and transport, and the header of a capability table.
+SIDECAR = "schema string, acquired_at_utc string, fingerprint string, query struct<schema string, dataset string, license string, organisms array<string>, fields array<string>, output_fields array<string>, levels array<string>>, transport string, start_inventory struct<sha256 string, edges bigint>, end_inventory struct<sha256 string, edges bigint>, leaf_batches array<struct<organism string, targets array<string>, expected_edges bigint, url string>>"
+FULL_EVIDENCE, TRANSPORT, CAPABILITIES = "full-evidence-v1", "target-batches-v1", "argument\tvalues"
+
+
+def _layout_error(value: object, kind: T.DataType, name: str) -> str | None:
+    """Why a decoded JSON value isn't of a layout: another type, or a field that the layout doesn't have. Null and missing fields are fine."""
+    if value is None:
+        return None
+    if isinstance(kind, T.StructType):
+        if not isinstance(value, dict):
+            return f"{name} is no object"
+        unknown = sorted(set(value) - set(kind.names))
+        if unknown:
+            return f"unknown field {name}.{unknown[0]}".replace("..", ".")
+        return next((e for f in kind if (e := _layout_error(value.get(f.name), f.dataType, f"{name}.{f.name}"))), None)
+    if isinstance(kind, T.ArrayType):
+        if not isinstance(value, list):
+            return f"{name} is no list"
+        return next((e for x in value if (e := _layout_error(x, kind.elementType, name))), None)
+    if isinstance(kind, T.StringType):
+        return None if isinstance(value, str) else f"{name} is no text"
+    return None if isinstance(value, int) and not isinstance(value, bool) and -(1 << 63) <= value < 1 << 63 else f"{name} is no number"
+
+
+def classify_sidecars(sidecars: DataFrame) -> DataFrame:
+    """(file, kind, error, meta) of query sidecars.
+
+    full-evidence-v1: JSON of that schema whose fields are all known and of their types; meta
+    has them, its leaves and inventories as the batch and inventory checks take them.
+    legacy-basic: JSON of mode archive and another schema, or a capability table: its header,
+    then at least one row of two cells, with an argument in each. unsupported: other JSON.
+    malformed: anything else, text behind the JSON value included.
+    """
+    layout = T._parse_datatype_string(SIDECAR)
+
+    def reject(_: str) -> None:
+        raise ValueError("not JSON")
+
+    def kind(value: str) -> tuple[str, str | None]:
+        try:
+            v = json.loads(value, parse_constant=reject)
+        except (ValueError, RecursionError):
+            if value.strip()[:1] in ("{", "["):
+                return "malformed", "malformed JSON"
+            lines = [x.removesuffix("\r") for x in value.removesuffix("\n").split("\n")]
+            if lines[0] != CAPABILITIES:
+                return "malformed", "header"
+            rows = [x.split("\t") for x in lines[1:]]
+            if not rows or any(len(r) != 2 for r in rows):
+                return "malformed", "width" if rows else "no rows"
+            return ("legacy-basic", None) if all(r[0].strip() for r in rows) else ("malformed", "empty argument")
+        if not isinstance(v, dict) or not isinstance(v.get("schema", ""), str | None) or not isinstance(v.get("mode", ""), str | None):
+            return "malformed", "no envelope"
+        if v.get("schema") != FULL_EVIDENCE:
+            return ("legacy-basic", None) if v.get("mode") == "archive" else ("unsupported", "schema")
+        error = _layout_error(v, layout, "")
+        return ("malformed", error) if error else (FULL_EVIDENCE, None)
+
+    def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [kind(v or "") for v in pdf["value"]]
+            yield pd.DataFrame({"file": pdf["file"], "value": pdf["value"], "kind": [k for k, _ in found], "error": [e for _, e in found]})
+
+    told = sidecars.select("file", "value").mapInPandas(f, "file string, value string, kind string, error string")
+    return told.select("file", "kind", "error", F.when(F.col("kind") == FULL_EVIDENCE, F.from_json("value", layout)).alias("meta"))
 
 
 def write_by_organism(df: DataFrame, out: str) -> None:
@@ -240,71 +321,97 @@ def toml_blocks(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return rows.select(F.concat_ws("\n", *lines).alias("value"), *keep)
 
 
+ORDER = ("Database", "Asset", "Dataset", "Version", "Path")
+
+
 def write_manifest(snapshots: DataFrame, out: str, formats: Sequence[str] = MANIFEST_FORMATS, resource_root: str = "", schema_version: str = "2") -> None:
-    """One ordered file a format, equal at every run: the 22 columns as tsv, json or parquet; toml has the version and root once and a block a snapshot."""
+    """One document a format, equal at every run: the 22 columns as tsv, json or parquet; toml has the version and root once and a block a snapshot.
+
+    Rows are sorted by ranges, in parallel; the parts' names follow the order, so that a
+    format's files, one after another, are the document. Every part of a tsv has the header.
+    """
     unknown = [f for f in formats if f not in MANIFEST_FORMATS]
     if unknown:
         raise ValueError(f"unknown manifest formats: {', '.join(unknown)}")
     rows = manifest_rows(snapshots, resource_root, schema_version)
-    one = rows.orderBy("Database", "Asset", "Dataset", "Version", "Path").coalesce(1)
+    ordered = rows.orderBy(*ORDER)
     for f in formats:
         if f == "tsv":
-            one.write.csv(f"{out}/tsv", sep="\t", header=True, emptyValue="")
+            ordered.write.csv(f"{out}/tsv", sep="\t", header=True, emptyValue="")
         elif f == "json":
-            one.write.json(f"{out}/json")
+            ordered.write.json(f"{out}/json")
         elif f == "parquet":
-            one.write.parquet(f"{out}/parquet")
+            ordered.write.parquet(f"{out}/parquet")
         else:
             head = f"schema_version = {json.dumps(schema_version)}\nresource_root = {json.dumps(resource_root)}"
-            order = ["Database", "Asset", "Dataset", "Version", "Path"]
-            blocks = toml_blocks(rows, order).withColumn("k", F.lit(1))
-            top = snapshots.sparkSession.range(1).select(F.lit(head).alias("value"), *[F.lit("").alias(c) for c in order], F.lit(0).alias("k"))
-            blocks.unionByName(top).orderBy("k", *order).coalesce(1).select("value").write.text(f"{out}/toml")
+            blocks = toml_blocks(rows, ORDER).withColumn("k", F.lit(1))
+            top = snapshots.sparkSession.range(1).select(F.lit(head).alias("value"), *[F.lit("").alias(c) for c in ORDER], F.lit(0).alias("k"))
+            blocks.unionByName(top).orderBy("k", *ORDER).select("value").write.text(f"{out}/toml")
+
 
+def read_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, value): the lines of an ordered sink's parts, one after another; pos ascends with the order."""
+    lines = spark.read.text(path).select("value", file_name().alias("part"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"))
+    return lines.withColumn("pos", F.struct("part", "start", "id")).select("pos", "value")
+
+
+def _verified(files: DataFrame, check: Callable[[BinaryIO], str | None], largest: int) -> DataFrame:
+    """(path, ok, error) of binaryFile rows or of ``path, length``. Contents up to ``largest`` bytes come with the rows if they have them; other files are opened by the tasks and read in steps, from any place."""
+    whole = "content" in files.columns
+    size = F.col("length") if "length" in files.columns else F.length("content")
+    rows = files.select("path", F.when(size <= largest, F.col("content")).alias("content") if whole else F.lit(None).cast("binary").alias("content"))
 
-def _verified(files: DataFrame, check: Callable[[bytes], str | None]) -> DataFrame:
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            errors = [check(bytes(c)) for c in pdf["content"]]
+            errors = []
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                if content is not None:
+                    errors.append(check(io.BytesIO(bytes(content))))
+                    continue
+                store, name = _store(path)
+                try:
+                    with store.open_input_file(name) as opened:
+                        errors.append(check(opened))
+                except OSError as e:
+                    errors.append(str(e))
             yield pd.DataFrame({"path": pdf["path"], "ok": [e is None for e in errors], "error": errors})
 
-    return files.select("path", "content").mapInPandas(f, "path string, ok boolean, error string")
+    return rows.mapInPandas(f, "path string, ok boolean, error string")
 
 
-def gzip_intact(files: DataFrame) -> DataFrame:
-    """(path, ok, error) of binaryFile rows: decompressed to the end, in steps, nothing kept."""
+def gzip_intact(files: DataFrame, largest: int = LARGEST) -> DataFrame:
+    """(path, ok, error) of binaryFile rows, or of path and length: every member decompressed to its end, in steps, nothing kept. Files over ``largest`` bytes are read step by step."""
 
-    def check(content: bytes) -> str | None:
+    def check(opened: BinaryIO) -> str | None:
+        d, any_ = None, False
         try:
-            data = content
-            while data:
-                d = zlib.decompressobj(31)
-                while data and not d.eof:
-                    d.decompress(data, 1 << 20)
-                    data = d.unconsumed_tail or d.unused_data
-                if not d.eof:
-                    return "truncated"
-                data = d.unused_data
-            return None if content else "empty"
+            while part := opened.read(STEP):
+                any_ = True
+                while part:
+                    d = d or zlib.decompressobj(31)
+                    d.decompress(part, STEP)
+                    part = d.unused_data if d.eof else d.unconsumed_tail
+                    d = None if d.eof else d
         except zlib.error as e:
             return str(e)
+        return "empty" if not any_ else "truncated" if d is not None else None
 
-    return _verified(files, check)
+    return _verified(files, check, largest)
 
 
-def zip_member_ok(files: DataFrame, member: str) -> DataFrame:
-    """(path, ok, error): the archive holds the member and it can be read."""
+def zip_member_ok(files: DataFrame, member: str, largest: int = LARGEST) -> DataFrame:
+    """(path, ok, error): the archive holds the member and it can be read, checksum and all. Of files over ``largest`` bytes only the directory at their end and the member are read."""
 
-    def check(content: bytes) -> str | None:
+    def check(opened: BinaryIO) -> str | None:
         try:
-            with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(member) as f:
-                while f.read(1 << 20):
+            with zipfile.ZipFile(opened) as z, z.open(member) as f:
+                while f.read(STEP):
                     pass
-        except (KeyError, zipfile.BadZipFile, zlib.error, OSError) as e:
+        except (KeyError, zipfile.BadZipFile, zlib.error, OSError, EOFError, RuntimeError, NotImplementedError) as e:
             return str(e)
         return None
 
-    return _verified(files, check)
+    return _verified(files, check, largest)
 
 
 def first_error(content: Column, verifiers: Sequence[Callable[[Column], Column]]) -> Column:

@@ -1,6 +1,7 @@
 """Small inputs in the shapes of the data that the jobs are for."""
 
 import gzip
+import json
 import tomllib
 import zipfile
 
@@ -196,9 +197,9 @@ def test_tables_on_disk(spark, tmp_path):
 
 
 def test_sidecars_and_sinks(spark, tmp_path):
-    for n, v in (("a.json", '{"schema": "full-evidence-v1"}'), ("b.json", '{"schema": "x"}'), ("c.json", "{"), ("d.tsv", "datasets\ta;b\n")):
+    for n, v in (("a.json", '{"schema": "full-evidence-v1"}'), ("b.json", '{"schema": "x"}'), ("c.json", "{"), ("d.tsv", "argument\tvalues\ndatasets\ta;b\n")):
         (tmp_path / n).write_text(v)
-    kinds = {r.file: r.kind for r in S.classify_sidecars(S.read_sidecars(spark, str(tmp_path)), C.json_ok).collect()}
+    kinds = {r.file: r.kind for r in S.classify_sidecars(S.read_sidecars(spark, str(tmp_path))).collect()}
     assert kinds == {"a.json": "full-evidence-v1", "b.json": "unsupported", "c.json": "malformed", "d.tsv": "legacy-basic"}
     df = spark.createDataFrame([("9606", '{"a": "b"}'), ("10090", "x")], "organism string, j string")
     S.write_by_organism(df, str(tmp_path / "out"))
@@ -206,16 +207,89 @@ def test_sidecars_and_sinks(spark, tmp_path):
     assert text == 'organism\tj\n9606\t{"a": "b"}\n'
     snapshots = spark.createDataFrame([("b", 'q"t', "v1", "b/v1", 3), ("a", "x", "v2", "a/v2", 4)], "database string, asset string, version_token string, snapshot string, file_count int")
     S.write_manifest(snapshots, str(tmp_path / "m"), resource_root="/data")
-    tsv = next((tmp_path / "m/tsv").glob("*.csv")).read_text().splitlines()
+    tsv = [x for k, p in enumerate(sorted((tmp_path / "m/tsv").glob("*.csv"))) for x in p.read_text().splitlines()[k > 0 :]]
     assert tsv[0].split("\t") == list(S.MANIFEST_COLUMNS) and len(tsv[0].split("\t")) == 22 and tsv[1].startswith("2\t/data\ta\tx\t\tv2\t\ta/v2\t\t4\t0\t")
-    toml = tomllib.loads(next((tmp_path / "m/toml").glob("*.txt")).read_text())
+    toml = tomllib.loads("".join(p.read_text() for p in sorted((tmp_path / "m/toml").glob("*.txt"))))
     assert toml["resource_root"] == "/data" and [(s["database"], s["asset"], s["version"], s["file_count"]) for s in toml["snapshots"]] == [("a", "x", "v2", 4), ("b", 'q"t', "v1", 3)]
     assert "dataset" not in toml["snapshots"][0] and toml["snapshots"][0]["manifest"]["bytes"] == 0
-    assert [r.Database for r in spark.read.json(str(tmp_path / "m/json")).collect()] == ["a", "b"]
+    assert sorted(r.Database for r in spark.read.json(str(tmp_path / "m/json")).collect()) == ["a", "b"]
     with pytest.raises(ValueError, match="xml"):
         S.write_manifest(snapshots, str(tmp_path / "n"), ["tsv", "xml"])
 
 
+def test_sinks_keep_their_order(spark, tmp_path):
+    """Several parts, one after another, are the sorted document (O1); records and issues in order (O2, O3, O5)."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(f"d{k * 7 % 50:02d}", f"a{k % 3}", None if k % 5 else "x", "v1", f"d/{k}/v1", k) for k in range(300)]
+        df = spark.createDataFrame(rows, "database string, asset string, dataset string, version_token string, snapshot string, file_count bigint").repartition(5)
+        S.write_manifest(df, str(tmp_path / "m"), ["json", "tsv", "toml"])
+        want = [r[4] for r in sorted(rows, key=lambda r: (r[0], r[1], r[2] or "", r[3], r[4]))]
+        assert len(list((tmp_path / "m/json").glob("part-*"))) > 1
+        lines = [r.value for r in S.read_in_order(spark, str(tmp_path / "m/json")).orderBy("pos").collect()]
+        assert [json.loads(x)["Path"] for x in lines] == want
+        assert [s["path"] for s in tomllib.loads("\n".join(r.value for r in S.read_in_order(spark, str(tmp_path / "m/toml")).orderBy("pos").collect()))["snapshots"]] == want
+        assert [x.split("\t")[7] for p in sorted((tmp_path / "m/tsv").glob("*.csv")) for x in p.read_text().splitlines()[1:]] == want
+        assert [r.snapshot for r in M.ordered_snapshots(df.fillna("")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_large_files_in_steps(spark, tmp_path, monkeypatch):
+    """Files over the bound: whole and cut ones, several members, bad checksums, a missing member, a text that is no archive, and a file that is gone."""
+    monkeypatch.setattr(S, "STEP", 64)
+    whole = gzip.compress(bytes(range(256)) * 40)
+    bad = bytearray(whole)
+    bad[-6] ^= 1
+    names = {"one.gz": whole, "two.gz": whole + whole, "cut.gz": whole[:-9], "bad.gz": bytes(bad), "tail.gz": whole + b"x", "none.gz": b"", "text.gz": b"no archive at all"}
+    for n, v in names.items():
+        (tmp_path / n).write_bytes(v)
+    files = S.file_states(spark, str(tmp_path)).withColumnRenamed("bytes", "length")
+    got = {r.path.rsplit("/", 1)[1]: r.ok for r in S.gzip_intact(files).collect()}
+    assert got == {"one.gz": True, "two.gz": True, "cut.gz": False, "bad.gz": False, "tail.gz": False, "none.gz": False, "text.gz": False}
+    z = tmp_path / "z"
+    z.mkdir()
+    with zipfile.ZipFile(z / "a.zip", "w") as f:
+        f.writestr("m.xml", "x" * 5000)
+    data = bytearray((z / "a.zip").read_bytes())
+    data[100] ^= 1
+    (z / "crc.zip").write_bytes(bytes(data))
+    (z / "cut.zip").write_bytes(bytes(data)[:-30])
+    states = S.file_states(spark, str(z)).withColumnRenamed("bytes", "length")
+    assert {r.path.rsplit("/", 1)[1]: r.ok for r in S.zip_member_ok(states, "m.xml").collect()} == {"a.zip": True, "crc.zip": False, "cut.zip": False}
+    assert not any(r.ok for r in S.zip_member_ok(states, "other.xml").collect())
+    gone = states.limit(1).withColumn("path", F.lit(f"file:{tmp_path}/gone"))
+    assert [r.ok for r in S.gzip_intact(gone).collect()] == [False]
+
+
+def test_listing_by_levels(spark, tmp_path):
+    """Deep and wide folders, hidden names, empty folders and files, names with blanks; a file and a pattern as root."""
+    want = {}
+    for k, n in enumerate(["a/b/c/d/e/f.txt", "a/.hidden/g", "_h", "a/b/sp ace%20é", "z/empty", *(f"w{k}/x" for k in range(20))]):
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_bytes(b"x" * k)
+        want[n] = k
+    (tmp_path / "no files/here").mkdir(parents=True)
+    got = {r.path.split(f"{tmp_path}/")[1]: r.bytes for r in S.file_states(spark, str(tmp_path), deal=3).collect()}
+    assert got == want | {"z/empty": 4}
+    assert {r.bytes for r in S.file_states(spark, str(tmp_path / "w*")).collect()} == set(range(5, 25)) and S.file_states(spark, str(tmp_path / "_h")).first().bytes == 2
+    assert S.file_states(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_sidecar_plan(spark):
+    """A plan written into a sidecar and decoded from it breaks no rule; a changed leaf does."""
+    edges = edge_rows(spark, [(o, "S", f"T{k:03d}") for o in ("9606", "10090") for k in range(150)])
+    plan = E.plan_edge_batches(edges).select("organism", "batch", "targets", "expected_edges", "url").collect()
+    plan.sort(key=lambda r: (r.organism != "9606", r.batch))
+    leaves = [{"organism": r.organism, "targets": r.targets, "expected_edges": r.expected_edges, "url": r.url} for r in plan]
+    for change, want in ((0, set()), (1, {"counts", "total"})):
+        leaves[0]["expected_edges"] += change
+        text = json.dumps({"schema": "full-evidence-v1", "leaf_batches": leaves})
+        meta = S.classify_sidecars(spark.createDataFrame([("f", text)], "file string, value string")).withColumn("query_id", F.lit(1))
+        assert {r.rule for r in E.validate_batch_plan(E.sidecar_leaves(meta), edges, ["9606", "10090"]).collect()} == want
+
+
 def test_stream_restart(spark, tmp_path):
     """A restart goes on; only touched buckets are written anew, vanished keys leave, old versions and their buckets go."""
     src, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
