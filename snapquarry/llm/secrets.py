@@ -51,9 +51,9 @@ ASSIGN_LEAST = 6
 KINDS = ("assign", "access", "hex", "pair")
 
 # Weights of the parts of a target's name, and parts that say something else about it.
-SENSITIVE = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "privatekey": 1.0, "auth": 0.7, "authorization": 0.8, "bearer": 0.8, "key": 0.6, "access": 0.4, "client": 0.2, "private": 0.5, "signing": 0.5, "salt": 0.5}
+SENSITIVE = {"password": 1.0, "passwd": 1.0, "pass": 0.9, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "credential": 0.9, "privatekey": 1.0, "auth": 0.7, "authorization": 0.8, "bearer": 0.8, "key": 0.6, "access": 0.4, "client": 0.2, "private": 0.5, "signing": 0.5, "salt": 0.5}
 CONTAINERS = {"passwords": 1.0, "secrets": 1.0, "tokens": 0.9, "credentials": 0.9, "apikeys": 1.0, "keys": 0.6}
-PASS_WORDS = frozenset(("password", "passwd", "pwd", "passphrase"))
+PASS_WORDS = frozenset(("password", "passwd", "pass", "pwd", "passphrase"))
 ABOUT = frozenset("name id type length size count url uri path file dir field column label format algorithm expires expiry ttl timeout header prefix policy hint index map table cache sort row".split())
 OPEN_KEYS = frozenset("public primary foreign partition lookup composite unique natural surrogate".split())
 GENERIC = frozenset("value data default literal raw text string current prod dev main key".split())
@@ -324,8 +324,8 @@ class Lexer:
 
 
 def pairs(text: str) -> list[tuple[int, int]]:
-    """Places of the literals that score high enough for their target's name."""
-    return Lexer(text).read() if WORTH.search(text) else []
+    """Places of the literals that score high enough for their target's name. Every form has one of four characters and a part of a sensitive name; texts without aren't lexed."""
+    return Lexer(text).read() if any(c in text for c in ":=(<") and WORTH.search(text) else []
 
 
 def spans(text: str) -> list[tuple[int, int, int]]:
@@ -334,9 +334,7 @@ def spans(text: str) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if ":" in text or "=" in text:
-        out += [(s, 3, e) for s, e in pairs(text)]
-    return sorted(out)
+    return sorted(out + [(s, 3, e) for s, e in pairs(text)])
 
 
 def written(found: Sequence[tuple[int, int, int]]) -> str:

@@ -14,6 +14,12 @@ bitmaps (bit h mod 256 flips with every member h), whose distance is at most the
 members that only one set has. Pairs that pass meet once more by longer bitmaps, of four
 bits a member or more; what is left is verified by the whole texts.
 
+Where two nodes meet at the first member that they share, all that they share stands from
+there on in both; so the places of the member in their orders bound what they can share, and
+with it which sizes and places can be a pair at all. Nodes that share a frequent shingle
+but have no partner of a fitting size and place, such as pages of one template with words of
+their own, are never compared.
+
 Where more than ``SMALL`` nodes meet, they are paired with a few of them first, which lie
 in the middle of all; when the links so verified are joined to components, all remaining pairs of different components
 are candidates too. So a group of thousands of near copies isn't compared pair by pair,
@@ -39,6 +45,7 @@ from snapquarry.llm.common import map_text, materialise, small_batches
 SEED, WORDS64 = 42, 4
 SMALL, HUBS, CENTRE = 16, 4, 4096  # bitmaps whose majority is taken; only which nodes are hubs depends on them
 SAMPLE, SEEN, LETTERS = 4_000_000, 3, 6  # shingles counted for the order, how often a frequent one is met in them at least, bytes a word
+FRONT = 256  # rows of a run that are compared together, unless more are of one size and place
 BLOCK = 1 << 20  # comparisons made, and shingles ordered, at once
 MARKS = 1 << 25  # bits of the bitmap that tells which nodes have candidates
 EPS = 1e-9
@@ -144,8 +151,8 @@ def plausible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    """(v, node, size, bitmap): the shingles under which each node is looked up. A task gives each node once."""
-    names = ["v", "node", "size", *BITMAP]
+    """(v, node, size, bitmap, place): the shingles under which each node is looked up, and their places in its order. A task gives each node once."""
+    names = ["v", "node", "size", *BITMAP, "place"]
 
     def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -164,7 +171,9 @@ def keyed(rows: DataFrame) -> DataFrame:
                 i = j
                 keys = part.column(2 + WORDS64)
                 row = pc.list_parent_indices(keys)
-                yield pa.RecordBatch.from_arrays([keys.flatten(), *[part.column(c).take(row) for c in range(2 + WORDS64)]], names=names)
+                n = np.asarray(pc.list_value_length(keys), np.int64)
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                yield pa.RecordBatch.from_arrays([keys.flatten(), *[part.column(c).take(row) for c in range(2 + WORDS64)], pa.array(place)], names=names)
 
     return rows.select("node", "size", *BITMAP, "keys").mapInArrow(f, ", ".join(f"{c} bigint" for c in names))
 
@@ -176,25 +185,32 @@ def near(a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
     return (np.minimum(x, y) >= similarity * np.maximum(x, y) - EPS) & (apart <= (1 - similarity) / (1 + similarity) * (x + y) + EPS)
 
 
+def may_share(m: np.ndarray, i: np.ndarray, n: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of m and n members whose first shared member stands at places i and j may reach the similarity."""
+    return np.minimum(m - i, n - j) >= similarity / (1 + similarity) * (m + n) - EPS
+
+
 def met(rows: np.ndarray, start: np.ndarray, stop: np.ndarray, similarity: float, _: np.ndarray | None = None) -> list[np.ndarray]:
-    """(v, a, b) of the runs start:stop of rows (v, node, size, bitmap): all candidates of small runs; for a larger one those with a few of its nodes, and (v, node, node) for each of its nodes."""
-    out, n = [rows[:0, :3]], stop - start
+    """(v, a, b, -1) of the runs start:stop of rows (v, node, size, bitmap, place): all candidates of small runs; for a larger one those with a few of its nodes, and (v, node, node, place) for each of its nodes."""
+    out, n = [np.zeros((0, 4), np.int64)], stop - start
     small = n <= SMALL
     last = np.repeat(np.where(small, stop, start), n)  # nothing follows in a large run
     at = np.arange(len(rows))
+
+    def pairs(x: np.ndarray, y: np.ndarray) -> None:
+        ok = near(x[:, 2:-1], y[:, 2:-1], similarity) & may_share(x[:, 2], x[:, -1], y[:, 2], y[:, -1], similarity) & (x[:, 1] != y[:, 1])
+        out.append(np.stack([x[ok, 0], x[ok, 1], y[ok, 1], np.full(int(ok.sum()), -1)], 1))
+
     for d in range(1, SMALL):
         i = at[at + d < last]
         if not len(i):
             break
-        i = i[near(rows[i, 2:], rows[i + d, 2:], similarity)]
-        out.append(np.stack([rows[i, 0], rows[i, 1], rows[i + d, 1]], 1))
+        pairs(rows[i], rows[i + d])
     for s, e in zip(start[~small].tolist(), stop[~small].tolist(), strict=True):
         run = rows[s:e]
-        out.append(run[:, [0, 1, 1]])
+        out.append(run[:, [0, 1, 1, -1]])
         for k in hubs(run):
-            ok = run[near(run[k, 2:], run[:, 2:], similarity)]
-            ok = ok[ok[:, 1] != run[k, 1]]
-            out.append(np.stack([ok[:, 0], np.full(len(ok), run[k, 1]), ok[:, 1]], 1))
+            pairs(np.broadcast_to(run[k], run.shape), run)
     return out
 
 
@@ -240,31 +256,57 @@ def alike(run: np.ndarray, marks: np.ndarray, tables: dict[int, np.ndarray], x:
     return ok
 
 
+def fronts(kinds: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Ranges of sorted kinds: ``most`` rows or fewer, and a kind of many rows by itself."""
+    cuts, out, begun = [*np.flatnonzero(np.diff(kinds, prepend=-1)).tolist(), len(kinds)], [], 0
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b - begun > FRONT and a > begun:
+            out.append((begun, a))
+            begun = a
+        while b - begun > most:
+            out.append((begun, begun + most))
+            begun += most
+    return [*out, (begun, len(kinds))] if begun < len(kinds) else out
+
+
 def apart(rows: np.ndarray, start: np.ndarray, stop: np.ndarray, similarity: float, marks: np.ndarray) -> list[np.ndarray]:
-    """(v, a, b) of all candidates whose labels differ, in runs of rows (v, node, size, bitmap, label) with long bitmaps ``marks``."""
-    out = [rows[:0, :3]]
+    """(v, a, b, -1) of all candidates whose labels differ, in runs of rows (v, node, size, bitmap, label, place) with long bitmaps ``marks``. Rows are only compared with those of fitting sizes and places."""
+    out = [np.zeros((0, 4), np.int64)]
     for s, e in zip(start.tolist(), stop.tolist(), strict=True):
         run, long = rows[s:e], marks[s:e]
-        labels, n = np.unique(run[:, -1], return_counts=True)
+        labels, n = np.unique(run[:, -2], return_counts=True)
         if len(labels) < 2:
             continue
+        kinds, kind = np.unique(run[:, [2, -1]], axis=0, return_inverse=True)
+        kind = kind.ravel()
         # Two nodes of the largest component need no comparison: the others are compared with all.
-        other = run[:, -1] != labels[n.argmax()]
-        order = np.r_[np.flatnonzero(other), np.flatnonzero(~other)]
-        run, long, tables = run[order], long[order], folded(long[order])
-        step = max(1, BLOCK // len(run))
-        for i in range(0, int(other.sum()), step):
-            front = run[i : min(i + step, int(other.sum()))]
-            x, y = np.nonzero((front[:, None, -1] != run[None, :, -1]) & near(front[:, None, 2:-1], run[None, :, 2:-1], similarity))
-            both = y > x + i
-            x, y = x[both] + i, y[both]
+        other = run[:, -2] != labels[n.argmax()]
+        order = np.r_[np.flatnonzero(other)[np.argsort(kind[other], kind="stable")], np.flatnonzero(~other)]
+        run, long, kind, front_n = run[order], long[order], kind[order], int(other.sum())
+        tables = None
+        for i, j in fronts(kind[:front_n], max(1, BLOCK // len(run))):
+            own = np.unique(kind[i:j])
+            fits = np.zeros(len(kinds), bool)
+            for k in own:
+                fits |= may_share(*kinds[k], kinds[:, 0], kinds[:, 1], similarity) & (np.minimum(kinds[k, 0], kinds[:, 0]) >= similarity * np.maximum(kinds[k, 0], kinds[:, 0]) - EPS)
+            cols = np.flatnonzero(fits[kind])
+            cols = cols[cols > i]
+            if not len(cols):
+                continue
+            front, back = run[i:j], run[cols]
+            x, y = np.nonzero((front[:, None, -2] != back[None, :, -2]) & near(front[:, None, 2:-2], back[None, :, 2:-2], similarity) & may_share(front[:, None, 2], front[:, None, -1], back[None, :, 2], back[None, :, -1], similarity))
+            x, y = x + i, cols[y]
+            x, y = x[y > x], y[y > x]
+            if not len(x):
+                continue
+            tables = folded(long) if tables is None else tables
             both = alike(run, long, tables, x, y, similarity)
-            out.append(np.stack([run[x[both], 0], run[x[both], 1], run[y[both], 1]], 1))
+            out.append(np.stack([run[x[both], 0], run[x[both], 1], run[y[both], 1], np.full(int(both.sum()), -1)], 1))
     return out
 
 
 def walked(rows: DataFrame, f: Callable, similarity: float) -> DataFrame:
-    """(v, a, b) by ``f`` of the runs of each v. Rows are dealt and sorted by v; a run that goes over the end of a batch is held. A column ``parity`` goes to ``f`` by itself."""
+    """(v, a, b, place) by ``f`` of the runs of each v. Rows are dealt and sorted by v; a run that goes over the end of a batch is held. A column ``parity`` goes to ``f`` by itself."""
     cols = [c for c in rows.columns if c != "parity"]
     wide = ["parity"] if "parity" in rows.columns else []
 
@@ -276,10 +318,10 @@ def walked(rows: DataFrame, f: Callable, similarity: float) -> DataFrame:
             start = np.r_[0, np.flatnonzero(now[1:, 0] != now[:-1, 0]) + 1]
             got = np.concatenate(f(now, start, np.r_[start[1:], len(now)], similarity, marks))
             pair = got[:, 1] != got[:, 2]
-            pairs = np.sort(got[pair, 1:], axis=1)
+            pairs = np.sort(got[pair, 1:3], axis=1)
             pairs = np.unique(pairs, axis=0)
-            got = np.concatenate([got[~pair], np.c_[np.zeros(len(pairs), np.int64), pairs]])
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, c])) for c in range(3)], names=["v", "a", "b"])
+            got = np.concatenate([got[~pair], np.c_[np.zeros(len(pairs), np.int64), pairs, np.full(len(pairs), -1)]])
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, c])) for c in range(4)], names=["v", "a", "b", "place"])
 
         held: list = []
         for batch in batches:
@@ -299,7 +341,7 @@ def walked(rows: DataFrame, f: Callable, similarity: float) -> DataFrame:
         if held:
             yield told(held)
 
-    return rows.select(*cols, *wide).repartition("v").sortWithinPartitions("v", "node").mapInArrow(run, "v bigint, a bigint, b bigint")
+    return rows.select(*cols, *wide).repartition("v").sortWithinPartitions("v", "node").mapInArrow(run, "v bigint, a bigint, b bigint, place bigint")
 
 
 def marked_texts(needed: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
@@ -325,6 +367,11 @@ def marked_texts(needed: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
     return texts.mapInArrow(f, "h bigint, text string").dropDuplicates(["h"])
 
 
+def least_shared(size: str, other: str, similarity: float) -> Column:
+    """How many members sets of two sizes share at least at the similarity."""
+    return F.ceil(F.lit(similarity / (1 + similarity)) * (F.col(size) + F.col(other)) - EPS)
+
+
 def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 

@@ -344,10 +344,13 @@ def _classes(df: DataFrame, id_col: str, text_col: str, words: int, similarity:
     edges = materialise(edges_of(labels).union(real(pairs)))
     labels = labelled(nodes, edges)
     # Where many nodes meet, what is left are pairs of different components.
-    large = met.filter("a = b").select("v", F.col("a").alias("node")).join(labels, "node")
-    mixed = large.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("v")
-    own = nodes.select("node", "size", *setjoin.BITMAP, "parity")
-    left = setjoin.walked(large.join(mixed, "v", "left_semi").join(own, "node").select("v", "node", "size", *setjoin.BITMAP, "label", "parity"), setjoin.apart, similarity)
+    # A node whose place is too far back even for a partner of the least size that fits and is there stays out.
+    large = met.filter("a = b").select("v", F.col("a").alias("node"), "place").join(labels, "node").join(nodes.select("node", "size"), "node")
+    mixed = large.groupBy("v").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("size").alias("shortest")).filter("low <> high").select("v", "shortest")
+    partner = F.greatest("shortest", F.ceil(F.lit(similarity) * F.col("size") - setjoin.EPS))
+    open_ = large.join(mixed, "v").withColumn("partner", partner).filter(F.col("size") - F.col("place") >= setjoin.least_shared("size", "partner", similarity))
+    own = nodes.select("node", *setjoin.BITMAP, "parity")
+    left = setjoin.walked(open_.join(own, "node").select("v", "node", "size", *setjoin.BITMAP, "label", "place", "parity"), setjoin.apart, similarity)
     edges = edges_of(labels).union(real(left.select("a", "b").distinct()))
     found = classes(nodes.select("node", "least"), edges, "node")
     return signed.select(F.col("id").alias(id_col), "h", "node"), found.join(nodes.select("node", "copies"), "node")

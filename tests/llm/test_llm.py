@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -476,3 +477,65 @@ def test_secrets_of_any_length():
     text = 'd0 = "Zx9qLm72Kd"\n' + "".join(f"d{k + 1} = d{k} + d{k}\n" for k in range(3000)) + "password = d3000"
     assert secrets.pairs(text) == [(6, 16)]
     assert secrets.pairs("password = '" * 20_000 + "a=" * 10) is not None
+
+
+def template_pages(spark, n):
+    """Pages of ten words that all have and two of their own: six shingles that all share and two of their own."""
+    shared = "we are sorry but this page can not be"
+    own = F.concat(F.lit(shared + " found "), F.hex(F.xxhash64("id")), F.lit(" "), F.hex(F.xxhash64(F.lit(7), "id")))
+    return spark.range(n).select(F.col("id").alias("doc_id"), own.alias("text"))
+
+
+def test_template_pages_stay_linear(spark):
+    """Pages that share most of their shingles and are no links: hardly any candidates, and no growth with the square of the pages."""
+    from snapquarry.llm import setjoin, simhash
+
+    rows = {}
+    for n in (2000, 8000):
+        signed = setjoin.signatures(template_pages(spark, n), ["doc_id"], "text", 5, 0.8)
+        met = setjoin.walked(setjoin.keyed(signed), setjoin.met, 0.8).collect()
+        rows[n] = sum(r.a != r.b for r in met)
+        kept = signed.collect()
+        width = [c for c in setjoin.BITMAP]
+        marks = np.array([*(r.parity for r in kept), None], object)[:-1]
+        run = np.array([[1, r.node, r.size, *(r[c] for c in width), r.node, 2] for r in kept], np.int64)
+        began = time.time()
+        assert sum(len(x) for x in setjoin.apart(run, np.array([0]), np.array([n]), 0.8, marks)) == 0
+        assert time.time() - began < 5
+    assert rows[8000] <= 4 * n // 100
+    found = simhash.similar(template_pages(spark, 8000).union(template_pages(spark, 8000).filter("doc_id % 1000 = 0").selectExpr("doc_id + 100000", "upper(text)")))
+    assert found.groupBy("component_id").count().filter("count > 1").count() == 8
+
+
+def test_positions_lose_no_pair(spark, monkeypatch):
+    """Short sets over few shingles, in runs larger than the bounds: the links are those of brute force."""
+    from itertools import combinations
+
+    from snapquarry.llm import setjoin, simhash
+
+    monkeypatch.setattr(setjoin, "SMALL", 2)
+    monkeypatch.setattr(setjoin, "FRONT", 3)
+    rng = random.Random(11)
+    pool = [f"w{k}" for k in range(14)]
+    texts = []
+    for _ in range(260):
+        words = [rng.choice(pool[: rng.randint(3, 14)]) for _ in range(rng.randint(5, 16))]
+        texts.append(" ".join(words))
+        if rng.random() < 0.5:
+            k = rng.randrange(len(words))
+            texts.append(" ".join([*words[:k], rng.choice(pool), *words[k + (rng.random() < 0.5) :]]))
+    shingles = [{tuple(t.split()[i : i + 2]) for i in range(len(t.split()) - 1)} for t in texts]
+    root = list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(range(len(texts)), 2):
+        if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b]):
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+    got = simhash.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), words=2)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {k: top(k) for k in range(len(texts))}
+    assert len({top(k) for k in range(len(texts))}) < len(texts)

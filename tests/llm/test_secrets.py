@@ -101,3 +101,34 @@ def test_stage_keeps_null_texts_and_other_columns(spark, sf_dir):
     assert got[0].text is None and got[0].n_chars == 7 and got[1].text == ""
     assert [(r.text, r.n_chars) for r in got[2:]] == [("plain", 5), ('é auth_key = "<secret>" end', 27)]
     assert corpus_pipeline.secret_stage(spark, df.filter(F.lit(False)), sf_dir).count() == 0
+
+
+LONE = "Zx91kQmP0vTe7"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f'setPassword("{LONE}")', f'define("AUTH_KEY", "{LONE}")', f"put('api_token', '{LONE}')", f"<config><password>{LONE}</password></config>", f"<password>{LONE}</password>", f'conn.with_secret("{LONE}")', f'db_pass = "{LONE}"', f'f(password="{LONE}")', f'"dbPass": "{LONE}"', f"client_secret: {LONE}",
+        f'env["API_TOKEN"] = "{LONE}"', f'"passwd" => "{LONE}"', f'secret := "{LONE}"', f'key_token: str = "{LONE}"', f"set_passphrase('{LONE}')", f"- name: DB_PASSWORD\n  value: {LONE}", f"auth_token: |\n  {LONE}\n",
+    ],
+)
+def test_each_form_alone(text):
+    """Each form with nothing else in the text: it is a span, and the redacted text has it no more."""
+    spans = secrets.spans(text)
+    assert any(k == 3 and text[a:b] == LONE for a, k, b in spans), spans
+    assert LONE not in secrets.redacted(text, spans)
+
+
+@pytest.mark.parametrize("text", [f'setTitle("{LONE}")', f'define("COLOUR", "{LONE}")', f"<config><title>{LONE}</title></config>", f'bypass = "{LONE}"', f'pass_count = "{LONE}"', "passages (of the text) pass by"])
+def test_forms_that_name_no_secret(text):
+    assert secrets.pairs(text) == []
+
+
+def test_pipeline_redacts_lone_forms(spark):
+    import corpus_pipeline
+
+    texts = [f'setPassword("{LONE}")', f'define("AUTH_KEY", "{LONE}")', f"<config><password>{LONE}</password></config>", None, "clean (text)"]
+    df = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = {r.doc_id: r.text for r in corpus_pipeline.secret_stage(spark, df, "").collect()}
+    assert got[0] == 'setPassword("<secret>")' and got[1] == 'define("AUTH_KEY", "<secret>")' and got[2] == "<config><password><secret></password></config>" and got[3] is None and got[4] == "clean (text)"
