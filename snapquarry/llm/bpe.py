@@ -24,6 +24,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Sequence
+from functools import cache
 from itertools import chain
 
 import ahocorasick
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from snapquarry.llm.common import map_text, table
 from snapquarry.llm.tokencount import byte_letters
@@ -84,6 +86,17 @@ class Vocabulary:
         return i not in self.parts
 
 
+@cache
+def newer_letters() -> tuple[regex.Pattern, regex.Pattern]:
+    """A pattern of the letters and numbers that are newer than the tokenizer library's tables, for which they are neither, and ``PATTERN`` without them. The library itself says which: it is asked about the characters that aren't in Python's tables."""
+    unknown = "".join(c for c in map(chr, chain(range(0x80, 0xD800), range(0xE000, 0x110000))) if unicodedata.category(c) == "Cn")
+    asked = " ".join(regex.findall(r"[\p{L}\p{N}]", unknown))
+    known = {c for w, _ in pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]+"), behavior="removed", invert=True).pre_tokenize_str(asked) for c in w}
+    listed = "".join(f"\\U{ord(c):08x}" for c in asked if c != " " and c not in known) or "\\U0000e000"
+    without = PATTERN.replace(r"\p{L}+", rf"[\p{{L}}--[{listed}]]+").replace(r"|\p{N}|", rf"|[\p{{N}}--[{listed}]]|").replace(r"[^\p{White_Space}\p{L}\p{N}]+", rf"(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]|[{listed}])+")
+    return regex.compile(f"[{listed}]"), regex.compile(without, regex.V1)
+
+
 class Encoder:
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
@@ -98,6 +111,8 @@ class Encoder:
         self.known: dict[str, tuple[int, ...]] = {}
         self.letters, self.ends = byte_letters(), [chr(END + b) for b in range(256)]
         self.pattern = regex.compile(PATTERN)
+        self.normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.newer, self.newer_pattern = newer_letters()
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, v.special)) + ")") if v.special else None
 
     def border(self, token: int, side: int) -> list[tuple[int, int, int]]:
@@ -169,8 +184,11 @@ class Encoder:
 
     def encode_plain(self, text: str) -> list[tuple[int, ...]]:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        words, known = self.pattern.findall(text.lower()), self.known
+            text = self.normal.normalize_str(text)
+            words = (self.newer_pattern if self.newer.search(text) else self.pattern).findall(text)
+        else:
+            words = self.pattern.findall(text.lower())
+        known = self.known
         try:
             return [known[w] for w in words]
         except KeyError:
