@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from snapquarry.llm.common import buffers, materialise, small_batches, table
 
 SHARDS = 8
-CHUNK = 8 << 20  # bytes of text that are counted together
+CHUNK = 4 << 20  # bytes of text that are counted together
 RANGE = 1 << 21  # about so many hashes meet in one range
 MOST_BITS = 28
 ENTRY = 40  # bits of a hash that are kept within its range
