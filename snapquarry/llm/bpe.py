@@ -87,14 +87,15 @@ class Vocabulary:
 
 
 @cache
-def newer_letters() -> tuple[regex.Pattern, regex.Pattern]:
-    """A pattern of the letters and numbers that are newer than the tokenizer library's tables, for which they are neither, and ``PATTERN`` without them. The library itself says which: it is asked about the characters that aren't in Python's tables."""
+def newer_letters() -> tuple[frozenset[str], regex.Pattern]:
+    """The letters and numbers that are newer than the tokenizer library's tables, for which they are neither, and ``PATTERN`` without them. The library itself says which: it is asked about the characters that aren't in Python's tables."""
     unknown = "".join(c for c in map(chr, chain(range(0x80, 0xD800), range(0xE000, 0x110000))) if unicodedata.category(c) == "Cn")
     asked = " ".join(regex.findall(r"[\p{L}\p{N}]", unknown))
     known = {c for w, _ in pre_tokenizers.Split(Regex(r"[\p{L}\p{N}]+"), behavior="removed", invert=True).pre_tokenize_str(asked) for c in w}
-    listed = "".join(f"\\U{ord(c):08x}" for c in asked if c != " " and c not in known) or "\\U0000e000"
+    newer = frozenset(asked) - known - {" "}
+    listed = "".join(f"\\U{ord(c):08x}" for c in sorted(newer)) or "\\U0000e000"
     without = PATTERN.replace(r"\p{L}+", rf"[\p{{L}}--[{listed}]]+").replace(r"|\p{N}|", rf"|[\p{{N}}--[{listed}]]|").replace(r"[^\p{White_Space}\p{L}\p{N}]+", rf"(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]|[{listed}])+")
-    return regex.compile(f"[{listed}]"), regex.compile(without, regex.V1)
+    return newer, regex.compile(without, regex.V1)
 
 
 class Encoder:
@@ -185,7 +186,7 @@ class Encoder:
     def encode_plain(self, text: str) -> list[tuple[int, ...]]:
         if not text.isascii():
             text = self.normal.normalize_str(text)
-            words = (self.newer_pattern if self.newer.search(text) else self.pattern).findall(text)
+            words = (self.pattern if self.newer.isdisjoint(text) else self.newer_pattern).findall(text)
         else:
             words = self.pattern.findall(text.lower())
         known = self.known
