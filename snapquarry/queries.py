@@ -1179,7 +1179,7 @@ def _(s, d):
 def edge_archive(s: SparkSession, d: str) -> str:
     """A compressed archive of routed edges, several parts, whose columns stand in another order than asked for; a cell equals a column's name."""
     out, p = fresh(s), pairs(s, d)
-    p.select(F.when(F.col("c_custkey") % 100 == 1, "a").otherwise(F.col("c_custkey").cast("string")).alias("key"), "b", F.lit("x").alias("other"), "a", F.get(F.array(F.lit("True"), F.lit("true"), F.lit("True "), F.lit("False")), (F.col("c_custkey") % 4).cast("int")).alias("even")).write.option("header", "true").option("compression", "gzip").csv(out, sep="\t", quote="", emptyValue="")
+    p.select(F.when(F.col("c_custkey") % 100 == 1, "a").otherwise(F.col("c_custkey").cast("string")).alias("key"), "b", F.lit("x").alias("other"), "a", F.get(F.array(F.lit("True"), F.lit("true"), F.lit("True "), F.lit("False")), (F.col("c_custkey") % 4).cast("int")).alias("even")).write.option("header", "true").option("compression", "gzip").csv(out, sep="\t", quote="", emptyValue="", ignoreTrailingWhiteSpace=False)
     return out
 
 
