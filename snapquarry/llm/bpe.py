@@ -13,7 +13,9 @@ made and used up, and whether a pair of them would merge before that. Answers ar
 Decoding slices a table of all token strings, end to end, by their offsets.
 
 Results equal the tokenizers library's for word_bpe_49k.json (normal form C, lower case,
-words with an end mark), special tokens inside texts included. Null and empty texts have
+words with an end mark), special tokens inside texts included. Where the library's tables
+of characters are older than Python's, the library's count: it is asked once, on the
+driver, which characters it classes, lower-cases or reorders otherwise. Null and empty texts have
 no token and decode to the empty text; repeated rows repeat; an empty table gives an empty
 result. Extra columns are left out.
 """
@@ -31,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from snapquarry.llm.common import map_text, table
 from snapquarry.llm.tokencount import byte_letters
@@ -41,12 +44,40 @@ CACHE, END = 300_000, 0x2000
 NEVER = 1 << 40
 
 
+class Exceptions:
+    """Characters that the tokenizer library sees otherwise than Python: ``apart`` (never reordered or composed there, with their lower case) and ``kind`` (with a character of the class they have there). ``any`` holds both."""
+
+    def __init__(self) -> None:
+        known = regex.findall(r"[^\p{Cn}\p{Co}\p{Cs}]", "".join(map(chr, range(0x80, 0x110000))))
+        text, kinds = " ".join(known), {}
+        for stand_in, theirs, ours in (("x", r"\p{L}+", r"\p{L}"), ("0", r"\p{N}+", r"\p{N}"), (" ", r"\s+", r"\p{White_Space}")):
+            line = text if stand_in != " " else "x".join(known)
+            found = {c for w, _ in pre_tokenizers.Split(Regex(theirs), behavior="removed", invert=True).pre_tokenize_str(line) for c in w}
+            mine = set(regex.findall(ours, text)) - {" "}
+            kinds |= dict.fromkeys(mine - found, "!") | dict.fromkeys(found & set(known) - mine, stand_in)
+        self.kind = kinds
+        normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        lower = normal.normalize_str("\n".join(known)).split("\n")
+        odd = {c for c, t in zip(known, lower, strict=True) if t != plain_form(c)}
+        for around in ("%s\u0334", "\u0345%s"):  # marks of a low and a high combining class
+            tried = [around % c for c in known]
+            odd |= {c for c, t, u in zip(known, normal.normalize_str("\n".join(tried)).split("\n"), map(plain_form, tried), strict=True) if t != u}
+        self.apart = {c: t for c, t in zip(known, lower, strict=True) if c in odd}
+        self.any = frozenset(self.apart) | {c for c, t in zip(known, lower, strict=True) if c in kinds or not kinds.keys().isdisjoint(t)}
+
+
+def plain_form(text: str) -> str:
+    """Normal form C in lower case, by Python's tables; a sigma is the same everywhere in a word."""
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
 class Vocabulary:
     """What the encoder and the decoder need of a tokenizer file; plain data, small enough to broadcast (the file's size)."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             j = json.load(f)
+        self.exceptions = Exceptions()
         self.suffix = j["model"].get("end_of_word_suffix") or ""
         vocab = j["model"]["vocab"]
         merges = [m if isinstance(m, list) else m.split(" ") for m in j["model"]["merges"]]
@@ -98,6 +129,8 @@ class Encoder:
         self.known: dict[str, tuple[int, ...]] = {}
         self.letters, self.ends = byte_letters(), [chr(END + b) for b in range(256)]
         self.pattern = regex.compile(PATTERN)
+        self.kind = str.maketrans(v.exceptions.kind)
+        self.apart = v.exceptions.apart
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, v.special)) + ")") if v.special else None
 
     def border(self, token: int, side: int) -> list[tuple[int, int, int]]:
@@ -167,10 +200,25 @@ class Encoder:
             return self.encode_symbols("".join(self.letters[x] for x in b))
         return self.encode_symbols("".join(self.letters[x] for x in b[:-1]) + self.ends[b[-1]])
 
+    def odd_words(self, text: str) -> list[str]:
+        """The words of a text with exceptions: pieces between those that stay apart take their normal form alone, and classes are read off stand-ins."""
+        out: list[str] = []
+        at = 0
+        for i, c in enumerate(text):
+            if c in self.apart:
+                out += plain_form(text[at:i]), self.apart[c]
+                at = i + 1
+        text = "".join(out) + plain_form(text[at:])
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.kind))]
+
     def encode_plain(self, text: str) -> list[tuple[int, ...]]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        words, known = self.pattern.findall(text.lower()), self.known
+        if text.isascii():
+            words = self.pattern.findall(text.lower())
+        elif self.v.exceptions.any.isdisjoint(text):
+            words = self.pattern.findall(plain_form(text))
+        else:
+            words = self.odd_words(text)
+        known = self.known
         try:
             return [known[w] for w in words]
         except KeyError:

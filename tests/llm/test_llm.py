@@ -539,3 +539,23 @@ def test_positions_lose_no_pair(spark, monkeypatch):
     got = simhash.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), words=2)
     assert {r.doc_id: r.component_id for r in got.collect()} == {k: top(k) for k in range(len(texts))}
     assert len({top(k) for k in range(len(texts))}) < len(texts)
+
+
+def test_bpe_follows_the_library_on_new_characters():
+    """Characters newer than the library's tables, marks whose order it keeps, sigmas, and characters of every kind between letters."""
+    import tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    theirs = tokenizers.Tokenizer.from_file(path)
+    theirs.no_truncation()
+    theirs.no_padding()
+    v = bpe.Vocabulary(path)
+    ours, rng = bpe.Encoder(v), random.Random(4)
+    odd = sorted(v.exceptions.any)
+    common = list("aZ 'sé1.\n\u0301\u0327\u0334\u0345\u03a3\u0130\u0085\u00a0\u0661") + [chr(c) for c in (0x898, 0x1AC1, 0x558, 0x1E9E, 0x10D50)]
+    texts = ["".join(rng.choice(common) if rng.random() < 0.6 else rng.choice(odd) if rng.random() < 0.5 else chr(rng.choice([rng.randrange(32, 0xD800), rng.randrange(0xE000, 0x20000)])) for _ in range(rng.randint(1, 12))) for _ in range(20000)]
+    texts += [f"a{c}b {c}{c}1\u0334 e\u0345{c}" for c in [*odd, *map(chr, range(0x80, 0x3400))]]
+    want = theirs.encode_batch(texts, add_special_tokens=False)
+    assert len(odd) > 100
+    for t, w in zip(texts, want, strict=True):
+        assert ours.encode(t) == w.ids, ascii(t)
