@@ -47,23 +47,24 @@ NEVER = 1 << 40
 class Exceptions:
     """Characters that the tokenizer library sees otherwise than Python: ``apart`` (never reordered or composed there, with their lower case) and ``kind`` (with a character of the class they have there). ``any`` holds both."""
 
-    def __init__(self) -> None:
-        known = regex.findall(r"[^\p{Cn}\p{Co}\p{Cs}]", "".join(map(chr, range(0x80, 0x110000))))
-        text, kinds = " ".join(known), {}
-        for stand_in, theirs, ours in (("x", r"\p{L}+", r"\p{L}"), ("0", r"\p{N}+", r"\p{N}"), (" ", r"\s+", r"\p{White_Space}")):
-            line = text if stand_in != " " else "x".join(known)
-            found = {c for w, _ in pre_tokenizers.Split(Regex(theirs), behavior="removed", invert=True).pre_tokenize_str(line) for c in w}
-            mine = set(regex.findall(ours, text)) - {" "}
-            kinds |= dict.fromkeys(mine - found, "!") | dict.fromkeys(found & set(known) - mine, stand_in)
-        self.kind = kinds
+    def __init__(self, block: int = 1 << 12) -> None:
+        classes = [(c, pre_tokenizers.Split(Regex(theirs), behavior="removed", invert=True), regex.compile(ours)) for c, theirs, ours in (("x", r"\p{L}", r"\p{L}"), ("0", r"\p{N}", r"\p{N}"), (" ", r"\s", r"\p{White_Space}"))]
         normal = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
-        lower = normal.normalize_str("\n".join(known)).split("\n")
-        odd = {c for c, t in zip(known, lower, strict=True) if t != plain_form(c)}
-        for around in ("%s\u0334", "\u0345%s"):  # marks of a low and a high combining class
-            tried = [around % c for c in known]
-            odd |= {c for c, t, u in zip(known, normal.normalize_str("\n".join(tried)).split("\n"), map(plain_form, tried), strict=True) if t != u}
-        self.apart = {c: t for c, t in zip(known, lower, strict=True) if c in odd}
-        self.any = frozenset(self.apart) | {c for c, t in zip(known, lower, strict=True) if c in kinds or not kinds.keys().isdisjoint(t)}
+        self.kind, self.apart, mapped = {}, {}, set()
+        for start in range(0x80, 0x110000, block):  # a block at a time, so that the driver needs little memory
+            known = regex.findall(r"[^\p{Cn}\p{Co}\p{Cs}]", "".join(map(chr, range(start, min(start + block, 0x110000)))))
+            for stand_in, theirs, ours in classes:
+                found = {w for w, _ in theirs.pre_tokenize_str("".join(known))}
+                mine = set(ours.findall("".join(known)))
+                self.kind |= dict.fromkeys(mine - found, "!") | dict.fromkeys(found - mine, stand_in)
+            lower = normal.normalize_str("\n".join(known)).split("\n") if known else []
+            odd = {c for c, t in zip(known, lower, strict=True) if t != plain_form(c)}
+            for around in ("%s\u0334", "\u0345%s") if known else ():  # marks of a low and a high combining class
+                tried = [around % c for c in known]
+                odd |= {c for c, t, u in zip(known, normal.normalize_str("\n".join(tried)).split("\n"), map(plain_form, tried), strict=True) if t != u}
+            self.apart |= {c: t for c, t in zip(known, lower, strict=True) if c in odd}
+            mapped |= {(c, t) for c, t in zip(known, lower, strict=True) if t != c}
+        self.any = frozenset(self.apart) | frozenset(self.kind) | {c for c, t in mapped if not self.kind.keys().isdisjoint(t)}
 
 
 def plain_form(text: str) -> str:
