@@ -126,10 +126,10 @@ def fixed_batches(ids: DataFrame, by: Sequence[str], value: str, size: int) -> D
     """(by, batch, ids, n): groups of ``size`` in order, named with six digits. A key's ids are numbered by many tasks; what meets is a batch."""
     numbered = ranked(ids.select(*by, value), by, [value]).withColumn("k", F.expr(f"place div {size}"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(value)), lambda x: x.cast("string")), ",")
-    return numbered.groupBy(*by, _six_digits(F.col("k")).alias("batch")).agg(joined.alias("ids"), F.count("*").alias("n"))
+    return numbered.groupBy(*by, six_digits(F.col("k")).alias("batch")).agg(joined.alias("ids"), F.count("*").alias("n"))
 
 
-def _six_digits(k: Column) -> Column:
+def six_digits(k: Column) -> Column:
     """At least six digits; more where there are more batches."""
     text = k.cast("string")
     return F.when(k < 1_000_000, F.lpad(text, 6, "0")).otherwise(text)
@@ -138,7 +138,7 @@ def _six_digits(k: Column) -> Column:
 def work_grid(codes: DataFrame, prefixes: DataFrame, assets: DataFrame, template: str, by: Sequence[str], size: int) -> tuple[DataFrame, DataFrame]:
     """(tasks: every code with a requested prefix and every asset, with path and batch; prefixes without a code). Batches of ``size`` codes go by ``by`` and prefix."""
     keyed, missing = prefix_partition(codes, prefixes)
-    batched = ranked(keyed, [*by, "prefix"], ["code"]).withColumn("batch", _six_digits(F.expr(f"place div {size}"))).drop("place")
+    batched = ranked(keyed, [*by, "prefix"], ["code"]).withColumn("batch", six_digits(F.expr(f"place div {size}"))).drop("place")
     return task_grid(batched, assets, template), missing
 
 

@@ -23,7 +23,7 @@ from snapquarry.operators import discover as D
 from snapquarry.operators import edges as E
 from snapquarry.operators import locks as L
 from snapquarry.operators import manifest as M
-from snapquarry.operators.catalog import select_assets
+from snapquarry.operators.catalog import declared_assets, expand_assets, select_assets
 from snapquarry.plans import reconcile as R
 from snapquarry.sources import files as S
 from snapquarry.sources.storage import shared_dir
@@ -1308,3 +1308,24 @@ def _(s, d):
     run(there)
     run(there)
     return latest_version(s, f"{root}/table", ARRIVING).select("path", "event_id")
+
+
+def expanded_catalogue(s: SparkSession, d: str, asset: str, names: list[tuple], family: str) -> DataFrame:
+    """A family of the shipped catalogue with customers as organisms and parts as entries."""
+    bases = {"kegg": "https://example.org/k"}
+    declared = declared_assets(s, bases).filter(F.col("asset") == asset)
+    chosen, _ = select_assets(declared, s.createDataFrame(names, "name string"), "v1", family=family)
+    where = [F.lit("kegg").alias("database"), F.lit(asset).alias("asset")]
+    organisms = t(s, d, "customer").select(*where, F.when(F.col("c_custkey") % 9 != 0, F.concat(F.lit("c"), F.col("c_custkey").cast("string"))).alias("organism"))
+    entries = t(s, d, "part").select(*where, F.lit("compound").alias("name"), F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("entry"), (-F.col("p_partkey")).alias("pos"))
+    return expand_assets(chosen, organisms, entries, bases)
+
+
+@query("e14_assets_per_organism", "SELECT 'kegg' AS database, 'mapping' AS asset, 'c' || c_custkey || '.' || a AS name, 'raw/c' || c_custkey || '/' || a || '.tsv' AS path, 'https://example.org/k' || CASE a WHEN 'gene_list' THEN '/list/' ELSE '/link/ko/' END || 'c' || c_custkey AS url FROM customer, (SELECT unnest(['gene_list', 'gene_ko']) AS a) WHERE c_custkey % 9 != 0 UNION ALL SELECT 'kegg', 'mapping', 'ko_pathway', 'raw/ko/ko_pathway.tsv', 'https://example.org/k/link/pathway/ko'")
+def _(s, d):
+    return expanded_catalogue(s, d, "mapping", [("gene_list, gene_ko",), ("ko_pathway",)], "bulk")
+
+
+@query("e14_entry_batches", "SELECT 'kegg' AS database, 'metabolic' AS asset, 'compound' AS name, 'raw/compound/list.tsv' AS path, 'https://example.org/k/list/compound' AS url UNION ALL SELECT 'kegg', 'metabolic', 'compound-entry-' || lpad(CAST(k AS VARCHAR), 6, '0'), 'raw/compound/entries/' || lpad(CAST(k AS VARCHAR), 6, '0') || '.keg', 'https://example.org/k/get/' || string_agg('C' || p_partkey, '+' ORDER BY p_partkey DESC) FROM (SELECT p_partkey, CAST(floor((row_number() OVER (ORDER BY p_partkey DESC) - 1) / 10) + 1 AS BIGINT) AS k FROM part) GROUP BY k")
+def _(s, d):
+    return expanded_catalogue(s, d, "metabolic", [("compound",)], "bulk")

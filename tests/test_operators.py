@@ -136,6 +136,19 @@ def test_select_assets(spark):
     assert {(r.name, r.rule) for r in issues.collect()} == {("zz", "unknown"), ("b", "large")}
 
 
+def test_shipped_catalogue(spark):
+    bases = {"kegg": "https://k/", "dbcan": "https://d", "jaspar": "https://j"}
+    rows = K.declared_assets(spark, bases).collect()
+    assert len(rows) == 11 + 7 + 4 + 7 and len({(r.database, r.asset, r.name) for r in rows}) == len(rows)
+    assert {r.expected_bytes for r in rows if r.database == "dbcan"} == {2177198564, 129842960, 5132429983, 94399}
+    chosen, issues = K.select_assets(K.declared_assets(spark, bases).filter("asset = 'metabolic'"), spark.createDataFrame([("module,zz",)], "name string"), "v")
+    entries = spark.createDataFrame([("kegg", "metabolic", "module", f"M{k}", k) for k in range(21)] + [("kegg", "metabolic", "module", " ", 99), ("kegg", "metabolic", "enzyme", "E", 1)], "database string, asset string, name string, entry string, pos int")
+    got = K.expand_assets(chosen, spark.createDataFrame([("kegg", "metabolic", None)], "database string, asset string, organism string"), entries, bases)
+    assert {r.name: r.url for r in got.collect()} == {"module": "https://k/list/module", "module-entry-000001": "https://k/get/" + "+".join(f"M{k}" for k in range(10)), "module-entry-000002": "https://k/get/" + "+".join(f"M{k}" for k in range(10, 20)), "module-entry-000003": "https://k/get/M20"}
+    assert [(r.name, r.rule) for r in issues.collect()] == [("zz", "unknown")]
+    assert K.expand_assets(chosen.limit(0), got.selectExpr("database", "asset", "'x' AS organism").limit(0), entries.limit(0), bases).count() == 0
+
+
 def test_request_url_and_header_version(spark):
     url = spark.range(1).select(C.request_url("http://x", {"b": F.lit("a b*~"), "a": F.lit("1,2")}).alias("u")).first().u
     assert url == "http://x?a=1%2C2&b=a+b%2A~"
