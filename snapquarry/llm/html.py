@@ -12,7 +12,9 @@ The classifier is logistic and is fitted on the given pages: blocks inside eleme
 HTML itself calls content (article, main) or not (nav, footer, aside, ..) are its labels,
 each also shown without those marks, so that text features are learned too. A normal prior
 around ``PRIOR`` decides what the pages say nothing about. No feature overrides the others:
-a class word is one of them, and evidence counts from the element nearest to a block.
+a class word is one of them, and evidence counts from the element nearest to a block. A weak
+class word gives way to the page as a whole: where nothing is marked as content, the element
+that holds most of the text outside boilerplate is content, whatever its name.
 
 Text: character references decoded, white space inside a block one space, blocks trimmed
 and joined in page order by two line feeds.
@@ -48,6 +50,7 @@ UNQUOTED = re.compile(r"[^\s>]*+")
 COMMENT_END = re.compile(r"--!?>")
 CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+NOTICE = re.compile(r"\s*(?:©|\(c\)\s|copyright\b)|.*\ball rights reserved\b|.*\b(?:we use|uses|use of|using) cookies\b|(?=.*\bcookies\b).*\b(?:consent|cookie policy|privacy policy)\b", re.I)
 DEPTH = 512
 PAGES, BLOCKS_A_PAGE = 400, 32  # bounds of the training sample: pages, and labelled blocks of each
 EVIDENCE = 200.0  # the whole sample weighs as much as so many rows against the prior
@@ -71,8 +74,9 @@ WEAK_WORDS = frozenset("promotion notice notices alert discussion header social
 PLAIN_WORDS = frozenset("site page global top bottom left right area list section box block wrapper wrap container inner outer bar primary secondary desktop mobile fixed blog item items link links button buttons icon icons group row col column panel slot unit zone reader user the".split()) | CONTENT_WORDS
 STATE_WORDS = frozenset("has with no without not is category tag format type status".split())
 
-FEATURES = ["bias", "content_tag", "content_word", "boilerplate_tag", "strong_word", "weak_word", "unseen", "inner_header", "words", "linked", "sentence", "heading"]
-PRIOR = np.array([-1.2, 4.0, 2.0, -9.0, -8.0, -2.5, -9.0, -3.5, 2.4, -4.0, 0.6, 0.4])
+FEATURES = ["bias", "content_tag", "content_word", "boilerplate_tag", "strong_word", "weak_word", "unseen", "inner_header", "words", "linked", "sentence", "heading", "linked_inside", "notice"]
+PRIOR = np.array([-1.2, 4.0, 2.0, -9.0, -8.0, -2.5, -9.0, -3.5, 2.4, -4.0, 0.6, 0.4, 3.0, -4.0])
+FROM_MARKS = [*range(1, 8), 12]  # the features that marks give
 MOST_WORDS, NEAR, SIBLING = 40, 0.8, 0.5
 
 
@@ -270,17 +274,31 @@ def surroundings(tree: Tree, blocks: list[Block]) -> list[tuple]:
     content ends the content's evidence, and content marks inside boilerplate count for
     nothing. A form or a named element that holds the page's main part isn't boilerplate:
     one with a main element, or with a top heading and over half (a form: a fifth) of the
-    plain text.
+    plain text. A weak name says nothing, and counts as a content word, where its element
+    holds over half of the plain text outside boilerplate elements and strong names, and no
+    text stands in content marks outside all other names; where such text stands, a weak
+    name outside it counts twice.
     """
     n = len(tree.tag)
-    plain, main, title = [0] * n, [False] * n, [False] * n
+    plain, free, main, title = [0] * n, [0] * n, [False] * n, [False] * n
+    named, shut, inside = [False] * n, [False] * n, [False] * n
+    for i in range(1, n):
+        h, p = tree.hints[i] or (0,) * 7, tree.parent[i]
+        shut[i] = shut[p] or bool(h[2] or h[3] or h[5])
+        named[i] = named[p] or shut[i] or bool(h[4])
+        inside[i] = inside[p] or bool(h[0] or h[1])
+    unmarked = True
     for b in blocks:
-        plain[b.node] += max(0, len(b.text) - b.linked)
+        letters = max(0, len(b.text) - b.linked)
+        plain[b.node] += letters
+        free[b.node] += 0 if shut[b.node] else letters
+        unmarked = unmarked and not (letters and inside[b.node] and not named[b.node])
     for i in range(n - 1, 0, -1):
         h, p = tree.hints[i], tree.parent[i]
         main[i] = main[i] or bool(h and h[6])
         title[i] = title[i] or tree.tag[i] == "h1"
         plain[p] += plain[i]
+        free[p] += free[i]
         main[p], title[p] = main[p] or main[i], title[p] or title[i]
     out: list[tuple] = [(0, 0, 0, 0, 0, 0, 0)]
     for i in range(1, n):
@@ -293,6 +311,10 @@ def surroundings(tree: Tree, blocks: list[Block]) -> list[tuple]:
         if (bad or strong or weak) and (main[i] or (title[i] and plain[i] > plain[0] / (5 if form else 2))):
             strong = weak = 0
             bad = 0 if form else bad
+        elif weak and not (bad or strong) and unmarked and free[i] > free[0] / 2:
+            word, weak = 1, 0
+        elif weak and not (unmarked or tag or word or up[0] or up[1]):
+            weak = 2
         inner = int(tree.tag[i] == "header" and up[0] and not up[2])
         bad -= inner
         ct, cw, cb, cs, ck, cu, ci = up
@@ -307,10 +329,11 @@ def surroundings(tree: Tree, blocks: list[Block]) -> list[tuple]:
 def vectors(tree: Tree, blocks: list[Block]) -> np.ndarray:
     """A row of ``FEATURES`` for each block."""
     around = surroundings(tree, blocks)
-    rows = [
-        (1, *around[b.node], min(MOST_WORDS, b.text.count(" ") + 1) / MOST_WORDS, min(1.0, b.linked / len(b.text)), b.text[-1] in ".!?:;\"')»”…", tree.tag[b.node] in HEADINGS)
-        for b in blocks
-    ]
+    rows = []
+    for b in blocks:
+        marks, words, linked = around[b.node], b.text.count(" ") + 1, min(1.0, b.linked / len(b.text))
+        notice = not (marks[0] or marks[1]) and words <= MOST_WORDS and bool(NOTICE.match(b.text))
+        rows.append((1, *marks, min(MOST_WORDS, words) / MOST_WORDS, linked, b.text[-1] in ".!?:;\"')»”…", tree.tag[b.node] in HEADINGS, linked * marks[0], notice))
     return np.array(rows, np.float64).reshape(-1, len(FEATURES))
 
 
@@ -421,7 +444,7 @@ def train(rows: np.ndarray) -> np.ndarray:
         return PRIOR
     x, y = rows[:, :-1], rows[:, -1]
     bare = x.copy()
-    bare[:, 1:8] = 0
+    bare[:, FROM_MARKS] = 0
     x, y = np.concatenate([x, bare]), np.r_[y, y]
     weight = np.where(y > 0, 1 / (y > 0).sum(), 1 / (y <= 0).sum()) * EVIDENCE / 2
     w = PRIOR.copy()

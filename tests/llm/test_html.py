@@ -93,3 +93,38 @@ def test_odd_rows(spark):
     rows = html.extract(df, ["page_id"], weights=html.fit(df)).collect()
     assert sorted(r.n_chars for r in rows if r.page_id) == [0, 0, len(WANT), len(WANT)]
     assert html.extract(df.limit(0), ["page_id"], weights=html.fit(df.limit(0))).count() == 0
+
+
+def test_articles_under_any_name(spark):
+    """Weak names, and 200 names of list words and foreign words, around an article that nothing else marks."""
+    w = html.fit(table(spark, "/root/testdata/sf0.01", "pages"))
+    rng = random.Random(11)
+    listed = sorted(html.STRONG_WORDS | html.WEAK_WORDS | html.PLAIN_WORDS)
+    names = ["discussion-article", "page related-article", "promo-history", "legal"]
+    for _ in range(200):
+        words = rng.sample(listed, rng.randint(1, 2)) + ["".join(rng.choice("bdfgklmnoprtuvz") for _ in range(rng.randint(4, 8)))]
+        rng.shuffle(words)
+        names.append(rng.choice("-_").join(words))
+    for name in names:
+        for page in (f"<div class='{name}'>{BODY}</div>", f"<section id='{name}'><h1>Title</h1>{BODY}</section>"):
+            got = html.main_text(f"<html><body>{HEAD}{page}{TAIL}</body></html>", w)
+            assert got == ("Title\n\n" if "<h1>" in page else "") + WANT, (name, got)
+
+
+def test_weak_names_beside_an_article(spark):
+    w = html.fit(table(spark, "/root/testdata/sf0.01", "pages"))
+    related = "<div class='related-zubin'><p>" + "Another story that many readers liked, in a few words. " * 20 + "</p></div>"
+    for page in (f"<article>{BODY}</article>{related}", f"<div class=content>{BODY}</div>{related}"):
+        assert html.main_text(HEAD + page + TAIL, w) == WANT
+
+
+def test_links_inside_an_article_and_notices_outside(spark):
+    w = html.fit(table(spark, "/root/testdata/sf0.01", "pages"))
+    links = "".join(f"<li><a href=/{x}>{x} and more</a></li>" for x in ("Alpha", "Beta", "Gamma"))
+    want = "Reading list\n\nAlpha and more\n\nBeta and more\n\nGamma and more"
+    assert html.main_text(f"{HEAD}<article><h1>Reading list</h1><ul>{links}</ul></article>{TAIL}", w) == want
+    for notice in ("We use cookies to improve your experience on this site. Please accept them.", "© 2024 Example Ltd.", "Copyright 2020 the site. All rights reserved.", "By using this website you agree to our use of cookies."):
+        assert html.main_text(f"{HEAD}<article>{BODY}</article><div>{notice}</div>", w) == WANT
+        assert html.main_text(f"<p>{notice}</p>{HEAD}<article>{BODY}</article>", w) == WANT
+    kitchen = "Our cookies are made of oats, and you may agree that they are the best."
+    assert html.main_text(f"{HEAD}<div><p>{kitchen}</p></div>", w) == kitchen
