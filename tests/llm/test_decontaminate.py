@@ -106,3 +106,30 @@ def test_rows_and_blocks(spark, most):
     assert rows == sorted([(k, (k % 9,) if k % 2 else ()) for k in range(12)] + [(90, ()), (91, ()), (92, (20,)), (92, (20,))])
     assert D.contaminated(df, bench.filter(F.lit(False)), ["doc_id"]).filter(F.size("item_ids") > 0).count() == 0
     assert D.contaminated(df.limit(0), bench, ["doc_id"], most=most).count() == 0
+
+
+def test_large_benchmark_gives_the_same_hits(spark):
+    """The join of seeds against the index: same items, places and edits, around the budget, at the ends of texts, with repeated items and ids."""
+    rng = random.Random(8)
+    items = [(k, prose(rng, rng.choice([3, 4, 6, 10, 20, 60, 200])).decode()) for k in range(60)]
+    items += [(60, "yes"), (61, "what is it?"), (62, "ab" * 80), (None, items[5][1]), (63, items[6][1].upper()), (7, items[8][1]), (9, items[9][1]), (64, "  ")]
+    texts = []
+    for k in range(120):
+        parts = [prose(rng, rng.randint(0, 9))]
+        for i, b in rng.sample(items, 3):
+            parts.append(changed(rng, b.encode(), rng.randint(0, D.budget_of(len(b), D.SHARE) + 1)) if len(b) > 2 else b"")
+            parts.append(rng.choice([b"", b" ", b" " + prose(rng, 3) + b"\n\n "]))
+        texts.append((k, b"".join(parts).decode()))
+    texts += [(120, "ab" * 400), (121, items[11][1] * 5), (122, None), (123, ""), (124, "yes")]
+    df, bench = spark.createDataFrame(texts, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want, got = ([tuple(r) for r in D.contaminated(df, bench, ["doc_id"], most=most).orderBy("doc_id").collect()] for most in (1 << 20, 100))
+    assert got == want and sum(len(r[1]) for r in want) > 160
+
+
+def test_every_seed_set_survives_the_budget():
+    rng = random.Random(9)
+    for m in (20, 21, 39, 40, 59, 60, 150, 300):
+        b = prose(rng, 200)[:m]
+        k, place, h = D.seeds_of(b, D.SHARE)
+        q = D.gram_of(m, k)
+        assert len(place) == k + 1 and (not k or (place[1:] - place[:-1] >= q).all()) and place[-1] + q <= m and len(h) == k + 1
