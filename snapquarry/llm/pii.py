@@ -5,8 +5,8 @@ a written-out "at" mark are the field's variables; each is an email, ip, card or
 nothing. Words side by side share a chain potential, and words of one document that repeat or
 resemble each other (the same digits at the end, the same address) share a hidden label and so
 agree however far apart they are. Words inside base spans are observed; loopy message passing
-gives the others' probabilities. Documents without a base span have nothing to agree with and
-keep none. The weights are learned from the base spans of a bounded sample by
+gives the others' probabilities, in every document with such words. What it is sure of in a
+document without a base span, which has nothing to agree with, is told apart. The weights are learned from the base spans of a bounded sample by
 pseudo-likelihood, with the words' own features left out of every second example, so that
 neighbours and twins count.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,7 +99,7 @@ def features(word: str, before: str) -> list[int]:
         len(parts) == 4 and all(p.isdigit() and int(p[-4:]) <= 255 for p in parts), 16 <= len(digits) <= 19 and luhn(digits), "=" in word or "/" in word or "_" in word, "." in word,
     ]
     context = xxhash.xxh32_intdigest(before.strip(".,;:()").lower()) % CONTEXT if before else None
-    size = int(np.searchsorted(BOUNDS, len(digits), "right"))
+    size = bisect_right(BOUNDS, len(digits))
     return [size, *(len(BOUNDS) + 1 + k for k, x in enumerate(marks) if x), *([SHAPES + context] if context is not None else [])]
 
 
@@ -129,28 +129,32 @@ def fields(texts: list[str], docs: np.ndarray, found: list[list[tuple[int, int,
     raw = data.tobytes()
     doc, start, end, label, rows, keys, place, cores = [], [], [], [], [], [], [], []
     spans = [[([a for j, a, _ in f if j == kind], [b for j, _, b in f if j == kind]) for kind in range(len(KINDS))] for f in found]
+    known: dict[str, tuple | None] = {}  # what is the same wherever a word stands
+    seen: dict[tuple[str, str], list[int]] = {}
     for k in worth.tolist():
         word, t = raw[s[k] : e[k]].decode(), int(d[k])
-        if not any(c in "0123456789@" for c in word) and not AT.search(word):
-            continue
-        core = CORE.search(word)
-        if not core:
+        if word not in known:
+            core = CORE.search(word) if any(c in "0123456789@" for c in word) or AT.search(word) else None
+            known[word] = core and (core.start(), core.end(), core.group(), resembles(word))
+        if known[word] is None:
             continue
+        first, last, own, key = known[word]
         begin = int(point[s[k]] - point[off[t]])
-        a, b = begin + core.start(), begin + core.end()
-        kind = next((kind for kind, (x, y) in enumerate(spans[t]) if (last := bisect_left(x, b)) and y[last - 1] > a), None)
+        a, b = begin + first, begin + last
+        kind = next((kind for kind, (x, y) in enumerate(spans[t]) if (at := bisect_left(x, b)) and y[at - 1] > a), None)
         before = raw[s[k - 1] : e[k - 1]].decode() if k and d[k - 1] == t else ""
+        if (word, before) not in seen:
+            seen[word, before] = features(word, before)
         doc.append(docs[t])
         start.append(a)
         end.append(b)
         label.append(0 if kind is None else 1 + kind)
-        rows.append(features(word, before))
-        keys.append((t, resembles(word)))
+        rows.append(seen[word, before])
+        keys.append((t, key))
         place.append(k)
-        cores.append(core.group())
+        cores.append(own)
     x = np.zeros((len(rows), SHAPES + CONTEXT))
-    for k, r in enumerate(rows):
-        x[k, r] = 1
+    x[np.repeat(np.arange(len(rows)), np.array([len(r) for r in rows], np.int64)), np.array([c for r in rows for c in r], np.int64)] = 1
     place, own = np.array(place, np.int64), np.array([t for t, _ in keys], np.int64)
     beside = np.flatnonzero((np.diff(place) == 1) & (np.diff(own) == 0)) if len(place) > 1 else np.zeros(0, np.int64)
     number: dict = {}
@@ -263,27 +267,36 @@ def added_spans(f: Field, p: np.ndarray, sure: float = SURE) -> list[tuple[int,
     return [tuple(r) for r in out]
 
 
-FIELDS = "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
+FIELDS = "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, alone string"
 
 
 def told(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in sorted(spans))
 
 
-def text_spans(model: Model, texts: pa.Array) -> tuple[list[list[tuple[int, int, int]]], list[list[tuple[int, int, int]]]]:
-    """(base spans, added spans) of each text."""
-    base: list[list] = [[] for _ in range(len(texts))]
-    more: list[list] = [[] for _ in range(len(texts))]
-    some = np.flatnonzero(np.asarray(pc.match_substring_regex(texts, "[0-9@]"))).tolist()
+Spans = list[list[tuple[int, int, int]]]
+
+
+def field_spans(model: Model, texts: pa.Array) -> tuple[Spans, Spans, Spans]:
+    """(base spans, spans that the field adds beside base spans, spans that it is sure of in texts without one) of each text."""
+    base: Spans = [[] for _ in range(len(texts))]
+    more: Spans = [[] for _ in range(len(texts))]
+    alone: Spans = [[] for _ in range(len(texts))]
+    some = np.flatnonzero(np.asarray(pc.match_substring_regex(texts, r"[0-9@\[(]"))).tolist()
     for k in some:
         base[k] = base_spans(texts[k].as_py())
-    mine = [k for k in some if base[k]]
-    if mine and model.own.any():
-        f = fields([texts[k].as_py() for k in mine], np.array(mine), [base[k] for k in mine])
-        if len(f.label):
-            for k, kind, a, b in added_spans(f, posterior(f, model)):
-                more[k].append((kind, a, b))
-    return base, more
+    for out, mine in ((more, [k for k in some if base[k]]), (alone, [k for k in some if not base[k]])):
+        if mine and model.own.any():
+            f = fields([texts[k].as_py() for k in mine], np.array(mine), [base[k] for k in mine])
+            if len(f.label):
+                for k, kind, a, b in added_spans(f, posterior(f, model)):
+                    out[k].append((kind, a, b))
+    return base, more, alone
+
+
+def text_spans(model: Model, texts: pa.Array) -> tuple[Spans, Spans]:
+    """(base spans, added spans) of each text."""
+    return field_spans(model, texts)[:2]
 
 
 def learned(documents: DataFrame, sample: int = SAMPLE) -> Model:
@@ -301,12 +314,13 @@ def scan(df: DataFrame, model: Model, keep: list[str], text_col: str = "text") -
     """``keep``, the number of base spans by kind, their digest, and all spans (kind:start:end in code points, end exclusive).
 
     Null and empty texts have none; repeated rows repeat. Added spans never meet base spans.
+    ``alone`` has what the field is sure of in texts without a base span, where nothing vouches for it; ``spans`` doesn't.
     """
 
     def f(texts: pa.Array) -> list:
-        base, more = text_spans(model, texts)
+        base, more, alone = field_spans(model, texts)
         counts = [[sum(s[0] == k for s in spans) for spans in base] for k in range(len(KINDS))]
-        return [*counts, [hashlib.sha256(told(b).encode()).hexdigest() for b in base], [told(b + m) for b, m in zip(base, more, strict=True)]]
+        return [*counts, [hashlib.sha256(told(b).encode()).hexdigest() for b in base], [told(b + m) for b, m in zip(base, more, strict=True)], [told(x) for x in alone]]
 
     return map_text(df, lambda: f, keep, FIELDS, text_col)
 
