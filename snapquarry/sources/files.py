@@ -1,4 +1,4 @@
-"""Sources and sinks on shared storage. Readers only use Spark's file sources, so any store that Spark opens will do."""
+"""Sources and sinks on shared storage. Most readers only use Spark's file sources, so any store that Spark opens will do; many small files, and steps of large ones, are read by tasks from stores that pyarrow opens too."""
 
 from __future__ import annotations
 
@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from snapquarry.sources.storage import written
 
 LARGEST, STEP = (1 << 31) - 1025, 1 << 20  # most bytes of a file that is read as one value; bytes of a step beyond
+FILES = 5000  # small files that one task opens
 LINE_LIMIT = 32 << 20  # fixed value: longest line of a strict table, in bytes
 SKIPPED_DIRS = ("raw", "tidy", "logs")
 LOCK_TEXTS = ("database", "asset", "dataset", "version", "version_token", "downloaded_at", "source_release", "source_release_start", "source_release_end", "source_last_update", "source_last_update_start", "source_last_update_end")
@@ -184,9 +185,13 @@ def write_files(df: DataFrame, root: str, path: str = "path", content: str = "co
 
     def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, top = _store(root)
+        made = set()
         for pdf in batches:
             for name, data in zip(pdf["path"], pdf["content"], strict=True):
-                store.create_dir(f"{top}/{name}".rpartition("/")[0], recursive=True)
+                folder = f"{top}/{name}".rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with store.open_output_stream(f"{top}/{name}", compression=None) as out:
                     out.write(bytes(data))
             yield pd.DataFrame({"n": [len(pdf)]})
@@ -216,8 +221,26 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return whole.select("listing", F.posexplode(F.split("value", "\r?\n")).alias("pos", "value")).filter(F.trim("value") != "")
 
 
-def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select(file_name().alias("file"), "value")
+def read_sidecars(spark: SparkSession, path: str, most: int = 8 << 20) -> DataFrame:
+    """(file, value): the files below path by name, empty and hidden ones left out. Tasks list them, folder by folder, and read them, about ``most`` bytes at a time; the driver sees no name."""
+    named = file_states(spark, path).withColumn("file", F.substring_index("path", "/", -1)).filter("bytes > 0 and not startswith(file, '_') and not startswith(file, '.')")
+
+    def f(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            files, values, size = [], [], 0
+            for at, file in zip(pdf["path"], pdf["file"], strict=True):
+                store, name = _store(at)
+                with store.open_input_stream(name, compression=None) as stream:
+                    values.append(stream.read().decode("utf-8", "replace"))
+                files.append(file)
+                size += len(values[-1])
+                if size > most:
+                    yield pd.DataFrame({"file": files, "value": values})
+                    files, values, size = [], [], 0
+            yield pd.DataFrame({"file": files, "value": values})
+
+    tasks = 1 + named.count() // FILES  # by number: the names' bytes say little of the work
+    return named.select("path", "file").repartition(tasks, "path").mapInPandas(f, "file string, value string")
 
 
 #: The layout of a full-evidence sidecar, its schema and transport, and the header of a capability table.
