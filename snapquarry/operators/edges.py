@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from urllib.parse import urlencode
@@ -11,6 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +20,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from snapquarry.functions import checks as C
 from snapquarry.operators.ranks import BLOCK, batch_steps, ranked, walk
-from snapquarry.sources.storage import written
+from snapquarry.sources.files import STEP, _store
+from snapquarry.sources.storage import shared_dir, written
 
 KEY = ["source", "target", "is_directed", "is_stimulation", "is_inhibition", "consensus_direction", "consensus_stimulation", "consensus_inhibition"]
+RANGE = 500_000  # keys that one task sorts
 MOST_EDGES, MOST_TARGETS, MOST_URL = 500, 100, 6144  # fixed values: bounds of a batch
 
 
@@ -35,36 +39,68 @@ def edges_per_target(edges: DataFrame) -> DataFrame:
 def inventory_digest(edges: DataFrame, cols: Sequence[str], by: str = "organism") -> DataFrame:
     """(by, digest, edges): the exact digest of each group's keys, sorted and joined by newlines.
 
-    Keys are sorted by Spark, which spills, and go through SHA-256 batch by batch, so a group
-    of any size takes constant memory. One digest is one chain of blocks by its definition, so
-    one task reads a group's sorted keys; ``bucketed_digest`` spreads them.
+    Keys are dealt to ranges of about ``RANGE`` rows, however many of them are equal, and
+    sorted there; each task writes its own, joined, as one file to the shared folder and tells
+    where each group's stand. One digest is one chain of blocks by its definition, so one task
+    reads a group's pieces through SHA-256 in their order, a MB at a time; what it sorts are the
+    pieces' places. No task's memory grows with the group; ``bucketed_digest`` spreads the
+    hashing too.
     """
-    kind = edges.schema[by].dataType
+    kind, root = edges.schema[by].dataType, f"{shared_dir(edges.sparkSession)}/tables/{uuid.uuid4().hex}"
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, (store, top) = TaskContext.get().partitionId(), _store(root)
+        store.create_dir(top, recursive=True)
+        name = f"{task}-{uuid.uuid4().hex}"  # a task that is run again writes another file
+        out: list[list] = []  # group, start, bytes, keys
+        with store.open_output_stream(f"{top}/{name}", compression=None) as file:
+            for b in batches:
+                groups = b.column(0)
+                ends = pc.indices_nonzero(pc.fill_null(pc.not_equal(groups.slice(1), groups.slice(0, len(groups) - 1)), True)).to_pylist() if len(groups) > 1 else []
+                cuts = [0, *(e + 1 for e in ends), len(groups)]
+                for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                    if i == j:
+                        continue
+                    group = groups[i].as_py()
+                    if not out or group != out[-1][0]:
+                        out.append([group, file.tell(), 0, 0])
+                    keys = (("\n" if out[-1][3] else "") + "\n".join(b.column(1).slice(i, j - i).to_pylist())).encode()
+                    file.write(keys)
+                    out[-1][2] += len(keys)
+                    out[-1][3] += j - i
+        columns = [pa.array([r[0] for r in out], to_arrow_type(kind)), pa.array([task] * len(out), pa.int32()), pa.array([name] * len(out), pa.string()), *(pa.array([r[k] for r in out], pa.int64()) for k in (1, 2, 3))]
+        yield pa.RecordBatch.from_arrays(columns, names=[by, "task", "name", "start", "bytes", "n"])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sha, n = None, None, 0
         out: list[tuple] = []
+        store, top = _store(root)
         for b in batches:
-            groups = b.column(0)
-            ends = pc.indices_nonzero(pc.fill_null(pc.not_equal(groups.slice(1), groups.slice(0, len(groups) - 1)), True)).to_pylist() if len(groups) > 1 else []
-            cuts = [0, *(e + 1 for e in ends), len(groups)]
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                if i == j:
-                    continue
-                group = groups[i].as_py()
+            for group, name, start, size, keys in zip(*(b.column(k).to_pylist() for k in (0, 2, 3, 4, 5)), strict=True):
                 if sha is None or group != now:
                     if sha is not None:
                         out.append((now, sha.hexdigest(), n))
                     now, sha, n = group, hashlib.sha256(), 0
-                keys = "\n".join(b.column(1).slice(i, j - i).to_pylist())
-                sha.update((("\n" if n else "") + keys).encode())
-                n += j - i
+                if n:
+                    sha.update(b"\n")
+                with store.open_input_file(f"{top}/{name}") as file:
+                    file.seek(start)
+                    while size:
+                        part = file.read(min(size, STEP))
+                        if not part:
+                            raise OSError(f"{name} ends early")
+                        sha.update(part)
+                        size -= len(part)
+                n += keys
         if sha is not None:
             out.append((now, sha.hexdigest(), n))
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], to_arrow_type(kind)), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.int64())], names=[by, "digest", "edges"])
 
-    rows = edges.select(by, key_text(cols).alias("k")).repartition(by).sortWithinPartitions(by, "k")
-    return rows.mapInArrow(fold, T.StructType([T.StructField(by, kind), T.StructField("digest", T.StringType()), T.StructField("edges", T.LongType())]))
+    keys = edges.select(by, key_text(cols).alias("k"))
+    rows = keys.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(1 + keys.count() // RANGE, by, "k", "at").select(by, "k").sortWithinPartitions(by, "k")
+    own = T.StructField(by, kind)
+    pieces = written(rows.mapInArrow(packed, T.StructType([own, *T._parse_datatype_string("task int, name string, start bigint, bytes bigint, n bigint").fields])))
+    return pieces.repartition(by).sortWithinPartitions(by, "task").mapInArrow(fold, T.StructType([own, T.StructField("digest", T.StringType()), T.StructField("edges", T.LongType())]))
 
 
 def bucketed_digest(edges: DataFrame, cols: Sequence[str], by: str = "organism", digits: int = 2) -> DataFrame:
