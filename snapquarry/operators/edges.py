@@ -24,7 +24,7 @@ from snapquarry.sources.files import STEP, _store
 from snapquarry.sources.storage import shared_dir, written
 
 KEY = ["source", "target", "is_directed", "is_stimulation", "is_inhibition", "consensus_direction", "consensus_stimulation", "consensus_inhibition"]
-RANGE = 500_000  # keys that one task sorts
+RANGE, PLAIN = 500_000, 200  # keys that one task sorts; most ranges that Spark's shuffle writes without holding a task's rows in memory
 MOST_EDGES, MOST_TARGETS, MOST_URL = 500, 100, 6144  # fixed values: bounds of a batch
 
 
@@ -40,11 +40,12 @@ def inventory_digest(edges: DataFrame, cols: Sequence[str], by: str = "organism"
     """(by, digest, edges): the exact digest of each group's keys, sorted and joined by newlines.
 
     Keys are dealt to ranges of about ``RANGE`` rows, however many of them are equal, and
-    sorted there; each task writes its own, joined, as one file to the shared folder and tells
-    where each group's stand. One digest is one chain of blocks by its definition, so one task
-    reads a group's pieces through SHA-256 in their order, a MB at a time; what it sorts are the
-    pieces' places. No task's memory grows with the group; ``bucketed_digest`` spreads the
-    hashing too.
+    sorted there; beyond ``PLAIN`` ranges the tasks that deal would hold all they read, so
+    ranges first get up to eight times as long. Each task writes its own keys, joined, as one
+    file to the shared folder and tells where each group's stand. One digest is one chain of
+    blocks by its definition, so one task reads a group's pieces through SHA-256 in their
+    order, a MB at a time; what it sorts are the pieces' places. No task's memory grows with
+    the group; ``bucketed_digest`` spreads the hashing too.
     """
     kind, root = edges.schema[by].dataType, f"{shared_dir(edges.sparkSession)}/tables/{uuid.uuid4().hex}"
 
@@ -97,7 +98,9 @@ def inventory_digest(edges: DataFrame, cols: Sequence[str], by: str = "organism"
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], to_arrow_type(kind)), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.int64())], names=[by, "digest", "edges"])
 
     keys = edges.select(by, key_text(cols).alias("k"))
-    rows = keys.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(1 + keys.count() // RANGE, by, "k", "at").select(by, "k").sortWithinPartitions(by, "k")
+    n = keys.count()
+    ranges = max(min(1 + n // RANGE, PLAIN), 1 + n // (8 * RANGE))
+    rows = keys.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(ranges, by, "k", "at").select(by, "k").sortWithinPartitions(by, "k")
     own = T.StructField(by, kind)
     pieces = written(rows.mapInArrow(packed, T.StructType([own, *T._parse_datatype_string("task int, name string, start bigint, bytes bigint, n bigint").fields])))
     return pieces.repartition(by).sortWithinPartitions(by, "task").mapInArrow(fold, T.StructType([own, T.StructField("digest", T.StringType()), T.StructField("edges", T.LongType())]))
